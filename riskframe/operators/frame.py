@@ -6,12 +6,12 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import window as W
 
 from riskframe.functions.expr import col, is_missing
+from riskframe.operators.ordering import add_slices, slice_offsets, slice_points
 
 FLOATING = (T.DoubleType, T.FloatType)
 
@@ -114,12 +114,10 @@ def top_k(df: DataFrame, by: Sequence[Column], k: int) -> DataFrame:
 
 def with_row_id(df: DataFrame, key: str, name: str = "row_id") -> DataFrame:
     """0-based position in the order of a unique numeric or time key."""
-    from riskframe.operators.ordering import add_slices, slice_offsets, slice_points
-
     points = slice_points(df, [key])
     sliced = add_slices(df, points)
     offsets = slice_offsets(sliced.groupBy("__slice_0").agg(F.count(F.lit(1)).alias("n")), "__slice_0", ["n"])
-    place = F.row_number().over(W.Window.partitionBy("__slice_0").orderBy(col(key))) - 1
+    place = F.row_number().over(Window.partitionBy("__slice_0").orderBy(col(key))) - 1
     return (
         sliced.withColumn("__place", place)
         .join(offsets, "__slice_0")
