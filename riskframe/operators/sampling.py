@@ -77,6 +77,11 @@ def _drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop("__hash", "__stratum", "__cut")
 
 
+def exact_cutoff(df: DataFrame, n: int, seed: int, key: Key, total: int) -> str:
+    """The hash up to which exactly ``n`` of the ``total`` rows lie."""
+    return _cutoffs(_prepare(df, seed, key, None), {0: n}, {0: total})[0]
+
+
 def sample_exact(df: DataFrame, n: int | None, seed: int, key: Key, clamp: bool = False) -> DataFrame:
     """Exactly ``n`` rows without replacement; no ``n`` keeps everything.
 
@@ -89,9 +94,7 @@ def sample_exact(df: DataFrame, n: int | None, seed: int, key: Key, clamp: bool
         if n > total and not clamp:
             raise ValueError(f"cannot take {n} rows from {total}")
         return df
-    hashed = _prepare(df, seed, key, None)
-    cut = _cutoffs(hashed, {0: n}, {0: total})
-    return _drop_helpers(_with_cutoff(hashed, cut, False).filter("__hash <= __cut"))
+    return df.filter(hash_order(seed, key) <= F.lit(exact_cutoff(df, n, seed, key, total)))
 
 
 def allot(sizes: Mapping, total: int) -> dict:
