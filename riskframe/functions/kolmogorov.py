@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: above this sample size the limiting distribution is used.
 EXACT_UP_TO = 10_000
@@ -67,7 +68,7 @@ def exact_two_sample_p(distance: float, n: int, m: int) -> float:
     return float(min(1.0, reached))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def exact_p(distance: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Series:
     """One value per tested column (not per data row)."""
     return pd.Series([exact_two_sample_p(d, int(n), int(m)) for d, n, m in zip(distance, n_ref, n_cur)])
