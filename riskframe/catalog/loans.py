@@ -6,9 +6,7 @@ instalment history. The projections are written once as expressions that Spark
 and SQL both read; the features themselves are stated separately for each.
 """
 
-from pyspark.sql import functions as F
-
-from riskframe.catalog.base import Catalog, load
+from riskframe.catalog.base import Catalog, load, settle, settle_sql
 from riskframe.operators import contract as K
 from riskframe.operators.frame import string_columns
 from riskframe.plans import flat_table as FT
@@ -249,19 +247,18 @@ DERIVED_FEATURES = (
     + ["DOC_COUNT", "CONTACT_COUNT", "ADDR_MISMATCH_SUM"]
 )
 NUMBERS = [c for c in L.PASSED_THROUGH if c not in L.CATEGORY_LEVELS] + DERIVED_FEATURES + L.HISTORY_FEATURES
-DIGITS = 4
 
 
 def _comparable(df):
     """Every number as a rounded double, so both engines show the same value."""
     texts = set(string_columns(df))
     return df.select(
-        *[L.col(c) if c in texts else F.round(L.col(c).cast("double"), DIGITS).alias(c) for c in df.columns]
+        *[L.col(c) if c in texts else settle(c).alias(c) for c in df.columns]
     )
 
 
 def _numbers_sql(pairs) -> str:
-    return ", ".join(f'round(CAST({e} AS DOUBLE), {DIGITS}) AS "{n}"' for n, e in pairs)
+    return ", ".join(f'{settle_sql(e)} AS "{n}"' for n, e in pairs)
 
 
 @Q.add(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from riskframe.catalog.base import Catalog, day_number, load, r6
+from riskframe.catalog.base import Catalog, day_number, load, r6, settle, settle_sql
 from riskframe.functions import expr as X
 from riskframe.operators.assemble import Side, assemble, key_overlap
 from riskframe.operators.rollup import attach_to_entity, ratio_of, single_level_rollup, two_level_rollup
@@ -43,18 +43,18 @@ def customer_shipments(spark, d):
     return assemble(customer, [Side(rolled, unique=True)], "c_custkey").select(
         "c_custkey",
         "c_mktsegment",
-        r6("unit_price_mean", 4).alias("unit_price_mean"),
-        r6("unit_price_std", 4).alias("unit_price_std"),
-        r6("late_mean", 4).alias("late_mean"),
+        settle("unit_price_mean").alias("unit_price_mean"),
+        settle("unit_price_std").alias("unit_price_std"),
+        settle("late_mean").alias("late_mean"),
         "late_max",
-        r6("late_share").alias("late_share"),
-        r6("severe_share").alias("severe_share"),
+        settle("late_share").alias("late_share"),
+        settle("severe_share").alias("severe_share"),
     )
 
 
 Q.add(
     "entity_rollup_flagship",
-    """
+    f"""
 WITH line AS (
   SELECT l_orderkey, l_extendedprice / (l_quantity + 1e-6) AS price,
          datediff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) - 10000 AS late
@@ -67,9 +67,9 @@ WITH line AS (
   SELECT o_custkey, avg(pm) AS pm, avg(ps) AS ps, avg(lm) AS lm, max(lx) AS lx, avg(ls) AS ls, avg(ss) AS ss
   FROM per_order JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey
 )
-SELECT c_custkey, c_mktsegment, round(pm, 4) AS unit_price_mean, round(ps, 4) AS unit_price_std,
-       round(lm, 4) AS late_mean, CAST(lx AS INTEGER) AS late_max, round(ls, 6) AS late_share,
-       round(ss, 6) AS severe_share
+SELECT c_custkey, c_mktsegment, {settle_sql("pm")} AS unit_price_mean, {settle_sql("ps")} AS unit_price_std,
+       {settle_sql("lm")} AS late_mean, CAST(lx AS INTEGER) AS late_max, {settle_sql("ls")} AS late_share,
+       {settle_sql("ss")} AS severe_share
 FROM customer LEFT JOIN per_customer ON c_custkey = o_custkey
 """,
 )(customer_shipments)
@@ -157,10 +157,10 @@ def subset_left_join(spark, d):
 
 @Q.add(
     "link_left_null_group",
-    """
+    f"""
 WITH per_order AS (SELECT l_orderkey, avg(l_discount) AS disc, count(*) AS n FROM lineitem GROUP BY l_orderkey),
 link AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F')
-SELECT o_custkey, count(*) AS n_children, round(avg(disc), 6) AS discount_mean, max(n) AS most_lines
+SELECT o_custkey, count(*) AS n_children, {settle_sql("avg(disc)")} AS discount_mean, max(n) AS most_lines
 FROM per_order LEFT JOIN link ON l_orderkey = o_orderkey GROUP BY o_custkey
 """,
 )
@@ -172,7 +172,7 @@ def link_left(spark, d):
         {"discount": F.avg("l_discount"), "n": F.count(F.lit(1))},
         load(spark, d, "orders").filter(F.col("o_orderstatus") == "F"),
         "o_custkey",
-        {"n_children": F.count(F.lit(1)), "discount_mean": r6(F.avg("discount")), "most_lines": F.max("n")},
+        {"n_children": F.count(F.lit(1)), "discount_mean": settle(F.avg("discount")), "most_lines": F.max("n")},
         how="left",
     )
 

@@ -96,13 +96,11 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str
         .agg(F.sum("__ref").alias("ref"), F.sum(1 - F.col("__ref")).alias("cur"))
     )
     placed = running_totals(counts, "value", "slice", ["ref", "cur"], ["column"])
-    whole = counts.groupBy("column").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    gap = F.abs(F.col("ref__upto") / F.col("n_ref") - F.col("cur__upto") / F.col("n_cur"))
+    gap = F.abs(F.col("ref__upto") / F.col("ref__all") - F.col("cur__upto") / F.col("cur__all"))
     return (
-        placed.join(F.broadcast(whole.filter("n_ref > 0 and n_cur > 0")), "column")  # one row per column
-        .groupBy("column", "n_ref", "n_cur")
-        .agg(F.max(gap).alias("ks_statistic"))
-        .select("column", "ks_statistic", "n_ref", "n_cur")
+        placed.filter("ref__all > 0 and cur__all > 0")
+        .groupBy("column")
+        .agg(F.max(gap).alias("ks_statistic"), F.max("ref__all").alias("n_ref"), F.max("cur__all").alias("n_cur"))
     )
 
 

@@ -62,38 +62,33 @@ def one_hot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]]) -> DataFrame
 
 def _median_pass(df: DataFrame, columns: Sequence[str], brackets: Mapping[str, tuple[float, float]]) -> dict:
     """Exact medians where they fall inside the given brackets; other columns are left out."""
-    cells = []
-    for c in columns:
-        v = col(c).cast("double")
-        low, high = (F.lit(float(b)) for b in brackets[c])
-        zone = F.when(v < low, 0).when(v > high, 2).otherwise(1)
-        cells.append(
-            F.struct(
-                F.lit(c).alias("column"),
-                F.when(v.isNotNull() & ~F.isnan(v), zone).alias("zone"),
-                F.when((v >= low) & (v <= high), v).alias("value"),
-            )
-        )
+    rows = [(i, *map(float, brackets[c])) for i, c in enumerate(columns)]
+    sides = df.sparkSession.createDataFrame(rows, "no int, low double, high double")  # one row per column
+    cells = F.array(*[F.struct(F.lit(i).alias("no"), col(c).alias("v")) for i, c in enumerate(columns)])
+    inside = (F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high"))
     counts = (
-        df.select(F.explode(F.array(*cells)).alias("x"))
+        df.select(F.explode(cells).alias("x"))
         .select("x.*")
-        .filter("zone is not null")
-        .groupBy("column", "zone", "value")
+        .filter("v is not null and not isnan(v)")
+        .join(F.broadcast(sides), "no")
+        .groupBy(
+            "no",
+            F.when(F.col("v") < F.col("low"), 0).when(inside, 1).otherwise(2).alias("zone"),
+            F.when(inside, F.col("v")).alias("value"),
+        )
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = Window.partitionBy("column").orderBy("zone", "value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumns(
-        {"upto": F.sum("n").over(upto), "rows": F.sum("n").over(Window.partitionBy("column"))}
-    )
+    upto = Window.partitionBy("no").orderBy("zone", "value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(Window.partitionBy("no"))})
     # the middle one (odd) or two (even) positions, 1-based
     left, right = F.expr("(rows + 1) div 2"), F.expr("rows div 2 + 1")
     hit = lambda place: (F.col("upto") - F.col("n") < place) & (place <= F.col("upto"))
-    middle = placed.groupBy("column").agg(
+    middle = placed.groupBy("no").agg(
         F.max(F.when(hit(left), F.col("value"))).alias("lower"),
         F.max(F.when(hit(right), F.col("value"))).alias("upper"),
     )
     return {
-        r["column"]: r["lower"] + (r["upper"] - r["lower"]) / 2
+        columns[r["no"]]: r["lower"] + (r["upper"] - r["lower"]) / 2
         for r in middle.collect()
         if r["lower"] is not None and r["upper"] is not None
     }
@@ -125,6 +120,15 @@ def fit_medians(
     return {c: medians.get(c) for c in columns}
 
 
+def columns_with_gaps(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that have anything to impute, from one pass of counts."""
+    floating = floating_columns(df)
+    if not columns:
+        return []
+    gaps = df.agg(*[F.count_if(is_missing(c, c in floating)).alias(f"g{i}") for i, c in enumerate(columns)]).first()
+    return [c for i, c in enumerate(columns) if gaps[i] > 0]
+
+
 def impute_median(df: DataFrame, medians: Mapping[str, float | None]) -> DataFrame:
     """Missing numbers become the column's median; a column without a median stays as it is."""
     floating = floating_columns(df)

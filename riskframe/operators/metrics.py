@@ -108,20 +108,13 @@ def metrics_table(metrics: DataFrame, run: str, names: Sequence[str]) -> DataFra
 
 def _curve(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     """Counts at or above each score, with the totals on every row (one row per distinct score)."""
-    totals = score_totals(df, label, score, by)
-    whole = totals.groupBy(*by).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    if by:
-        joined = totals.join(whole, list(by))
-    else:
-        # one row of two numbers
-        joined = totals.withColumn("__one", F.lit(1)).join(F.broadcast(whole.withColumn("__one", F.lit(1))), "__one")
-    return joined.select(
+    return score_totals(df, label, score, by).select(
         *by,
         "score",
-        (F.col("n_pos") - F.col("pos__upto") + F.col("pos")).alias("tp"),
-        (F.col("n_neg") - F.col("neg__upto") + F.col("neg")).alias("fp"),
-        "n_pos",
-        "n_neg",
+        (F.col("pos__all") - F.col("pos__upto") + F.col("pos")).alias("tp"),
+        (F.col("neg__all") - F.col("neg__upto") + F.col("neg")).alias("fp"),
+        F.col("pos__all").alias("n_pos"),
+        F.col("neg__all").alias("n_neg"),
     )
 
 

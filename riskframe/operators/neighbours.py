@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.session import scratch_path
+from riskframe.operators.storage import store, stored
 
 BLOCK_ROWS = 4096
 MAX_BLOCKS = 20_000
@@ -30,17 +30,6 @@ SLACK = 1e-9
 DISTANCE_CELLS = 4_000_000
 
 
-def store(df: DataFrame, label: str) -> str:
-    """Writes rows that are needed twice to the shared folder; returns the path."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return path
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    return df.sparkSession.read.parquet(store(df, label))
-
-
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
 

@@ -36,7 +36,7 @@ def slice_points(df: DataFrame, columns: Sequence[str], slices: int | None = Non
     slices = slices or shuffle_parallelism(df.sparkSession)
     numbers = df.select(*[as_number(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
     shares = [i / slices for i in range(1, slices)]
-    found = numbers.approxQuantile(numbers.columns, shares, 1 / (4 * slices))
+    found = numbers.approxQuantile(numbers.columns, shares, 1 / (2 * slices))
     return {c: sorted(set(points)) for c, points in zip(columns, found)}
 
 
@@ -54,24 +54,26 @@ def add_slices(df: DataFrame, points: dict[str, list[float]]) -> DataFrame:
 
 
 def slice_offsets(totals: DataFrame, slice_col: str, measures: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Per slice, the totals of all slices before it. Input: one row per (by, slice)."""
-    before = (
-        Window.partitionBy(*by or [F.lit(0)])
-        .orderBy(slice_col)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    """Per slice, the totals of the slices before it and of all slices. Input: one row per (by, slice)."""
+    group = Window.partitionBy(*by or [F.lit(0)])
+    before = group.orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
-        *by, slice_col, *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}__before") for m in measures]
+        *by,
+        slice_col,
+        *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}__before") for m in measures],
+        *[F.sum(m).over(group).alias(f"{m}__all") for m in measures],
     )
 
 
 def running_totals(
     counts: DataFrame, value: str, slice_col: str, measures: Sequence[str], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Adds ``<measure>__upto``: the total of each measure over all values <= this one.
+    """Adds ``<measure>__upto``, the total of each measure over all values <= this one,
+    and ``<measure>__all``, the total of its group.
 
     ``counts`` holds one row per (by, value). The join and the window need the
-    same partitioning, so the rows are shuffled once.
+    same partitioning, so the rows are shuffled once; a group with a large
+    share of the rows is spread over its slices.
     """
     keys = [*by, slice_col]
     totals = counts.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])

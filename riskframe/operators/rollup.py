@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +37,34 @@ def attach_to_entity(child: DataFrame, link: DataFrame, key: str, entity: str, h
     return child.join(link.select(col(key), col(entity)), key, how)
 
 
+def frequent_keys(link: DataFrame, key: str, share: float = 0.001, at_least: int = 1_000_000) -> list:
+    """Link keys that repeat so often that one join task would feel it (at most 1/share of them).
+
+    One scan without a shuffle finds candidates and misses none; a second counts them.
+    """
+    candidates = link.select(col(key)).stat.freqItems([key], share).first()[0]
+    if not candidates:
+        return []
+    counted = link.filter(col(key).isin(candidates)).groupBy(col(key)).count().filter(F.col("count") >= at_least)
+    return [r[0] for r in counted.collect() if r[0] is not None]
+
+
+def _attach_first_level(
+    first: DataFrame, link: DataFrame, key: str, entity: str, how: str, hot: Sequence
+) -> DataFrame:
+    """Joins one row per key to a link table in which some keys may repeat very often.
+
+    The few first-level rows of those keys (one per key) are broadcast to their
+    link rows, which stay where they are; everything else joins by shuffle.
+    """
+    if not hot:
+        return attach_to_entity(first, link, key, entity, how)
+    is_hot = F.coalesce(col(key).isin(list(hot)), F.lit(False))
+    cold = attach_to_entity(first.filter(~is_hot), link.filter(~is_hot), key, entity, how)
+    few = link.filter(is_hot).select(col(key), col(entity)).join(F.broadcast(first.filter(is_hot)), key)
+    return cold.unionByName(few)
+
+
 def two_level_rollup(
     child: DataFrame,
     child_key: str,
@@ -45,12 +73,15 @@ def two_level_rollup(
     entity: str,
     level2: Aggregates,
     how: str = "inner",
+    hot_links: Sequence = (),
 ) -> DataFrame:
     """Aggregate per child key, attach the entity, aggregate again.
 
     Both aggregates are combined on the map side first, so a child key or an
     entity with a large share of all rows sends only partial results. The first
     aggregate and the join use the same key and therefore the same exchange.
+    ``hot_links`` are link keys known to repeat very often (``frequent_keys``).
     """
     first = child.groupBy(col(child_key)).agg(*_named(level1))
-    return attach_to_entity(first, link, child_key, entity, how).groupBy(col(entity)).agg(*_named(level2))
+    attached = _attach_first_level(first, link, child_key, entity, how, hot_links)
+    return attached.groupBy(col(entity)).agg(*_named(level2))

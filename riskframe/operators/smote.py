@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from riskframe.functions.expr import col
 from riskframe.functions.hashing import hash_order, unit_draw
 from riskframe.operators.local_state import read_classes
-from riskframe.operators.neighbours import distinct_vectors, nearest_neighbours, stored
+from riskframe.operators.neighbours import distinct_vectors, nearest_neighbours
 from riskframe.operators.sampling import class_counts, exact_cutoff
+from riskframe.operators.storage import stored
 
 ROWS_PER_CHUNK = 1000
 

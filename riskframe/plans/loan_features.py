@@ -18,9 +18,17 @@ from riskframe.functions import expr as X
 from riskframe.functions.expr import col
 from riskframe.operators import contract as K
 from riskframe.operators.assemble import Side, assemble
-from riskframe.operators.encode import fit_medians, fit_vocabulary, impute_median, one_hot, read_vocabulary
+from riskframe.operators.encode import (
+    columns_with_gaps,
+    fit_medians,
+    fit_vocabulary,
+    impute_median,
+    one_hot,
+    read_vocabulary,
+)
 from riskframe.operators.frame import drop_columns, fill_zero, numeric_columns, row_missing_count
-from riskframe.operators.rollup import ratio_of, single_level_rollup, two_level_rollup
+from riskframe.operators.rollup import frequent_keys, ratio_of, single_level_rollup, two_level_rollup
+from riskframe.operators.storage import stored
 
 # Column names of the schema and of the feature table.
 ENTITY, TARGET = "SK_ID_CURR", "TARGET"
@@ -193,7 +201,9 @@ def previous_application_features(previous: DataFrame) -> DataFrame:
     return ratio_of(approved, "PREV_REFUSED_RATE", "PREV_REFUSED", "PREV_TOTAL")
 
 
-def _contract_rollup(history: DataFrame, previous: DataFrame, measures: Mapping[str, tuple]) -> DataFrame:
+def _contract_rollup(
+    history: DataFrame, previous: DataFrame, measures: Mapping[str, tuple], hot_links: Sequence = ()
+) -> DataFrame:
     """Two levels through the contract: ``name -> (per contract, over the applicant's contracts)``."""
     return two_level_rollup(
         history,
@@ -202,10 +212,13 @@ def _contract_rollup(history: DataFrame, previous: DataFrame, measures: Mapping[
         previous,
         ENTITY,
         {name: outer(name) for name, (_, outer) in measures.items()},
+        hot_links=hot_links,
     )
 
 
-def installment_features(installments: DataFrame, previous: DataFrame, eps: float = X.EPS_DEFAULT) -> DataFrame:
+def installment_features(
+    installments: DataFrame, previous: DataFrame, eps: float = X.EPS_DEFAULT, hot_links: Sequence = ()
+) -> DataFrame:
     paid = X.eps_ratio("AMT_PAYMENT", "AMT_INSTALMENT", eps)
     late = X.day_gap("DAYS_ENTRY_PAYMENT", "DAYS_INSTALMENT")
     return _contract_rollup(
@@ -219,14 +232,17 @@ def installment_features(installments: DataFrame, previous: DataFrame, eps: floa
             "INSTAL_LATE_SHARE": (X.share_where(late > 0), F.avg),
             "INSTAL_SEVERE_LATE_SHARE": (X.share_where(late > 0, SEVERE_LATE_WEIGHT), F.avg),
         },
+        hot_links,
     )
 
 
-def _overdue(frame_columns: Sequence[str] = ("SK_DPD", "SK_DPD_DEF")):
-    return (F.col(frame_columns[0]) > 0) | (F.col(frame_columns[1]) > 0)
+def _overdue():
+    return (F.col("SK_DPD") > 0) | (F.col("SK_DPD_DEF") > 0)
 
 
-def credit_card_features(credit_card: DataFrame, previous: DataFrame, eps: float = X.EPS_DEFAULT) -> DataFrame:
+def credit_card_features(
+    credit_card: DataFrame, previous: DataFrame, eps: float = X.EPS_DEFAULT, hot_links: Sequence = ()
+) -> DataFrame:
     used = X.eps_ratio("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", eps)
     coverage = X.eps_ratio("AMT_PAYMENT_TOTAL_CURRENT", "AMT_INST_MIN_REGULARITY", eps)
     cash = X.eps_ratio("AMT_DRAWINGS_ATM_CURRENT", "AMT_CREDIT_LIMIT_ACTUAL", eps)
@@ -242,10 +258,11 @@ def credit_card_features(credit_card: DataFrame, previous: DataFrame, eps: float
             "CC_DPD_MAX": (F.max("SK_DPD"), F.max),
             "CC_CASH_RATIO_MEAN": (F.avg(cash), F.avg),
         },
+        hot_links,
     )
 
 
-def pos_cash_features(pos_cash: DataFrame, previous: DataFrame) -> DataFrame:
+def pos_cash_features(pos_cash: DataFrame, previous: DataFrame, hot_links: Sequence = ()) -> DataFrame:
     active = F.col("NAME_CONTRACT_STATUS") == "Active"
     return _contract_rollup(
         pos_cash,
@@ -255,6 +272,7 @@ def pos_cash_features(pos_cash: DataFrame, previous: DataFrame) -> DataFrame:
             "POS_DPD_MAX": (F.max("SK_DPD"), F.max),
             "POS_MONTHS_SINCE_LAST_ACTIVE": (X.last_offset_where(active, "MONTHS_BALANCE"), F.max),
         },
+        hot_links,
     )
 
 
@@ -262,15 +280,20 @@ def pos_cash_features(pos_cash: DataFrame, previous: DataFrame) -> DataFrame:
 
 
 def joined_features(tables: LoanTables, eps: float = X.EPS_DEFAULT, check_keys: bool = True) -> DataFrame:
-    """One row per applicant with all raw features, before encoding."""
+    """One row per applicant with all raw features, before encoding.
+
+    Earlier contracts are not promised to be unique, so their table is searched
+    once for contract ids that repeat very often.
+    """
     previous = tables.previous_application
+    hot = frequent_keys(previous, CONTRACT_KEY) if check_keys else []
     sides = [
         bureau_features(tables.bureau, eps),
         bureau_balance_features(tables.bureau_balance, tables.bureau),
         previous_application_features(previous),
-        installment_features(tables.installments, previous, eps),
-        credit_card_features(tables.credit_card, previous, eps),
-        pos_cash_features(tables.pos_cash, previous),
+        installment_features(tables.installments, previous, eps, hot),
+        credit_card_features(tables.credit_card, previous, eps, hot),
+        pos_cash_features(tables.pos_cash, previous, hot),
     ]
     base = application_features(tables.application, eps)
     return assemble(Side(base, unique=not check_keys), [Side(s, unique=True) for s in sides], ENTITY)
@@ -289,7 +312,7 @@ def encode_features(
     vocabulary = vocabulary if vocabulary is not None else read_vocabulary(fit_vocabulary(joined))
     if medians is None:
         numbers = [c for c in numeric_columns(joined) if c not in (ENTITY, TARGET)]
-        medians = fit_medians(joined, numbers)
+        medians = fit_medians(joined, columns_with_gaps(joined, numbers))
     return one_hot(impute_median(joined, medians), vocabulary)
 
 
@@ -314,9 +337,9 @@ def finish_features(
 
 
 def feature_table(tables: LoanTables, eps: float = X.EPS_DEFAULT, check_keys: bool = True) -> DataFrame:
-    """The model-ready table. ``joined_features`` is read three times (levels, medians,
-    result); write it out first when that is dearer than storing it."""
-    return finish_features(encode_features(joined_features(tables, eps, check_keys)))
+    """The model-ready table. The joined features are read three times (levels, medians,
+    result), so they are written to the shared folder once."""
+    return finish_features(encode_features(stored(joined_features(tables, eps, check_keys), "joined-features")))
 
 
 def model_columns(vocabulary: Mapping[str, Sequence[str]] = CATEGORY_LEVELS) -> list[str]:
