@@ -28,7 +28,7 @@ _VALUES = " UNION ALL ".join(
 )
 
 
-def _distance_sql(keys: str) -> str:
+def distance_sql(keys: str) -> str:
     """From cells(keys, v, ref) to the distance per key."""
     return f"""
 counts AS (SELECT {keys}, v, sum(ref) AS r, sum(1 - ref) AS c FROM cells WHERE v IS NOT NULL GROUP BY {keys}, v),
@@ -49,7 +49,7 @@ tested AS (
 """
 
 
-LINE_KS_SQL = f"WITH cells AS ({_VALUES}), {_distance_sql('col')}"
+LINE_KS_SQL = f"WITH cells AS ({_VALUES}), {distance_sql('col')}"
 
 
 def line_flags(spark, d):
@@ -96,7 +96,7 @@ def drift_summary(spark, d):
 WITH f AS (SELECT value, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k, epoch_us(ts) % 86400000000 AS time_of_day,
                   CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 0 END AS ref FROM events),
 cells AS (SELECT 'value' AS col, value AS v, ref FROM f UNION ALL SELECT 'k', k, ref FROM f
-          UNION ALL SELECT 'time_of_day', CAST(time_of_day AS DOUBLE), ref FROM f), {_distance_sql('col')}
+          UNION ALL SELECT 'time_of_day', CAST(time_of_day AS DOUBLE), ref FROM f), {distance_sql('col')}
 SELECT col AS "column", round(ks, 6) AS ks_statistic, n_ref, n_cur FROM tested
 """,
 )
@@ -154,7 +154,7 @@ cells AS (
   UNION ALL SELECT b, 'k', k, 1 FROM later, moved WHERE batch = 0
   UNION ALL SELECT batch, 'value', value, 0 FROM moved WHERE batch > 0
   UNION ALL SELECT batch, 'k', k, 0 FROM moved WHERE batch > 0
-), {_distance_sql('b, col')},
+), {distance_sql('b, col')},
 summary AS (
   SELECT CAST(b AS BIGINT) AS batch, count(*) AS n_tested, CAST(count_if(p < 0.05) AS BIGINT) AS n_drifted,
          round(count_if(p < 0.05) / count(*), 4) AS share_drifted_columns, count_if(p < 0.05) / count(*) >= 0.1 AS dataset_drift
@@ -196,8 +196,16 @@ def constant_columns(spark, d):
     return spark.createDataFrame([(c,) for c in found], "column string")
 
 
-@Q.add("drift_metrics_row")
+@Q.add(
+    "drift_metrics_row",
+    f"""{LINE_KS_SQL}
+SELECT 'lines before' AS reference_path, 'lines after' AS current_path, count(*) AS n_tested,
+       CAST(count_if(p < 0.05) AS BIGINT) AS n_drifted, round(count_if(p < 0.05) / count(*), 4) AS share_drifted_columns,
+       count_if(p < 0.05) / count(*) >= 0.1 AS dataset_drift,
+       coalesce(string_agg(CASE WHEN p < 0.05 THEN col END, ',' ORDER BY col), '') AS drifted_columns
+FROM tested
+""",
+)
 def drift_metrics_row(spark, d):
-    return D.drift_metrics_row(line_flags(spark, d).summary, "lines before", "lines after").drop("generated_at").withColumn(
-        "drifted_columns", F.concat_ws(",", "drifted_columns")
-    )
+    row = D.drift_metrics_row(line_flags(spark, d).summary, "lines before", "lines after")
+    return row.drop("generated_at").withColumn("drifted_columns", F.concat_ws(",", "drifted_columns"))

@@ -77,12 +77,12 @@ FROM customer LEFT JOIN per_customer ON c_custkey = o_custkey
 
 @Q.add(
     "single_level_rollup",
-    """
+    f"""
 SELECT o_custkey, count(DISTINCT o_orderkey) AS n_orders,
        CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS n_filled,
        CAST(sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS BIGINT) AS n_open,
        round(sum(o_totalprice), 2) AS total_price, max(o_totalprice) AS max_price, min(o_totalprice) AS min_price,
-       round(avg(o_totalprice / (o_custkey + 1e-6)), 4) AS price_per_key_mean,
+       {settle_sql("avg(o_totalprice / (o_custkey + 1e-6))")} AS price_per_key_mean,
        round(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) / count(DISTINCT o_orderkey), 6) AS filled_rate
 FROM orders GROUP BY o_custkey
 """,
@@ -98,7 +98,7 @@ def single_level(spark, d):
             "total_price": r6(F.sum("o_totalprice"), 2),
             "max_price": F.max("o_totalprice"),
             "min_price": F.min("o_totalprice"),
-            "price_per_key_mean": r6(X.mean_of_ratio("o_totalprice", "o_custkey"), 4),
+            "price_per_key_mean": settle(X.mean_of_ratio("o_totalprice", "o_custkey")),
         },
     )
     return ratio_of(rolled, "filled_rate", "n_filled", "n_orders").withColumn("filled_rate", r6("filled_rate"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.base import SCORED_SQL, Catalog, event_features, load, probability, r6
 from riskframe.catalog.gates import AUDIT_COLUMNS
+from riskframe.catalog.monitoring import distance_sql
 from riskframe.catalog.quality import EVENT_CONTRACT
 from riskframe.session import scratch_path
 from riskframe.streaming import flows as S
@@ -71,7 +72,20 @@ def stream_audit(spark, d):
 EVENT_CONTRACT_OPEN = type(EVENT_CONTRACT)("events", {})
 
 
-@Q.add("stream_drift")
+@Q.add(
+    "stream_drift",
+    f"""
+WITH f AS (SELECT value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, ts < TIMESTAMP '2024-01-16' AS early FROM events),
+cells AS (
+  SELECT 'value' AS col, value AS v, 1 AS ref FROM f WHERE early UNION ALL SELECT 'k', k, 1 FROM f WHERE early
+  UNION ALL SELECT 'value', value, 0 FROM f UNION ALL SELECT 'k', k, 0 FROM f
+), {distance_sql('col')}
+SELECT 0 AS batch_id, count(*) AS n_tested, CAST(count_if(p < 0.05) AS BIGINT) AS n_drifted,
+       round(count_if(p < 0.05) / count(*), 4) AS share_drifted_columns, count_if(p < 0.05) / count(*) >= 0.1 AS dataset_drift,
+       'threshold_not_met' AS reason, false AS triggered
+FROM tested
+""",
+)
 def stream_drift(spark, d):
     """Every arriving batch of events against the first half of the table."""
     out = scratch_path(spark, "stream-drift")

@@ -45,7 +45,14 @@ def train_forest(spark, d):
     return _train_and_evaluate(spark, d, "forest", {"numTrees": 20})
 
 
-@Q.add("rebalance_training")
+@Q.add(
+    "rebalance_training",
+    """
+WITH c AS (SELECT CAST(count_if(toxic = 1) AS BIGINT) AS a, CAST(count_if(toxic = 0) AS BIGINT) AS b FROM labels),
+m AS (SELECT least(greatest(a, CAST(floor(b * 0.2e0) AS BIGINT)), b) AS n FROM c)
+SELECT 1 AS toxic, n AS n_rows FROM m UNION ALL SELECT 0, n FROM m
+""",
+)
 def rebalance_training(spark, d):
     """Synthetic minority rows up to the ratio, then every class cut to the smallest: ends one to one."""
     labels = load(spark, d, "labels").join(load(spark, d, "documents").select("doc_id", "n_chars"), "doc_id")
