@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.expr import col
@@ -51,36 +51,60 @@ def confusion_counts(df: DataFrame, label: str, prediction: str, by: Sequence[st
     return counts.select(*by, F.explode(lines).alias("c")).select(*by, "c.*")
 
 
-def score_totals(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Per distinct score: its positives and negatives, and those of all scores up to it.
+GROUP = "__group"
+
+
+def score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score, with the score's slice.
 
     Rows collapse to distinct scores before anything is sorted, so a score
-    shared by a third of all rows is one row here. Rows without a score do not count.
+    shared by a third of all rows is one row here. Rows without a score do not
+    count. The ``by`` columns travel as one struct, so a NULL group is a group.
     """
-    known = df.select(*by, col(label).alias("__y"), col(score).cast("double").alias("score")).filter(
+    group = F.struct(*[col(c) for c in by] or [F.lit(0)]).alias(GROUP)
+    known = df.select(group, col(label).alias("__y"), col(score).cast("double").alias("score")).filter(
         "score is not null and not isnan(score)"
     )
     sliced = add_slices(known, slice_points(known, ["score"]))
-    counts = sliced.groupBy(*by, "__slice_0", "score").agg(
+    return sliced.groupBy(GROUP, "__slice_0", "score").agg(
         F.count_if(F.col("__y") == 1).alias("pos"), F.count_if(F.col("__y") != 1).alias("neg")
     )
-    return running_totals(counts, "score", "__slice_0", ["pos", "neg"], by)
+
+
+def _ungroup(by: Sequence[str]) -> list[Column]:
+    return [F.col(GROUP).getField(c).alias(c) for c in by]
 
 
 def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Exact area under the ROC curve, ties counted half; NULL when a class is absent."""
-    totals = score_totals(df, label, score, by)
-    pos, neg, upto = (F.col(c).cast("double") for c in ("pos", "neg", "neg__upto"))
-    won = pos * (upto - neg + neg / 2)
-    return (
-        totals.groupBy(*by)
-        .agg(F.sum(won).alias("won"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-        .select(
-            *by,
-            "n_pos",
-            "n_neg",
-            F.try_divide(F.col("won"), F.col("n_pos").cast("double") * F.col("n_neg").cast("double")).alias("roc_auc"),
-        )
+    """Exact area under the ROC curve, ties counted half; NULL when a class is absent.
+
+    The area is the share of (positive, negative) pairs in the right order.
+    Pairs within a slice are summed inside it; pairs across slices follow from
+    the slice totals, so only those are accumulated over the whole range.
+    """
+    lower = Window.partitionBy(GROUP, "__slice_0").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    below = F.coalesce(F.sum("neg").over(lower), F.lit(0)).cast("double")
+    slices = (
+        score_counts(df, label, score, by)
+        .withColumn("won", pos * (below + neg / 2))
+        .groupBy(GROUP, "__slice_0")
+        .agg(F.sum("won").alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    )
+    earlier = Window.partitionBy(GROUP).orderBy("__slice_0").rowsBetween(Window.unboundedPreceding, -1)
+    across = pos * F.coalesce(F.sum("neg").over(earlier), F.lit(0)).cast("double")
+    totals = slices.withColumn("won", F.col("won") + across).groupBy(GROUP).agg(
+        F.sum("won").alias("won"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
+    )
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
+    found = totals.select(*_ungroup(by), "n_pos", "n_neg", F.try_divide("won", pairs).alias("roc_auc"))
+    if by:
+        return found
+    # an empty input still has an answer: no rows of either class
+    return found.agg(
+        F.coalesce(F.sum("n_pos"), F.lit(0)).alias("n_pos"),
+        F.coalesce(F.sum("n_neg"), F.lit(0)).alias("n_neg"),
+        F.max("roc_auc").alias("roc_auc"),
     )
 
 
@@ -96,54 +120,60 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str, by: Sequenc
     )
     basic = binary_metrics(df, label, prediction, by)
     if by:
-        return basic.join(area, list(by), "left")
+        return _null_safe_left(basic, area, by)
     keyed = [d.withColumn("__one", F.lit(1)) for d in (basic, area)]
     return keyed[0].join(keyed[1], "__one", "left").drop("__one")
 
 
+def _null_safe_left(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
+    names = {c: f"__right_{i}" for i, c in enumerate(by)}
+    renamed = right.withColumnsRenamed(names)
+    same = [col(c).eqNullSafe(col(n)) for c, n in names.items()]
+    return left.join(renamed, same, "left").drop(*names.values())
+
+
 def metrics_table(metrics: DataFrame, run: str, names: Sequence[str]) -> DataFrame:
     """Wide measures as (run, metric, value) rows; absent values are left out."""
     return metrics.unpivot([run], list(names), "metric", "value").filter("value is not null")
 
 
-def _curve(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
-    """Counts at or above each score, with the totals on every row (one row per distinct score)."""
-    return score_totals(df, label, score, by).select(
-        *by,
+def _curve(df: DataFrame, label: str, score: str, by: Sequence[str], point: dict, end: dict) -> DataFrame:
+    """One row per distinct score from the counts at or above it, and one end row per group.
+
+    ``point`` maps names to expressions over tp, fp, n_pos and n_neg; ``end`` to constants.
+    """
+    counted = running_totals(score_counts(df, label, score, by), "score", "__slice_0", ["pos", "neg"], [GROUP]).select(
+        GROUP,
         "score",
         (F.col("pos__all") - F.col("pos__upto") + F.col("pos")).alias("tp"),
         (F.col("neg__all") - F.col("neg__upto") + F.col("neg")).alias("fp"),
         F.col("pos__all").alias("n_pos"),
         F.col("neg__all").alias("n_neg"),
+        ((F.col("pos__upto") == F.col("pos__all")) & (F.col("neg__upto") == F.col("neg__all"))).alias("top"),
     )
+    here = F.struct(F.col("score").alias("threshold"), *[e.alias(n) for n, e in point.items()])
+    last = F.struct(F.lit(None).cast("double").alias("threshold"), *[F.lit(v).alias(n) for n, v in end.items()])
+    rows = F.when(F.col("top"), F.array(here, last)).otherwise(F.array(here))
+    return counted.select(GROUP, F.explode(rows).alias("p")).select(*_ungroup(by), "p.*")
+
+
+def _share(num: Column, den: Column) -> Column:
+    return F.try_divide(num.cast("double"), den.cast("double"))
 
 
 def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """False and true positive rate at every distinct threshold, plus the origin (no threshold)."""
-    points = _curve(df, label, score, by).select(
-        *by,
-        F.col("score").alias("threshold"),
-        F.try_divide(F.col("fp").cast("double"), F.col("n_neg").cast("double")).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), F.col("n_pos").cast("double")).alias("tpr"),
-    )
-    start = points.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter("n > 0").select(
-        *by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return points.unionByName(start)
+    point = {"fpr": _share(F.col("fp"), F.col("n_neg")), "tpr": _share(F.col("tp"), F.col("n_pos"))}
+    return _curve(df, label, score, by, point, {"fpr": 0.0, "tpr": 0.0})
 
 
 def pr_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Precision and recall at every distinct threshold, plus the end point (precision 1, recall 0)."""
-    points = _curve(df, label, score, by).select(
-        *by,
-        F.col("score").alias("threshold"),
-        F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fp")).cast("double")).alias("precision"),
-        F.try_divide(F.col("tp").cast("double"), F.col("n_pos").cast("double")).alias("recall"),
-    )
-    end = points.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter("n > 0").select(
-        *by, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
-    )
-    return points.unionByName(end)
+    point = {
+        "precision": _share(F.col("tp"), F.col("tp") + F.col("fp")),
+        "recall": _share(F.col("tp"), F.col("n_pos")),
+    }
+    return _curve(df, label, score, by, point, {"precision": 1.0, "recall": 0.0})
 
 
 def calibration_bins(df: DataFrame, label: str, probability: str, n_bins: int = 10, by: Sequence[str] = ()) -> DataFrame:

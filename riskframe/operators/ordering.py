@@ -41,7 +41,7 @@ def slice_points(df: DataFrame, columns: Sequence[str], slices: int | None = Non
 
 
 def add_slices(df: DataFrame, points: dict[str, list[float]]) -> DataFrame:
-    """Adds ``__slice_<i>`` for the i-th column of ``points``; equal values share a slice."""
+    """Adds ``__slice_<i>``, never NULL, for the i-th column of ``points``; equal values share a slice."""
     numbered = df.withColumns({f"__num_{i}": as_number(df, c) for i, c in enumerate(points)})
     for i, cuts in enumerate(points.values()):
         if cuts:
@@ -71,9 +71,10 @@ def running_totals(
     """Adds ``<measure>__upto``, the total of each measure over all values <= this one,
     and ``<measure>__all``, the total of its group.
 
-    ``counts`` holds one row per (by, value). The join and the window need the
-    same partitioning, so the rows are shuffled once; a group with a large
-    share of the rows is spread over its slices.
+    ``counts`` holds one row per (by, value); the ``by`` and slice columns must not
+    be NULL. Its exchange is read twice (slice totals, rows); the join and the
+    window share a partitioning. A group with a large share of the rows is
+    spread over its slices.
     """
     keys = [*by, slice_col]
     totals = counts.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])

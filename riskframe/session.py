@@ -21,6 +21,7 @@ def build_session(app_name: str = "riskframe", master: str | None = None, **sett
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site capture per column
     )
     if master:
         builder = builder.master(master)
