@@ -47,7 +47,8 @@ def add_slices(df: DataFrame, points: dict[str, list[float]]) -> DataFrame:
         if cuts:
             edges = [-float("inf"), *cuts, float("inf")]
             cutter = Bucketizer(splits=edges, inputCol=f"__num_{i}", outputCol=f"__slice_{i}", handleInvalid="keep")
-            numbered = cutter.transform(numbered).withColumn(f"__slice_{i}", F.col(f"__slice_{i}").cast("int"))
+            slice_no = F.coalesce(F.col(f"__slice_{i}").cast("int"), F.lit(-1))
+            numbered = cutter.transform(numbered).withColumn(f"__slice_{i}", slice_no)
         else:
             numbered = numbered.withColumn(f"__slice_{i}", F.lit(0))
     return numbered.drop(*[f"__num_{i}" for i in range(len(points))])
