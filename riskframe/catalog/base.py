@@ -49,13 +49,13 @@ def r6(value: Column | str, digits: int = 6) -> Column:
 def settle(value: Column | str) -> Column:
     """Rounded far below the digits a mean of small fractions can end on, so that the
     order of summation does not show."""
-    value = X._as_col(value).cast("double")
+    value = X._as_col(value).cast("double") + F.lit(0.0)  # turns -0.0 into 0.0
     size = F.abs(value)
     return F.when(size >= 1e7, F.round(value, 2)).when(size >= 1000, F.round(value, 5)).otherwise(F.round(value, 9))
 
 
 def settle_sql(expression: str) -> str:
-    value = f"CAST({expression} AS DOUBLE)"
+    value = f"(CAST({expression} AS DOUBLE) + 0e0)"
     return (
         f"CASE WHEN abs({value}) >= 1e7 THEN round({value}, 2) WHEN abs({value}) >= 1000 THEN round({value}, 5) "
         f"ELSE round({value}, 9) END"

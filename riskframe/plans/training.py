@@ -15,7 +15,7 @@ from riskframe.operators.encode import fit_scale
 from riskframe.operators.frame import require_columns
 from riskframe.operators.sampling import class_weights, downsample_majority
 from riskframe.operators.smote import smote
-from riskframe.session import shared_folder
+from riskframe.session import scratch_path, shared_folder
 
 # Training defaults.
 SEED = 42
@@ -76,7 +76,12 @@ def train(
         inputCols=[f"__z{i}" for i in range(len(columns))], outputCol="__features", handleInvalid="error"
     )
     ready = assembler.transform(scaling.transform(data))
-    return PipelineModel([scaling, assembler, classifier.fit(ready)])
+    fitted = PipelineModel([scaling, assembler, classifier.fit(ready)])
+    # A model fresh from fit carries a training summary that holds the session and the
+    # training plan and cannot always be shipped to executors; the saved form does not.
+    path = scratch_path(spark, f"fitted-{kind}")
+    save_model(fitted, path)
+    return load_model(path)
 
 
 def rebalance(
