@@ -51,24 +51,23 @@ def predictions_sink(spark, d):
 @Q.add(
     "report_history",
     """
-SELECT event_type, n_events, strftime(DATE '2024-01-01', '%Y-%m-%d') AS run_date
-FROM (SELECT event_type, count(*) AS n_events FROM events WHERE ts < TIMESTAMP '2024-01-02' GROUP BY event_type)
+SELECT event_type, 'n_events' AS measure, count(*) AS value, '2024-01-31' AS run_date FROM events GROUP BY event_type
 UNION ALL
-SELECT event_type, n_events, '2024-01-02' AS run_date
-FROM (SELECT event_type, count(*) AS n_events FROM events
-      WHERE ts >= TIMESTAMP '2024-01-02' AND ts < TIMESTAMP '2024-01-03' GROUP BY event_type)
+SELECT event_type, 'n_users', count(DISTINCT user_id), '2024-02-01' FROM events GROUP BY event_type
 """,
 )
 def report_history(spark, d):
-    """Two daily reports appended to one history table."""
-    events = load(spark, d, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    """Two runs' reports appended to one history table."""
+    events = load(spark, d, "events")
     path = scratch_path(spark, "history")
-    for day in ("2024-01-01", "2024-01-02"):
-        daily = events.filter(F.col("day") == day).groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"))
-        S.append_report(daily, path, day)
-    return S.read_parquet_table(spark, path).select(
-        "event_type", "n_events", F.col("run_date").cast("string").alias("run_date")
-    )
+    runs = {
+        "2024-01-31": ("n_events", F.count(F.lit(1))),
+        "2024-02-01": ("n_users", F.count_distinct("user_id")),
+    }
+    for day, (measure, value) in runs.items():
+        report = events.groupBy("event_type").agg(F.lit(measure).alias("measure"), value.alias("value"))
+        S.append_report(report, path, day)
+    return S.read_parquet_table(spark, path).withColumn("run_date", F.col("run_date").cast("string"))
 
 
 @Q.add(

@@ -6,6 +6,7 @@ from riskframe.catalog.base import SCORED_SQL, Catalog, event_features, load, pr
 from riskframe.catalog.gates import AUDIT_COLUMNS
 from riskframe.catalog.monitoring import distance_sql
 from riskframe.catalog.quality import EVENT_CONTRACT
+from riskframe.operators.contract import Contract
 from riskframe.session import scratch_path
 from riskframe.streaming import flows as S
 
@@ -56,7 +57,7 @@ FROM scored GROUP BY 1, 2
 def stream_audit(spark, d):
     """Daily audit in complete mode, so no late row is missing; entity counts are approximate and left out."""
     out = scratch_path(spark, "stream-audit")
-    scored, _ = S.score_stream(S.zoned(event_stream(spark, d), "ts"), probability(), EVENT_CONTRACT_OPEN)
+    scored, _ = S.score_stream(S.zoned(event_stream(spark, d), "ts"), probability(), Contract("events"))
     S.run_to_table(S.audit_stream(scored, "ts", "1 day", None, entity="user_id"), f"{out}/audit", f"{out}/checkpoint", "complete")
     audit = spark.read.parquet(f"{out}/audit").drop("unique_entities")
     return audit.withColumns(
@@ -69,9 +70,6 @@ def stream_audit(spark, d):
     )
 
 
-EVENT_CONTRACT_OPEN = type(EVENT_CONTRACT)("events", {})
-
-
 @Q.add(
     "stream_drift",
     f"""

@@ -12,6 +12,7 @@ from riskframe.functions.expr import col, is_missing
 from riskframe.operators.frame import floating_columns, numeric_columns, string_columns
 
 MAX_LEVELS = 1000
+MAX_VOCABULARY = 100_000
 MEDIAN_MARGIN = 1e-4
 
 
@@ -26,17 +27,18 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
 
 
 def read_vocabulary(vocabulary: DataFrame, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """The levels per column in sorted order. Too many levels raise before they are read,
-    because each level becomes an output column."""
-    wide = [
-        r["column"]
-        for r in vocabulary.groupBy("column").count().filter(F.col("count") > max_levels).select("column").collect()
-    ]
-    if wide:
-        raise ValueError(f"more than {max_levels} levels in: {', '.join(sorted(wide))}")
+    """The levels per column in sorted order, read with a row bound in a single job.
+
+    Each level becomes an output column, so too many levels are an error, and
+    no more than the bound ever reaches the driver.
+    """
+    rows = vocabulary.limit(MAX_VOCABULARY + 1).collect()
     levels: dict[str, list[str]] = {}
-    for row in vocabulary.collect():
+    for row in rows:
         levels.setdefault(row["column"], []).append(row["value"])
+    wide = sorted(c for c, values in levels.items() if len(values) > max_levels)
+    if wide or len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"more than {max_levels} levels in: {', '.join(wide) or 'the text columns together'}")
     return {c: sorted(v) for c, v in levels.items()}
 
 
