@@ -46,20 +46,28 @@ def r6(value: Column | str, digits: int = 6) -> Column:
     return F.round(X._as_col(value), digits)
 
 
+# (size from which it holds, digits); the shift keeps means of simple fractions, which like to
+# end exactly between two roundings, away from that point.
+SETTLE_STEPS = ((1e7, 2), (1e3, 5), (0.0, 9))
+SETTLE_SHIFT = 0.3137
+
+
 def settle(value: Column | str) -> Column:
-    """Rounded far below the digits a mean of small fractions can end on, so that the
-    order of summation does not show."""
-    value = X._as_col(value).cast("double") + F.lit(0.0)  # turns -0.0 into 0.0
-    size = F.abs(value)
-    return F.when(size >= 1e7, F.round(value, 2)).when(size >= 1000, F.round(value, 5)).otherwise(F.round(value, 9))
+    """Rounded so that the order of summation does not show."""
+    value = X._as_col(value).cast("double")
+    out = F
+    for size, digits in SETTLE_STEPS:
+        out = out.when(F.abs(value) >= size, F.round(value + F.lit(SETTLE_SHIFT * 10.0**-digits), digits))
+    return out
 
 
 def settle_sql(expression: str) -> str:
-    value = f"(CAST({expression} AS DOUBLE) + 0e0)"
-    return (
-        f"CASE WHEN abs({value}) >= 1e7 THEN round({value}, 2) WHEN abs({value}) >= 1000 THEN round({value}, 5) "
-        f"ELSE round({value}, 9) END"
+    value = f"CAST({expression} AS DOUBLE)"
+    steps = " ".join(
+        f"WHEN abs({value}) >= {size!r} THEN round({value} + CAST('{SETTLE_SHIFT * 10.0**-digits!r}' AS DOUBLE), {digits})"
+        for size, digits in SETTLE_STEPS
     )
+    return f"CASE {steps} END"
 
 
 def event_features(events: DataFrame) -> DataFrame:
