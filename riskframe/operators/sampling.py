@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from riskframe.functions.expr import col
 from riskframe.functions.hashing import hash_order
 from riskframe.operators.local_state import attach_classes, read_classes
+from riskframe.operators.storage import stored
 
 PREFIX_LENGTH = 4
 NONE_OF_CLASS, ALL_OF_CLASS = "", "~"
@@ -36,26 +37,39 @@ def _prepare(df: DataFrame, seed: int, key: Key, target: str | None) -> DataFram
     return df.withColumns({"__hash": hash_order(seed, key), "__stratum": stratum})
 
 
-def _cutoffs(hashed: DataFrame, wanted: Mapping, sizes: Mapping) -> dict:
+def _prefix_counts(hashed: DataFrame) -> DataFrame:
+    """Rows per class and hash prefix. Written once: class sizes and cut-offs both come from
+    this table of at most 65536 rows per class, so the data is counted in one pass."""
+    counts = (
+        hashed.select("__stratum", F.substring("__hash", 1, PREFIX_LENGTH).alias("__prefix"))
+        .groupBy("__stratum", "__prefix")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return stored(counts, "prefix-counts")
+
+
+def _sizes(counts: DataFrame, label: str) -> dict:
+    return {r[0]: r[1] for r in read_classes(counts.groupBy("__stratum").agg(F.sum("n")), label)}
+
+
+def _cutoffs(hashed: DataFrame, counts: DataFrame, wanted: Mapping, sizes: Mapping) -> dict:
     """Per stratum, the largest hash that still belongs to the sample."""
     found = {s: ALL_OF_CLASS if n >= sizes[s] else NONE_OF_CLASS for s, n in wanted.items()}
     open_strata = [(s, n) for s, n in wanted.items() if 0 < n < sizes[s]]
     if not open_strata:
         return found
-    prefixed = hashed.select("__stratum", "__hash").withColumn("__prefix", F.substring("__hash", 1, PREFIX_LENGTH))
     upto = Window.partitionBy("__stratum").orderBy("__prefix").rowsBetween(Window.unboundedPreceding, 0)
-    counted = (
-        prefixed.groupBy("__stratum", "__prefix")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(upto))
-    )
+    counted = counts.withColumn("upto", F.sum("n").over(upto))
     counted = attach_classes(counted, "__stratum", open_strata, [T.StructField("wanted", T.LongType())])
     edges = counted.filter("upto - n < wanted and wanted <= upto").selectExpr(
         "__stratum", "__prefix", "wanted - (upto - n) as place"
     ).collect()
     edge_rows = [(e["__stratum"], e["__prefix"], e["place"]) for e in edges]
     fields = [T.StructField("edge", T.StringType()), T.StructField("place", T.LongType())]
-    inside = attach_classes(prefixed, "__stratum", edge_rows, fields).filter("__prefix = edge")
+    prefixed = hashed.select("__stratum", "__hash")
+    inside = attach_classes(prefixed, "__stratum", edge_rows, fields).filter(
+        F.substring("__hash", 1, PREFIX_LENGTH) == F.col("edge")
+    )
     ordered = Window.partitionBy("__stratum").orderBy("__hash")
     ranked = inside.withColumns(
         {"rank": F.row_number().over(ordered), "next": F.lead("__hash").over(ordered)}
@@ -77,9 +91,14 @@ def _drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop("__hash", "__stratum", "__cut")
 
 
-def exact_cutoff(df: DataFrame, n: int, seed: int, key: Key, total: int) -> str:
-    """The hash up to which exactly ``n`` of the ``total`` rows lie."""
-    return _cutoffs(_prepare(df, seed, key, None), {0: n}, {0: total})[0]
+def exact_cutoff(df: DataFrame, n: int, seed: int, key: Key, clamp: bool = False) -> str:
+    """The hash up to which exactly ``n`` rows lie."""
+    hashed = _prepare(df, seed, key, None)
+    counts = _prefix_counts(hashed)
+    total = sum(_sizes(counts, "the sample").values())
+    if n > total and not clamp:
+        raise ValueError(f"cannot take {n} rows from {total}")
+    return _cutoffs(hashed, counts, {0: n}, {0: total})[0]
 
 
 def sample_exact(df: DataFrame, n: int | None, seed: int, key: Key, clamp: bool = False) -> DataFrame:
@@ -89,12 +108,7 @@ def sample_exact(df: DataFrame, n: int | None, seed: int, key: Key, clamp: bool
     """
     if not n:
         return df
-    total = df.count()
-    if n >= total:
-        if n > total and not clamp:
-            raise ValueError(f"cannot take {n} rows from {total}")
-        return df
-    return df.filter(hash_order(seed, key) <= F.lit(exact_cutoff(df, n, seed, key, total)))
+    return df.filter(hash_order(seed, key) <= F.lit(exact_cutoff(df, n, seed, key, clamp)))
 
 
 def allot(sizes: Mapping, total: int) -> dict:
@@ -115,13 +129,11 @@ def split(
     """Train and test parts of exact size; ``stratify`` keeps the class shares."""
     if not 0 < test_size < 1:
         raise ValueError("test_size must lie between 0 and 1")
-    if stratify:
-        sizes = {r[0]: r[1] for r in read_classes(class_counts(df, stratify), stratify)}
-    else:
-        sizes = {0: df.count()}
-    wanted = allot(sizes, math.ceil(sum(sizes.values()) * test_size))
     hashed = _prepare(df, seed, key, stratify)
-    marked = _with_cutoff(hashed, _cutoffs(hashed, wanted, sizes), bool(stratify))
+    counts = _prefix_counts(hashed)
+    sizes = _sizes(counts, stratify or "the table")
+    wanted = allot(sizes, math.ceil(sum(sizes.values()) * test_size))
+    marked = _with_cutoff(hashed, _cutoffs(hashed, counts, wanted, sizes), bool(stratify))
     train, test = marked.filter("__hash > __cut"), marked.filter("__hash <= __cut")
     return _drop_helpers(train), _drop_helpers(test)
 
@@ -139,10 +151,10 @@ def concat(frames: Sequence[DataFrame]) -> DataFrame:
 
 def downsample_majority(df: DataFrame, target: str, seed: int, key: Key) -> DataFrame:
     """Every class cut to the size of the smallest one."""
-    sizes = {r[0]: r[1] for r in read_classes(class_counts(df, target), target)}
-    smallest = min(sizes.values())
     hashed = _prepare(df, seed, key, target)
-    cut = _cutoffs(hashed, {s: smallest for s in sizes}, sizes)
+    counts = _prefix_counts(hashed)
+    sizes = _sizes(counts, target)
+    cut = _cutoffs(hashed, counts, {s: min(sizes.values()) for s in sizes}, sizes)
     return _drop_helpers(_with_cutoff(hashed, cut, True).filter("__hash <= __cut"))
 
 

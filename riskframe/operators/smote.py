@@ -58,7 +58,7 @@ def synthetic_rows(points: DataFrame, n_new: int, k: int, seed: int) -> DataFram
     if n <= k:
         raise ValueError(f"{n} minority rows are too few for {k} neighbours")
     base, rest = divmod(n_new, n)
-    cut = exact_cutoff(points, rest, seed, "id", n)
+    cut = exact_cutoff(points, rest, seed, "id")
     more = F.sum((hash_order(seed, "id") <= F.lit(cut)).cast("long"))
     distinct = stored(distinct_vectors(points, {"extras": more}), "distinct")
     lists = neighbour_lists(distinct, k).withColumn("n_rows", F.col("copies") * base + F.col("extras"))
