@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, load
-from riskframe.llm import decontaminate, secrets, sharding
+from riskframe.llm import decontaminate, secrets, sharding, substring_dedup
 
 Q = Catalog()
 
@@ -87,3 +87,27 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("slot").cast("int").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@Q.add(
+    "op6_substring_dedup",
+    r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)
+),
+repeated AS (SELECT h FROM places GROUP BY h HAVING count(*) > 1),
+covered AS (SELECT DISTINCT doc_id, k FROM (
+  SELECT doc_id, unnest(range(i, i + 35)) AS k FROM places WHERE h IN (SELECT h FROM repeated))),
+each_word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (
+  SELECT e.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY e.k) AS text
+  FROM each_word e LEFT JOIN covered c ON c.doc_id = e.doc_id AND c.k = e.k WHERE c.k IS NULL GROUP BY e.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, len(d.w) - coalesce(kept.n, 0) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+)
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.count_repeats(load(spark, sf_dir, "documents"))
