@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, load
-from riskframe.llm import decontaminate, secrets, sharding, substring_dedup
+from riskframe.llm import decontaminate, pii, secrets, sharding, substring_dedup
 
 Q = Catalog()
 
@@ -111,3 +111,16 @@ FROM d LEFT JOIN kept USING (doc_id)
 )
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.count_repeats(load(spark, sf_dir, "documents"))
+
+
+@Q.add("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(load(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda k: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == k))).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+        F.sha2(pii.span_list(base), 256).alias("base_sha256"),
+        pii.span_list("spans").alias("spans"),
+    )
