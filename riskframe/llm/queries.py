@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, load
-from riskframe.llm import decontaminate, pii, secrets, sharding, substring_dedup
+from riskframe.llm import decontaminate, jaccard_join, pii, secrets, sharding, substring_dedup
 
 Q = Catalog()
 
@@ -124,3 +124,32 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.span_list(base), 256).alias("base_sha256"),
         pii.span_list("spans").alias("spans"),
     )
+
+
+@Q.add(
+    "op4_jaccard_join",
+    f"""
+WITH RECURSIVE d AS (SELECT doc_id, {WORDS_SQL.format(text="coalesce(text, '')")} AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[i:i + least(5, len(w)) - 1], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 9 * common >= 4 * (p.n + q.n)
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_of AS (SELECT a, least(a, min(b)) AS class_id FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT doc_id, coalesce(c.n, 0) AS n_links, coalesce(l.class_id, doc_id) AS class_id,
+       coalesce(l.class_id, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN counts c ON c.a = doc_id LEFT JOIN least_of l ON l.a = doc_id
+""",
+)
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(load(spark, sf_dir, "documents")).select("doc_id", "n_links", "class_id", "kept")

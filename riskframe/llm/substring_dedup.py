@@ -28,17 +28,15 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskframe.llm import words as W
 from riskframe.llm.common import stored, text_of
+from riskframe.llm.packing import joined_buffer, open_groups, packed
 
 WINDOW = 35
-PACK_BYTES = 1 << 20
 TOP32 = np.uint64(32)
 
 
@@ -50,25 +48,6 @@ def levels_of(size: int) -> list[int]:
     return out
 
 
-def _pack(texts: pa.Array) -> pa.Array:
-    packer = zstandard.ZstdCompressor()
-    return pa.array([packer.compress((t or "").encode()) for t in texts.to_pylist()], pa.binary())
-
-
-def _groups(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Row ranges of a batch with their unpacked texts, about ``PACK_BYTES`` at a time."""
-    opener = zstandard.ZstdDecompressor()
-    low, held, total = 0, [], 0
-    for i, packed in enumerate(batch.column(column)):
-        held.append(opener.decompress(packed.as_py()))
-        total += len(held[-1])
-        if total >= PACK_BYTES:
-            yield low, i + 1, held
-            low, held, total = i + 1, [], 0
-    if held:
-        yield low, batch.num_rows, held
-
-
 class Starts:
     """Full-window starts of several texts that are still candidates after some levels."""
 
@@ -117,11 +96,6 @@ class Starts:
         return np.cumsum(edge[:-1]) > 0
 
 
-def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    return np.frombuffer(b"".join(texts), np.uint8), offsets
-
-
 def _singles(batch: pa.RecordBatch, column: str, low: int, high: int) -> list[np.ndarray | None]:
     return [None if v.as_py() is None else np.array(v.as_py(), np.int64) for v in batch.column(column)[low:high]]
 
@@ -149,8 +123,8 @@ def _first_narrowing(size: int, length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, texts in _groups(batch, "z"):
-                starts = Starts(*_joined(texts), size)
+            for low, high, texts in open_groups(batch, "z"):
+                starts = Starts(*joined_buffer(texts), size)
                 singles = [None if s is None else s & 0xFFFFFFFF for s in _singles(batch, "single", low, high)]
                 starts.narrow(length, singles)
                 alive = _alive_texts(starts)
@@ -177,7 +151,7 @@ def _alive_texts(starts: Starts) -> list[bool]:
 
 
 def _narrowed(batch: pa.RecordBatch, low: int, high: int, texts: list[bytes], size: int, done: list[int]) -> Starts:
-    starts = Starts(*_joined(texts), size)
+    starts = Starts(*joined_buffer(texts), size)
     for i, length in enumerate(done):
         starts.narrow(length, _singles(batch, f"s{i}", low, high))
     return starts
@@ -188,7 +162,7 @@ def _places(size: int, done: list[int], length: int):
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             weights = np.minimum(batch.column("m").to_numpy(zero_copy_only=False), 2)
-            for low, high, texts in _groups(batch, "z"):
+            for low, high, texts in open_groups(batch, "z"):
                 number, second, text, place = _narrowed(batch, low, high, texts, size, done).emitted(length)
                 row = text + low
                 yield pa.RecordBatch.from_arrays(
@@ -203,7 +177,7 @@ def _places(size: int, done: list[int], length: int):
 def _removal(size: int, levels: list[int], with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, texts in _groups(batch, "z"):
+            for low, high, texts in open_groups(batch, "z"):
                 starts = _narrowed(batch, low, high, texts, size, levels)
                 gone = starts.covered()
                 removed, sums, kept_texts = [], [], []
@@ -242,7 +216,7 @@ def repeated_text(docs: DataFrame, size: int = WINDOW, text: str = "text", with_
     counts = first.groupBy("h").agg(F.count("*").alias("n"), F.min("k1").alias("k1"), F.min("loc").alias("loc"))
     single = counts.filter(F.col("n") == 1).withColumn("k2", F.shiftright("loc", 32).cast("int"))
     single = single.groupBy("k1", "k2").agg(F.collect_list("loc").alias("single"))
-    packed = base.select("k1", "k2", F.arrow_udf(_pack, T.BinaryType())("text").alias("z"))
+    packed = base.select("k1", "k2", packed("text").alias("z"))
     texts = packed.groupBy("k1", "k2").agg(F.first("z").alias("z"), F.count("*").alias("m"))
     settled = texts.join(single, ["k1", "k2"], "left").mapInArrow(
         _first_narrowing(size, levels[0]),
