@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, load
-from riskframe.llm import decontaminate, jaccard_join, pii, secrets, sharding, substring_dedup
+from riskframe.llm import decontaminate, embedding_join, jaccard_join, pii, secrets, sharding, substring_dedup
 
 Q = Catalog()
 
@@ -153,3 +153,27 @@ FROM documents LEFT JOIN counts c ON c.a = doc_id LEFT JOIN least_of l ON l.a =
 )
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(load(spark, sf_dir, "documents")).select("doc_id", "n_links", "class_id", "kept")
+
+
+@Q.add(
+    "op8_embedding_dedup",
+    """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE list_cosine_similarity(x.e, y.e) >= 0.93
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_of AS (SELECT a, least(a, min(b)) AS c FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least_of ON least_of.a = vec_id
+""",
+)
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.near_duplicates(load(spark, sf_dir, "embeddings"))

@@ -216,8 +216,7 @@ def repeated_text(docs: DataFrame, size: int = WINDOW, text: str = "text", with_
     counts = first.groupBy("h").agg(F.count("*").alias("n"), F.min("k1").alias("k1"), F.min("loc").alias("loc"))
     single = counts.filter(F.col("n") == 1).withColumn("k2", F.shiftright("loc", 32).cast("int"))
     single = single.groupBy("k1", "k2").agg(F.collect_list("loc").alias("single"))
-    packed = base.select("k1", "k2", packed("text").alias("z"))
-    texts = packed.groupBy("k1", "k2").agg(F.first("z").alias("z"), F.count("*").alias("m"))
+    texts = base.select("k1", "k2", packed("text").alias("z")).groupBy("k1", "k2").agg(F.first("z").alias("z"), F.count("*").alias("m"))
     settled = texts.join(single, ["k1", "k2"], "left").mapInArrow(
         _first_narrowing(size, levels[0]),
         "k1 long, k2 int, m long, n_words long, kept_sha256 string, z binary, s0 array<long>",
