@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, load
-from riskframe.llm import decontaminate, embedding_join, jaccard_join, pii, secrets, sharding, substring_dedup
+from riskframe.llm import (
+    decontaminate,
+    embedding_join,
+    jaccard_join,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    substring_dedup,
+)
 
 Q = Catalog()
 
@@ -177,3 +186,15 @@ FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN least_of ON leas
 )
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+@Q.add("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    net = quality.fit_quality(docs, load(spark, sf_dir, "labels"))
+    return quality.score_quality(docs.select("doc_id", "text"), net).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
+    )
