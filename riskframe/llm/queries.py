@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, load
 from riskframe.llm import (
+    bpe,
     decontaminate,
     embedding_join,
     jaccard_join,
@@ -198,3 +200,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= quality.ACCEPT).cast("int").alias("predicted"),
     )
+
+
+@Q.add("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode(load(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
