@@ -11,6 +11,7 @@ from riskframe.llm import (
     bpe,
     decontaminate,
     embedding_join,
+    huffman,
     jaccard_join,
     pii,
     quality,
@@ -18,6 +19,7 @@ from riskframe.llm import (
     sharding,
     substring_dedup,
 )
+from riskframe.session import scratch_path
 
 Q = Catalog()
 
@@ -206,3 +208,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.encode(load(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
+
+
+@Q.add("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    huffman.write_tokens(load(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return huffman.read_tokens(spark, path, with_ids=False)
