@@ -240,7 +240,7 @@ def _scorer(model):
 def score_quality(docs: DataFrame, net: ByteNet, text: str = "text", output: str = "score") -> DataFrame:
     """Adds the probability of good quality, from the text alone."""
     model = docs.sparkSession.sparkContext.broadcast(net)
-    scorer = F.arrow_udf(_scorer(model), "double", F.ArrowUDFType.SCALAR_ITER)
+    scorer = F.arrow_udf(_scorer(model), "double")
     return docs.withColumn(output, scorer(clean_text(text)))
 
 
