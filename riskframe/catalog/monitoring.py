@@ -54,8 +54,7 @@ LINE_KS_SQL = f"WITH cells AS ({_VALUES}), {distance_sql('col')}"
 
 def line_flags(spark, d):
     early, late = line_parts(spark, d)
-    report = D.drift_report(early, late, method="asymptotic")
-    return report
+    return D.drift_report(early, late)
 
 
 @Q.add(
@@ -84,6 +83,7 @@ def drift_summary(spark, d):
     report = line_flags(spark, d)
     return report.summary.withColumns(
         {
+            "share_drifted_columns": F.round("share_drifted_columns", 4),
             "drifted_columns": F.concat_ws(",", "drifted_columns"),
             "dropped_constant": F.lit(",".join(report.dropped_constant)),
         }
@@ -113,82 +113,126 @@ def ks_statistic_events(spark, d):
     return stats.withColumn("ks_statistic", r6("ks_statistic"))
 
 
-@Q.add("drift_report_auto")
-def drift_report_auto(spark, d):
-    """The report as monitoring runs it: choice of columns, sampling, exact p-values for small samples."""
+@Q.add(
+    "drift_report_exact",
+    """
+WITH f AS (SELECT event_id, value, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k, ts < TIMESTAMP '2024-01-16' AS old FROM events),
+sampled AS (SELECT *, row_number() OVER (PARTITION BY old ORDER BY md5(concat('42:', event_id))) AS place FROM f),
+cells AS (SELECT col, v, old FROM (SELECT 'value' AS col, value AS v, old FROM sampled WHERE place <= 400
+          UNION ALL SELECT 'k', k, old FROM sampled WHERE place <= 400)),
+counts AS (SELECT col, v, count_if(old) AS r, count_if(NOT old) AS c FROM cells GROUP BY col, v),
+placed AS (SELECT col, abs(sum(r) OVER (PARTITION BY col ORDER BY v) - sum(c) OVER (PARTITION BY col ORDER BY v)) AS h FROM counts),
+top AS (SELECT col, CAST(max(h) AS BIGINT) AS h FROM placed GROUP BY col),
+terms AS (SELECT col, h, j, CASE WHEN j % 2 = 1 THEN 2e0 ELSE -2e0 END
+            * exp(2 * lgamma(401) - lgamma(401 - j * h) - lgamma(401 + j * h)) AS term
+          FROM (SELECT col, h, unnest(range(1, 401 // h + 1)) AS j FROM top WHERE h > 0) WHERE j * h <= 400),
+tested AS (SELECT col, max(h) AS h, least(sum(term), 1e0) AS p FROM terms GROUP BY col)
+SELECT col AS "column", round(h / 400e0, 6) AS ks_statistic, CAST(400 AS BIGINT) AS n_ref, CAST(400 AS BIGINT) AS n_cur,
+       round(p, 6) AS p_value, p < 0.05 AS drift_detected
+FROM tested
+""",
+)
+def drift_report_exact(spark, d):
+    """The report as monitoring runs it on samples of equal size, with exact p-values."""
     events = event_features(load(spark, d, "events"))
     first, second = events.filter(F.col("ts") < "2024-01-16"), events.filter(F.col("ts") >= "2024-01-16")
     report = D.drift_report(
-        first, second, features=["value", "k", "is_click"], target="y", entity="event_id", reference_rows=50_000, sample_key="event_id"
-    )
-    return report.columns
+        first, second, features=["value", "k"], target="y", entity="event_id",
+        reference_rows=400, current_rows=400, sample_key="event_id", method="exact",
+    )
+    return report.columns.withColumns({"ks_statistic": r6("ks_statistic"), "p_value": r6("p_value")})
 
 
 WEEK_SQL = """
 week AS (SELECT *, least((CAST(date_part('day', ts) AS BIGINT) - 1) // 7, 3) AS batch FROM events),
-moved AS (SELECT batch, value * (1 + batch * 0.05e0) AS value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM week)
+moved AS (SELECT batch, value * (1 + batch * 0.05e0) AS value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k,
+                 CAST(epoch_us(ts) % 86400000000 AS DOUBLE) AS time_of_day FROM week)
 """
 
 
-def weekly_flags(spark, d):
+def weekly_flags(spark, d, columns=("value", "k")):
     """Each later week of events against the first; values grow by five percent a week."""
     events = load(spark, d, "events")
     batch = F.least(F.floor((F.dayofmonth("ts") - 1) / 7), F.lit(3)).cast("long")
     weeks = events.select(
-        batch.alias("batch"), "value", F.get_json_object("props", "$.k").cast("double").alias("k")
+        batch.alias("batch"),
+        "value",
+        F.get_json_object("props", "$.k").cast("double").alias("k"),
+        (F.unix_micros(F.col("ts").cast("timestamp")) % F.lit(86400000000)).cast("double").alias("time_of_day"),
     ).withColumn("value", F.col("value") * (F.lit(1) + F.col("batch") * F.lit(0.05)))
     first = weeks.filter("batch = 0").drop("batch")
     parts = [
-        D.drift_flags(D.ks_pvalue(D.ks_statistic(first, weeks.filter(F.col("batch") == b), ["value", "k"]), "asymptotic"))
+        D.drift_flags(D.ks_pvalue(D.ks_statistic(first, weeks.filter(F.col("batch") == b), list(columns))))
         .withColumn("batch", F.lit(b).cast("long"))
         for b in (1, 2, 3)
     ]
     return concat(parts)
 
 
-_WEEKLY_SQL = f"""
+def weekly_sql(columns=("value", "k")):
+    cells = " UNION ALL ".join(
+        f"SELECT b, '{c}' AS col, {c} AS v, 1 AS ref FROM later, moved WHERE batch = 0 "
+        f"UNION ALL SELECT batch, '{c}', {c}, 0 FROM moved WHERE batch > 0"
+        for c in columns
+    )
+    return f"""
 WITH {WEEK_SQL},
 later AS (SELECT unnest([1, 2, 3]) AS b),
-cells AS (
-  SELECT b, 'value' AS col, value AS v, 1 AS ref FROM later, moved WHERE batch = 0
-  UNION ALL SELECT b, 'k', k, 1 FROM later, moved WHERE batch = 0
-  UNION ALL SELECT batch, 'value', value, 0 FROM moved WHERE batch > 0
-  UNION ALL SELECT batch, 'k', k, 0 FROM moved WHERE batch > 0
-), {distance_sql('b, col')},
+cells AS ({cells}), {distance_sql('b, col')},
 summary AS (
   SELECT CAST(b AS BIGINT) AS batch, count(*) AS n_tested, CAST(count_if(p < 0.05) AS BIGINT) AS n_drifted,
-         round(count_if(p < 0.05) / count(*), 4) AS share_drifted_columns, count_if(p < 0.05) / count(*) >= 0.1 AS dataset_drift
+         count_if(p < 0.05) / count(*) AS share_drifted_columns, count_if(p < 0.05) / count(*) >= 0.1 AS dataset_drift
   FROM tested GROUP BY b
 )
 """
 
 
-@Q.add(
-    "retrain_decision",
-    f"""{_WEEKLY_SQL}
-SELECT *, CASE WHEN dataset_drift AND share_drifted_columns >= 0.3 THEN 'dataset_drift' ELSE 'threshold_not_met' END AS reason,
-       dataset_drift AND share_drifted_columns >= 0.3 AS triggered,
-       CASE WHEN dataset_drift AND share_drifted_columns >= 0.3 THEN 'retrain' END AS command
+_WEEKLY_SQL = weekly_sql()
+_SUMMARY_COLUMNS = "batch, n_tested, n_drifted, round(share_drifted_columns, 4) AS share_drifted_columns, dataset_drift"
+
+
+def _decision_sql(weekly: str, threshold: str) -> str:
+    hit = f"dataset_drift AND share_drifted_columns >= {threshold}"
+    return f"""{weekly}
+SELECT {_SUMMARY_COLUMNS}, CASE WHEN {hit} THEN 'dataset_drift' ELSE 'threshold_not_met' END AS reason,
+       {hit} AS triggered, CASE WHEN {hit} THEN 'retrain' END AS command
 FROM summary
-""",
-)
+"""
+
+
+def _weekly_decision(spark, d, columns=("value", "k"), **options):
+    summary = D.drift_summary(weekly_flags(spark, d, columns), by=["batch"]).drop("drifted_columns")
+    decided = D.retrain_decision(summary, command="retrain", **options)
+    return decided.withColumn("share_drifted_columns", F.round("share_drifted_columns", 4))
+
+
+@Q.add("retrain_decision", _decision_sql(_WEEKLY_SQL, "0.3e0"))
 def retrain_decision(spark, d):
-    summary = D.drift_summary(weekly_flags(spark, d), by=["batch"]).drop("drifted_columns")
-    return D.retrain_decision(summary, auto_retrain=True, command="retrain")
+    return _weekly_decision(spark, d, auto_retrain=True)
+
+
+@Q.add("retrain_thirds", _decision_sql(weekly_sql(("value", "k", "time_of_day")), "1e0 / 3"))
+def retrain_thirds(spark, d):
+    """One drifted column of three meets a threshold of one third, which its rounded share would miss."""
+    return _weekly_decision(spark, d, ("value", "k", "time_of_day"), auto_retrain=True, threshold=1 / 3)
 
 
 @Q.add(
     "retrain_forced",
-    f"{_WEEKLY_SQL} SELECT *, 'manual_override' AS reason, true AS triggered, 'retrain' AS command FROM summary",
+    f"{_WEEKLY_SQL} SELECT {_SUMMARY_COLUMNS}, 'manual_override' AS reason, true AS triggered, 'retrain' AS command FROM summary",
 )
 def retrain_forced(spark, d):
-    summary = D.drift_summary(weekly_flags(spark, d), by=["batch"]).drop("drifted_columns")
-    return D.retrain_decision(summary, auto_retrain=False, force=True, command="retrain")
+    return _weekly_decision(spark, d, auto_retrain=False, force=True)
 
 
 @Q.add(
     "constant_columns",
-    "SELECT 'constant' AS \"column\" FROM (SELECT count(*) FROM lineitem)",
+    f"""
+WITH early AS (SELECT *, 1 AS constant FROM lineitem WHERE l_shipdate < TIMESTAMP '{SPLIT_DAY}')
+SELECT "column" FROM ({" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) + max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS kinds FROM early"
+        for c in (*LINE_COLUMNS, "constant"))}) WHERE coalesce(kinds, 0) <= 1
+""",
 )
 def constant_columns(spark, d):
     early, _ = line_parts(spark, d)

@@ -8,8 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: above this sample size the limiting distribution is used.
-EXACT_UP_TO = 10_000
 SERIES_TERMS = 100
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.expr import col, is_missing
-from riskframe.functions.kolmogorov import EXACT_UP_TO, asymptotic_p, exact_p
+from riskframe.functions.kolmogorov import asymptotic_p, exact_p
 from riskframe.operators.frame import floating_columns, numeric_values, project
 from riskframe.operators.ordering import add_slices, as_number, running_totals, slice_points
 from riskframe.operators.sampling import Key, sample_exact
@@ -72,8 +72,8 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str
     """Largest distance between the two distribution functions, per column.
 
     Both sides are unpivoted and counted per distinct value (combined on the
-    map side), then accumulated slice by slice. A column without a number on
-    either side does not appear.
+    map side), then accumulated slice by slice. A cell carries its column's
+    number, not its name. A column without a number on either side does not appear.
     """
     names = [f"v{i}" for i in range(len(columns))]
     sides = [
@@ -84,38 +84,36 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str
     sliced = add_slices(both, slice_points(both, names))
     cells = F.array(
         *[
-            F.struct(F.lit(c).alias("column"), F.col(f"__slice_{i}").alias("slice"), F.col(n).alias("value"))
-            for i, (c, n) in enumerate(zip(columns, names))
+            F.struct(F.lit(i).alias("no"), F.col(f"__slice_{i}").alias("slice"), F.col(n).alias("value"))
+            for i, n in enumerate(names)
         ]
     )
     counts = (
         sliced.select("__ref", F.explode(cells).alias("x"))
         .select("__ref", "x.*")
         .filter("value is not null")
-        .groupBy("column", "slice", "value")
+        .groupBy("no", "slice", "value")
         .agg(F.sum("__ref").alias("ref"), F.sum(1 - F.col("__ref")).alias("cur"))
     )
-    placed = running_totals(counts, "value", "slice", ["ref", "cur"], ["column"])
+    placed = running_totals(counts, "value", "slice", ["ref", "cur"], ["no"])
     gap = F.abs(F.col("ref__upto") / F.col("ref__all") - F.col("cur__upto") / F.col("cur__all"))
+    label = F.get(F.array(*[F.lit(c) for c in columns]), F.col("no"))
     return (
         placed.filter("ref__all > 0 and cur__all > 0")
-        .groupBy("column")
+        .groupBy("no")
         .agg(F.max(gap).alias("ks_statistic"), F.max("ref__all").alias("n_ref"), F.max("cur__all").alias("n_cur"))
+        .select(label.alias("column"), "ks_statistic", "n_ref", "n_cur")
     )
 
 
-def ks_pvalue(stats: DataFrame, method: str = "auto") -> DataFrame:
-    """Adds the two-sided p-value: exact up to 10 000 values a side, the limiting form above."""
+def ks_pvalue(stats: DataFrame, method: str = "asymptotic") -> DataFrame:
+    """Adds the two-sided p-value: the limiting form, or the exact one on request (work n x m per column)."""
     args = [F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")]
     if method == "asymptotic":
         return stats.withColumn("p_value", asymptotic_p(*args))
     if method == "exact":
         return stats.withColumn("p_value", exact_p(*args))
-    if method != "auto":
-        raise ValueError(f"unknown p-value method {method!r}")
-    small = F.greatest("n_ref", "n_cur") <= EXACT_UP_TO
-    exact = stats.filter(small).withColumn("p_value", exact_p(*args))
-    return exact.unionByName(stats.filter(~small).withColumn("p_value", asymptotic_p(*args)))
+    raise ValueError(f"unknown p-value method {method!r}")
 
 
 def drift_flags(stats: DataFrame, threshold: float = P_VALUE_THRESHOLD) -> DataFrame:
@@ -123,7 +121,7 @@ def drift_flags(stats: DataFrame, threshold: float = P_VALUE_THRESHOLD) -> DataF
 
 
 def drift_summary(flags: DataFrame, dataset_share: float = DATASET_DRIFT_SHARE, by: Sequence[str] = ()) -> DataFrame:
-    """Share of drifted columns and the verdict for the whole table; nothing tested gives share 0."""
+    """Share of drifted columns, unrounded, and the verdict for the whole table; nothing tested gives share 0."""
     drifted = F.coalesce(F.count_if("drift_detected"), F.lit(0))
     counts = flags.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_tested"),
@@ -135,7 +133,7 @@ def drift_summary(flags: DataFrame, dataset_share: float = DATASET_DRIFT_SHARE,
         *by,
         "n_tested",
         "n_drifted",
-        F.round(share, 4).alias("share_drifted_columns"),
+        share.alias("share_drifted_columns"),
         ((share >= dataset_share) & (F.col("n_drifted") > 0)).alias("dataset_drift"),
         "drifted_columns",
     )
@@ -161,7 +159,7 @@ def drift_report(
     current_rows: int | None = None,
     sample_key: Key | None = None,
     threshold: float = P_VALUE_THRESHOLD,
-    method: str = "auto",
+    method: str = "asymptotic",
     enabled: bool = True,
 ) -> DriftReport:
     """Column choice, constant columns, distances, p-values and summary in one call.
@@ -197,7 +195,7 @@ def retrain_decision(
     force: bool = False,
     command: str | None = None,
 ) -> DataFrame:
-    """Per summary row: retrain or not, and why. The command is named, never run."""
+    """Per summary row: retrain or not, and why, judged on the unrounded share. The command is named, never run."""
     drifted = F.col("dataset_drift") & (F.col("share_drifted_columns") >= threshold) & F.lit(auto_retrain)
     reason = (
         F.when(drifted, "dataset_drift").when(F.lit(force), "manual_override").otherwise("threshold_not_met")
@@ -211,10 +209,13 @@ def retrain_decision(
 
 
 def drift_metrics_row(summary: DataFrame, reference: str, current: str, generated_at: Column | None = None) -> DataFrame:
-    """The summary as a history row."""
+    """The summary as a history row, the share rounded to four digits."""
     return summary.select(
         (generated_at if generated_at is not None else F.current_timestamp()).alias("generated_at"),
         F.lit(reference).alias("reference_path"),
         F.lit(current).alias("current_path"),
-        "*",
+        *[
+            F.round(c, 4).alias(c) if c == "share_drifted_columns" else col(c)
+            for c in summary.columns
+        ],
     )
