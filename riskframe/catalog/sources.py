@@ -1,9 +1,12 @@
 """Sources, sinks, profiles and freshness."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, load, r6
 from riskframe.catalog.columns import LABELLED_SQL, labelled_documents
+from riskframe.functions import expr as X
 from riskframe.operators import profile as P
 from riskframe.operators.sampling import sample_exact
 from riskframe.session import scratch_path
@@ -48,6 +51,29 @@ def predictions_sink(spark, d):
     return S.read_csv_table(spark, path, scored.schema)
 
 
+@Q.add(
+    "nan_rollup",
+    """
+WITH e AS (SELECT event_type, CASE WHEN value > 20 THEN NULL ELSE value END AS v FROM events)
+SELECT event_type, count(*) AS n_rows, count(v) AS n_values, round(sum(v), 4) AS total, round(max(v), 6) AS largest,
+       sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END) AS n_missing
+FROM e GROUP BY event_type
+""",
+)
+def nan_rollup(spark, d):
+    """A Parquet table that stores missing numbers as NaN, read and rolled up as if they were NULL."""
+    path = scratch_path(spark, "nan")
+    events = load(spark, d, "events").select("event_type", F.when(F.col("value") > 20, float("nan")).otherwise(F.col("value")).alias("v"))
+    events.write.parquet(path)
+    return S.read_parquet_table(spark, path).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("v").alias("n_values"),
+        F.round(F.sum("v"), 4).alias("total"),
+        F.round(F.max("v"), 6).alias("largest"),
+        F.sum(X.missing_indicator("v", True)).alias("n_missing"),
+    )
+
+
 @Q.add(
     "report_history",
     """
@@ -122,15 +148,22 @@ def top_missing(spark, d):
     f"""
 WITH {LABELLED_SQL}
 SELECT 'documents' AS "table", (SELECT count(*) FROM documents) AS n_rows, 5 AS n_columns,
-       'doc_id,text,lang,source,n_chars' AS column_names, '' AS most_missing, NULL AS source_tables
-UNION ALL SELECT 'labels', (SELECT count(*) FROM labels), 3, 'doc_id,quality,toxic', '', NULL
+       'doc_id,text,lang,source,n_chars' AS column_names, '' AS most_missing, '' AS missing_fractions,
+       NULL AS source_tables, CAST(1 AS BIGINT) AS n_files, true AS has_bytes, true AS dated, 'documents.parquet' AS file
+UNION ALL SELECT 'labels', (SELECT count(*) FROM labels), 3, 'doc_id,quality,toxic', '', '', NULL, 1, true, true, 'labels.parquet'
 UNION ALL SELECT 'feature_store', (SELECT count(*) FROM ld), 6, 'doc_id,lang,source,n_chars,quality,toxic',
-       'quality,toxic', 'documents,labels'
+       'quality,toxic', (SELECT concat(f, ',', f) FROM (SELECT CAST(CAST(avg(CASE WHEN quality IS NULL THEN 1 ELSE 0 END)
+       AS DECIMAL(10, 4)) AS VARCHAR) AS f FROM ld)), 'documents,labels', NULL, NULL, NULL, NULL
 """,
 )
 def lineage(spark, d):
     raw = {"documents": load(spark, d, "documents"), "labels": load(spark, d, "labels")}
-    return P.lineage(raw, labelled_documents(spark, d))
+    found = P.lineage(raw, labelled_documents(spark, d))
+    name = F.regexp_extract("source_path", "([^/]+)$", 1)  # the tables here are single files or folders of files
+    file = F.when(name.endswith(".parquet"), name).when(F.col("source_path").isNotNull(), F.concat("table", F.lit(".parquet")))
+    return found.withColumns(
+        {"has_bytes": F.col("file_size_bytes") > 0, "dated": F.col("file_modified_at") < F.current_timestamp(), "file": file}
+    ).drop("source_path", "file_size_bytes", "file_modified_at")
 
 
 def _sources(d: str) -> list[M.Source]:
@@ -138,35 +171,65 @@ def _sources(d: str) -> list[M.Source]:
 
 
 _MANIFEST_SQL = " UNION ALL ".join(
-    [
-        f"SELECT '{t}' AS name, 'validated' AS status, 1 AS n_files, true AS has_bytes FROM (SELECT count(*) FROM {t})"
-        for t in TABLES
-    ]
-    + ["SELECT 'absent_table', 'missing', NULL, NULL"]
+    [f"SELECT '{t}' AS name, 'validated' AS status, true AS has_bytes FROM (SELECT count(*) AS n FROM {t}) WHERE n >= 0" for t in TABLES]
+    + ["SELECT 'absent_table', 'missing', NULL", "SELECT 'fetched_part', 'fetched', true", "SELECT 'cached_part', 'cached', true"]
+    + ["SELECT 'promised_part', 'validated', true", "SELECT 'spoilt_part', 'failed', NULL"]
 )
 
 
 @Q.add(
     "ingest_manifest",
-    f"SELECT name, status, CAST(n_files AS BIGINT) AS n_files, has_bytes FROM ({_MANIFEST_SQL})",
+    f"""
+SELECT name, status, has_bytes, CASE WHEN name IN ('fetched_part', 'cached_part') THEN (SELECT count(*) FROM part) END AS n_rows
+FROM ({_MANIFEST_SQL})
+""",
 )
 def ingest_manifest(spark, d):
-    found = M.land_sources(spark, _sources(d), fail_on_missing=False)
-    return found.select("name", "status", "n_files", (F.col("size_bytes") > 0).alias("has_bytes"))
+    """All tables in place, one absent, one fetched and then cached, and a table of several files with a right and a wrong checksum."""
+    part = load(spark, d, "part")
+    raw, landed, many = (scratch_path(spark, f"part-{n}") for n in ("raw", "landed", "many"))
+    part.write.option("header", True).csv(raw)
+    part.repartition(3, "p_partkey").write.parquet(many)
+    copy = M.Source("fetched_part", landed, "copy", raw)
+    right = M.table_checksum(spark, many)
+    more = [
+        copy,
+        replace(copy, name="cached_part"),
+        M.Source("promised_part", many, checksum=right.upper()),
+        M.Source("spoilt_part", many, checksum=right[::-1]),
+    ]
+    found = M.land_sources(spark, [*_sources(d), *more], fail_on_missing=False)
+    rows = spark.read.parquet(landed).agg(F.count(F.lit(1)).alias("n"))
+    n_rows = F.when(F.col("name").isin("fetched_part", "cached_part"), F.col("n"))
+    has_bytes = F.when(F.col("status") != "failed", F.col("size_bytes") > 0)
+    return found.crossJoin(F.broadcast(rows)).select("name", "status", has_bytes.alias("has_bytes"), n_rows.alias("n_rows"))
 
 
-@Q.add("file_checksums")
+@Q.add(
+    "file_checksums",
+    """
+SELECT CAST(c_custkey // 500 AS BIGINT) AS part, md5(string_agg(c_name, chr(10) ORDER BY c_custkey) || chr(10)) AS md5,
+       CAST(sum(length(c_name) + 1) AS BIGINT) AS length, true AS matches
+FROM customer GROUP BY c_custkey // 500
+""",
+)
 def file_checksums(spark, d):
-    """MD5 of every source file, as one distributed job."""
-    found = M.file_checksums(spark, f"{d}/*.parquet")
-    return found.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length", "md5")
+    """MD5 of text files of five hundred customer names each, checked against what was noted, and against other case."""
+    path = scratch_path(spark, "names")
+    names = load(spark, d, "customer").select(F.floor(F.col("c_custkey") / 500).alias("part"), "c_custkey", "c_name")
+    dealt = names.repartition("part").sortWithinPartitions("part", "c_custkey").drop("c_custkey")
+    dealt.write.partitionBy("part").text(path)
+    noted = {r["path"]: r["md5"].upper() for r in M.file_checksums(spark, path).collect()}
+    part = F.regexp_extract("path", "part=([0-9]+)", 1).cast("long")
+    return M.verify_checksums(spark, noted).select(part.alias("part"), "md5", "length", "matches")
 
 
 @Q.add(
     "freshness_status",
     """
 WITH last_event AS (SELECT max(ts) AS t FROM events)
-SELECT CAST(14 AS BIGINT) AS n_validated, CAST(0 AS BIGINT) AS n_cached, CAST(0 AS BIGINT) AS n_fetched,
+SELECT (SELECT count(*) FROM (SHOW TABLES) WHERE name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem',
+          'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')) AS n_validated, CAST(0 AS BIGINT) AS n_cached, CAST(0 AS BIGINT) AS n_fetched,
        CAST(1 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_failed, CAST(0 AS BIGINT) AS n_unknown,
        'absent_table' AS failing_sources,
        round((epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(t)) / 3.6e9, 2) AS hours_since_ingestion,

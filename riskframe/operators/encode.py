@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.expr import col, is_missing
 from riskframe.operators.frame import floating_columns, numeric_columns, string_columns
 
+#: Default of the ``max_levels`` arguments: each level of a column becomes an output column.
 MAX_LEVELS = 1000
-MAX_VOCABULARY = 100_000
 MEDIAN_MARGIN = 1e-4
+BUCKETS = 256
 
 
 # --- categories -----------------------------------------------------------------
@@ -26,18 +29,23 @@ def fit_vocabulary(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return df.select(F.explode(pairs).alias("p")).select("p.*").filter("value is not null").distinct()
 
 
-def read_vocabulary(vocabulary: DataFrame, max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
-    """The levels per column in sorted order, read with a row bound in a single job.
+def read_vocabulary(
+    vocabulary: DataFrame, max_levels: int = MAX_LEVELS, columns: int | None = None
+) -> dict[str, list[str]]:
+    """The levels per column in sorted order, read with a row bound.
 
-    Each level becomes an output column, so too many levels are an error, and
-    no more than the bound ever reaches the driver.
+    Each level becomes an output column, so more than ``max_levels`` are an error, and no more than
+    ``max_levels`` rows per column ever reach the driver. Without the number of columns it is counted.
     """
-    rows = vocabulary.limit(MAX_VOCABULARY + 1).collect()
+    if columns is None:
+        columns = vocabulary.select("column").distinct().count()
+    bound = max_levels * columns
+    rows = vocabulary.limit(bound + 1).collect()
     levels: dict[str, list[str]] = {}
     for row in rows:
         levels.setdefault(row["column"], []).append(row["value"])
     wide = sorted(c for c, values in levels.items() if len(values) > max_levels)
-    if wide or len(rows) > MAX_VOCABULARY:
+    if wide or len(rows) > bound:
         raise ValueError(f"more than {max_levels} levels in: {', '.join(wide) or 'the text columns together'}")
     return {c: sorted(v) for c, v in levels.items()}
 
@@ -62,38 +70,60 @@ def one_hot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]]) -> DataFrame
 # --- medians --------------------------------------------------------------------
 
 
-def _median_pass(df: DataFrame, columns: Sequence[str], brackets: Mapping[str, tuple[float, float]]) -> dict:
-    """Exact medians where they fall inside the given brackets; other columns are left out."""
-    rows = [(i, *map(float, brackets[c])) for i, c in enumerate(columns)]
-    sides = df.sparkSession.createDataFrame(rows, "no int, low double, high double")  # one row per column
-    cells = F.array(*[F.struct(F.lit(i).alias("no"), col(c).alias("v")) for i, c in enumerate(columns)])
-    inside = (F.col("v") >= F.col("low")) & (F.col("v") <= F.col("high"))
-    counts = (
-        df.select(F.explode(cells).alias("x"))
-        .select("x.*")
-        .filter("v is not null and not isnan(v)")
-        .join(F.broadcast(sides), "no")
-        .groupBy(
-            "no",
-            F.when(F.col("v") < F.col("low"), 0).when(inside, 1).otherwise(2).alias("zone"),
-            F.when(inside, F.col("v")).alias("value"),
+@dataclass
+class _Place:
+    """A place (1-based) among the values of a column that lie in ``low..high``."""
+
+    column: int
+    low: float
+    high: float
+    place: int
+    value: float | None = None
+
+    def bucket(self, v: Column) -> Column:
+        """A number from 0 to BUCKETS - 1 that grows with the value inside the bracket."""
+        if math.isinf(self.low) or math.isinf(self.high):  # the ends get buckets of their own
+            inner = F.floor((F.atan(v) / F.lit(math.pi) + 0.5) * (BUCKETS - 2)) + 1
+            inner = F.least(inner, F.lit(BUCKETS - 2))
+            return F.when(v == self.low, 0).when(v == self.high, BUCKETS - 1).otherwise(inner).cast("int")
+        if self.high > self.low:
+            share = (v - F.lit(self.low)) / F.lit(self.high - self.low)
+        else:
+            share = F.lit(0.0)
+        return F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+
+
+def _narrow(numbers: DataFrame, open_places: Sequence[_Place]) -> None:
+    """One pass: counts the buckets of every bracket and moves each place into the bucket that holds it."""
+    cells = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    F.col(f"v{p.column}").between(p.low, p.high),
+                    F.struct(F.lit(t).alias("t"), p.bucket(F.col(f"v{p.column}")).alias("b"), F.col(f"v{p.column}").alias("v")),
+                )
+                for t, p in enumerate(open_places)
+            ]
         )
-        .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = Window.partitionBy("no").orderBy("zone", "value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(Window.partitionBy("no"))})
-    # the middle one (odd) or two (even) positions, 1-based
-    left, right = F.expr("(rows + 1) div 2"), F.expr("rows div 2 + 1")
-    hit = lambda place: (F.col("upto") - F.col("n") < place) & (place <= F.col("upto"))
-    middle = placed.groupBy("no").agg(
-        F.max(F.when(hit(left), F.col("value"))).alias("lower"),
-        F.max(F.when(hit(right), F.col("value"))).alias("upper"),
+    counted = (
+        numbers.select(F.explode(cells).alias("x"))
+        .groupBy("x.t", "x.b")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("low"), F.max("x.v").alias("high"))
     )
-    return {
-        columns[r["no"]]: r["lower"] + (r["upper"] - r["lower"]) / 2
-        for r in middle.collect()
-        if r["lower"] is not None and r["upper"] is not None
-    }
+    found: dict[int, list] = {}
+    for row in counted.collect():  # at most BUCKETS rows per place
+        found.setdefault(row["t"], []).append(row)
+    for t, p in enumerate(open_places):
+        for row in sorted(found[t], key=lambda r: r["b"]):
+            if p.place <= row["n"]:
+                p.low, p.high = row["low"], row["high"]
+                if p.place == 1 or p.low == p.high:
+                    p.value = p.low
+                elif p.place == row["n"]:
+                    p.value = p.high
+                break
+            p.place -= row["n"]
 
 
 def fit_medians(
@@ -101,25 +131,37 @@ def fit_medians(
 ) -> dict[str, float | None]:
     """Exact medians (midpoint of the middle two) of numeric columns, missing values skipped.
 
-    One pass brackets each median between two near quantiles. The next counts
-    distinct values inside the bracket only, everything outside being one
-    number per side, so no task holds a column. A median that its bracket
-    misses is found again without a bracket. A column without values has None.
+    One pass brackets each median between two near quantiles, the next counts what lies below. Then the values inside the
+    bracket are counted in buckets, and the bucket that holds the place becomes the next bracket, until its least
+    or largest value is the one wanted. Only cells inside a bracket leave their row, as counts, so no
+    task holds a column; a quantile that missed just starts from a wider bracket. A column without values has None.
     """
     columns = list(columns if columns is not None else numeric_columns(df))
     if not columns:
         return {}
-    numbers = df.select(*[col(c).cast("double").alias(c) for c in columns])
+    values = {f"v{i}": col(c).cast("double") for i, c in enumerate(columns)}
+    numbers = df.select(*[F.when(~F.isnan(v), v).alias(n) for n, v in values.items()])
     shares = [0.5 - 2 * margin, 0.5 + 2 * margin]
-    renamed = numbers.toDF(*[f"v{i}" for i in range(len(columns))])
-    quantiles = renamed.approxQuantile(renamed.columns, shares, margin)
-    brackets = {c: tuple(q) for c, q in zip(columns, quantiles) if q}
-    medians = _median_pass(numbers, list(brackets), brackets) if brackets else {}
-    missed = [c for c in brackets if c not in medians]
-    if missed:
-        everything = (-float("inf"), float("inf"))
-        medians |= _median_pass(numbers, missed, {c: everything for c in missed})
-    return {c: medians.get(c) for c in columns}
+    brackets = {i: q for i, q in enumerate(numbers.approxQuantile(numbers.columns, shares, margin)) if q}
+    if not brackets:
+        return dict.fromkeys(columns)
+    sizes = numbers.agg(
+        *[F.count(f"v{i}").alias(f"n{i}") for i in brackets],
+        *[F.count_if(F.col(f"v{i}") < low).alias(f"below{i}") for i, (low, _) in brackets.items()],
+        *[F.count_if(F.col(f"v{i}") <= high).alias(f"upto{i}") for i, (_, high) in brackets.items()],
+    ).first()
+    places: list[_Place] = []
+    for i, (low, high) in brackets.items():
+        n, below = sizes[f"n{i}"], sizes[f"below{i}"]
+        for place in ((n + 1) // 2, n // 2 + 1):
+            inside = below < place <= sizes[f"upto{i}"]
+            places.append(_Place(i, low, high, place - below) if inside else _Place(i, -math.inf, math.inf, place))
+    while open_places := [p for p in places if p.value is None]:
+        _narrow(numbers, open_places)
+    middle: dict[int, list[float]] = {}
+    for p in places:
+        middle.setdefault(p.column, []).append(p.value)
+    return {c: middle[i][0] + (middle[i][1] - middle[i][0]) / 2 if i in middle else None for i, c in enumerate(columns)}
 
 
 def columns_with_gaps(df: DataFrame, columns: Sequence[str]) -> list[str]:

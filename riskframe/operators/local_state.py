@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions.expr import col
 
+#: Default of the ``max_classes`` arguments: how many classes a fitted table may have.
 MAX_CLASSES = 10_000
 
 

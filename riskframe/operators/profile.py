@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,17 +50,22 @@ def top_missing(df: DataFrame, n: int = 10, name: str = "table") -> DataFrame:
 
 
 def file_facts(df: DataFrame, name: str) -> DataFrame:
-    """Files, bytes and last change of the files a DataFrame reads."""
-    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    """Files, folder, bytes and last change of the files a DataFrame reads; NULLs where it reads none directly."""
+    try:
+        files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    except AnalysisException:  # a joined or computed table has no files of its own
+        empty = "file_path string, file_size bigint, file_modification_time timestamp"
+        files = df.sparkSession.createDataFrame([], empty)
     return files.agg(
-        F.count(F.lit(1)).alias("n_files"),
+        F.nullif(F.count("file_path"), F.lit(0).cast("long")).alias("n_files"),
+        F.min(F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)).alias("source_path"),
         F.sum("file_size").alias("file_size_bytes"),
         F.max("file_modification_time").alias("file_modified_at"),
     ).withColumn("table", F.lit(name))
 
 
 def lineage(raw: Mapping[str, DataFrame], features: DataFrame, feature_name: str = "feature_store") -> DataFrame:
-    """One row per table: shape, column names, largest missing fractions, and which tables fed it."""
+    """One row per table: shape, column names, largest missing fractions, its files, and which tables fed it."""
     rows = None
     for name, df in [*raw.items(), (feature_name, features)]:
         profile = profile_table(df, name)
@@ -80,9 +86,13 @@ def lineage(raw: Mapping[str, DataFrame], features: DataFrame, feature_name: str
                 "column_names"
             ),
             F.concat_ws(",", F.transform(worst, lambda s: s["column"])).alias("most_missing"),
+            F.concat_ws(",", F.transform(worst, lambda s: (-s["neg"]).cast("decimal(10,4)").cast("string"))).alias(
+                "missing_fractions"
+            ),
         )
         sources = ",".join(raw) if name == feature_name else None
         shaped = shaped.withColumn("source_tables", F.lit(sources).cast("string"))
+        shaped = shaped.join(F.broadcast(file_facts(df, name)), "table", "left")  # one row
         rows = shaped if rows is None else rows.unionByName(shaped)
     return rows
 

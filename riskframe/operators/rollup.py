@@ -37,7 +37,11 @@ def attach_to_entity(child: DataFrame, link: DataFrame, key: str, entity: str, h
     return child.join(link.select(col(key), col(entity)), key, how)
 
 
-def frequent_keys(link: DataFrame, key: str, share: float = 0.001, at_least: int = 1_000_000) -> list:
+#: Default of the ``at_least`` and ``hot_from`` arguments: rows of one link key that one join task should not get alone.
+HOT_FROM = 1_000_000
+
+
+def frequent_keys(link: DataFrame, key: str, share: float = 0.001, at_least: int = HOT_FROM) -> list:
     """Link keys that repeat so often that one join task would feel it (at most 1/share of them).
 
     One scan without a shuffle finds candidates and misses none; a second counts them.

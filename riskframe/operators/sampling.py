@@ -2,9 +2,10 @@
 
 "The n rows with the smallest hash" is an exact, repeatable random sample. No
 global sort is needed to find them: rows are counted per hash prefix, the prefix
-in which the n-th row falls is known from the counts, and only that prefix
-(1/65536 of the data) is ranked. The result of the search is one hash value per
-class; taking the sample is then a filter on a single scan.
+in which the n-th row falls is known from the counts, and that prefix alone is
+counted again by its next digits, until the cut falls between two prefixes. No
+row is ever ranked. The result of the search is one hash value per class;
+taking the sample is then a filter on a single scan.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import types as T
 
 from riskframe.functions.expr import col
 from riskframe.functions.hashing import hash_order
-from riskframe.operators.local_state import attach_classes, read_classes
+from riskframe.operators.local_state import MAX_CLASSES, attach_classes, read_classes
 from riskframe.operators.storage import stored
 
 PREFIX_LENGTH = 4
+HASH_LENGTH = 32
 NONE_OF_CLASS, ALL_OF_CLASS = "", "~"
 
 Key = str | Sequence[str]
@@ -48,36 +50,54 @@ def _prefix_counts(hashed: DataFrame) -> DataFrame:
     return stored(counts, "prefix-counts")
 
 
-def _sizes(counts: DataFrame, label: str) -> dict:
-    return {r[0]: r[1] for r in read_classes(counts.groupBy("__stratum").agg(F.sum("n")), label)}
+def _sizes(counts: DataFrame, label: str, max_classes: int = MAX_CLASSES) -> dict:
+    return {r[0]: r[1] for r in read_classes(counts.groupBy("__stratum").agg(F.sum("n")), label, max_classes)}
 
 
-def _cutoffs(hashed: DataFrame, counts: DataFrame, wanted: Mapping, sizes: Mapping) -> dict:
-    """Per stratum, the largest hash that still belongs to the sample."""
-    found = {s: ALL_OF_CLASS if n >= sizes[s] else NONE_OF_CLASS for s, n in wanted.items()}
-    open_strata = [(s, n) for s, n in wanted.items() if 0 < n < sizes[s]]
-    if not open_strata:
-        return found
+def _edges(counted: DataFrame, wanted: list[tuple]) -> list:
+    """Per stratum: the prefix in which the wanted place falls, its row count and the place inside it."""
     upto = Window.partitionBy("__stratum").orderBy("__prefix").rowsBetween(Window.unboundedPreceding, 0)
-    counted = counts.withColumn("upto", F.sum("n").over(upto))
-    counted = attach_classes(counted, "__stratum", open_strata, [T.StructField("wanted", T.LongType())])
-    edges = counted.filter("upto - n < wanted and wanted <= upto").selectExpr(
-        "__stratum", "__prefix", "wanted - (upto - n) as place"
-    ).collect()
-    edge_rows = [(e["__stratum"], e["__prefix"], e["place"]) for e in edges]
-    fields = [T.StructField("edge", T.StringType()), T.StructField("place", T.LongType())]
-    prefixed = hashed.select("__stratum", "__hash")
-    inside = attach_classes(prefixed, "__stratum", edge_rows, fields).filter(
-        F.substring("__hash", 1, PREFIX_LENGTH) == F.col("edge")
-    )
-    ordered = Window.partitionBy("__stratum").orderBy("__hash")
-    ranked = inside.withColumns(
-        {"rank": F.row_number().over(ordered), "next": F.lead("__hash").over(ordered)}
-    ).filter("rank = place")
-    for row in ranked.collect():
-        if row["next"] == row["__hash"]:
-            raise ValueError("the sampling key does not identify a row: equal keys meet at the cut-off")
-        found[row["__stratum"]] = row["__hash"]
+    counted = counted.withColumn("upto", F.sum("n").over(upto))
+    counted = attach_classes(counted, "__stratum", wanted, [T.StructField("wanted", T.LongType())])
+    return counted.filter("upto - n < wanted and wanted <= upto").selectExpr(
+        "__stratum", "__prefix", "n", "wanted - (upto - n) as place"
+    ).collect()  # one row per class
+
+
+def _cutoffs(hashed: DataFrame, counts: DataFrame, wanted: Mapping, sizes: Mapping, ties: dict | None = None) -> dict:
+    """Per stratum, the largest hash that still belongs to the sample.
+
+    The prefix that holds the cut-off is split by its next digits, by counts only, until the cut falls
+    between two prefixes. Rows that share a whole hash are one key: a cut inside them raises, unless ``ties``
+    collects (hash, rows to take), because such rows are interchangeable.
+    """
+    found = {s: ALL_OF_CLASS if n >= sizes[s] else NONE_OF_CLASS for s, n in wanted.items()}
+    searched = [(s, n) for s, n in wanted.items() if 0 < n < sizes[s]]
+    length = PREFIX_LENGTH
+    while searched:
+        edges = _edges(counts, searched)
+        inside = []
+        for e in edges:
+            if e["place"] == e["n"]:
+                found[e["__stratum"]] = e["__prefix"] + ALL_OF_CLASS
+            elif length >= HASH_LENGTH:
+                if ties is None:
+                    raise ValueError("the sampling key does not identify a row: equal keys meet at the cut-off")
+                ties[e["__stratum"]] = (e["__prefix"], e["place"])
+            else:
+                inside.append(e)
+        searched = [(e["__stratum"], e["place"]) for e in inside]
+        if searched:
+            length += PREFIX_LENGTH
+            prefixes = [(e["__stratum"], e["__prefix"]) for e in inside]
+            deeper = attach_classes(
+                hashed.select("__stratum", "__hash"), "__stratum", prefixes, [T.StructField("edge", T.StringType())]
+            ).filter(F.col("__hash").startswith(F.col("edge")))
+            counts = (
+                deeper.select("__stratum", F.substring("__hash", 1, length).alias("__prefix"))
+                .groupBy("__stratum", "__prefix")
+                .agg(F.count(F.lit(1)).alias("n"))
+            )
     return found
 
 
@@ -91,24 +111,33 @@ def _drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop("__hash", "__stratum", "__cut")
 
 
-def exact_cutoff(df: DataFrame, n: int, seed: int, key: Key, clamp: bool = False) -> str:
+def exact_cutoff(df: DataFrame, n: int, seed: int, key: Key, clamp: bool = False, ties: dict | None = None) -> str:
     """The hash up to which exactly ``n`` rows lie."""
     hashed = _prepare(df, seed, key, None)
     counts = _prefix_counts(hashed)
     total = sum(_sizes(counts, "the sample").values())
     if n > total and not clamp:
         raise ValueError(f"cannot take {n} rows from {total}")
-    return _cutoffs(hashed, counts, {0: n}, {0: total})[0]
+    return _cutoffs(hashed, counts, {0: n}, {0: total}, ties)[0]
 
 
 def sample_exact(df: DataFrame, n: int | None, seed: int, key: Key, clamp: bool = False) -> DataFrame:
     """Exactly ``n`` rows without replacement; no ``n`` keeps everything.
 
     More rows than there are raise, unless ``clamp`` asks for all of them then.
+    Where the key is the whole row, equal rows at the cut-off are
+    interchangeable, and as many of them are taken as are missing.
     """
     if not n:
         return df
-    return df.filter(hash_order(seed, key) <= F.lit(exact_cutoff(df, n, seed, key, clamp)))
+    keys = [key] if isinstance(key, str) else list(key)
+    ties: dict | None = {} if set(keys) == set(df.columns) else None
+    cut = exact_cutoff(df, n, seed, key, clamp, ties)
+    order = hash_order(seed, key)
+    if not ties:
+        return df.filter(order <= F.lit(cut))
+    tied, missing = ties[0]
+    return df.filter(order < F.lit(tied)).unionByName(df.filter(order == F.lit(tied)).limit(missing))
 
 
 def allot(sizes: Mapping, total: int) -> dict:
@@ -124,14 +153,14 @@ def allot(sizes: Mapping, total: int) -> dict:
 
 
 def split(
-    df: DataFrame, test_size: float, seed: int, key: Key, stratify: str | None = None
+    df: DataFrame, test_size: float, seed: int, key: Key, stratify: str | None = None, max_classes: int = MAX_CLASSES
 ) -> tuple[DataFrame, DataFrame]:
     """Train and test parts of exact size; ``stratify`` keeps the class shares."""
     if not 0 < test_size < 1:
         raise ValueError("test_size must lie between 0 and 1")
     hashed = _prepare(df, seed, key, stratify)
     counts = _prefix_counts(hashed)
-    sizes = _sizes(counts, stratify or "the table")
+    sizes = _sizes(counts, stratify or "the table", max_classes)
     wanted = allot(sizes, math.ceil(sum(sizes.values()) * test_size))
     marked = _with_cutoff(hashed, _cutoffs(hashed, counts, wanted, sizes), bool(stratify))
     train, test = marked.filter("__hash > __cut"), marked.filter("__hash <= __cut")
@@ -149,11 +178,13 @@ def concat(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def downsample_majority(df: DataFrame, target: str, seed: int, key: Key) -> DataFrame:
+def downsample_majority(
+    df: DataFrame, target: str, seed: int, key: Key, max_classes: int = MAX_CLASSES
+) -> DataFrame:
     """Every class cut to the size of the smallest one."""
     hashed = _prepare(df, seed, key, target)
     counts = _prefix_counts(hashed)
-    sizes = _sizes(counts, target)
+    sizes = _sizes(counts, target, max_classes)
     cut = _cutoffs(hashed, counts, {s: min(sizes.values()) for s in sizes}, sizes)
     return _drop_helpers(_with_cutoff(hashed, cut, True).filter("__hash <= __cut"))
 
@@ -163,9 +194,11 @@ def shuffle(df: DataFrame, seed: int, key: Key) -> DataFrame:
     return df.orderBy(hash_order(seed, key))
 
 
-def class_weights(df: DataFrame, target: str, name: str = "weight") -> DataFrame:
+def class_weights(
+    df: DataFrame, target: str, name: str = "weight", max_classes: int = MAX_CLASSES
+) -> DataFrame:
     """Adds the balanced weight ``rows / (classes * rows of the class)``."""
-    sizes = {r[0]: r[1] for r in read_classes(class_counts(df, target), target)}
+    sizes = {r[0]: r[1] for r in read_classes(class_counts(df, target), target, max_classes)}
     rows = sum(sizes.values())
     weights = [(s, rows / (len(sizes) * n)) for s, n in sizes.items()]
     return attach_classes(df, target, weights, [T.StructField(name, T.DoubleType())])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.expr import col
 from riskframe.functions.hashing import hash_order, unit_draw
-from riskframe.operators.local_state import read_classes
+from riskframe.operators.local_state import MAX_CLASSES, read_classes
 from riskframe.operators.neighbours import distinct_vectors, nearest_neighbours
 from riskframe.operators.sampling import class_counts, exact_cutoff
 from riskframe.operators.storage import stored
@@ -86,13 +86,14 @@ def synthetic_rows(points: DataFrame, n_new: int, k: int, seed: int) -> DataFram
 
 
 def smote(
-    df: DataFrame, features: Sequence[str], target: str, key: str, ratio: float, k: int = 5, seed: int = 42
+    df: DataFrame, features: Sequence[str], target: str, key: str, ratio: float, k: int = 5, seed: int = 42,
+    max_classes: int = MAX_CLASSES,
 ) -> DataFrame:
     """The frame with synthetic minority rows added; ``row_key`` names every row.
 
     Only minority rows enter the neighbour search. The key must be a whole number.
     """
-    sizes = sorted((r[1], str(r[0]), r[0]) for r in read_classes(class_counts(df, target), target))
+    sizes = sorted((r[1], str(r[0]), r[0]) for r in read_classes(class_counts(df, target), target, max_classes))
     if len(sizes) < 2:
         raise ValueError("two classes are needed")
     (n_min, _, minority), (n_max, _, _) = sizes[0], sizes[-1]

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from riskframe.functions import expr as X
-from riskframe.operators.encode import fit_vocabulary, one_hot, read_vocabulary
+from riskframe.operators.encode import MAX_LEVELS, fit_vocabulary, one_hot, read_vocabulary
 from riskframe.operators.frame import (
     drop_columns,
     drop_sparse_columns,
@@ -58,7 +58,11 @@ def derived_columns(df: DataFrame, config: FlatConfig) -> DataFrame:
 
 
 def prepare_flat_table(
-    df: DataFrame, target: str, config: FlatConfig = FlatConfig(), drop: Sequence[str] = ()
+    df: DataFrame,
+    target: str,
+    config: FlatConfig = FlatConfig(),
+    drop: Sequence[str] = (),
+    max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """Drop, derive, count, encode and zero-fill. The missing count includes derived columns."""
     out = derived_columns(drop_columns(df, drop, protect=(target,)), config)
@@ -76,7 +80,9 @@ def prepare_flat_table(
     out = drop_sparse_columns(out, config.max_missing)
     out = drop_columns(out, [*config.drop, *config.categorical_drop], protect=(target,))
     texts = [c for c in string_columns(out) if c != target]
-    vocabulary = {c: [] for c in texts} | (read_vocabulary(fit_vocabulary(out, texts)) if texts else {})
+    vocabulary = {c: [] for c in texts} | (
+        read_vocabulary(fit_vocabulary(out, texts), max_levels, len(texts)) if texts else {}
+    )
     return fill_zero(one_hot(out, vocabulary))
 
 

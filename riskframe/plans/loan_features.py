@@ -19,6 +19,7 @@ from riskframe.functions.expr import col
 from riskframe.operators import contract as K
 from riskframe.operators.assemble import Side, assemble
 from riskframe.operators.encode import (
+    MAX_LEVELS,
     columns_with_gaps,
     fit_medians,
     fit_vocabulary,
@@ -26,9 +27,10 @@ from riskframe.operators.encode import (
     one_hot,
     read_vocabulary,
 )
-from riskframe.operators.frame import drop_columns, fill_zero, numeric_columns, row_missing_count
-from riskframe.operators.rollup import frequent_keys, ratio_of, single_level_rollup, two_level_rollup
+from riskframe.operators.frame import drop_columns, fill_zero, numeric_columns, row_missing_count, string_columns
+from riskframe.operators.rollup import HOT_FROM, frequent_keys, ratio_of, single_level_rollup, two_level_rollup
 from riskframe.operators.storage import stored
+from riskframe.sources.tables import nan_to_null
 
 # Column names of the schema and of the feature table.
 ENTITY, TARGET = "SK_ID_CURR", "TARGET"
@@ -279,14 +281,18 @@ def pos_cash_features(pos_cash: DataFrame, previous: DataFrame, hot_links: Seque
 # --- the whole table ----------------------------------------------------------------
 
 
-def joined_features(tables: LoanTables, eps: float = X.EPS_DEFAULT, check_keys: bool = True) -> DataFrame:
+def joined_features(
+    tables: LoanTables, eps: float = X.EPS_DEFAULT, check_keys: bool = True, hot_from: int = HOT_FROM
+) -> DataFrame:
     """One row per applicant with all raw features, before encoding.
 
-    Earlier contracts are not promised to be unique, so their table is searched
-    once for contract ids that repeat very often.
+    NaN in a table of numbers is a missing value. Earlier contracts are not promised to be unique, so
+    their table is searched once for contract ids that occur at least ``hot_from`` times; those are joined
+    another way, with the same result.
     """
+    tables = LoanTables(**{name: nan_to_null(df) for name, df in vars(tables).items()})
     previous = tables.previous_application
-    hot = frequent_keys(previous, CONTRACT_KEY) if check_keys else []
+    hot = frequent_keys(previous, CONTRACT_KEY, at_least=hot_from) if check_keys else []
     sides = [
         bureau_features(tables.bureau, eps),
         bureau_balance_features(tables.bureau_balance, tables.bureau),
@@ -303,13 +309,16 @@ def encode_features(
     joined: DataFrame,
     medians: Mapping[str, float | None] | None = None,
     vocabulary: Mapping[str, Sequence[str]] | None = None,
+    max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """Categories to 0/1 columns, missing numbers to medians.
 
     State not given is fitted on ``joined`` itself; pass the training part's to
     keep test rows out of it.
     """
-    vocabulary = vocabulary if vocabulary is not None else read_vocabulary(fit_vocabulary(joined))
+    if vocabulary is None:
+        texts = string_columns(joined)
+        vocabulary = read_vocabulary(fit_vocabulary(joined, texts), max_levels, len(texts)) if texts else {}
     if medians is None:
         numbers = [c for c in numeric_columns(joined) if c not in (ENTITY, TARGET)]
         medians = fit_medians(joined, columns_with_gaps(joined, numbers))
@@ -336,10 +345,17 @@ def finish_features(
     return fill_zero(drop_columns(df, drop, protect=(TARGET, ENTITY)))
 
 
-def feature_table(tables: LoanTables, eps: float = X.EPS_DEFAULT, check_keys: bool = True) -> DataFrame:
+def feature_table(
+    tables: LoanTables,
+    eps: float = X.EPS_DEFAULT,
+    check_keys: bool = True,
+    hot_from: int = HOT_FROM,
+    max_levels: int = MAX_LEVELS,
+) -> DataFrame:
     """The model-ready table. The joined features are read three times (levels, medians,
     result), so they are written to the shared folder once."""
-    return finish_features(encode_features(stored(joined_features(tables, eps, check_keys), "joined-features")))
+    joined = stored(joined_features(tables, eps, check_keys, hot_from), "joined-features")
+    return finish_features(encode_features(joined, max_levels=max_levels))
 
 
 def model_columns(vocabulary: Mapping[str, Sequence[str]] = CATEGORY_LEVELS) -> list[str]:

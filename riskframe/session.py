@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -31,15 +33,17 @@ def build_session(app_name: str = "riskframe", master: str | None = None, **sett
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.master", "").startswith("local")
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session (one machine, e.g. the tests) may leave the setting
-    out; it then gets a fresh temporary folder. On a cluster the missing
-    setting is an error, because a machine-local folder would lose data.
+    Only a local session (one machine, e.g. a benchmark) may leave the setting
+    out; it then gets a temporary folder that goes when the program ends. On a
+    cluster, a local one of several processes included, the missing setting is an
+    error, because a machine-local folder would lose data.
     """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
@@ -47,6 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not _is_local(spark):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="riskframe-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set(CHECKPOINT_SETTING, folder)
     return folder
 
@@ -56,6 +61,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def shuffle_parallelism(spark: SparkSession, low: int = 8, high: int = 2000) -> int:
+def shuffle_parallelism(spark: SparkSession, low: int = 8) -> int:
     """How many slices a value range is cut into; follows the session's shuffle width."""
-    return max(low, min(high, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return max(low, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -41,15 +42,36 @@ class Source:
     skip_if_exists: bool = True
 
 
-def file_checksums(spark: SparkSession, path: str) -> DataFrame:
+def file_checksums(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """MD5 per file. Whole files are hashed, so each must be below the reader's 2 GB limit;
-    tables of any size are compared by ``table_fingerprint`` instead."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.md5("content").alias("md5"))
+    tables of larger files are compared by ``table_fingerprint`` instead."""
+    return _binary(spark, path).select("path", "length", F.md5("content").alias("md5"))
+
+
+def table_checksum(spark: SparkSession, path: str) -> str | None:
+    """One checksum of a table: its file's MD5, or of several files the MD5 over their
+    sorted (path below the table, MD5) pairs. Only names and MD5s reach the driver."""
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    below = F.regexp_extract("path", f"/{re.escape(root)}/(.*)$", 1)
+    pairs = file_checksums(spark, path).select(below.alias("name"), "md5")
+    listed = pairs.agg(F.array_sort(F.collect_list(F.struct("name", "md5"))).alias("files")).select(
+        F.size("files").alias("n"),
+        F.get("files", F.lit(0))["md5"].alias("only"),
+        F.md5(F.concat_ws("\n", F.transform("files", lambda f: F.concat_ws(":", f["name"], f["md5"])))).alias("all"),
+    )
+    row = listed.first()
+    return None if not row["n"] else row["only"] if row["n"] == 1 else row["all"]
+
+
+def _binary(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Data files below the path; names that begin with a dot or an underscore are not data."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.filter(~F.regexp_extract("path", "([^/]+)$", 1).rlike("^[._]"))
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+        return _binary(spark, path).select("path", "length", "modificationTime")
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc.getCondition()):
             return None
@@ -62,8 +84,8 @@ def _facts(spark: SparkSession, path: str, with_checksum: bool) -> dict:
         return {}
     row = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("b"), F.max("modificationTime").alias("t")).first()
     facts = {"n_files": row["n"], "size_bytes": row["b"], "ingested_at": row["t"]}
-    if with_checksum and row["n"] == 1:
-        facts["checksum"] = file_checksums(spark, path).first()["md5"]
+    if with_checksum:
+        facts["checksum"] = table_checksum(spark, path)
     return facts
 
 
@@ -116,12 +138,12 @@ def land_sources(spark: SparkSession, sources: Sequence[Source], fail_on_missing
 
 def verify_checksums(spark: SparkSession, expected: Mapping[str, str]) -> DataFrame:
     """Path, MD5 and match per expected file (case does not matter). A mismatch raises."""
-    rows = None
-    for path, md5 in expected.items():
-        part = file_checksums(spark, path).withColumn("expected", F.lit(md5.lower()))
-        rows = part if rows is None else rows.unionByName(part)
-    if rows is None:
+    if not expected:
         raise ValueError("no checksums given")
+    plain = lambda path: F.regexp_replace(path, "^[A-Za-z0-9]+:/*", "/")
+    wanted = spark.createDataFrame([(p, m.lower()) for p, m in expected.items()], "file string, expected string")
+    found = file_checksums(spark, list(expected))
+    rows = found.join(wanted, plain(F.col("path")) == plain(F.col("file"))).drop("file")
     rows = rows.withColumn("matches", F.lower("md5") == F.col("expected"))
     wrong = [r["path"] for r in rows.filter("not matches").limit(5).collect()]
     if wrong:

@@ -39,14 +39,16 @@ def read_csv_table(
     schema: T.StructType,
     na_tokens: Sequence[str] = NA_TOKENS,
     lenient: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A headed CSV (plain, gzip or bzip2) with typed columns; columns are matched by name.
 
     Empty cells and the NA tokens become NULL in every column. Any other text
     that does not fit the declared type raises when read, or becomes NULL with
-    ``lenient``. Columns outside the schema stay text.
+    ``lenient``. Columns outside the schema stay text. ``multi_line`` allows
+    line breaks in quoted cells; such a file is then read by one task.
     """
-    raw = _load(spark, "csv", path, {"header": "true", "escape": '"'})
+    raw = _load(spark, "csv", path, {"header": "true", "escape": '"', "multiLine": str(multi_line).lower()})
     declared = {f.name: f.dataType for f in schema}
     absent = [c for c in declared if c not in raw.columns]
     if absent:
@@ -94,8 +96,10 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(~F.isnan(col(c)), col(c)).alias(c) if c in floating else col(c) for c in df.columns])
 
 
-def read_parquet_table(spark: SparkSession, path: str) -> DataFrame:
-    return _load(spark, "parquet", path, {})
+def read_parquet_table(spark: SparkSession, path: str, keep_nan: bool = False) -> DataFrame:
+    """A Parquet table, its NaN turned into NULL unless they are asked for."""
+    df = _load(spark, "parquet", path, {})
+    return df if keep_nan else nan_to_null(df)
 
 
 def _write_counted(df: DataFrame, label: str, write) -> int:

@@ -113,10 +113,13 @@ def test_medians_match_numpy(spark, partitions):
     assert (got["b"], got["c"], got["d"], got["e"]) == (7.0, 0.0, None, 250.0)
 
 
-def test_median_outside_its_bracket_is_found_again(spark):
+def test_median_outside_its_bracket_is_found_again(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
     df = spark.createDataFrame([(float(i),) for i in range(11)], "a double")
-    assert E._median_pass(df, ["a"], {"a": (8.0, 9.0)}) == {}
-    assert E._median_pass(df, ["a"], {"a": (4.0, 6.0)}) == {"a": 5.0}
+    for bracket in ([8.0, 9.0], [0.0, 1.0], [5.0, 5.0]):
+        monkeypatch.setattr(DataFrame, "approxQuantile", lambda *_, found=bracket: [found])
+        assert E.fit_medians(df, ["a"]) == {"a": 5.0}
 
 
 def test_impute(spark):
@@ -131,3 +134,35 @@ def test_standardize(spark):
     x = np.array([1.0, 2.0, 4.0])
     assert [r["a"] for r in rows] == pytest.approx(list((x - x.mean()) / x.std()))
     assert [r["b"] for r in rows] == [0.0, 0.0, 0.0]
+
+
+def test_medians_of_odd_tables(spark):
+    import random
+
+    inf = float("inf")
+    r = random.Random(4)
+    rows = [(r.gauss(0, 1), r.choice([1.0, 1.0, 2.0]), -inf if i % 3 else r.choice([-1e300, -1e301, inf]), None) for i in range(500)]
+    rows += [(float("nan"), None, None, None)] * 7
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    want = []
+    for k in range(3):
+        v = sorted(x[k] for x in rows if x[k] is not None and x[k] == x[k])
+        want.append(v[(len(v) - 1) // 2] if v[(len(v) - 1) // 2] == v[len(v) // 2] else (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2)
+    got = E.fit_medians(df)
+    assert [got[c] for c in "ab"] == pytest.approx(want[:2]) and got["d"] is None
+    for bucket_low in (-inf,):
+        places = [E._Place(2, bucket_low, inf, p) for p in (1, 330, 334, 420, 500)]
+        numbers = df.select(*[F.when(~F.isnan(c), F.col(c)).alias(f"v{i}") for i, c in enumerate(df.columns)])
+        c = sorted(x[2] for x in rows if x[2] is not None)
+        expected = [c[p.place - 1] for p in places]
+        while todo := [p for p in places if p.value is None]:
+            E._narrow(numbers, todo)
+        assert [p.value for p in places] == expected
+
+
+def test_equal_rows_at_the_cut_are_interchangeable(spark):
+    df = spark.createDataFrame([("x", 1)] * 10 + [("y", 2)], "a string, b int")
+    for n in (1, 5, 10, 11):
+        assert S.sample_exact(df, n, 42, df.columns).count() == n
+    with pytest.raises(ValueError):
+        S.sample_exact(df.withColumn("c", F.lit(1)), 5, 42, ["a"]).count()
