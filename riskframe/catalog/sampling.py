@@ -62,19 +62,32 @@ def plain_split(spark, d):
 
 @Q.add(
     "split_leakage",
-    """
-WITH a AS (SELECT o_orderkey FROM orders ORDER BY md5(concat('1:', o_orderkey)) LIMIT 3000),
-b AS (SELECT o_orderkey FROM orders ORDER BY md5(concat('2:', o_orderkey)) LIMIT 3000)
-SELECT o_orderkey FROM a INTERSECT SELECT o_orderkey FROM b
+    f"""
+WITH {STRATIFIED_SQL}
+SELECT count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys, CAST(count_if(part = 'test') AS BIGINT) AS n_test,
+       (SELECT count(*) FROM (SELECT o_orderkey FROM parts WHERE part = 'train' INTERSECT
+                              SELECT o_orderkey FROM parts WHERE part = 'test')) AS n_shared,
+       (SELECT count(*) FROM (SELECT o_custkey FROM parts WHERE part = 'train' INTERSECT
+                              SELECT o_custkey FROM parts WHERE part = 'test')) AS n_shared_customers
+FROM parts
 """,
 )
 def split_leakage(spark, d):
-    """Two independent samples overlap; the two parts of one split do not."""
+    """The two parts of a split of the whole table share no order; by customer, which the split ignores, they overlap."""
     train, test = stratified(spark, d)
     check_no_overlap(train, test, "o_orderkey")
-    orders = load(spark, d, "orders").select("o_orderkey")
-    a, b = (S.sample_exact(orders, 3000, seed, "o_orderkey", clamp=True) for seed in (1, 2))
-    return key_overlap(a, b, "o_orderkey")
+    both = S.concat([train.withColumn("part", F.lit("train")), test.withColumn("part", F.lit("test"))])
+    facts = both.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("o_orderkey").alias("n_keys"),
+        F.count_if(F.col("part") == "test").alias("n_test"),
+    )
+    shared = [
+        key_overlap(train, test, key).agg(F.count(F.lit(1)).alias(name), F.lit(1).alias("one"))
+        for key, name in (("o_orderkey", "n_shared"), ("o_custkey", "n_shared_customers"))
+    ]
+    facts = facts.withColumn("one", F.lit(1))  # one row each
+    return facts.join(F.broadcast(shared[0]), "one").join(F.broadcast(shared[1]), "one").drop("one")
 
 
 @Q.add(
@@ -119,6 +132,7 @@ def shuffled_export(spark, d):
 
 
 MINORITY, NEIGHBOURS, RATIO = 0, 5, 0.2
+BLOCK_ROWS = 16  # several blocks even in the smallest table
 
 
 @Q.add(
@@ -131,13 +145,13 @@ UNION ALL SELECT 0, many FROM c
 )
 def smote_counts(spark, d):
     vectors = load(spark, d, "embeddings")
-    width = 64
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0]
     wide = vectors.select(
         "vec_id",
         (F.col("label") == MINORITY).cast("int").alias("minority"),
         *[F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(width)],
     )
-    balanced = smote(wide, [f"f{i}" for i in range(width)], "minority", "vec_id", RATIO, NEIGHBOURS)
+    balanced = smote(wide, [f"f{i}" for i in range(width)], "minority", "vec_id", RATIO, NEIGHBOURS, block_rows=BLOCK_ROWS)
     return balanced.groupBy("minority").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -162,7 +176,7 @@ drawn AS (
   FROM named
 )
 SELECT seed_id, ordinal, neighbour, round(gap, 6) AS gap,
-       round(list_sum([x[i] + gap * (y[i] - x[i]) for i in range(1, 65)]), 6) AS component_sum
+       round(list_sum([x[i] + gap * (y[i] - x[i]) for i in range(1, len(x) + 1)]), 6) AS component_sum
 FROM drawn JOIN near ON drawn.id = near.seed_id AND near.place = pick
 """,
 )
@@ -173,6 +187,6 @@ def smote_rows(spark, d):
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec")
     )
     sizes = {r[0]: r[1] for r in vectors.groupBy(F.col("label") == MINORITY).count().collect()}
-    made = synthetic_rows(points, int(sizes[False] * RATIO) - sizes[True], NEIGHBOURS, 42)
+    made = synthetic_rows(points, int(sizes[False] * RATIO) - sizes[True], NEIGHBOURS, 42, block_rows=BLOCK_ROWS)
     total = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)
     return made.select("seed_id", "ordinal", "neighbour", r6("gap").alias("gap"), r6(total).alias("component_sum"))

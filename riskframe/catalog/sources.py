@@ -199,10 +199,12 @@ def ingest_manifest(spark, d):
         M.Source("spoilt_part", many, checksum=right[::-1]),
     ]
     found = M.land_sources(spark, [*_sources(d), *more], fail_on_missing=False)
-    rows = spark.read.parquet(landed).agg(F.count(F.lit(1)).alias("n"))
+    rows = spark.read.parquet(landed).agg(F.count(F.lit(1)).alias("n"), F.lit(1).alias("one"))
     n_rows = F.when(F.col("name").isin("fetched_part", "cached_part"), F.col("n"))
     has_bytes = F.when(F.col("status") != "failed", F.col("size_bytes") > 0)
-    return found.crossJoin(F.broadcast(rows)).select("name", "status", has_bytes.alias("has_bytes"), n_rows.alias("n_rows"))
+    return found.withColumn("one", F.lit(1)).join(F.broadcast(rows), "one").select(
+        "name", "status", has_bytes.alias("has_bytes"), n_rows.alias("n_rows")
+    )
 
 
 @Q.add(

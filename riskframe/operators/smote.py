@@ -15,6 +15,7 @@ from riskframe.operators.sampling import class_counts, exact_cutoff
 from riskframe.operators.storage import stored
 
 ROWS_PER_CHUNK = 1000
+HUB_SHARE = 0.01
 
 
 def rows_to_add(n_minority: int, n_majority: int, ratio: float) -> int:
@@ -25,14 +26,14 @@ def rows_to_add(n_minority: int, n_majority: int, ratio: float) -> int:
     return extra
 
 
-def neighbour_lists(distinct: DataFrame, k: int) -> DataFrame:
+def neighbour_lists(distinct: DataFrame, k: int, **search) -> DataFrame:
     """Per distinct vector its k nearest rows as ids, a vector's own copies first.
 
     A neighbour that occurs several times fills several places, as it would if
     all copies had been compared.
     """
     near = (
-        nearest_neighbours(distinct.select("id", "vec"), k)
+        nearest_neighbours(distinct.select("id", "vec"), k, **search)
         .join(distinct.select(F.col("id").alias("neighbour"), F.col("copies").alias("times")), "neighbour")
         .groupBy("id")
         # at most k entries per group
@@ -47,12 +48,18 @@ def neighbour_lists(distinct: DataFrame, k: int) -> DataFrame:
     )
 
 
-def synthetic_rows(points: DataFrame, n_new: int, k: int, seed: int) -> DataFrame:
+def _hubs(drawn: DataFrame, n_new: int, share: float = HUB_SHARE) -> list[int]:
+    """Neighbours at which at least this share of all rows ends: at most 1 / share of them."""
+    counts = drawn.groupBy("neighbour").count().filter((F.col("count") >= share * n_new) & (F.col("count") > ROWS_PER_CHUNK))
+    return [r["neighbour"] for r in counts.collect() if r["neighbour"] is not None]
+
+
+def synthetic_rows(points: DataFrame, n_new: int, k: int, seed: int, **search) -> DataFrame:
     """``points`` (id long, vec array<double>) -> (seed_id, ordinal, neighbour, gap, vec).
 
     Every point seeds the same number of rows; the remainder goes to the points
     first in hash order. Neighbour and gap are drawn from the seed's id, so the
-    result does not depend on partitioning.
+    result does not depend on partitioning. ``search`` are options of ``nearest_neighbours``.
     """
     n = points.count()
     if n <= k:
@@ -61,7 +68,8 @@ def synthetic_rows(points: DataFrame, n_new: int, k: int, seed: int) -> DataFram
     cut = exact_cutoff(points, rest, seed, "id")
     more = F.sum((hash_order(seed, "id") <= F.lit(cut)).cast("long"))
     distinct = stored(distinct_vectors(points, {"extras": more}), "distinct")
-    lists = neighbour_lists(distinct, k).withColumn("n_rows", F.col("copies") * base + F.col("extras"))
+    lists = neighbour_lists(distinct, k, **search).withColumn("n_rows", F.col("copies") * base + F.col("extras"))
+    lists = stored(lists, "neighbours")
     chunked = (
         lists.filter("n_rows > 0")
         .withColumn("chunk", F.explode(F.expr(f"sequence(0L, (n_rows - 1) div {ROWS_PER_CHUNK})")))
@@ -78,20 +86,25 @@ def synthetic_rows(points: DataFrame, n_new: int, k: int, seed: int) -> DataFram
             "place": F.floor(unit_draw(F.concat(name, F.lit(":place"))) * F.size("places")).cast("int"),
         }
     )
-    picked = drawn.withColumn("neighbour", F.get("places", F.col("place"))).join(
-        distinct.select(F.col("id").alias("neighbour"), F.col("vec").alias("y")), "neighbour"
-    )
+    drawn = drawn.withColumn("neighbour", F.get("places", F.col("place")))
+    ends = distinct.select(F.col("id").alias("neighbour"), F.col("vec").alias("y"))
+    hubs = _hubs(drawn, n_new)
+    is_hub = F.coalesce(F.col("neighbour").isin(hubs), F.lit(False))
+    picked = drawn.filter(~is_hub).join(ends, "neighbour")
+    if hubs:  # a few vectors, broadcast to the many rows that end at them
+        picked = picked.unionByName(drawn.filter(is_hub).join(F.broadcast(ends.filter(F.col("neighbour").isin(hubs))), "neighbour"))
     between = F.zip_with("x", "y", lambda x, y: x + F.col("gap") * (y - x))
     return picked.select("seed_id", "ordinal", "neighbour", "gap", between.alias("vec"))
 
 
 def smote(
     df: DataFrame, features: Sequence[str], target: str, key: str, ratio: float, k: int = 5, seed: int = 42,
-    max_classes: int = MAX_CLASSES,
+    max_classes: int = MAX_CLASSES, **search,
 ) -> DataFrame:
     """The frame with synthetic minority rows added; ``row_key`` names every row.
 
     Only minority rows enter the neighbour search. The key must be a whole number.
+    ``search`` are options of ``nearest_neighbours``.
     """
     sizes = sorted((r[1], str(r[0]), r[0]) for r in read_classes(class_counts(df, target), target, max_classes))
     if len(sizes) < 2:
@@ -105,7 +118,7 @@ def smote(
         return kept
     vec = F.array(*[col(c).cast("double") for c in features])
     points = df.filter(col(target) == F.lit(minority)).select(col(key).cast("long").alias("id"), vec.alias("vec"))
-    made = synthetic_rows(points, n_new, k, seed).select(
+    made = synthetic_rows(points, n_new, k, seed, **search).select(
         *[F.get("vec", F.lit(i)).alias(c) for i, c in enumerate(features)],
         F.lit(minority).cast(df.schema[target].dataType).alias(target),
         F.concat_ws(":", F.lit("synthetic"), F.col("seed_id"), F.col("ordinal")).alias("row_key"),

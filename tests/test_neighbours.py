@@ -69,3 +69,29 @@ def test_smote_refusals(spark):
     df = spark.createDataFrame([(1, 0.0, 1)], "id long, a double, y int")
     with pytest.raises(ValueError, match="two classes"):
         smote(df, ["a"], "y", "id", 0.5)
+
+
+def test_ties_and_near_ties_are_ranked_by_id():
+    from riskframe.operators.neighbours import _nearest
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([np.zeros((200, 3)), rng.integers(0, 2, (300, 3)).astype(float), 1e8 + rng.normal(0, 1e-3, (100, 3))])
+    ids = rng.permutation(len(x))
+    best, who = _nearest(x[:50], ids[:50], x, ids, 4)
+    for i in range(50):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        d[i] = np.inf
+        assert who[i].tolist() == ids[np.lexsort((ids, d))][:4].tolist()
+    best, who = _nearest(x[-5:], ids[-5:], x, ids, 4)
+    for i, j in enumerate(range(len(x) - 5, len(x))):
+        d = np.sqrt(((x - x[j]) ** 2).sum(axis=1))
+        d[j] = np.inf
+        assert who[i].tolist() == ids[np.lexsort((ids, d))][:4].tolist()
+
+
+def test_the_approximate_form_looks_at_fewer_blocks_and_finds_most(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (300, 2))
+    rows = nearest_neighbours(points(spark, x), 3, 20, cells=4).collect()
+    exact = brute(x, 3)
+    assert sum(r["neighbour"] in exact[r["id"]] for r in rows) >= 0.9 * 900
