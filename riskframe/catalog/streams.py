@@ -30,9 +30,9 @@ FROM scored WHERE value > 150 OR k <= 0
 def stream_score(spark, d):
     """Valid records are scored, the others land with their reasons."""
     out = scratch_path(spark, "stream-score")
-    scored, rejected = S.score_stream(event_stream(spark, d), probability(), EVENT_CONTRACT)
-    S.run_to_table(scored, f"{out}/scored", f"{out}/scored-checkpoint")
-    S.run_to_table(rejected, f"{out}/rejected", f"{out}/rejected-checkpoint")
+    S.score_to_tables(
+        event_stream(spark, d), probability(), EVENT_CONTRACT, f"{out}/scored", f"{out}/rejected", f"{out}/checkpoint"
+    )
     done = spark.read.parquet(f"{out}/scored").select("event_id", "prediction", "probability", F.lit("").alias("reasons"))
     refused = spark.read.parquet(f"{out}/rejected").select(
         "event_id",
@@ -59,7 +59,11 @@ def stream_audit(spark, d):
     out = scratch_path(spark, "stream-audit")
     scored, _ = S.score_stream(S.zoned(event_stream(spark, d), "ts"), probability(), Contract("events"))
     S.run_to_table(S.audit_stream(scored, "ts", "1 day", None, entity="user_id"), f"{out}/audit", f"{out}/checkpoint", "complete")
-    audit = spark.read.parquet(f"{out}/audit").drop("unique_entities")
+    return _audit_rows(spark, f"{out}/audit")
+
+
+def _audit_rows(spark, path):
+    audit = spark.read.parquet(path).drop("unique_entities")
     return audit.withColumns(
         {
             "window_start": F.col("window_start").cast("timestamp_ntz"),
@@ -70,6 +74,22 @@ def stream_audit(spark, d):
     )
 
 
+@Q.add(
+    "stream_audit_closed",
+    f"""
+WITH {SCORED_SQL}, closed AS (SELECT max(ts) - INTERVAL 2 HOUR AS mark FROM scored)
+SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end, {_EXACT}
+FROM scored GROUP BY 1, 2 HAVING date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= (SELECT mark FROM closed)
+""",
+)
+def stream_audit_closed(spark, d):
+    """Daily audit in append mode with a watermark: the days that the newest event, less two hours, has closed."""
+    out = scratch_path(spark, "stream-closed")
+    scored, _ = S.score_stream(S.zoned(event_stream(spark, d), "ts"), probability(), Contract("events"))
+    S.run_to_table(S.audit_stream(scored, "ts", "1 day", "2 hours"), f"{out}/audit", f"{out}/checkpoint")
+    return _audit_rows(spark, f"{out}/audit")
+
+
 @Q.add(
     "stream_drift",
     f"""
@@ -89,7 +109,7 @@ def stream_drift(spark, d):
     out = scratch_path(spark, "stream-drift")
     reference = event_features(load(spark, d, "events")).filter(F.col("ts") < "2024-01-16").select("value", "k")
     query = S.drift_batches(
-        event_stream(spark, d).select("value", "k"), reference, f"{out}/history", f"{out}/checkpoint", method="asymptotic"
+        event_stream(spark, d).select("value", "k"), reference, f"{out}/history", f"{out}/checkpoint"
     )
     query.awaitTermination()
     return spark.read.parquet(f"{out}/history").select(

@@ -154,18 +154,24 @@ def enforce(report: DataFrame, label: str, examples: int = 10) -> None:
         raise ValueError(f"data contract failed for '{label}': {lines}")
 
 
-def quarantine(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """Valid rows, and rejected rows with the broken checks in ``reasons``.
-
-    Works on streams as well. A declared column the frame lacks raises.
-    """
+def mark_broken(df: DataFrame, contract: Contract) -> DataFrame:
+    """All rows with the broken checks in ``reasons``. A declared column the frame lacks raises."""
     absent = missing_columns(df, contract.fields)
     if absent:
         raise ValueError(f"{contract.name} is missing required columns: {', '.join(absent[:10])}")
-    marked = df.withColumn("reasons", broken_checks(df, contract))
+    return df.withColumn("reasons", broken_checks(df, contract))
+
+
+def split_marked(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid rows without ``reasons``, and rejected rows with them."""
     return marked.filter(F.size("reasons") == 0).drop("reasons"), marked.filter(F.size("reasons") > 0)
 
 
+def quarantine(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, and rejected rows with the broken checks in ``reasons``. Works on streams as well."""
+    return split_marked(mark_broken(df, contract))
+
+
 # --- checks of whole layers -------------------------------------------------------
 
 

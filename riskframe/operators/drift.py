@@ -14,6 +14,7 @@ from riskframe.functions.kolmogorov import asymptotic_p, exact_p
 from riskframe.operators.frame import floating_columns, numeric_values, project
 from riskframe.operators.ordering import add_slices, as_number, running_totals, slice_points
 from riskframe.operators.sampling import Key, sample_exact
+from riskframe.operators.storage import stored
 
 # Fixed values.
 P_VALUE_THRESHOLD = 0.05
@@ -68,33 +69,28 @@ def _number(df: DataFrame, name: str) -> Column:
     return numeric_values(col(name)) if isinstance(kind, T.StringType) else numeric_values(as_number(df, name))
 
 
-def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Largest distance between the two distribution functions, per column.
-
-    Both sides are unpivoted and counted per distinct value (combined on the
-    map side), then accumulated slice by slice. A cell carries its column's
-    number, not its name. A column without a number on either side does not appear.
-    """
-    names = [f"v{i}" for i in range(len(columns))]
-    sides = [
-        df.select(*[_number(df, c).alias(n) for c, n in zip(columns, names)], F.lit(flag).alias("__ref"))
-        for df, flag in ((reference, 1), (current, 0))
-    ]
-    both = sides[0].unionByName(sides[1])
-    sliced = add_slices(both, slice_points(both, names))
+def _value_counts(df: DataFrame, columns: Sequence[str], points: dict[str, list[float]], **counts: Column) -> DataFrame:
+    """Rows per (column number, slice, value). A cell carries its column's number, not its name."""
+    names = list(points)
+    numbers = df.select(*[_number(df, c).alias(n) for c, n in zip(columns, names)], *[v.alias(k) for k, v in counts.items()])
+    sliced = add_slices(numbers, points)
     cells = F.array(
         *[
             F.struct(F.lit(i).alias("no"), F.col(f"__slice_{i}").alias("slice"), F.col(n).alias("value"))
             for i, n in enumerate(names)
         ]
     )
-    counts = (
-        sliced.select("__ref", F.explode(cells).alias("x"))
-        .select("__ref", "x.*")
+    return (
+        sliced.select(*counts, F.explode(cells).alias("x"))
+        .select(*counts, "x.*")
         .filter("value is not null")
         .groupBy("no", "slice", "value")
-        .agg(F.sum("__ref").alias("ref"), F.sum(1 - F.col("__ref")).alias("cur"))
+        .agg(*[F.sum(k).alias(k) for k in counts])
     )
+
+
+def _largest_gaps(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """From counts per value (ref, cur) to the distance per column."""
     placed = running_totals(counts, "value", "slice", ["ref", "cur"], ["no"])
     gap = F.abs(F.col("ref__upto") / F.col("ref__all") - F.col("cur__upto") / F.col("cur__all"))
     label = F.get(F.array(*[F.lit(c) for c in columns]), F.col("no"))
@@ -106,6 +102,70 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str
     )
 
 
+def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Largest distance between the two distribution functions, per column.
+
+    Both sides are unpivoted and counted per distinct value (combined on the
+    map side), then accumulated slice by slice. A column without a number on
+    either side does not appear.
+    """
+    names = [f"v{i}" for i in range(len(columns))]
+    sides = [
+        df.select(*[_number(df, c).alias(n) for c, n in zip(columns, names)], F.lit(flag).alias("__ref"))
+        for df, flag in ((reference, 1), (current, 0))
+    ]
+    both = sides[0].unionByName(sides[1])
+    counts = _value_counts(both, names, slice_points(both, names), ref=F.col("__ref"), cur=1 - F.col("__ref"))
+    return _largest_gaps(counts, columns)
+
+
+@dataclass(frozen=True)
+class PreparedReference:
+    """What every comparison with the same reference shares: its columns, slices and stored counts per value."""
+
+    columns: list[str]
+    dropped_constant: list[str]
+    not_monitored: list[str]
+    points: dict[str, list[float]]
+    counts: DataFrame | None
+
+
+def prepare_reference(
+    reference: DataFrame,
+    features: Sequence[str] = (),
+    target: str | None = None,
+    entity: str | None = None,
+    max_features: int | None = None,
+) -> PreparedReference:
+    """Reads the reference once, so that arriving batches need not."""
+    columns = monitored_columns(reference, features, target, entity, max_features)
+    left_out = [c for c in monitored_columns(reference, (), target, entity) if c not in columns]
+    constant = constant_columns(reference, columns)
+    tested = [c for c in columns if c not in constant]
+    if not tested:
+        return PreparedReference([], constant, left_out, {}, None)
+    numbers = reference.select(*[_number(reference, c).alias(f"v{i}") for i, c in enumerate(tested)])
+    points = slice_points(numbers, numbers.columns)
+    counts = stored(_value_counts(reference, tested, points, ref=F.lit(1)), "reference-counts")
+    return PreparedReference(tested, constant, left_out, points, counts)
+
+
+def drift_against(
+    prepared: PreparedReference, current: DataFrame, threshold: float = P_VALUE_THRESHOLD, method: str = "asymptotic"
+) -> DriftReport:
+    """The drift report of a table against a prepared reference; the slices of the reference serve both."""
+    if prepared.counts is None:
+        empty = current.sparkSession.createDataFrame([], COLUMNS_SCHEMA)
+        return DriftReport(empty, drift_summary(empty), prepared.dropped_constant, prepared.not_monitored)
+    arrived = _value_counts(current, prepared.columns, prepared.points, cur=F.lit(1))
+    both = prepared.counts.withColumn("cur", F.lit(0).cast("long")).unionByName(
+        arrived.withColumn("ref", F.lit(0).cast("long"))
+    )
+    counts = both.groupBy("no", "slice", "value").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    flags = drift_flags(ks_pvalue(_largest_gaps(counts, prepared.columns), method), threshold)
+    return DriftReport(flags, drift_summary(flags), prepared.dropped_constant, prepared.not_monitored)
+
+
 def ks_pvalue(stats: DataFrame, method: str = "asymptotic") -> DataFrame:
     """Adds the two-sided p-value: the limiting form, or the exact one on request (work n x m per column)."""
     args = [F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")]

@@ -11,8 +11,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskframe.operators.audit import audit_measures
-from riskframe.operators.contract import Contract, quarantine
-from riskframe.operators.drift import drift_metrics_row, drift_report, retrain_decision
+from riskframe.operators.contract import Contract, mark_broken, quarantine, split_marked
+from riskframe.operators.drift import (
+    P_VALUE_THRESHOLD,
+    drift_against,
+    drift_metrics_row,
+    prepare_reference,
+    retrain_decision,
+)
 from riskframe.plans.scoring import DECISION_THRESHOLD, add_scores
 
 
@@ -39,6 +45,37 @@ def score_stream(
     return add_scores(valid, model, threshold), rejected
 
 
+def score_to_tables(
+    stream: DataFrame,
+    model: PipelineModel | Column,
+    contract: Contract,
+    scored_path: str,
+    rejected_path: str,
+    checkpoint: str,
+    threshold: float = DECISION_THRESHOLD,
+) -> None:
+    """Scored and rejected records from one reading of the source: each batch is checked once, held, and
+    written to both tables. A batch that is replayed after a failure overwrites its own folders."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            valid, rejected = split_marked(batch)
+            for rows, path in ((add_scores(valid, model, threshold), scored_path), (rejected, rejected_path)):
+                rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    query = (
+        mark_broken(stream, contract)
+        .writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(write)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def audit_stream(
     scored: DataFrame,
     ts: str,
@@ -82,15 +119,19 @@ def drift_batches(
     checkpoint: str,
     auto_retrain: bool = False,
     notify: Callable[[DataFrame, int], None] | None = None,
-    **options,
+    threshold: float = P_VALUE_THRESHOLD,
+    method: str = "asymptotic",
+    **columns,
 ) -> StreamingQuery:
     """Compares every arriving batch with the reference and adds one history row per batch.
 
+    The reference is read once, when the stream starts; ``columns`` are options of ``prepare_reference``.
     A batch that is replayed after a failure overwrites its own row.
     """
+    prepared = prepare_reference(reference, **columns)
 
     def compare(batch: DataFrame, batch_id: int) -> None:
-        report = drift_report(reference, batch, **options)
+        report = drift_against(prepared, batch, threshold, method)
         decided = retrain_decision(report.summary, auto_retrain)
         row = drift_metrics_row(decided, "reference", f"batch {batch_id}")
         row.write.mode("overwrite").parquet(f"{history_path}/batch_id={batch_id}")

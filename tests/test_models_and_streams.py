@@ -79,6 +79,15 @@ def test_stream_scores_or_rejects(spark, arrivals, tmp_path):
         S.score_stream(stream.drop("feature_2"), model, CONTRACT)
 
 
+def test_one_pass_writes_both_tables_and_a_replay_changes_nothing(spark, arrivals, tmp_path):
+    model = logistic({"feature_1": 1.0, "feature_2": 1.0}, -5.0)
+    for checkpoint in ("c1", "c2"):  # a lost checkpoint replays every batch
+        stream = S.read_file_stream(spark, arrivals, spark.createDataFrame([], SCHEMA).schema, "json", 1)
+        S.score_to_tables(stream, model, CONTRACT, str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / checkpoint))
+    assert spark.read.parquet(str(tmp_path / "good")).count() == 40
+    assert spark.read.parquet(str(tmp_path / "bad")).filter("size(reasons) = 1").count() == 4
+
+
 def test_append_audit_leaves_only_the_open_window(spark, arrivals, tmp_path):
     stream = S.read_file_stream(spark, arrivals, spark.createDataFrame([], SCHEMA).schema, "json", 1)
     scored, _ = S.score_stream(stream, logistic({"feature_1": 1.0}, -5.0), CONTRACT)
