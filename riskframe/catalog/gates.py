@@ -7,6 +7,7 @@ from riskframe.catalog.base import (
     CANDIDATE_INTERCEPT,
     SCORED_SQL,
     Catalog,
+    event_features,
     load,
     probability,
     r6,
@@ -15,6 +16,7 @@ from riskframe.catalog.base import (
 from riskframe.catalog.evaluation import RUN_METRICS_SQL, run_metrics
 from riskframe.operators import audit as A
 from riskframe.operators import gates as G
+from riskframe.plans.flows import canary
 
 Q = Catalog()
 
@@ -26,12 +28,14 @@ MINIMUMS = {"roc_auc": 0.5, "precision": 0.2, "recall": 0.3, "specificity": 0.1}
     f"""
 WITH {RUN_METRICS_SQL},
 wide AS (SELECT run_id, max(CASE WHEN metric = 'roc_auc' THEN value END) AS a, max(CASE WHEN metric = 'precision' THEN value END) AS p,
-                max(CASE WHEN metric = 'recall' THEN value END) AS r FROM run_metrics GROUP BY run_id)
+                max(CASE WHEN metric = 'recall' THEN value END) AS r, max(CASE WHEN metric = 'specificity' THEN value END) AS s
+         FROM run_metrics GROUP BY run_id)
 SELECT run_id, concat_ws(',', CASE WHEN a IS NULL THEN 'roc_auc' END, CASE WHEN p IS NULL THEN 'precision' END,
-                         CASE WHEN r IS NULL THEN 'recall' END, 'specificity') AS missing_metrics,
+                         CASE WHEN r IS NULL THEN 'recall' END, CASE WHEN s IS NULL THEN 'specificity' END) AS missing_metrics,
        concat_ws(',', CASE WHEN a < 0.5 THEN 'roc_auc' END, CASE WHEN p < 0.2 THEN 'precision' END,
-                 CASE WHEN r < 0.3 THEN 'recall' END) AS underperforming,
-       'failed' AS status
+                 CASE WHEN r < 0.3 THEN 'recall' END, CASE WHEN s < 0.1 THEN 'specificity' END) AS underperforming,
+       CASE WHEN a IS NULL OR p IS NULL OR r IS NULL OR s IS NULL OR a < 0.5 OR p < 0.2 OR r < 0.3 OR s < 0.1
+            THEN 'failed' ELSE 'passed' END AS status
 FROM wide
 """,
 )
@@ -136,6 +140,69 @@ def latest_run(spark, d):
     return G.latest_run(promotion_decision(spark, d))
 
 
+_VALIDATED_SQL = f"""
+WITH {RUN_METRICS_SQL},
+m AS (SELECT run_id, max(CASE WHEN metric = 'roc_auc' THEN value END) AS a, max(CASE WHEN metric = 'recall' THEN value END) AS r,
+             max(ts) AS ts FROM run_metrics GROUP BY run_id),
+kinds AS (SELECT strftime(ts, '%Y-%m-%d') AS run_id, count(DISTINCT event_type) AS n FROM events GROUP BY 1),
+checks AS (
+  SELECT run_id, CASE WHEN r < 0.35 OR r IS NULL THEN 'failed' ELSE 'passed' END AS thresholds,
+         CASE WHEN CAST(substr(run_id, 9, 2) AS INT) % 4 = 0 THEN 'failed' ELSE 'passed' END AS agreement,
+         CASE WHEN n = 5 THEN 'passed' ELSE 'failed' END AS tags, a, ts
+  FROM m LEFT JOIN kinds USING (run_id)
+)
+"""
+
+
+def _validated(spark, d):
+    """Runs with their metrics, what was reported of them (wrong every fourth day), and their tags."""
+    metrics = run_metrics(spark, d).select("run_id", "metric", "value", "ts")
+    wrong = (F.substring("run_id", 9, 2).cast("int") % 4 == 0) & (F.col("metric") == "f1")
+    reported = metrics.select("run_id", "metric", F.when(wrong, F.col("value") + 0.01).otherwise(F.col("value")).alias("value"))
+    events = load(spark, d, "events").withColumn("run_id", F.date_format("ts", "yyyy-MM-dd"))
+    tags = events.groupBy("run_id").agg(F.count_distinct("event_type").cast("string").alias("value"))
+    return metrics, reported, tags.withColumn("tag", F.lit("kinds"))
+
+
+@Q.add(
+    "run_checks",
+    f"""{_VALIDATED_SQL}
+SELECT run_id, 'thresholds' AS "check", thresholds AS status FROM checks
+UNION ALL SELECT run_id, 'agreement', agreement FROM checks UNION ALL SELECT run_id, 'tags', tags FROM checks
+""",
+)
+def run_checks(spark, d):
+    metrics, reported, tags = _validated(spark, d)
+    return G.run_checks(metrics, reported, tags, {"kinds": "5"}, {"recall": 0.35})
+
+
+@Q.add(
+    "validated_promotion",
+    f"""{_VALIDATED_SQL}
+SELECT run_id, a AS value, ts, CASE WHEN 'failed' IN (thresholds, agreement, tags) THEN 'failed' ELSE 'passed' END AS status,
+       CASE WHEN 'failed' NOT IN (thresholds, agreement, tags) AND a >= 0.5 THEN 'Staging' END AS stage
+FROM checks
+""",
+)
+def validated_promotion(spark, d):
+    metrics, reported, tags = _validated(spark, d)
+    checks = G.run_checks(metrics, reported, tags, {"kinds": "5"}, {"recall": 0.35})
+    return G.validated_promotion(metrics, checks, metric="roc_auc", minimum=0.5)
+
+
+@Q.add(
+    "run_checks_skipped",
+    f"""
+WITH {RUN_METRICS_SQL}
+SELECT run_id, CASE WHEN max(CASE WHEN metric = 'recall' THEN value END) >= 0.35 THEN 'passed' ELSE 'failed' END AS status
+FROM run_metrics GROUP BY run_id
+""",
+)
+def run_checks_skipped(spark, d):
+    """Without reported metrics and tags only the thresholds count."""
+    return G.aggregate_status(G.run_checks(run_metrics(spark, d), minimums={"recall": 0.35}))
+
+
 def _models(prefix: str, score: str) -> str:
     return (
         f"round(avg(CASE WHEN {score} >= 0.5 THEN 1 ELSE 0 END), 6) AS {prefix}_approval_rate, "
@@ -160,6 +227,24 @@ def canary_compare(spark, d):
     return result.select(*[c if c in ("records_compared", "status") else r6(c).alias(c) for c in result.columns])
 
 
+@Q.add(
+    "canary_models",
+    f"""
+WITH {SCORED_SQL},
+s AS (SELECT run_id, count(*) AS records_compared, {_models('candidate', 'candidate')}, {_models('production', 'probability')},
+             avg(CASE WHEN candidate >= 0.5 THEN 1 ELSE 0 END) - avg(CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END) AS da,
+             avg(candidate) - avg(probability) AS dp FROM scored GROUP BY run_id)
+SELECT * EXCLUDE (da, dp), round(abs(da), 6) AS approval_rate_delta, round(abs(dp), 6) AS avg_probability_delta,
+       CASE WHEN abs(da) <= 0.03 AND abs(dp) <= 0.03 THEN 'passed' ELSE 'failed' END AS status FROM s
+""",
+)
+def canary_models(spark, d):
+    """Both models score the same table; the verdict per day."""
+    events = event_features(load(spark, d, "events"))
+    result = canary(events, probability(CANDIDATE, CANDIDATE_INTERCEPT), probability(), max_delta=0.03, by=["run_id"])
+    return result.select(*[c if c in ("run_id", "records_compared", "status") else r6(c).alias(c) for c in result.columns])
+
+
 @Q.add(
     "canary_skipped",
     f"""

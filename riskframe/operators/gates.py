@@ -81,6 +81,50 @@ def aggregate_status(checks: DataFrame, run: str = "run_id") -> DataFrame:
     )
 
 
+def run_checks(
+    run_metrics: DataFrame,
+    reported: DataFrame | None = None,
+    tags: DataFrame | None = None,
+    expected_tags: Mapping[str, str] | None = None,
+    minimums: Mapping[str, float] = MINIMUM_METRICS,
+    tolerance: float = METRIC_TOLERANCE,
+    run: str = "run_id",
+) -> DataFrame:
+    """The whole validation of runs as (run, check, status): thresholds, agreement with reported metrics, tags.
+
+    A check without its input is ``skipped``. Only runs of ``run_metrics`` are judged.
+    """
+    runs = run_metrics.select(col(run)).distinct()
+    gate = metric_gate(run_metrics, minimums, run).select(col(run), F.lit("thresholds").alias("check"), "status")
+    skipped = lambda name: runs.select(col(run), F.lit(name).alias("check"), F.lit("skipped").alias("status"))
+    if reported is None:
+        agreement = skipped("agreement")
+    else:
+        sides = metric_reconcile(run_metrics, reported, tolerance, (run, "metric"))
+        per_run = sides.groupBy(col(run)).agg(F.bool_and(F.col("status") == "match").alias("fits"))
+        agreement = runs.join(per_run, run, "left").select(
+            col(run), F.lit("agreement").alias("check"), F.when(F.col("fits"), "passed").otherwise("failed").alias("status")
+        )
+    if tags is None or not expected_tags:
+        labels = skipped("tags")
+    else:
+        fits = tag_reconcile(tags, expected_tags, run).withColumn("fits", F.col("tag_mismatches") == "")
+        labels = runs.join(fits, run, "left").select(
+            col(run), F.lit("tags").alias("check"), F.when(F.col("fits"), "passed").otherwise("failed").alias("status")
+        )
+    return gate.unionByName(agreement).unionByName(labels)
+
+
+def validated_promotion(run_metrics: DataFrame, checks: DataFrame, run: str = "run_id", **rule) -> DataFrame:
+    """The promotion decision of runs, with their validation status; only a passed run may enter a stage.
+
+    ``rule`` are the options of ``promotion_decision``.
+    """
+    decided = promotion_decision(run_metrics, run=run, **rule)
+    judged = decided.join(aggregate_status(checks, run), run, "left")
+    return judged.withColumn("stage", F.when(F.col("status") == "passed", F.col("stage")))
+
+
 def promotion_decision(
     run_metrics: DataFrame,
     metric: str | None = PROMOTION_METRIC,

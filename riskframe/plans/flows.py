@@ -6,20 +6,21 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions.expr import col
 from riskframe.operators import contract as K
 from riskframe.operators.assemble import check_no_overlap
 from riskframe.operators.drift import DriftReport, drift_metrics_row, drift_report, retrain_decision
 from riskframe.operators.frame import require_columns
-from riskframe.operators.gates import MINIMUM_METRICS, metric_gate
+from riskframe.operators.gates import CANARY_MAX_DELTA, MINIMUM_METRICS, aggregate_status, canary_compare, run_checks
 from riskframe.operators.metrics import evaluate, metrics_table
 from riskframe.operators.profile import lineage
 from riskframe.operators.sampling import split
 from riskframe.operators.storage import stored
 from riskframe.plans import loan_features as L
-from riskframe.plans.scoring import evaluated_rows
+from riskframe.plans.scoring import DECISION_THRESHOLD, add_scores, evaluated_rows
 from riskframe.plans.training import SEED, SMOTE_RATIO, TEST_SIZE, rebalance, train
 
 MEASURES = ("accuracy", "precision", "recall", "f1", "roc_auc", "normalized_gini")
@@ -90,14 +91,49 @@ def train_and_evaluate(
     return TrainingRun(model, metrics, evaluated)
 
 
-def validate_runs(metrics: DataFrame, minimums: Mapping[str, float] = MINIMUM_METRICS, must_pass: bool = True) -> DataFrame:
-    """The gate over run metrics; a failing run raises unless ``must_pass`` is off."""
-    gate = metric_gate(metrics, minimums)
+def validate_runs(
+    metrics: DataFrame,
+    minimums: Mapping[str, float] = MINIMUM_METRICS,
+    must_pass: bool = True,
+    reported: DataFrame | None = None,
+    tags: DataFrame | None = None,
+    expected_tags: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """All checks of runs and their status; a failing run raises unless ``must_pass`` is off."""
+    checks = run_checks(metrics, reported, tags, expected_tags, minimums)
+    status = aggregate_status(checks)
     if must_pass:
-        failed = [r[0] for r in gate.filter("status = 'failed'").select("run_id").limit(5).collect()]
+        failed = [r[0] for r in status.filter("status = 'failed'").select("run_id").limit(5).collect()]
         if failed:
             raise RuntimeError(f"validation failed for: {', '.join(failed)}")
-    return gate
+    return status
+
+
+def canary(
+    table: DataFrame,
+    candidate: PipelineModel | Column,
+    production: PipelineModel | Column | None,
+    threshold: float = DECISION_THRESHOLD,
+    max_delta: float = CANARY_MAX_DELTA,
+    by: Sequence[str] = (),
+    must_pass: bool = False,
+) -> DataFrame:
+    """Scores one table with both models and compares them; a failure raises on request.
+
+    A model without probabilities is compared by its decisions. Without a production model the status is ``skipped``.
+    """
+    models = {"candidate": candidate} | ({"production": production} if production is not None else {})
+    scored = table
+    for name, model in models.items():
+        one = add_scores(scored, model, threshold)
+        value = "probability" if "probability" in one.columns else "prediction"
+        scored = one.withColumn(f"__{name}", col(value).cast("double")).drop("probability", "prediction")
+    compared = canary_compare(
+        scored, "__production" if production is not None else None, "__candidate", threshold, max_delta, by
+    )
+    if must_pass and compared.filter("status = 'failed'").limit(1).count():
+        raise RuntimeError("the candidate departs from the production model")
+    return compared
 
 
 def monitor_production(

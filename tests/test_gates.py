@@ -71,3 +71,26 @@ def test_audit(spark):
     empty = A.inference_audit(df.filter(F.lit(False)), entity="e").first()
     assert (empty["entity_count"], empty["alert_rate"], empty["band_low_risk"]) == (0, 0.0, 0)
     assert [r["e"] for r in A.prediction_sample(df, "e", 1).collect()] == [1]
+
+
+def test_a_run_is_promoted_only_when_all_checks_pass(spark):
+    rows = [(r, m, v, i) for i, r in enumerate("abcd") for m, v in (("roc_auc", 0.8), ("recall", 0.2 if r == "b" else 0.5))]
+    metrics = spark.createDataFrame(rows, "run_id string, metric string, value double, ts long")
+    reported = metrics.withColumn("value", F.when((F.col("run_id") == "c") & (F.col("metric") == "recall"), 0.9).otherwise(F.col("value")))
+    tags = spark.createDataFrame([(r, "owner", "x" if r != "d" else "y") for r in "abcd"], "run_id string, tag string, value string")
+    checks = G.run_checks(metrics, reported, tags, {"owner": "x"}, {"recall": 0.4})
+    got = {r["run_id"]: (r["status"], r["stage"]) for r in G.validated_promotion(metrics, checks).collect()}
+    assert got == {"a": ("passed", "Staging"), "b": ("failed", None), "c": ("failed", None), "d": ("failed", None)}
+    skipped = {(r["run_id"], r["check"]): r["status"] for r in G.run_checks(metrics, minimums={"recall": 0.1}).collect()}
+    assert skipped[("a", "agreement")] == skipped[("a", "tags")] == "skipped" and skipped[("b", "thresholds")] == "passed"
+
+
+def test_canary_of_two_models(spark):
+    from riskframe.plans.flows import canary
+
+    table = spark.createDataFrame([(i, i / 10) for i in range(10)], "id long, x double")
+    row = canary(table, F.col("x"), F.col("x")).first()
+    assert row["status"] == "passed" and row["records_compared"] == 10
+    assert canary(table, F.col("x"), None).first()["status"] == "skipped"
+    with pytest.raises(RuntimeError):
+        canary(table, F.lit(0.9), F.col("x"), must_pass=True)
