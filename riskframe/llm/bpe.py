@@ -74,11 +74,27 @@ class Vocabulary:
 
 
 def _squeeze(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor().compress(np.ascontiguousarray(a, np.uint32).tobytes())
+    """Whole numbers below 2^32, packed byte plane by byte plane: the higher planes hardly vary."""
+    planes = np.ascontiguousarray(a, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor().compress(planes.tobytes())
 
 
 def _spread(b: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint32)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+def _pack_words(words: list[str]) -> tuple[bytes, bytes]:
+    """The words' bytes, one after the other, and their lengths."""
+    encoded = [w.encode() for w in words]
+    lengths = np.fromiter(map(len, encoded), np.uint32, len(encoded))
+    return zstandard.ZstdCompressor().compress(b"".join(encoded)), _squeeze(lengths)
+
+
+def _open_words(packed: bytes, lengths: bytes) -> list[str]:
+    content = zstandard.ZstdDecompressor().decompress(packed)
+    ends = np.cumsum(_spread(lengths), dtype=np.int64).tolist()
+    return [content[a:b].decode() for a, b in zip([0, *ends], ends)]
 
 
 def split_unit(texts: list[str], pattern: str) -> tuple[list[str], list[np.ndarray]]:
@@ -92,7 +108,8 @@ def split_unit(texts: list[str], pattern: str) -> tuple[list[str], list[np.ndarr
     find = regex.compile(pattern).findall
     flat, counts = [], np.zeros(len(pieces), np.int64)
     for i, piece in enumerate(pieces):
-        own = find(piece)
+        letters = piece[1:] if piece[0] == " " else piece
+        own = [piece] if letters.isalpha() else find(piece)  # letters after at most one blank are one pre-token
         counts[i] = len(own)
         flat += [words.setdefault(w, len(words)) for w in own]
     codes = np.array(flat, np.uint32)
@@ -144,12 +161,14 @@ def _words_of_units(pattern: str, buckets: int, unit_bytes: int):
             order = np.argsort(bucket, kind="stable")
             bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in range(buckets):
-                own = order[bounds[b] : bounds[b + 1]]
-                if len(own):
+                own = order[bounds[b] : bounds[b + 1]].tolist()
+                if own:
+                    own.sort(key=words.__getitem__)  # neighbours in the alphabet pack well
+                    packed, lengths = _pack_words([words[i] for i in own])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([b], pa.int32()), pa.array([key]), pa.array([_squeeze(own)], pa.binary()),
-                         pa.array([[words[i] for i in own]], pa.list_(pa.string()))],
-                        ["bucket", "unit", "places", "words"],
+                         pa.array([packed], pa.binary()), pa.array([lengths], pa.binary())],
+                        ["bucket", "unit", "places", "words", "lengths"],
                     )
 
     return run
@@ -162,8 +181,8 @@ def _encode_words(vocabulary: Broadcast):
         encoder = Vocabulary.of(vocabulary).encoder
         known: dict[str, list[int]] = {}
         for batch in batches:
-            for unit, places, words in zip(*[batch.column(c) for c in ("unit", "places", "words")]):
-                words = words.as_py()
+            for unit, places, packed, lengths in zip(*[batch.column(c) for c in ("unit", "places", "words", "lengths")]):
+                words = _open_words(packed.as_py(), lengths.as_py())
                 new = [w for w in words if w not in known]
                 if new:
                     known.update(zip(new, encoder.encode_ordinary_batch(new, num_threads=1)))
@@ -250,7 +269,7 @@ def encode(
         vocabulary = spark.sparkContext.broadcast((file.read(), pattern))
     buckets = shuffle_parallelism(spark)
     words = slim.mapInArrow(
-        _words_of_units(pattern, buckets, unit_bytes), "bucket int, unit string, places binary, words array<string>"
+        _words_of_units(pattern, buckets, unit_bytes), "bucket int, unit string, places binary, words binary, lengths binary"
     )
     encoded = words.repartition(buckets, "bucket").mapInArrow(
         _encode_words(vocabulary), "unit string, places binary, counts binary, ids binary"
