@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from riskframe.catalog.base import Catalog, day_number, load, r6, settle, settle_sql
 from riskframe.functions import expr as X
 from riskframe.operators.assemble import Side, assemble, key_overlap
-from riskframe.operators.rollup import attach_to_entity, ratio_of, single_level_rollup, two_level_rollup
+from riskframe.operators.rollup import attach_to_entity, frequent_keys, ratio_of, single_level_rollup, two_level_rollup
 
 Q = Catalog()
 
@@ -188,7 +188,8 @@ GROUP BY o_custkey
 def attach_inner(spark, d):
     lines = load(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber")
     link = load(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    attached = attach_to_entity(lines, link, "o_orderkey", "o_custkey")
+    hot = frequent_keys(lines, "o_orderkey", at_least=7)  # orders of many lines, as an example of hot keys
+    attached = attach_to_entity(lines, link, "o_orderkey", "o_custkey", hot=hot)
     return single_level_rollup(
         attached, "o_custkey", {"n_lines": F.count(F.lit(1)), "line_sum": F.sum("l_linenumber")}
     )

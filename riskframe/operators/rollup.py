@@ -25,16 +25,25 @@ def ratio_of(parts: DataFrame, name: str, num: str, den: str) -> DataFrame:
     return parts.withColumn(name, F.try_divide(col(num).cast("double"), col(den).cast("double")))
 
 
-def attach_to_entity(child: DataFrame, link: DataFrame, key: str, entity: str, how: str = "inner") -> DataFrame:
+def attach_to_entity(
+    child: DataFrame, link: DataFrame, key: str, entity: str, how: str = "inner", hot: Sequence = ()
+) -> DataFrame:
     """Brings the entity id to child rows through a link table.
 
     Inner drops children without a link; left keeps them under a NULL entity.
     A link key that occurs twice repeats its children. Only the two link
     columns are read, so several roll-ups over the same link share one exchange.
+    ``hot`` are keys of very many children (``frequent_keys`` of the child table): those children
+    stay where they are, and the link rows of the few keys are broadcast to them.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"attach supports inner and left, not {how!r}")
-    return child.join(link.select(col(key), col(entity)), key, how)
+    pairs = link.select(col(key), col(entity))
+    if not hot:
+        return child.join(pairs, key, how)
+    is_hot = F.coalesce(col(key).isin(list(hot)), F.lit(False))
+    cold = child.filter(~is_hot).join(pairs.filter(~is_hot), key, how)
+    return cold.unionByName(child.filter(is_hot).join(F.broadcast(pairs.filter(is_hot)), key, how))
 
 
 #: Default of the ``at_least`` and ``hot_from`` arguments: rows of one link key that one join task should not get alone.

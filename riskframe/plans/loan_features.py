@@ -50,28 +50,21 @@ REGION = ["REGION_RATING_CLIENT", "REGION_RATING_CLIENT_W_CITY", "REGION_POPULAT
 SOCIAL_CIRCLE = [f"{kind}_{days}_CNT_SOCIAL_CIRCLE" for kind in ("OBS", "DEF") for days in (30, 60)]
 ENQUIRIES = [f"AMT_REQ_CREDIT_BUREAU_{span}" for span in ("HOUR", "DAY", "WEEK", "MON", "QRT", "YEAR")]
 CATEGORY_LEVELS = {
+    "NAME_CONTRACT_TYPE": ["Cash loans", "Revolving loans"],
     "CODE_GENDER": ["F", "M", "XNA"],
-    "WEEKDAY_APPR_PROCESS_START": [
-        "FRIDAY", "MONDAY", "SATURDAY", "SUNDAY", "THURSDAY", "TUESDAY", "WEDNESDAY",
-    ],
+    "FLAG_OWN_CAR": ["N", "Y"],
+    "FLAG_OWN_REALTY": ["N", "Y"],
     "NAME_INCOME_TYPE": [
-        "Businessman", "Commercial associate", "Maternity leave", "Pensioner", "State servant",
-        "Student", "Unemployed", "Working",
+        "Businessman", "Commercial associate", "Maternity leave", "Pensioner", "State servant", "Student", "Unemployed", "Working",
     ],
     "NAME_EDUCATION_TYPE": [
-        "Academic degree", "Higher education", "Incomplete higher", "Lower secondary",
-        "Secondary / secondary special",
+        "Academic degree", "Higher education", "Incomplete higher", "Lower secondary", "Secondary / secondary special",
     ],
+    "NAME_FAMILY_STATUS": ["Civil marriage", "Married", "Separated", "Single / not married", "Unknown", "Widow"],
     "NAME_HOUSING_TYPE": [
-        "Co-op apartment", "House / apartment", "Municipal apartment", "Office apartment",
-        "Rented apartment", "With parents",
-    ],
-    "NAME_CONTRACT_TYPE": ["Cash loans", "Revolving loans"],
-    "NAME_FAMILY_STATUS": [
-        "Civil marriage", "Married", "Separated", "Single / not married", "Unknown", "Widow",
+        "Co-op apartment", "House / apartment", "Municipal apartment", "Office apartment", "Rented apartment", "With parents",
     ],
-    "FLAG_OWN_CAR": ["N", "Y"],
-    "FLAG_OWN_REALTY": ["N", "Y"],
+    "WEEKDAY_APPR_PROCESS_START": ["FRIDAY", "MONDAY", "SATURDAY", "SUNDAY", "THURSDAY", "TUESDAY", "WEDNESDAY"],
 }
 RATIOS = {
     "PAYMENT_RATE": ("AMT_ANNUITY", "AMT_CREDIT"),
@@ -155,7 +148,7 @@ def bureau_features(bureau: DataFrame, eps: float = X.EPS_DEFAULT) -> DataFrame:
     )
 
 
-def bureau_balance_features(bureau_balance: DataFrame, bureau: DataFrame) -> DataFrame:
+def bureau_balance_features(bureau_balance: DataFrame, bureau: DataFrame, hot_links: Sequence = ()) -> DataFrame:
     """Monthly statuses. The last delinquent month is a conditional maximum of the first
     aggregate, so the delinquent rows need no scan and join of their own."""
     status = X.code_to_number("STATUS")
@@ -176,6 +169,7 @@ def bureau_balance_features(bureau_balance: DataFrame, bureau: DataFrame) -> Dat
             "BB_MONTHS_SINCE_LAST_DELINQ_MIN": F.min("since_late"),
         },
         how="left",
+        hot_links=hot_links,
     )
 
 
@@ -286,16 +280,17 @@ def joined_features(
 ) -> DataFrame:
     """One row per applicant with all raw features, before encoding.
 
-    NaN in a table of numbers is a missing value. Earlier contracts are not promised to be unique, so
-    their table is searched once for contract ids that occur at least ``hot_from`` times; those are joined
-    another way, with the same result.
+    NaN in a table of numbers is a missing value. Earlier contracts and bureau records are not promised to be
+    unique, so their tables are searched once for ids that occur at least ``hot_from`` times; those are
+    joined another way, with the same result.
     """
     tables = LoanTables(**{name: nan_to_null(df) for name, df in vars(tables).items()})
     previous = tables.previous_application
     hot = frequent_keys(previous, CONTRACT_KEY, at_least=hot_from) if check_keys else []
+    hot_bureau = frequent_keys(tables.bureau, BUREAU_KEY, at_least=hot_from) if check_keys else []
     sides = [
         bureau_features(tables.bureau, eps),
-        bureau_balance_features(tables.bureau_balance, tables.bureau),
+        bureau_balance_features(tables.bureau_balance, tables.bureau, hot_bureau),
         previous_application_features(previous),
         installment_features(tables.installments, previous, eps, hot),
         credit_card_features(tables.credit_card, previous, eps, hot),
@@ -358,13 +353,26 @@ def feature_table(
     return finish_features(encode_features(joined, max_levels=max_levels))
 
 
+# The model's columns before the category levels, in the configured order.
+MODEL_NUMBERS = [
+    "CNT_CHILDREN", "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "REGION_POPULATION_RELATIVE",
+    "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_EMPLOYED_ANOM", "DAYS_EMPLOYED_REPLACED", "AGE_YEARS", "EMPLOYED_YEARS",
+    "EMPLOYMENT_YEARS_TO_AGE", "DAYS_REGISTRATION", "DAYS_ID_PUBLISH", "FLAG_MOBIL", "FLAG_EMP_PHONE", "FLAG_WORK_PHONE",
+    "FLAG_CONT_MOBILE", "FLAG_PHONE", "FLAG_EMAIL", "CNT_FAM_MEMBERS", "REGION_RATING_CLIENT",
+    "REGION_RATING_CLIENT_W_CITY", "HOUR_APPR_PROCESS_START", "REG_REGION_NOT_LIVE_REGION",
+    "REG_REGION_NOT_WORK_REGION", "LIVE_REGION_NOT_WORK_REGION", "REG_CITY_NOT_LIVE_CITY", "REG_CITY_NOT_WORK_CITY",
+    "LIVE_CITY_NOT_WORK_CITY", "EXT_SOURCE_2", "EXT_SOURCE_3", "EXT_SOURCE_1_IS_MISSING", "EXT_SOURCE_2_IS_MISSING",
+    "EXT_SOURCE_3_IS_MISSING", "TOT_MISSING_COUNT", "OBS_30_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE",
+    "OBS_60_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE", "DAYS_LAST_PHONE_CHANGE", *DOCUMENT_FLAGS,
+    *ENQUIRIES, "missing_count", "PAYMENT_RATE", "CREDIT_TO_INCOME", "ANNUITY_TO_INCOME", "GOODS_TO_CREDIT",
+    "INCOME_PER_PERSON", "CHILDREN_RATIO", "DOC_COUNT", "CONTACT_COUNT", "ADDR_MISMATCH_SUM", "OWN_CAR_AGE_IS_MISSING",
+]
+
+
 def model_columns(vocabulary: Mapping[str, Sequence[str]] = CATEGORY_LEVELS) -> list[str]:
-    """The 162 columns the model reads."""
-    numbers = [c for c in PASSED_THROUGH if c not in (ENTITY, TARGET, "EXT_SOURCE_1", *CATEGORY_LEVELS)]
-    derived = ["DAYS_EMPLOYED_ANOM", "DAYS_EMPLOYED_REPLACED", "AGE_YEARS", "EMPLOYED_YEARS", "EMPLOYMENT_YEARS_TO_AGE"]
-    counts = [f"{c}_IS_MISSING" for c in INDICATED] + ["missing_count", "DOC_COUNT", "CONTACT_COUNT", "ADDR_MISMATCH_SUM"]
+    """The 162 columns the model reads, in the order that coefficients and vectors follow."""
     levels = [f"{c}_{v}" for c, values in vocabulary.items() for v in values]
-    return numbers + derived + list(RATIOS) + counts + levels + HISTORY_FEATURES
+    return MODEL_NUMBERS + levels + HISTORY_FEATURES
 
 
 # Names of the history features.
@@ -385,6 +393,7 @@ HISTORY_FEATURES = [
 
 
 # --- contracts of the raw tables ------------------------------------------------------
+# Columns, kinds and bounds that the raw tables promise.
 
 _ID = K.Field(nullable=False, rules=(K.NON_NEGATIVE,))
 _UNIQUE_ID = K.Field(nullable=False, rules=(K.NON_NEGATIVE,), unique=True)

@@ -62,6 +62,19 @@ def test_frequent_keys(spark):
     assert frequent_keys(link, "k", share=0.1, at_least=90) == []
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_hot_key_is_spread_and_changes_nothing(spark, how):
+    child = spark.createDataFrame([(1 if i % 2 else i, i) for i in range(4000)] + [(None, -1)], "k int, v int").repartition(8)
+    link = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (None, 30), (9999, 40)], "k int, e int")
+    plain = attach_to_entity(child, link, "k", "e", how)
+    hot = frequent_keys(child, "k", at_least=1000)
+    assert hot == [1]
+    spread = attach_to_entity(child, link, "k", "e", how, hot)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
+    shares = [r[0] for r in spread.filter("k = 1").groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert len(shares) >= 8 and max(shares) < 1000
+
+
 def test_attach_refuses_other_joins(tables):
     with pytest.raises(ValueError):
         attach_to_entity(*tables, "k", "e", "full")
