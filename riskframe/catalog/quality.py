@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, event_features, load
 from riskframe.operators import contract as K
+from riskframe.operators import profile as P
 from riskframe.operators.assemble import duplicate_keys
 
 Q = Catalog()
@@ -186,3 +187,20 @@ def layer_contracts(spark, d):
     K.check_features_present(features, ["entity", "target"])
     store = K.run_contract(features, K.feature_store_contract("target", "entity"))
     return store.unionByName(K.run_contract(features, K.split_contract("target", "entity", "train")))
+
+
+@Q.add(
+    "cardinality",
+    """
+WITH d AS (SELECT doc.lang, doc.source, doc.n_chars, l.quality, l.toxic FROM documents doc LEFT JOIN labels l USING (doc_id))
+SELECT "column", count(DISTINCT v) AS n_distinct, count(DISTINCT v) + max(CASE WHEN v IS NULL THEN 1 ELSE 0 END) AS n_distinct_with_missing
+FROM (SELECT 'lang' AS "column", lang AS v FROM d UNION ALL SELECT 'source', source FROM d
+      UNION ALL SELECT 'n_chars', CAST(n_chars AS VARCHAR) FROM d UNION ALL SELECT 'quality', CAST(quality AS VARCHAR) FROM d
+      UNION ALL SELECT 'toxic', CAST(toxic AS VARCHAR) FROM d)
+GROUP BY "column"
+""",
+)
+def cardinality(spark, d):
+    columns = ["lang", "source", "n_chars", "quality", "toxic"]
+    joined = load(spark, d, "documents").drop("text").join(load(spark, d, "labels"), "doc_id", "left")
+    return P.cardinality(joined, columns)

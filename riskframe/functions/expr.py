@@ -10,12 +10,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values.
-EPS_DEFAULT = 1e-6
+RATIO_EPSILON = 1e-6
 DAYS_PER_YEAR = 365
 EMPLOYMENT_SENTINEL = 365243
 ZERO_STATUS_CODES = ("C", "X", "0")
 HIGH_RISK_FROM = 0.7
 MEDIUM_RISK_FROM = 0.4
+BANDS = ("high_risk", "medium_risk", "low_risk")
 
 
 def quoted(name: str) -> str:
@@ -40,7 +41,7 @@ def is_missing(value: Column | str, floating: bool = False) -> Column:
 # --- ratios -----------------------------------------------------------------
 
 
-def eps_ratio(num: Column | str, den: Column | str, eps: float = EPS_DEFAULT) -> Column:
+def eps_ratio(num: Column | str, den: Column | str, eps: float = RATIO_EPSILON) -> Column:
     """``num / (den + eps)``; NULL if the shifted denominator is exactly zero."""
     return F.try_divide(_as_col(num).cast("double"), _as_col(den).cast("double") + F.lit(float(eps)))
 
@@ -63,12 +64,12 @@ def sentinel_to_null(value: Column | str, sentinel) -> Column:
     return F.nullif(_as_col(value), F.lit(sentinel))
 
 
-def days_to_years(days: Column | str, eps: float = EPS_DEFAULT) -> Column:
+def days_to_years(days: Column | str, eps: float = RATIO_EPSILON) -> Column:
     """Offsets count backwards from the application, so the sign is flipped."""
     return -_as_col(days).cast("double") / F.lit(DAYS_PER_YEAR + eps)
 
 
-def tenure_share(days: Column | str, life_days: Column | str, eps: float = EPS_DEFAULT) -> Column:
+def tenure_share(days: Column | str, life_days: Column | str, eps: float = RATIO_EPSILON) -> Column:
     """Length of one backward offset as a share of another."""
     return eps_ratio(-_as_col(days), -_as_col(life_days), eps)
 
@@ -122,7 +123,7 @@ def last_offset_where(predicate: Column, offset: Column | str) -> Column:
     return -F.max(F.when(predicate, _as_col(offset)))
 
 
-def mean_of_ratio(num: Column | str, den: Column | str, eps: float | None = EPS_DEFAULT) -> Column:
+def mean_of_ratio(num: Column | str, den: Column | str, eps: float | None = RATIO_EPSILON) -> Column:
     return F.avg(plain_ratio(num, den) if eps is None else eps_ratio(num, den, eps))
 
 
@@ -131,7 +132,7 @@ def mean_of_ratio(num: Column | str, den: Column | str, eps: float | None = EPS_
 
 def risk_band(probability: Column | str, high: float = HIGH_RISK_FROM, mid: float = MEDIUM_RISK_FROM) -> Column:
     p = _as_col(probability)
-    return F.when(p >= high, "high_risk").when(p >= mid, "medium_risk").otherwise("low_risk")
+    return F.when(p >= high, BANDS[0]).when(p >= mid, BANDS[1]).otherwise(BANDS[2])
 
 
 def decide(probability: Column | str, threshold: float) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.expr import col, is_missing
 from riskframe.operators.assemble import duplicate_keys
-from riskframe.operators.frame import FLOATING, floating_columns, missing_columns, numeric_values
+from riskframe.operators.frame import FLOATING, floating_columns, missing_columns
 
 REPORT_SCHEMA = "table string, column string, check string, failures bigint, passed boolean"
 
@@ -158,7 +158,7 @@ def mark_broken(df: DataFrame, contract: Contract) -> DataFrame:
     """All rows with the broken checks in ``reasons``. A declared column the frame lacks raises."""
     absent = missing_columns(df, contract.fields)
     if absent:
-        raise ValueError(f"{contract.name} is missing required columns: {', '.join(absent[:10])}")
+        raise ValueError(f"{contract.name} lacks declared columns: {', '.join(absent[:10])}")
     return df.withColumn("reasons", broken_checks(df, contract))
 
 
@@ -189,7 +189,7 @@ def feature_store_contract(target: str, entity: str) -> Contract:
 def check_features_present(df: DataFrame, features: Sequence[str], label: str = "feature store") -> None:
     absent = sorted(set(missing_columns(df, features)))
     if absent:
-        raise ValueError(f"{label} is missing expected features: {', '.join(absent[:10])}")
+        raise ValueError(f"{label} lacks {len(absent)} of the wanted features: {', '.join(absent[:10])}")
 
 
 def split_contract(target: str, entity: str, name: str = "split") -> Contract:
@@ -245,8 +245,3 @@ def request_check(df: DataFrame, columns: Sequence[str], entity: str | None) ->
             (F.col("failures") == 0).alias("passed"),
         )
     )
-
-
-def coercible(value: Column) -> Column:
-    """Whether a text value reads as a number."""
-    return numeric_values(value).isNotNull()

@@ -41,7 +41,7 @@ def require_columns(df: DataFrame, columns: Sequence[str], label: str = "input")
     """The listed columns in the listed order; names what is absent otherwise."""
     absent = missing_columns(df, columns)
     if absent:
-        raise ValueError(f"{label} is missing required columns: {', '.join(absent)}")
+        raise ValueError(f"{label} lacks columns: {', '.join(absent)}")
     return project(df, columns)
 
 

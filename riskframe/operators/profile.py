@@ -38,6 +38,25 @@ def profile_table(df: DataFrame, name: str = "table") -> DataFrame:
     ).select("table", "n_rows", "n_columns", "x.*")
 
 
+def cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Per column: distinct values, and the same with "missing" as one more value. Exact, in one shuffle.
+
+    Values are told apart by their text, counted once per task before they are shuffled.
+    """
+    floating = floating_columns(df)
+    cells = F.array(
+        *[
+            F.struct(F.lit(i).alias("no"), F.when(~is_missing(c, c in floating), col(c).cast("string")).alias("value"))
+            for i, c in enumerate(columns)
+        ]
+    )
+    kinds = df.select(F.explode(cells).alias("x")).select("x.*").distinct()
+    name = F.get(F.array(*[F.lit(c) for c in columns]), F.col("no"))
+    return kinds.groupBy("no").agg(
+        F.count("value").alias("n_distinct"), F.count(F.lit(1)).alias("n_distinct_with_missing")
+    ).select(name.alias("column"), "n_distinct", "n_distinct_with_missing")
+
+
 def top_missing(df: DataFrame, n: int = 10, name: str = "table") -> DataFrame:
     """The ``n`` columns with the largest missing fraction above zero."""
     return (

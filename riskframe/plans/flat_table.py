@@ -22,7 +22,7 @@ from riskframe.plans.loan_features import ADDRESS_FLAGS, CONTACT_FLAGS, DOCUMENT
 
 @dataclass(frozen=True)
 class FlatConfig:
-    eps: float = X.EPS_DEFAULT
+    eps: float = X.RATIO_EPSILON
     sentinel: int | None = X.EMPLOYMENT_SENTINEL
     indicated: Sequence[str] = tuple(INDICATED)
     missing_count: bool = True

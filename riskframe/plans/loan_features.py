@@ -110,7 +110,7 @@ class LoanTables:
 # --- one function per table ---------------------------------------------------------
 
 
-def application_features(application: DataFrame, eps: float = X.EPS_DEFAULT) -> DataFrame:
+def application_features(application: DataFrame, eps: float = X.RATIO_EPSILON) -> DataFrame:
     """Row-wise features; nothing here needs a shuffle."""
     counted = application.withColumn("TOT_MISSING_COUNT", row_missing_count(application))
     employed = X.sentinel_to_null("DAYS_EMPLOYED", X.EMPLOYMENT_SENTINEL)
@@ -128,7 +128,7 @@ def application_features(application: DataFrame, eps: float = X.EPS_DEFAULT) ->
     return counted.select(*[col(c) for c in PASSED_THROUGH], *[c.alias(n) for n, c in derived.items()])
 
 
-def bureau_features(bureau: DataFrame, eps: float = X.EPS_DEFAULT) -> DataFrame:
+def bureau_features(bureau: DataFrame, eps: float = X.RATIO_EPSILON) -> DataFrame:
     return single_level_rollup(
         bureau,
         ENTITY,
@@ -213,7 +213,7 @@ def _contract_rollup(
 
 
 def installment_features(
-    installments: DataFrame, previous: DataFrame, eps: float = X.EPS_DEFAULT, hot_links: Sequence = ()
+    installments: DataFrame, previous: DataFrame, eps: float = X.RATIO_EPSILON, hot_links: Sequence = ()
 ) -> DataFrame:
     paid = X.eps_ratio("AMT_PAYMENT", "AMT_INSTALMENT", eps)
     late = X.day_gap("DAYS_ENTRY_PAYMENT", "DAYS_INSTALMENT")
@@ -237,7 +237,7 @@ def _overdue():
 
 
 def credit_card_features(
-    credit_card: DataFrame, previous: DataFrame, eps: float = X.EPS_DEFAULT, hot_links: Sequence = ()
+    credit_card: DataFrame, previous: DataFrame, eps: float = X.RATIO_EPSILON, hot_links: Sequence = ()
 ) -> DataFrame:
     used = X.eps_ratio("AMT_BALANCE", "AMT_CREDIT_LIMIT_ACTUAL", eps)
     coverage = X.eps_ratio("AMT_PAYMENT_TOTAL_CURRENT", "AMT_INST_MIN_REGULARITY", eps)
@@ -276,7 +276,7 @@ def pos_cash_features(pos_cash: DataFrame, previous: DataFrame, hot_links: Seque
 
 
 def joined_features(
-    tables: LoanTables, eps: float = X.EPS_DEFAULT, check_keys: bool = True, hot_from: int = HOT_FROM
+    tables: LoanTables, eps: float = X.RATIO_EPSILON, check_keys: bool = True, hot_from: int = HOT_FROM
 ) -> DataFrame:
     """One row per applicant with all raw features, before encoding.
 
@@ -342,7 +342,7 @@ def finish_features(
 
 def feature_table(
     tables: LoanTables,
-    eps: float = X.EPS_DEFAULT,
+    eps: float = X.RATIO_EPSILON,
     check_keys: bool = True,
     hot_from: int = HOT_FROM,
     max_levels: int = MAX_LEVELS,

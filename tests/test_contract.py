@@ -86,7 +86,7 @@ def test_quarantine(spark):
     valid, rejected = K.quarantine(df, C)
     assert [r["id"] for r in valid.collect()] == [1]
     assert rejected.first()["reasons"] == ["id:non_negative", "y:one_of"]
-    with pytest.raises(ValueError, match="missing required columns: y"):
+    with pytest.raises(ValueError, match="lacks declared columns: y"):
         K.quarantine(df.drop("y"), C)
 
 

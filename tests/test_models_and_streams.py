@@ -38,7 +38,7 @@ def test_train_save_load_score(spark, table, kind, params):
 def test_training_refusals(table):
     with pytest.raises(ValueError, match="unsupported model kind"):
         T.train(table, FEATURES, "TARGET", "svm")
-    with pytest.raises(ValueError, match="missing required columns: feature_9"):
+    with pytest.raises(ValueError, match="lacks columns: feature_9"):
         T.train(table, ["feature_9"], "TARGET", "logistic")
 
 
@@ -75,7 +75,7 @@ def test_stream_scores_or_rejects(spark, arrivals, tmp_path):
     assert scored.count() == 40 and scored.filter("(probability >= 0.5) <> (prediction = 1)").count() == 0
     reasons = [r["reasons"] for r in spark.read.parquet(str(tmp_path / "bad")).collect()]
     assert sorted(map(tuple, reasons)) == [("feature_1:non_negative",)] * 2 + [("feature_1:not_null",)] * 2
-    with pytest.raises(ValueError, match="missing required columns"):
+    with pytest.raises(ValueError, match="lacks declared columns"):
         S.score_stream(stream.drop("feature_2"), model, CONTRACT)
 
 
