@@ -20,9 +20,11 @@ empty table gives empty files.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +38,11 @@ from riskframe.session import scratch_path, shuffle_parallelism
 LIMIT = 20
 CHECKPOINT = 512
 BLOCK_IDS = 1 << 18
-#: Words whose ids a worker remembers; others are tokenized again.
-REMEMBERED = 300_000
+#: Pieces, and words, whose ids a worker remembers; others are tokenized again.
+REMEMBERED = 600_000
+WORDS_TOGETHER = 5_000
+#: ASCII punctuation without the apostrophe, which begins a word of its own kind.
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _CODED = "doc_id long, tie long, shard int, n int, bits array<int>, payload binary"
 _BLOCKS = (
     "shard int, block int, first long, doc_ids array<long>, lengths array<int>, checkpoints array<long>, payload binary"
@@ -128,7 +133,10 @@ class Codebook:
 class WordTokenizer:
     """A tokenizer of the tokenizers library, asked once per distinct word while the word is remembered.
 
-    Words are cut at ASCII white space, over which neither its normalization nor its splitting reaches.
+    Texts are cut at ASCII white space, over which neither its normalization nor its splitting reaches. A cut piece of
+    letters with ASCII punctuation behind them is two words of their own, the letters lowered if they are ASCII,
+    because the tokenizer lowers and splits them so. Plain words are encoded many at a time; where each of
+    them is one word to the tokenizer, the ends of words in its vocabulary tell them apart again.
     """
 
     _built: dict[int, WordTokenizer] = {}
@@ -139,7 +147,15 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = {}
+        settings = json.loads(content)
+        suffix = settings["model"].get("end_of_word_suffix")
+        self.lowers = '"Lowercase"' in json.dumps(settings.get("normalizer"))
+        self.ends: np.ndarray | None = None
+        if suffix:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        self.pieces: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
     @classmethod
     def of(cls, content: str) -> WordTokenizer:
@@ -148,20 +164,56 @@ class WordTokenizer:
             cls._built[key] = cls(content)
         return cls._built[key]
 
+    def _one_by_one(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, np.uint32).tobytes() for e in found]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are all letters or all punctuation."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):  # some word is several to the tokenizer
+            return self._one_by_one(words)
+        raw, bounds = ids.tobytes(), (4 * ends).tolist()
+        return [raw[a:b] for a, b in zip([0, *bounds], bounds)]
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """Ids of new pieces, from those of their words."""
+        split, new, odd = [], set(), []
+        for piece in pieces:
+            letters = piece.rstrip(_PUNCTUATION)
+            rest = piece[len(letters) :]
+            if self.ends is None or not (letters.isalpha() or not letters or letters.decode().isalpha()):
+                odd.append(piece)
+                continue
+            if self.lowers and letters.isascii():
+                letters = letters.lower()
+            split.append((piece, letters, rest))
+            new.add(letters)
+            new.add(rest)
+        new = [w for w in new if w and w not in self.words]
+        for low in range(0, len(new), WORDS_TOGETHER):
+            part = new[low : low + WORDS_TOGETHER]
+            self.words.update(zip(part, self._plain([w.decode() for w in part])))
+        self.words[b""] = b""
+        for piece, letters, rest in split:
+            self.pieces[piece] = self.words[letters] + self.words[rest]
+        for low in range(0, len(odd), WORDS_TOGETHER):
+            part = odd[low : low + WORDS_TOGETHER]
+            self.pieces.update(zip(part, self._one_by_one([p.decode() for p in part])))
+
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text."""
         split = [t.split() for t in texts]
-        missing = set().union(*split).difference(self.known)
-        if len(self.known) + len(missing) > REMEMBERED:
-            kept = dict(list(self.known.items())[: REMEMBERED // 3])  # the words met first are the frequent ones
-            missing |= set().union(*split).difference(kept).difference(missing)
-            self.known = kept
-        new = list(missing)
-        for low in range(0, len(new), 10_000):
-            part = new[low : low + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(part, found))
-        look = self.known.__getitem__
+        wanted = set().union(*split)
+        if len(self.pieces) > REMEMBERED:  # what was met first is what is frequent
+            self.pieces = dict(islice(self.pieces.items(), REMEMBERED // 3))
+        if len(self.words) > REMEMBERED:
+            self.words = dict(islice(self.words.items(), REMEMBERED // 3))
+        self._learn(list(wanted.difference(self.pieces)))
+        look = self.pieces.__getitem__
         return [np.frombuffer(b"".join(map(look, words)), np.uint32) for words in split]
 
 
