@@ -47,3 +47,18 @@ def test_bad_matrix_is_refused(built):
     holes = features.withColumn("AGE_YEARS", F.lit(None).cast("double"))
     with pytest.raises(ValueError, match="missing_cells"):
         flows.train_and_evaluate(holes, holes, ["AGE_YEARS"], kind="logistic")
+
+
+def test_stored_tables_go_with_their_owner(spark):
+    from pathlib import Path
+
+    from riskframe.operators.storage import stored
+    from riskframe.session import scratch_tables, shared_folder
+
+    kept = stored(spark.range(3), "kept")
+    before = set(Path(shared_folder(spark).removeprefix("file:")).iterdir())
+    with scratch_tables(spark):
+        assert stored(spark.range(5), "gone").count() == 5
+        assert set(Path(shared_folder(spark).removeprefix("file:")).iterdir()) > before
+    assert set(Path(shared_folder(spark).removeprefix("file:")).iterdir()) == before
+    assert kept.count() == 3
