@@ -63,7 +63,7 @@ def test_codes_round_trip(texts):
 
 TEXTS = [
     "Hello  World's it's\n\n tabs\tend", "", None, " ", "é NFC é ÀÉ ß İ ŉ", "日本語 123 😀", "a" * 30_000, "word " * 20_000,
-    "\x00\x1c\x85x y　z", "<|endoftext|> x <|startoftext|>", "don't 'S 'Ll", "̈ x ̈", "x", "x",
+    "\x00\x1c\x85x y　z", "H̱ T̈ İ Å. k̈, Word. WORD, x.'s a.. b ., c.\n.d e,\tf", "<|endoftext|> x <|startoftext|>", "don't 'S 'Ll", "̈ x ̈", "x", "x",
 ]
 
 
@@ -80,14 +80,14 @@ def expected(rows, tokenizer):
 def test_files_equal_the_library(spark, tokenizer, monkeypatch, block):
     monkeypatch.setattr(huffman, "BLOCK_IDS", block)
     path = scratch_path(spark, "tokens")
-    ids = [5, 3, 9, -4, 0, 12, 7, 100, 101, 55, 56, 57, 2**40, -(2**41)]
+    ids = [5, 3, 9, -4, 0, 12, 7, 100, 101, 55, 56, 57, 2**40, -(2**41), 58]
     huffman.write_tokens(docs_table(spark, TEXTS, ids), path, PATH)
     got = sorted((tuple(r)[:4] for r in huffman.read_tokens(spark, path, with_ids=False).collect()), key=lambda r: r[1])
     assert got == expected(sorted(zip(ids, TEXTS)), tokenizer)
 
 
 def test_hot_ids_null_ids_and_real_ids(spark, tokenizer):
-    ids = [None, 1, 7, 7, 7, 7, 7, 7, 7, 7, 7, 7, 9, 9]
+    ids = [None, 1, 7, 7, 7, 7, 7, 7, 7, 7, 7, 7, 9, 9, 9]
     path = scratch_path(spark, "tokens")
     huffman.write_tokens(docs_table(spark, TEXTS, ids), path, PATH, shards=6)
     rows = sorted(huffman.read_tokens(spark, path).collect(), key=lambda r: r["start"])
