@@ -39,11 +39,21 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: Runs of fewer than sixteen are dropped in any case, so only longer ones are matched.
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
+#: A credential word and what stands between it and its value.
 CONTEXT = re.compile(
     r"(?ai:pass(?:word|wd|phrase|code)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credentials?)"
-    r"[\"']?\x20*(?:[:=]|\x20is\x20)\x20*[\"']?([!-~]{6,})"
+    r"[\"']?\x20*(?:[:=]|\x20is\x20)\x20*([\"']?)"
 )
+_RUN = re.compile(r"[!-~]*")
+#: The closing quote of a quoted value: not escaped, and nothing of a value behind it.
+_CLOSING = {q: re.compile(rf"(?<!\\){q}(?![^,;:&)\]}}>.\"'\\\x20])") for q in "\"'"}
+#: Ends a value if a key follows; the keys of connection strings may hold blanks.
+_DELIMITERS = re.compile(r"[\"',;&{}\[\])\\]+")
+_ENDING = frozenset("\"',;&{}")
+_KEY = re.compile(r"\x20*+\\?[\"']?[A-Za-z_][\w.-]*+\\?[\"']?\x20*+[:=]", re.ASCII)
+_LONG_KEY = re.compile(r"\x20*+[A-Za-z_][\w.-]*+(?:\x20[\w.-]++){0,2}+\x20*+=", re.ASCII)
 _TRIM = "\"',;.)]}>"
+LEAST_LENGTH = 6
 
 # Words that people put into passwords, most common first.
 COMMON_WORDS = """password pass word admin login user welcome letmein master secret dragon monkey
@@ -136,6 +146,10 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
+def _costly(value: str, limit: float) -> bool:
+    return any(c.isdigit() or not c.isalnum() for c in value) and guess_cost(value) >= limit
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the fixed patterns, leftmost and not overlapping within a kind."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 12]
@@ -144,21 +158,48 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _value_end(text: str, start: int, stop: int, quote: str) -> int:
+    """Where the value from ``start`` ends, before ``stop``: at its closing quote, or at a delimiter that a key follows."""
+    if quote:
+        closing = _CLOSING[quote].search(text, start, stop)
+        if closing:
+            return closing.start()
+    for found in _DELIMITERS.finditer(text, start, stop):
+        if _ENDING.isdisjoint(found[0]):
+            continue
+        if _KEY.match(text, found.end()) or (found[0][-1] == ";" and _LONG_KEY.match(text, found.end())):
+            return found.start()
+    return stop
+
+
 def added_spans(text: str, base: list[tuple[int, int, int]], limit: float = COST_LIMIT) -> list[tuple[int, int, int]]:
-    """Credential values outside the base spans that are costly to guess."""
-    out, bases, reach = [], [], []
+    """Credential values, or what of them lies outside the base spans, that are costly to guess.
+
+    A value reaches to the next blank or credential word at most; a quoted one to its closing quote; any other to a
+    quote, comma, semicolon, ampersand or brace that a key follows.
+    """
+    out = []
+    covered: list[list[int]] = []  # the base spans' union
     for start, _, end in base:
-        bases.append(start)
-        reach.append(max(end, reach[-1] if reach else 0))
-    for m in CONTEXT.finditer(text):
-        start = m.start(1)
-        end = start + len(m[1].rstrip(_TRIM))
-        at = bisect_right(bases, end - 1)
-        if end - start < 6 or (at and reach[at - 1] > start):
-            continue
-        value = text[start:end]
-        if any(c.isdigit() or not c.isalnum() for c in value) and guess_cost(value) >= limit:
-            out.append((start, 3, end))
+        if covered and start <= covered[-1][1]:
+            covered[-1][1] = max(end, covered[-1][1])
+        else:
+            covered.append([start, end])
+    heads = list(CONTEXT.finditer(text))
+    at = 0
+    for head, following in zip(heads, [*(m.start() for m in heads[1:]), len(text)]):
+        start = head.end()
+        end = _value_end(text, start, _RUN.match(text, start, following).end(), head[1])
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        while start < end:
+            low, high = covered[at] if at < len(covered) else (end, end)
+            stop = start + len(text[start : min(low, end)].rstrip(_TRIM))
+            if stop - start >= LEAST_LENGTH and _costly(text[start:stop], limit):
+                out.append((start, 3, stop))
+            if low >= end or high >= end:
+                break
+            start, at = high, at + 1
     return out
 
 

@@ -78,3 +78,25 @@ def test_query_equals_brute_force(spark):
         row = got[r["doc_id"]]
         assert row["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
         assert (row["n_assign"], row["n_access"], row["n_hex"]) == tuple(want.count(f"{k}:") for k in secrets.KINDS[:3])
+
+
+def added(text):
+    return [text[a:b] for a, _, b in secrets.added_spans(text, secrets.base_spans(text))]
+
+
+def test_values_end_where_the_next_key_begins():
+    value = "Tr0ub4dor&3"
+    for text in (
+        f'{{"user":"bob","password":"{value}","token":"abcdefghijkl1"}}', f"db?pwd={value};token=abcdef1234567", f"Pwd={value};User ID=sa;",
+        f"?pwd={value}&user=bob", f'{{"auth":"{value}","user":"bob","id":7}}', f"{{pwd:{value},id:7}}", f"pwd:{value}{{id:7}}", f"pwd={value}",
+        f"x=pwd={value}\\\",\\\"id\\\":7",
+    ):
+        assert added(text) == [value], text
+    assert added('{"pwd":"x9$K,a=q!7vLz2m","u":"b"}') == ["x9$K,a=q!7vLz2m"]  # quoted: to its closing quote
+    assert added('pwd=x9$Kq!7vLz2m&secret:"q7#Lm2!xP0z",b=1') == ["x9$Kq!7vLz2m", "q7#Lm2!xP0z"]
+
+
+def test_what_lies_outside_base_spans_is_scored():
+    assert added("pwd=Zq!7$xK@m-0123456789abcdef0-!Kx9$zQ7") == ["Zq!7$xK@m-", "-!Kx9$zQ7"]
+    assert added("password=abcdefghijkl$%x9Q!z") == ["$%x9Q!z"]
+    assert added("password=abcdefghijkl$%") == added("token=abcdefghijklm") == []
