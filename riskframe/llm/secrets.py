@@ -2,7 +2,10 @@
 
 The guess cost is the least number of guesses over all segmentations of a value into
 dictionary words, dates, repeats, keyboard walks and brute-force spans, found by
-dynamic programming. A value that costs at least ``COST_LIMIT`` (log10) is a secret.
+dynamic programming. A value that costs at least ``COST_LIMIT`` (log10) is a secret,
+whatever characters it has. The dictionary is a short list of words that people put
+into passwords, then the words of two public tokenizer vocabularies, English and of
+several languages, which are ordered by how common a word is.
 
 Defined results: NULL is an empty text and has no spans; spans are code points, the
 end exclusive; every row is handled by itself, so repeated rows and ids do not matter.
@@ -11,10 +14,14 @@ Patterns run in time proportional to the text.
 
 from __future__ import annotations
 
+import json
 import math
 import re
-from bisect import bisect_right
+from base64 import b64decode
+from functools import cache
+from itertools import chain, zip_longest
 
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +62,7 @@ _LONG_KEY = re.compile(r"\x20*+[A-Za-z_][\w.-]*+(?:\x20[\w.-]++){0,2}+\x20*+=",
 _TRIM = "\"',;.)]}>"
 LEAST_LENGTH = 6
 
-# Words that people put into passwords, most common first.
+# Words that people put into passwords, most common first; they rank before those of the vocabularies.
 COMMON_WORDS = """password pass word admin login user welcome letmein master secret dragon monkey
 football baseball soccer hockey summer winter spring autumn monday tuesday wednesday thursday friday saturday sunday
 january february march april june july august september october november december love hello sunshine princess
@@ -66,10 +73,23 @@ blue red the and you for change temp default token key api my new old your home
 KEY_ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm")
 _LEET = str.maketrans("@4310$57!8", "aaeiosstib")
 
-_RANK: dict[str, int] = {}
-for _word in COMMON_WORDS:
-    _RANK.setdefault(_word, len(_RANK) + 1)
-_LONGEST = max(map(len, _RANK))
+@cache
+def _ranks() -> tuple[dict[str, int], int]:
+    """The rank of each word, and the length of the longest. The vocabularies take turns, rank by rank."""
+    suffix = "</w>"
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    english = [t.removesuffix(suffix) for t in sorted(vocabulary, key=vocabulary.get) if t.endswith(suffix) and t.isascii()]
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as f:
+        tokens = [b64decode(line.split()[0]) for line in sorted(f, key=lambda x: int(x.split()[1]))]
+    many = [t[1:].decode("utf-8", "ignore").lower() for t in tokens if t[:1] == b" "]
+    ranks: dict[str, int] = {}
+    both = chain.from_iterable(zip_longest(english, many, fillvalue=""))
+    for word in chain(COMMON_WORDS, (w for w in both if len(w) > 2 and w.isalpha())):
+        ranks.setdefault(word, len(ranks) + 1)
+    return ranks, max(map(len, ranks))
+
+
 _NEXT_KEY = {(a, b) for row in KEY_ROWS for a, b in zip(row, row[1:])}
 _NEXT_KEY |= {(b, a) for a, b in _NEXT_KEY}
 _DATE = re.compile(
@@ -90,10 +110,11 @@ def _matches(value: str) -> dict[int, list[tuple[int, float]]]:
     out: dict[int, list[tuple[int, float]]] = {}
     n, low = len(value), value.lower()
     plainer = low.translate(_LEET)
+    ranks, longest = _ranks()
     for start in range(n):
-        for end in range(start + 2, min(n, start + _LONGEST) + 1):
+        for end in range(start + 2, min(n, start + longest) + 1):
             for form, extra in ((low, 0.0), (plainer, math.log10(2))):
-                rank = _RANK.get(form[start:end])
+                rank = ranks.get(form[start:end])
                 if rank:
                     case = 0.0 if value[start:end] == low[start:end] else math.log10(2)
                     out.setdefault(end, []).append((start, math.log10(rank) + extra + case))
@@ -146,10 +167,6 @@ def guess_cost(value: str) -> float:
     return best[-1]
 
 
-def _costly(value: str, limit: float) -> bool:
-    return any(c.isdigit() or not c.isalnum() for c in value) and guess_cost(value) >= limit
-
-
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the fixed patterns, leftmost and not overlapping within a kind."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if m.end(1) - m.start(1) >= 12]
@@ -195,7 +212,7 @@ def added_spans(text: str, base: list[tuple[int, int, int]], limit: float = COST
         while start < end:
             low, high = covered[at] if at < len(covered) else (end, end)
             stop = start + len(text[start : min(low, end)].rstrip(_TRIM))
-            if stop - start >= LEAST_LENGTH and _costly(text[start:stop], limit):
+            if stop - start >= LEAST_LENGTH and guess_cost(text[start:stop]) >= limit:
                 out.append((start, 3, stop))
             if low >= end or high >= end:
                 break

@@ -100,3 +100,10 @@ def test_what_lies_outside_base_spans_is_scored():
     assert added("pwd=Zq!7$xK@m-0123456789abcdef0-!Kx9$zQ7") == ["Zq!7$xK@m-", "-!Kx9$zQ7"]
     assert added("password=abcdefghijkl$%x9Q!z") == ["$%x9Q!z"]
     assert added("password=abcdefghijkl$%") == added("token=abcdefghijklm") == []
+
+
+def test_letters_alone_are_judged_by_their_cost():
+    for value in ("kqWzRtBvXmPj", "gkWqzRtBx", "fzkqwvhxbd"):
+        assert added(f"pwd: {value}") == [value]
+    for value in ("required", "unfortunately", "administrator", "Authentication", "vergessen", "disponible", "correcthorse", "hellopassword"):
+        assert added(f"password: {value}") == [], value
