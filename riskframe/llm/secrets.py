@@ -92,11 +92,17 @@ def _ranks() -> tuple[dict[str, int], int]:
 
 _NEXT_KEY = {(a, b) for row in KEY_ROWS for a, b in zip(row, row[1:])}
 _NEXT_KEY |= {(b, a) for a, b in _NEXT_KEY}
-_DATE = re.compile(
-    r"(?:19|20)[0-9]{2}(?:[-/.]?(?:0[1-9]|1[0-2])(?:[-/.]?(?:0[1-9]|[12][0-9]|3[01]))?)?"
-    r"|(?:0[1-9]|[12][0-9]|3[01])[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:19|20)[0-9]{2}"
-)
+_YEAR, _MONTH, _DAY, _SEP = r"(?:19|20)[0-9]{2}", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12][0-9]|3[01])", r"[-/.]?"
+#: Dates of each length, with the number of days (or months) in a year that they tell apart.
+_DATES = [
+    (re.compile(_YEAR), 1),
+    (re.compile(_YEAR + _SEP + _MONTH), 12),
+    (re.compile(_YEAR + _SEP + _MONTH + _SEP + _DAY), 366),
+    (re.compile(_DAY + _SEP + _MONTH + _SEP + _YEAR), 366),
+]
 _YEARS = 130
+_LEAST_RUN = 3
+_WALKS = 47 * 2
 
 
 def _char_cost(c: str) -> float:
@@ -106,7 +112,7 @@ def _char_cost(c: str) -> float:
 
 
 def _matches(value: str) -> dict[int, list[tuple[int, float]]]:
-    """For each end, the (start, log10 guesses) of spans that are cheaper than brute force."""
+    """For each end, the (start, log10 guesses) of the words and dates that end there."""
     out: dict[int, list[tuple[int, float]]] = {}
     n, low = len(value), value.lower()
     plainer = low.translate(_LEET)
@@ -120,31 +126,46 @@ def _matches(value: str) -> dict[int, list[tuple[int, float]]]:
                     out.setdefault(end, []).append((start, math.log10(rank) + extra + case))
                     break
     for start in range(n):
-        for m in (_DATE.match(value, start),):
-            if m:
-                digits = sum(c.isdigit() for c in m[0])
-                days = {4: 1, 6: 12}.get(digits, 366)
-                out.setdefault(m.end(), []).append((start, math.log10(_YEARS * days)))
-    start = 0
-    while start < n:  # repeats of one character
-        end = start + 1
-        while end < n and value[end] == value[start]:
-            end += 1
-        for stop in range(start + 3, end + 1):
-            out.setdefault(stop, []).append((start, _char_cost(value[start]) + math.log10(stop - start)))
-        start = end
-    start = 0
-    while start < n - 1:  # keyboard walks and alphabet runs
-        end = start + 1
-        while end < n and ((low[end - 1], low[end]) in _NEXT_KEY or abs(ord(low[end]) - ord(low[end - 1])) == 1):
-            end += 1
-        for stop in range(start + 3, end + 1):
-            turns = 47 * 2
-            out.setdefault(stop, []).append((start, math.log10(turns) + math.log10(stop - start)))
-        start = max(end - 1, start + 1)
+        if value[start] in "0123":
+            for date, days in _DATES:
+                m = date.match(value, start)
+                if m:
+                    out.setdefault(m.end(), []).append((start, math.log10(_YEARS * days)))
     return out
 
 
+class _Run:
+    """The cheapest way to end inside a run of repeats or of neighbouring keys, over all starts inside the run.
+
+    A span costs a fixed part and the logarithm of its length. An earlier start that is no dearer than a later one stays
+    so at every further end, as its logarithm grows more slowly; so the later one is dropped for good.
+    """
+
+    def __init__(self, value: str, joined) -> None:
+        self.value, self.joined, self.first = value, joined, 0
+        self.starts: list[int] = []
+
+    def least(self, end: int, best: list[float]) -> float:
+        """Least cost up to ``end`` without the fixed part; ends come one after the other."""
+        if end > 1 and not self.joined(self.value[end - 2], self.value[end - 1]):
+            self.first, self.starts = end - 1, []
+        if end - _LEAST_RUN >= self.first:
+            self.starts.append(end - _LEAST_RUN)
+        kept, least = [], math.inf
+        for start in self.starts:
+            cost = best[start] + math.log10(end - start)
+            if cost < least:
+                kept.append(start)
+                least = cost
+        self.starts = kept
+        return least
+
+
+def _neighbours(a: str, b: str) -> bool:
+    """Next to each other on the keyboard or in the alphabet."""
+    return (a, b) in _NEXT_KEY or abs(ord(a) - ord(b)) == 1
+
+
 def _block_repeats(value: str) -> tuple[str, int]:
     """The shortest block that the whole value repeats, and how often."""
     at = (value + value).find(value, 1)
@@ -155,16 +176,17 @@ def guess_cost(value: str) -> float:
     """log10 of the guesses that the cheapest segmentation needs."""
     if not value:
         return 0.0
-    block, times = _block_repeats(value)
-    if times > 1:
-        return guess_cost(block) + math.log10(times)
     matches = _matches(value)
+    low = value.lower()
+    repeats, walks = _Run(value, str.__eq__), _Run(low if len(low) == len(value) else value, _neighbours)
     best = [0.0] * (len(value) + 1)
     for end in range(1, len(value) + 1):
-        best[end] = best[end - 1] + _char_cost(value[end - 1])
+        one = _char_cost(value[end - 1])
+        best[end] = min(best[end - 1] + one, repeats.least(end, best) + one, walks.least(end, best) + math.log10(_WALKS))
         for start, cost in matches.get(end, ()):
             best[end] = min(best[end], best[start] + cost)
-    return best[-1]
+    block, times = _block_repeats(value)
+    return min(best[-1], guess_cost(block) + math.log10(times)) if times > 1 else best[-1]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:

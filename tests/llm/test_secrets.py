@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 from hypothesis import given, settings
@@ -107,3 +108,46 @@ def test_letters_alone_are_judged_by_their_cost():
         assert added(f"pwd: {value}") == [value]
     for value in ("required", "unfortunately", "administrator", "Authentication", "vergessen", "disponible", "correcthorse", "hellopassword"):
         assert added(f"password: {value}") == [], value
+
+
+def listed_cost(part):
+    """Guesses of one span, told from the span alone."""
+    ranks, costs, low = secrets._ranks()[0], [], part.lower()
+    one = 1.0 if part[0].isdigit() else math.log10(26 if part[0].isascii() and part[0].isalpha() else 33)
+    if len(part) == 1:
+        costs.append(one)
+    if len(part) > 1:
+        case = 0 if part == low else math.log10(2)
+        plainer = low.translate(secrets._LEET)
+        costs += [math.log10(ranks[low]) + case] if low in ranks else []
+        costs += [math.log10(ranks[plainer] * 2) + case] if low not in ranks and plainer in ranks else []
+    if len(part) > 2 and len(set(part)) == 1:
+        costs.append(one + math.log10(len(part)))
+    near = {p for row in secrets.KEY_ROWS for a, b in zip(row, row[1:]) for p in (a + b, b + a)}
+    if len(part) > 2 and all(a + b in near or abs(ord(a) - ord(b)) == 1 for a, b in zip(low, low[1:])):
+        costs.append(math.log10(94 * len(part)))
+    year, month, day = "(19|20)[0-9]{2}", "[-/.]?(0[1-9]|1[0-2])", "(0[1-9]|[12][0-9]|3[01])"
+    for pattern, days in ((year, 1), (year + month, 12), (f"{year}{month}[-/.]?{day}", 366), (f"{day}{month}[-/.]?{year}", 366)):
+        if re.fullmatch(pattern, part):
+            costs.append(math.log10(130 * days))
+    return min(costs, default=math.inf)
+
+
+def least_cost(value):
+    best = [0.0]
+    for end in range(1, len(value) + 1):
+        best.append(min(best[start] + listed_cost(value[start:end]) for start in range(end)))
+    times = [k for k in range(2, len(value) + 1) if len(value) % k == 0 and value[: len(value) // k] * k == value]
+    return min([best[-1], *(least_cost(value[: len(value) // k]) + math.log10(k) for k in times)])
+
+
+def test_cost_is_the_least_over_spans_listed_one_by_one():
+    for value in ("hellopoiuyt", "hellopoiuyt12", "20191231", "2019123", "201912qwerty", "aaab", "xaaaa1111", "Summer2019!zq", "qwqwqwqwq", "lloooooops"):
+        assert abs(least_cost(value) - secrets.guess_cost(value)) < 1e-9, value
+    assert secrets.guess_cost("hellopoiuyt") < 5 and added("pwd: hellopoiuyt12") == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="aqwertyhlop0129-!Q", min_size=1, max_size=24))
+def test_cost_is_the_least_on_noise(value):
+    assert abs(least_cost(value) - secrets.guess_cost(value)) < 1e-9
