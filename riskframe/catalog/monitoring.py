@@ -143,6 +143,68 @@ def drift_report_exact(spark, d):
     return report.columns.withColumns({"ks_statistic": r6("ks_statistic"), "p_value": r6("p_value")})
 
 
+HALF_COLUMNS = ["value", "k", "is_click"]
+_HALVES_SQL = """
+f AS (SELECT event_id, value, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+             CASE WHEN event_type = 'click' THEN 1e0 ELSE 0e0 END AS is_click, ts < TIMESTAMP '2024-01-16' AS old FROM events)
+"""
+
+
+def event_halves(spark, d):
+    events = event_features(load(spark, d, "events"))
+    return events.filter(F.col("ts") < "2024-01-16"), events.filter(F.col("ts") >= "2024-01-16")
+
+
+def _half_cells(table: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS col, {c} AS v, CASE WHEN old THEN 1 ELSE 0 END AS ref FROM {table}" for c in HALF_COLUMNS
+    )
+
+
+@Q.add(
+    "drift_report_events",
+    f"""
+WITH {_HALVES_SQL}, cells AS ({_half_cells("f")}), {distance_sql('col')}
+SELECT col AS "column", round(ks, 6) AS ks_statistic, n_ref, n_cur, round(p, 6) AS p_value, p < 0.05 AS drift_detected FROM tested
+""",
+)
+def drift_report_events(spark, d):
+    """The report over all rows of both halves."""
+    report = D.drift_report(*event_halves(spark, d), features=HALF_COLUMNS, target="y", entity="event_id")
+    return report.columns.withColumns({"ks_statistic": r6("ks_statistic"), "p_value": r6("p_value")})
+
+
+@Q.add(
+    "drift_report_halves",
+    f"""
+WITH {_HALVES_SQL},
+size AS (SELECT CAST(least(count_if(old), count_if(NOT old)) AS BIGINT) AS n FROM f),
+sampled AS (SELECT *, row_number() OVER (PARTITION BY old ORDER BY md5(concat('42:', event_id))) AS place FROM f),
+equal AS (SELECT * FROM sampled WHERE place <= (SELECT n FROM size)),
+cells AS ({_half_cells("equal")}),
+counts AS (SELECT col, v, sum(ref) AS r, sum(1 - ref) AS c FROM cells GROUP BY col, v),
+placed AS (SELECT col, abs(sum(r) OVER (PARTITION BY col ORDER BY v) - sum(c) OVER (PARTITION BY col ORDER BY v)) AS h FROM counts),
+top AS (SELECT col, n, CAST(max(h) AS BIGINT) AS h FROM placed, size GROUP BY col, n),
+terms AS (SELECT col, CASE WHEN j % 2 = 1 THEN 2e0 ELSE -2e0 END
+            * exp(2 * lgamma(n + 1) - lgamma(n + 1 - j * h) - lgamma(n + 1 + j * h)) AS term
+          FROM (SELECT col, n, h, unnest(range(1, n // h + 1)) AS j FROM top WHERE h > 0)),
+sums AS (SELECT col, least(sum(term), 1e0) AS p FROM terms GROUP BY col)
+SELECT col AS "column", round(h / CAST(n AS DOUBLE), 6) AS ks_statistic, n AS n_ref, n AS n_cur,
+       round(coalesce(p, 1e0), 6) AS p_value, coalesce(p, 1e0) < 0.05 AS drift_detected
+FROM top LEFT JOIN sums USING (col)
+""",
+)
+def drift_report_halves(spark, d):
+    """Exact p-values: the smaller half whole, and as many rows of the other."""
+    first, second = event_halves(spark, d)
+    rows = min(first.count(), second.count())
+    report = D.drift_report(
+        first, second, features=HALF_COLUMNS, target="y", entity="event_id",
+        reference_rows=rows, current_rows=rows, sample_key="event_id", method="exact",
+    )
+    return report.columns.withColumns({"ks_statistic": r6("ks_statistic"), "p_value": r6("p_value")})
+
+
 WEEK_SQL = """
 week AS (SELECT *, least((CAST(date_part('day', ts) AS BIGINT) - 1) // 7, 3) AS batch FROM events),
 moved AS (SELECT batch, value * (1 + batch * 0.05e0) AS value, CAST(json_extract(props, '$.k') AS DOUBLE) AS k,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -66,7 +68,26 @@ def exact_two_sample_p(distance: float, n: int, m: int) -> float:
     return float(min(1.0, reached))
 
 
+def exact_equal_sizes_p(height: int, n: int) -> float:
+    """The same for two samples of n values whose running counts differ by ``height`` at most: n / height terms."""
+    if height <= 0:
+        return 1.0
+    middle = 2 * math.lgamma(n + 1)
+    total = 0.0
+    for j in range(1, n // height + 1):
+        term = math.exp(middle - math.lgamma(n + 1 - j * height) - math.lgamma(n + 1 + j * height))
+        if term == 0.0:
+            break
+        total += 2 * term if j % 2 else -2 * term
+    return min(max(total, 0.0), 1.0)
+
+
 @F.pandas_udf(T.DoubleType())
 def exact_p(distance: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Series:
     """One value per tested column (not per data row)."""
-    return pd.Series([exact_two_sample_p(d, int(n), int(m)) for d, n, m in zip(distance, n_ref, n_cur)])
+    return pd.Series(
+        [
+            exact_equal_sizes_p(round(d * n), int(n)) if n == m else exact_two_sample_p(d, int(n), int(m))
+            for d, n, m in zip(distance, n_ref, n_cur)
+        ]
+    )

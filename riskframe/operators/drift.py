@@ -167,7 +167,10 @@ def drift_against(
 
 
 def ks_pvalue(stats: DataFrame, method: str = "asymptotic") -> DataFrame:
-    """Adds the two-sided p-value: the limiting form, or the exact one on request (work n x m per column)."""
+    """Adds the two-sided p-value: the limiting form, or the exact one on request.
+
+    Exact work per column: n / (n x distance) terms for equal sizes n, else n x m steps at most.
+    """
     args = [F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur")]
     if method == "asymptotic":
         return stats.withColumn("p_value", asymptotic_p(*args))

@@ -5,8 +5,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskframe.functions.kolmogorov import asymptotic_p, exact_two_sample_p
+from riskframe.catalog import monitoring
+from riskframe.functions.kolmogorov import asymptotic_p, exact_equal_sizes_p, exact_two_sample_p
 from riskframe.operators import drift as D
+from tests.conftest import DATA
 
 
 def ks(a, b):
@@ -147,3 +149,20 @@ def test_retrain_decision(spark, drift, share, auto, force, reason):
     row = D.retrain_decision(summary, auto, force=force, command="go").first()
     assert row["reason"] == reason and row["triggered"] == (reason != "threshold_not_met")
     assert row["command"] == ("go" if row["triggered"] else None)
+
+
+def test_exact_p_of_large_equal_samples_equals_the_walk():
+    for n, h in ((1, 1), (50, 14), (400, 31), (3000, 90), (700, 700), (20, 1)):
+        assert exact_equal_sizes_p(h, n) == pytest.approx(exact_two_sample_p(h / n, n, n), abs=1e-9)
+    assert exact_equal_sizes_p(0, 5) == 1.0
+    assert exact_equal_sizes_p(2000, 10**6) == pytest.approx(2 * exp(-4.0), rel=1e-2)
+
+
+def test_registered_reports_read_both_halves_whole(spark):
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    old = events.filter("ts < '2024-01-16'").count()
+    new = events.count() - old
+    rows = {r["column"]: r for r in monitoring.drift_report_events(spark, DATA).collect()}
+    assert set(rows) == {"value", "k", "is_click"}
+    assert all((r["n_ref"], r["n_cur"]) == (old, new) for r in rows.values())
+    assert {(r["n_ref"], r["n_cur"]) for r in monitoring.drift_report_halves(spark, DATA).collect()} == {(min(old, new),) * 2}
