@@ -1,9 +1,13 @@
 import numpy as np
 import pytest
 
+import riskframe.operators.smote as smote_module
+from riskframe.catalog import sampling
+from riskframe.operators import neighbours
 from riskframe.operators.neighbours import nearest_neighbours
 from riskframe.operators.smote import rows_to_add, smote, synthetic_rows
 from riskframe.plans.training import rebalance
+from tests.conftest import DATA
 
 
 def points(spark, x):
@@ -95,3 +99,17 @@ def test_the_approximate_form_looks_at_fewer_blocks_and_finds_most(spark):
     rows = nearest_neighbours(points(spark, x), 3, 20, cells=4).collect()
     exact = brute(x, 3)
     assert sum(r["neighbour"] in exact[r["id"]] for r in rows) >= 0.9 * 900
+
+
+def test_registered_queries_keep_the_default_blocks_and_small_ones_change_nothing(spark, monkeypatch):
+    whole = sorted(map(tuple, sampling.smote_rows(spark, DATA).collect()))
+    blocks = []
+
+    def search(points, k, block_rows=neighbours.BLOCK_ROWS, **more):
+        blocks.append(block_rows)
+        return nearest_neighbours(points, k, 16, **more)
+
+    monkeypatch.setattr(smote_module, "nearest_neighbours", search)
+    assert sorted(map(tuple, sampling.smote_rows(spark, DATA).collect())) == whole
+    assert sampling.smote_counts(spark, DATA).count() == 2
+    assert set(blocks) == {neighbours.BLOCK_ROWS}
