@@ -97,7 +97,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
-        F.col("slot").cast("int").alias("slot"),
+        "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -76,3 +76,7 @@ def test_query(spark):
     assert len(rows) == spark.read.parquet(f"{DATA}/documents.parquet").count()
     largest = max(Counter((r["size"], r["text_crc32"]) for r in rows).items(), key=lambda kv: kv[0][0] * kv[1])
     assert max(loads.values()) <= max(1.05 * sum(loads.values()) / 24, largest[0][0] * largest[1])
+
+
+def test_query_keeps_long_slots(spark):
+    assert dict(queries.op9_sharding(spark, DATA).dtypes)["slot"] == "bigint"
