@@ -108,3 +108,16 @@ def test_query_equals_the_library(spark, tokenizer):
     rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect())
     got = sorted((tuple(r) for r in queries.op7_token_files(spark, DATA).collect()), key=lambda r: r[1])
     assert got == expected(rows, tokenizer)
+
+
+def test_ids_equal_an_untouched_library_but_for_added_tokens_in_texts():
+    plain = Tokenizer.from_file(PATH)
+    with open(PATH, encoding="utf-8") as f:
+        encoder = huffman.WordTokenizer.of(f.read())
+    added = "<|endoftext|> x <|startoftext|>"
+    texts = [t for t in TEXTS if t and t != added]
+    got = encoder.encode([t.encode() for t in texts])
+    assert [list(g) for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    # stated in README: in a text an added token is ordinary characters
+    assert {49406, 49407} <= set(plain.encode(added, add_special_tokens=False).ids)
+    assert not {49406, 49407} & {int(i) for i in encoder.encode([added.encode()])[0]}
