@@ -18,6 +18,7 @@ from riskframe.llm import (
     secrets,
     sharding,
     substring_dedup,
+    word_bpe,
 )
 from riskframe.session import scratch_path
 
@@ -215,3 +216,15 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     huffman.write_tokens(load(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
     return huffman.read_tokens(spark, path, with_ids=False)
+
+
+@Q.add("op13_forced_cut_bpe")
+def op13_forced_cut_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    decoded = word_bpe.decode(word_bpe.encode(load(spark, sf_dir, "documents"), path), path)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
