@@ -89,7 +89,7 @@ class ForcedCutBpe:
         self.known: dict[bytes, bytes] = {}
 
     def _read_vocabulary(self, vocab: dict[str, int], merges: list, suffix: str) -> None:
-        letters = byte_letters()
+        self.letters = letters = byte_letters()
 
         def symbols(token: str) -> list[int]:
             ends = token.endswith(suffix)
@@ -140,14 +140,13 @@ class ForcedCutBpe:
             found = self.ascii_words.findall(lowered)
             if sum(map(len, found)) == len(lowered):  # control characters are left to the library
                 return found
-        letters = byte_letters()
         out: list[bytes | int] = []
         for part in self.find_added.split(piece.decode()):
             if part in self.added:
                 out.append(self.added[part])
             elif part:
                 clean = self.tokenizer.normalizer.normalize_str(part) if self.tokenizer.normalizer else part
-                out += [bytes(map(letters.__getitem__, w)) for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(clean)]
+                out += [bytes(map(self.letters.__getitem__, w)) for w, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(clean)]
         return out
 
     def cut(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
