@@ -13,6 +13,7 @@ from riskframe.llm import (
     embedding_join,
     huffman,
     jaccard_join,
+    periodic_runs,
     pii,
     quality,
     secrets,
@@ -228,3 +229,19 @@ def op13_forced_cut_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("text", 256).alias("decoded_sha256"),
     )
+
+
+@Q.add("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("text", periodic_runs.repeat_words("text", F.crc32(F.col("doc_id").cast("string").cast("binary"))))
+    found = periodic_runs.find_runs(docs).withColumn("best", periodic_runs.most_repeated())
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
