@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskframe.catalog.base import Catalog, load
 from riskframe.llm import (
     bpe,
+    collocations,
     decontaminate,
     embedding_join,
     huffman,
@@ -245,3 +246,37 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@Q.add(
+    "op11_collocations",
+    r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+  FROM documents
+),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+           FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 100),
+kept AS (
+  SELECT * FROM f c WHERE m >= 2 AND NOT EXISTS (
+    SELECT 1 FROM f x WHERE x.lang = c.lang AND x.m > c.m AND 100 * x.f >= 100 * c.f
+      AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))
+),
+cuts AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, t.n,
+         CAST((1000::HUGEINT * c.a * t.n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')
+  JOIN totals t ON t.lang = c.lang
+),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000
+""",
+)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(load(spark, sf_dir, "documents"))
