@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, load, r6
 from riskframe.operators import encode as E
+from riskframe.operators import sparse
 from riskframe.operators.rollup import single_level_rollup
 
 Q = Catalog()
@@ -117,3 +118,30 @@ def assemble_vector(spark, d):
     return E.assemble_vector(customer, ["c_acctbal", "c_nationkey"]).select(
         "c_custkey", F.size(v).alias("size"), v[0].alias("first"), v[1].alias("second")
     )
+
+
+@Q.add(
+    "sparse_one_hot",
+    """
+WITH l AS (
+  SELECT 0 AS col, CAST(l_partkey AS VARCHAR) AS value, count(*) AS n FROM lineitem GROUP BY 2
+  UNION ALL SELECT 1, l_returnflag, count(*) FROM lineitem WHERE l_returnflag IS NOT NULL GROUP BY 2
+  UNION ALL SELECT 2, CAST(l_suppkey AS VARCHAR), count(*) FROM lineitem GROUP BY 2
+),
+p AS (SELECT col, value, row_number() OVER (ORDER BY col, value) - 1 AS place FROM l),
+width AS (SELECT CAST(count(*) AS INTEGER) AS size FROM l)
+SELECT l_orderkey, l_linenumber, size, concat_ws(',', a.place, b.place, c.place) AS places, 3e0 AS total
+FROM lineitem JOIN p a ON a.col = 0 AND a.value = CAST(l_partkey AS VARCHAR) JOIN p b ON b.col = 1 AND b.value = l_returnflag
+JOIN p c ON c.col = 2 AND c.value = CAST(l_suppkey AS VARCHAR), width
+""",
+)
+def sparse_one_hot(spark, d):
+    """Columns of thousands of levels as one sparse vector per row; parts are joined by a shuffle, the others by broadcast."""
+    lines = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag", "l_suppkey")
+    levels = sparse.fit_levels(lines, ["l_partkey", "l_returnflag", "l_suppkey"])
+    vectors = sparse.sparse_vectors(lines, levels, few_levels=1000)
+    v = F.unwrap_udt("features")
+    total = F.aggregate(v["values"], F.lit(0.0), lambda a, x: a + x)
+    return vectors.select(
+        "l_orderkey", "l_linenumber", v["size"].alias("size"), F.array_join(v["indices"], ",").alias("places"), total.alias("total")
+    )

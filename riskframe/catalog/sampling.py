@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 from riskframe.catalog.base import Catalog, load, r6
 from riskframe.operators import sampling as S
 from riskframe.operators.assemble import check_no_overlap, key_overlap
+from riskframe.operators.forest import forest_neighbours, recall
+from riskframe.operators.neighbours import distinct_vectors, nearest_neighbours
 from riskframe.operators.smote import smote, synthetic_rows
+from riskframe.operators.storage import stored
 
 Q = Catalog()
 
@@ -189,3 +192,44 @@ def smote_rows(spark, d):
     made = synthetic_rows(points, int(sizes[False] * RATIO) - sizes[True], NEIGHBOURS, 42)
     total = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x)
     return made.select("seed_id", "ordinal", "neighbour", r6("gap").alias("gap"), r6(total).alias("component_sum"))
+
+
+@Q.add(
+    "neighbour_recall",
+    """
+WITH v AS (SELECT DISTINCT ON (embedding) vec_id FROM embeddings WHERE embedding IS NOT NULL ORDER BY embedding, vec_id),
+q AS (SELECT count(*) AS n_queries FROM v WHERE vec_id % 20 = 0)
+SELECT n_queries, 5 * n_queries AS n_neighbours, true AS recall_reached FROM q
+""",
+)
+def neighbour_recall(spark, d):
+    """The forest search over all embeddings, held against the exact one for each twentieth vector."""
+    points = load(spark, d, "embeddings").filter("embedding is not null").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec")
+    )
+    distinct = stored(distinct_vectors(points).select("id", "vec"), "vectors")
+    measured = recall(forest_neighbours(distinct, NEIGHBOURS), nearest_neighbours(distinct, NEIGHBOURS))
+    return measured.select("n_queries", "n_neighbours", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
+@Q.add(
+    "smote_forest",
+    """
+WITH c AS (SELECT CAST(count_if(label = 0) AS BIGINT) AS few, CAST(count_if(label <> 0) AS BIGINT) AS many FROM embeddings)
+SELECT greatest(few, CAST(floor(many * 0.2e0) AS BIGINT)) - few AS n_rows, true AS all_on_segments FROM c
+""",
+)
+def smote_forest(spark, d):
+    """Synthetic rows whose neighbours come from the forest: as many as asked, each between two minority vectors."""
+    vectors = load(spark, d, "embeddings")
+    points = vectors.filter(F.col("label") == MINORITY).select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec")
+    )
+    sizes = {r[0]: r[1] for r in vectors.groupBy(F.col("label") == MINORITY).count().collect()}
+    made = synthetic_rows(points, int(sizes[False] * RATIO) - sizes[True], NEIGHBOURS, 42, trees=16)
+    ends = made.join(points.select(F.col("id").alias("seed_id"), F.col("vec").alias("x")), "seed_id")
+    ends = ends.join(points.select(F.col("id").alias("neighbour"), F.col("vec").alias("y")), "neighbour")
+    # the point's differences from both ends add up to zero, weighted by the gap
+    off = F.zip_with(F.zip_with("x", "y", lambda x, y: x + F.col("gap") * (y - x)), "vec", lambda a, b: F.abs(a - b))
+    on = (F.array_max(off) < 1e-9) & F.col("gap").between(0, 1) & (F.col("seed_id") != F.col("neighbour"))
+    return ends.agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(on).alias("all_on_segments"))

@@ -7,7 +7,7 @@ from riskframe.operators import metrics as M
 from riskframe.operators.sampling import split
 from riskframe.operators.storage import stored
 from riskframe.plans import training as T
-from riskframe.plans.scoring import evaluated_rows
+from riskframe.plans.scoring import add_scores, evaluated_rows
 from riskframe.session import scratch_path
 
 Q = Catalog()
@@ -68,6 +68,37 @@ def train_forest(spark, d):
     return _train_and_check(spark, d, "forest")
 
 
+SPARSE_KEYS = ["l_partkey", "l_returnflag"]
+
+
+@Q.add(
+    "train_sparse",
+    """
+WITH n AS (SELECT count(*) AS total, CAST(count_if(l_linenumber = 1) AS BIGINT) AS test FROM lineitem)
+SELECT (SELECT count(DISTINCT l_partkey) + count(DISTINCT l_returnflag) FROM lineitem WHERE l_linenumber <> 1) AS n_levels,
+       total - test AS n_train, test AS n_test, true AS loaded_scores_equal, true AS above_minimum FROM n
+""",
+)
+def train_sparse(spark, d):
+    """A logistic model with a coefficient per part (thousands), learned from labels that depend on the part alone."""
+    lines = load(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", *SPARSE_KEYS)
+    lines = lines.withColumn("y", (F.pmod(F.crc32(F.col("l_partkey").cast("string").cast("binary")), F.lit(10)) < 4).cast("int"))
+    train, test = lines.filter("l_linenumber <> 1"), lines.filter("l_linenumber = 1")
+    model = T.train_sparse(train, ["l_quantity"], SPARSE_KEYS, "y", params={"maxIter": 50})
+    path = scratch_path(spark, "model-sparse")
+    model.save(path)
+    live = add_scores(test, model).withColumnsRenamed({"probability": "live", "prediction": "decision"})
+    rows = stored(add_scores(live, T.SparseModel.load(spark, path)), "scored")
+    same = rows.agg(
+        F.count(F.lit(1)).alias("n_test"), F.bool_and(F.col("probability") == F.col("live")).alias("loaded_scores_equal")
+    )
+    facts = M.evaluate(rows, "y", "prediction", "probability").select((F.col("roc_auc") > 0.9).alias("above_minimum"))
+    one = F.lit(1).alias("one")  # one row each
+    sizes = train.agg(F.count(F.lit(1)).alias("n_train")).withColumn("n_levels", F.lit(model.levels.width).cast("long"))
+    joined = facts.select("*", one).join(same.select("*", one), "one").join(sizes.select("*", one), "one")
+    return joined.select("n_levels", "n_train", "n_test", "loaded_scores_equal", "above_minimum")
+
+
 @Q.add(
     "rebalance_training",
     """

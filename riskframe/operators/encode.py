@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer, VectorAssembler
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.expr import col, is_missing
@@ -17,6 +18,7 @@ from riskframe.operators.frame import floating_columns, numeric_columns, string_
 MAX_LEVELS = 1000
 MEDIAN_MARGIN = 1e-4
 BUCKETS = 256
+_MAGNITUDE = (1 << 63) - 1
 
 
 # --- categories -----------------------------------------------------------------
@@ -70,6 +72,18 @@ def one_hot(df: DataFrame, vocabulary: Mapping[str, Sequence[str]]) -> DataFrame
 # --- medians --------------------------------------------------------------------
 
 
+def order_number(value: float) -> int:
+    """The place of a double in the order of all doubles: its 64 bits, with the negative ones turned around. -0.0 counts as 0.0."""
+    bits = struct.unpack("<q", struct.pack("<d", value + 0.0))[0]
+    return bits if bits >= 0 else -(bits & _MAGNITUDE)
+
+
+def ordered_double(number: int) -> float:
+    """The double at a place of that order."""
+    size = struct.unpack("<d", struct.pack("<q", abs(number)))[0]
+    return -size if number < 0 else size
+
+
 @dataclass
 class _Place:
     """A place (1-based) among the values of a column that lie in ``low..high``."""
@@ -80,34 +94,36 @@ class _Place:
     place: int
     value: float | None = None
 
-    def bucket(self, v: Column) -> Column:
-        """A number from 0 to BUCKETS - 1 that grows with the value inside the bracket."""
-        if math.isinf(self.low) or math.isinf(self.high):  # the ends get buckets of their own
-            inner = F.floor((F.atan(v) / F.lit(math.pi) + 0.5) * (BUCKETS - 2)) + 1
-            inner = F.least(inner, F.lit(BUCKETS - 2))
-            return F.when(v == self.low, 0).when(v == self.high, BUCKETS - 1).otherwise(inner).cast("int")
-        if self.high > self.low:
-            share = (v - F.lit(self.low)) / F.lit(self.high - self.low)
-        else:
-            share = F.lit(0.0)
-        return F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    def splits(self) -> list[float]:
+        """Bounds that cut the doubles of the bracket, as many as there are, into BUCKETS equal parts."""
+        low, high = order_number(self.low), order_number(self.high)
+        cuts = {ordered_double(low + (high - low + 1) * i // BUCKETS) for i in range(1, BUCKETS)}
+        return [-math.inf, *sorted(c for c in cuts if self.low < c <= self.high and not math.isinf(c)), math.inf]
 
 
 def _narrow(numbers: DataFrame, open_places: Sequence[_Place]) -> None:
     """One pass: counts the buckets of every bracket and moves each place into the bucket that holds it."""
+    names = [f"v{p.column}" for p in open_places]
+    cutter = Bucketizer(
+        splitsArray=[p.splits() if len(p.splits()) > 2 else [-math.inf, 0.0, math.inf] for p in open_places],
+        inputCols=names,
+        outputCols=[f"b{t}" for t in range(len(open_places))],
+        handleInvalid="keep",  # missing values stay missing
+    )
     cells = F.array_compact(
         F.array(
             *[
                 F.when(
-                    F.col(f"v{p.column}").between(p.low, p.high),
-                    F.struct(F.lit(t).alias("t"), p.bucket(F.col(f"v{p.column}")).alias("b"), F.col(f"v{p.column}").alias("v")),
+                    F.col(name).between(p.low, p.high),
+                    F.struct(F.lit(t).alias("t"), F.col(f"b{t}").cast("int").alias("b"), F.col(name).alias("v")),
                 )
-                for t, p in enumerate(open_places)
+                for t, (name, p) in enumerate(zip(names, open_places))
             ]
         )
     )
     counted = (
-        numbers.select(F.explode(cells).alias("x"))
+        cutter.transform(numbers)
+        .select(F.explode(cells).alias("x"))
         .groupBy("x.t", "x.b")
         .agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("low"), F.max("x.v").alias("high"))
     )
@@ -133,14 +149,16 @@ def fit_medians(
 
     One pass brackets each median between two near quantiles, the next counts what lies below. Then the values inside the
     bracket are counted in buckets, and the bucket that holds the place becomes the next bracket, until its least
-    or largest value is the one wanted. Only cells inside a bracket leave their row, as counts, so no
-    task holds a column; a quantile that missed just starts from a wider bracket. A column without values has None.
+    or largest value is the one wanted. Buckets hold equally many of the doubles that there are, not equal distances, so each
+    pass settles at least eight of a value's 64 bits: after eight passes all places are known, whatever the values. A quantile that
+    missed just starts from the bracket of all doubles. Only cells inside a bracket leave their row, as counts, so no
+    task holds a column. A column without values has None.
     """
     columns = list(columns if columns is not None else numeric_columns(df))
     if not columns:
         return {}
     values = {f"v{i}": col(c).cast("double") for i, c in enumerate(columns)}
-    numbers = df.select(*[F.when(~F.isnan(v), v).alias(n) for n, v in values.items()])
+    numbers = df.select(*[F.when(~F.isnan(v), v + F.lit(0.0)).alias(n) for n, v in values.items()])  # no -0.0
     shares = [0.5 - 2 * margin, 0.5 + 2 * margin]
     brackets = {i: q for i, q in enumerate(numbers.approxQuantile(numbers.columns, shares, margin)) if q}
     if not brackets:
@@ -161,7 +179,12 @@ def fit_medians(
     middle: dict[int, list[float]] = {}
     for p in places:
         middle.setdefault(p.column, []).append(p.value)
-    return {c: middle[i][0] + (middle[i][1] - middle[i][0]) / 2 if i in middle else None for i, c in enumerate(columns)}
+    return {c: _between(*middle[i]) if i in middle else None for i, c in enumerate(columns)}
+
+
+def _between(a: float, b: float) -> float:
+    """The midpoint, also where the distance is more than a double holds."""
+    return a if a == b else a + (b - a) / 2 if math.isfinite(b - a) else (a + b) / 2
 
 
 def columns_with_gaps(df: DataFrame, columns: Sequence[str]) -> list[str]:

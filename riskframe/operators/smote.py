@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.expr import col
 from riskframe.functions.hashing import hash_order, unit_draw
+from riskframe.operators.forest import forest_neighbours
 from riskframe.operators.local_state import MAX_CLASSES, read_classes
 from riskframe.operators.neighbours import distinct_vectors, nearest_neighbours
 from riskframe.operators.sampling import class_counts, exact_cutoff
@@ -26,15 +27,16 @@ def rows_to_add(n_minority: int, n_majority: int, ratio: float) -> int:
     return extra
 
 
-def neighbour_lists(distinct: DataFrame, k: int, **search) -> DataFrame:
+def neighbour_lists(distinct: DataFrame, k: int, trees: int | None = None, **search) -> DataFrame:
     """Per distinct vector its k nearest rows as ids, a vector's own copies first.
 
     A neighbour that occurs several times fills several places, as it would if
-    all copies had been compared.
+    all copies had been compared. With ``trees`` the search is that of a forest, approximate and of bounded work per vector.
     """
+    points = distinct.select("id", "vec")
+    found = forest_neighbours(points, k, trees, **search) if trees else nearest_neighbours(points, k, **search)
     near = (
-        nearest_neighbours(distinct.select("id", "vec"), k, **search)
-        .join(distinct.select(F.col("id").alias("neighbour"), F.col("copies").alias("times")), "neighbour")
+        found.join(distinct.select(F.col("id").alias("neighbour"), F.col("copies").alias("times")), "neighbour")
         .groupBy("id")
         # at most k entries per group
         .agg(F.array_sort(F.collect_list(F.struct("rank", "neighbour", "times"))).alias("near"))
@@ -59,7 +61,8 @@ def synthetic_rows(points: DataFrame, n_new: int, k: int, seed: int, **search) -
 
     Every point seeds the same number of rows; the remainder goes to the points
     first in hash order. Neighbour and gap are drawn from the seed's id, so the
-    result does not depend on partitioning. ``search`` are options of ``nearest_neighbours``.
+    result does not depend on partitioning. ``search`` are options of ``nearest_neighbours``,
+    or with ``trees`` of ``forest_neighbours``.
     """
     n = points.count()
     if n <= k:

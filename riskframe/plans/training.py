@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.functions.expr import col, quoted
 from riskframe.operators.encode import fit_scale
 from riskframe.operators.frame import require_columns
 from riskframe.operators.sampling import class_weights, downsample_majority
 from riskframe.operators.smote import smote
+from riskframe.operators.sparse import Levels, fit_levels, sparse_vectors
 from riskframe.session import scratch_path, shared_folder
 
 # Training defaults.
@@ -26,6 +28,7 @@ LOGISTIC = {"maxIter": 500, "C": 1.0}
 FOREST = {"numTrees": 300}
 
 WEIGHT = "__weight"
+LEVELS = "__zlevels"
 
 
 def _scaling(scale: Mapping[str, tuple[float, float]], columns: Sequence[str]) -> SQLTransformer:
@@ -53,6 +56,20 @@ def build_classifier(kind: str, target: str, n_rows: int, balanced: bool, params
     raise ValueError(f"unsupported model kind '{kind}'")
 
 
+def _checkpoints(spark: SparkSession) -> None:
+    """Long chains of training steps are cut in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def _as_saved(spark: SparkSession, model: PipelineModel, kind: str) -> PipelineModel:
+    """A model fresh from fit carries a training summary that holds the session and the
+    training plan and cannot always be shipped to executors; the saved form does not."""
+    path = scratch_path(spark, f"fitted-{kind}")
+    save_model(model, path)
+    return load_model(path)
+
+
 def train(
     df: DataFrame,
     columns: Sequence[str],
@@ -65,8 +82,7 @@ def train(
     n_rows = df.count()
     classifier = build_classifier(kind, target, n_rows, balanced, params)
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))  # long boosting chains are cut there
+    _checkpoints(spark)
     require_columns(df, [*columns, target], "training table")
     data = df.select(*[col(c) for c in columns], col(target).cast("double").alias(target))
     if balanced and kind != "gbt":
@@ -76,12 +92,57 @@ def train(
         inputCols=[f"__z{i}" for i in range(len(columns))], outputCol="__features", handleInvalid="error"
     )
     ready = assembler.transform(scaling.transform(data))
-    fitted = PipelineModel([scaling, assembler, classifier.fit(ready)])
-    # A model fresh from fit carries a training summary that holds the session and the
-    # training plan and cannot always be shipped to executors; the saved form does not.
-    path = scratch_path(spark, f"fitted-{kind}")
-    save_model(fitted, path)
-    return load_model(path)
+    return _as_saved(spark, PipelineModel([scaling, assembler, classifier.fit(ready)]), kind)
+
+
+@dataclass
+class SparseModel:
+    """Numbered levels of the category columns and a pipeline over their sparse vectors; scores like a ``PipelineModel``."""
+
+    levels: Levels
+    pipeline: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(sparse_vectors(df, self.levels, LEVELS, scaled=True))
+
+    def save(self, path: str) -> None:
+        self.levels.save(f"{path}/vocabulary")
+        save_model(self.pipeline, f"{path}/pipeline")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> SparseModel:
+        return cls(Levels.load(spark, f"{path}/vocabulary"), load_model(f"{path}/pipeline"))
+
+
+def train_sparse(
+    df: DataFrame,
+    numeric: Sequence[str],
+    categories: Sequence[str],
+    target: str,
+    kind: str = "logistic",
+    params: Mapping | None = None,
+    balanced: bool = True,
+) -> SparseModel:
+    """Like ``train`` on the one-hot form of the categories, however many levels they have.
+
+    Vectors stay sparse: levels are scaled and not centred, which an intercept makes up for. Levels that training has not
+    seen, and NULL, add nothing to a score. The model itself has a coefficient per level, in the driver, as any Spark ML model.
+    """
+    require_columns(df, [*numeric, *categories, target], "training table")
+    spark = df.sparkSession
+    data = df.select(*[col(c) for c in [*numeric, *categories]], col(target).cast("double").alias(target))
+    classifier = build_classifier(kind, target, data.count(), balanced, params)
+    _checkpoints(spark)
+    if balanced and kind != "gbt":
+        data = class_weights(data, target, WEIGHT)
+    levels = fit_levels(data, categories)
+    steps = [_scaling(fit_scale(data, numeric), numeric)] if numeric else []
+    inputs = [*[f"__z{i}" for i in range(len(numeric))], LEVELS]
+    steps.append(VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="error"))
+    ready = sparse_vectors(data, levels, LEVELS, scaled=True)
+    for step in steps:
+        ready = step.transform(ready)
+    return SparseModel(levels, _as_saved(spark, PipelineModel([*steps, classifier.fit(ready)]), kind))
 
 
 def rebalance(

@@ -3,7 +3,7 @@ import pytest
 
 import riskframe.operators.smote as smote_module
 from riskframe.catalog import sampling
-from riskframe.operators import neighbours
+from riskframe.operators import forest, neighbours
 from riskframe.operators.neighbours import nearest_neighbours
 from riskframe.operators.smote import rows_to_add, smote, synthetic_rows
 from riskframe.plans.training import rebalance
@@ -113,3 +113,49 @@ def test_registered_queries_keep_the_default_blocks_and_small_ones_change_nothin
     assert sorted(map(tuple, sampling.smote_rows(spark, DATA).collect())) == whole
     assert sampling.smote_counts(spark, DATA).count() == 2
     assert set(blocks) == {neighbours.BLOCK_ROWS}
+
+
+def test_forest_finds_nearly_all_neighbours(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (1500, 64)) + rng.normal(0, 2, (10, 64))[rng.integers(0, 10, 1500)]
+    table = points(spark, x)
+    found = forest.forest_neighbours(table, 5, trees=32, leaf_rows=150).cache()
+    near = brute(x, 5)
+    for r in found.collect():
+        d = np.sqrt(((x[r["id"]] - x[r["neighbour"]]) ** 2).sum())
+        assert r["id"] != r["neighbour"] and r["distance"] == pytest.approx(d, rel=1e-12)
+    got: dict = {}
+    for r in found.collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbour"]))
+    assert all([rank for rank, _ in sorted(v)] == [1, 2, 3, 4, 5] for v in got.values()) and len(got) == 1500
+    share = np.mean([len(set(near[i]) & {n for _, n in v}) / 5 for i, v in got.items()])
+    assert share >= 0.9
+    row = forest.recall(found, nearest_neighbours(table, 5)).first()
+    asked = [len(set(near[i]) & {n for _, n in got[i]}) for i in range(0, 1500, 20)]
+    assert tuple(row)[:3] == (75, 375, sum(asked)) and row["recall"] == sum(asked) / 375
+
+
+def test_forest_of_one_leaf_is_exact_and_cells_are_bounded(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (60, 3))
+    table = points(spark, x)
+    near = brute(x, 3)
+    got = {(r["id"], r["rank"]): r["neighbour"] for r in forest.forest_neighbours(table, 3, leaf_rows=60).collect()}
+    assert got == {(i, p + 1): n for i, v in near.items() for p, n in enumerate(v)}
+    # no directions tell the vectors of a line at one place apart; their cell is cut by hash
+    heap = points(spark, np.concatenate([[[1.0 + i * 1e-13, 0.0] for i in range(400)], [[9.0, 9.0]]]))
+    rows = forest.forest_neighbours(heap, 2, trees=2, leaf_rows=10, sample_rows=20).collect()
+    assert len({r["id"] for r in rows}) >= 400
+    with pytest.raises(ValueError):
+        forest.forest_neighbours(table, 60, leaf_rows=60)
+
+
+def test_forest_cells_are_balanced_and_repeat():
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 1, (4096, 8))
+    a, b = (forest.Forest.fit(x[:2048], 3, 6, 7).cells(x) for _ in range(2))
+    assert (a == b).all()
+    for t in range(3):
+        sizes = np.bincount(a[:, t], minlength=64)
+        assert sizes.min() > 20 and sizes.max() < 130  # 64 on average
+    assert forest.Forest.fit(x[:64], 2, 9, 7).cells(x).max() < 512  # deeper than the sample reaches

@@ -166,3 +166,32 @@ def test_equal_rows_at_the_cut_are_interchangeable(spark):
         assert S.sample_exact(df, n, 42, df.columns).count() == n
     with pytest.raises(ValueError):
         S.sample_exact(df.withColumn("c", F.lit(1)), 5, 42, ["a"]).count()
+
+
+@pytest.mark.parametrize("bracket", [None, [1.0, 2.0]])
+def test_medians_take_at_most_eight_rounds_whatever_the_values(spark, monkeypatch, bracket):
+    import random
+
+    from pyspark.sql import DataFrame
+
+    r = random.Random(9)
+    big = [r.choice([-1, 1]) * r.choice([1.7e308, 1.6e308, 5e-324, 1e-300, 1.0, 0.0, -0.0, 3e-310]) * r.random() for _ in range(999)]
+    ends = [-1.7976931348623157e308] * 500 + [1.7976931348623157e308] * 500
+    near = [1.0 + i * 2.0**-52 for i in range(1000)]
+    zeros = [-0.0] * 400 + [0.0] * 300 + [5e-324] * 300
+    df = spark.createDataFrame(list(zip([*big, None], ends, near, zeros)), "a double, b double, c double, d double").repartition(3)
+    rounds, narrow = [], E._narrow
+    monkeypatch.setattr(E, "_narrow", lambda *args: (rounds.append(1), narrow(*args)))
+    if bracket:  # the quantiles missed all middles
+        monkeypatch.setattr(DataFrame, "approxQuantile", lambda self, names, *_: [bracket] * len(names))
+    got = E.fit_medians(df)
+    assert len(rounds) <= 8
+    assert got["a"] == sorted(big)[499] and got["b"] == 0.0 and got["d"] == 0.0
+    assert got["c"] == near[499] + (near[500] - near[499]) / 2
+
+
+def test_doubles_have_their_place_in_an_order():
+    values = [float("-inf"), -1.7e308, -1.0, -5e-324, 0.0, 5e-324, 1.0, 1.7e308, float("inf")]
+    numbers = [E.order_number(v) for v in values]
+    assert numbers == sorted(numbers) and [E.ordered_double(n) for n in numbers] == values
+    assert E.order_number(-0.0) == 0
