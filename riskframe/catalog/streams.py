@@ -62,8 +62,9 @@ def stream_audit(spark, d):
     return _audit_rows(spark, f"{out}/audit")
 
 
-def _audit_rows(spark, path):
-    audit = spark.read.parquet(path).drop("unique_entities")
+def _audit_rows(spark, path, *exact):
+    audit = spark.read.parquet(path)
+    audit = audit.drop(*[c for c in ("unique_entities",) if c not in exact])
     return audit.withColumns(
         {
             "window_start": F.col("window_start").cast("timestamp_ntz"),
@@ -78,16 +79,32 @@ def _audit_rows(spark, path):
     "stream_audit_closed",
     f"""
 WITH {SCORED_SQL}, closed AS (SELECT max(ts) - INTERVAL 2 HOUR AS mark FROM scored)
-SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end, {_EXACT}
+SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end, {AUDIT_COLUMNS}
 FROM scored GROUP BY 1, 2 HAVING date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY <= (SELECT mark FROM closed)
 """,
 )
 def stream_audit_closed(spark, d):
-    """Daily audit in append mode with a watermark: the days that the newest event, less two hours, has closed."""
+    """Daily audit in append mode with a watermark and exact entity counts: the days that the newest event, less two hours, has closed."""
     out = scratch_path(spark, "stream-closed")
     scored, _ = S.score_stream(S.zoned(event_stream(spark, d), "ts"), probability(), Contract("events"))
-    S.run_to_table(S.audit_stream(scored, "ts", "1 day", "2 hours"), f"{out}/audit", f"{out}/checkpoint")
-    return _audit_rows(spark, f"{out}/audit")
+    audit = S.audit_stream(scored, "ts", "1 day", "2 hours", entity="user_id", exact=True)
+    S.run_to_table(audit, f"{out}/audit", f"{out}/checkpoint")
+    return _audit_rows(spark, f"{out}/audit", "unique_entities")
+
+
+@Q.add(
+    "stream_requests",
+    """
+WITH r AS (SELECT event_id, user_id, value, row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) AS turn FROM events)
+SELECT event_id, user_id, value, CASE WHEN turn > 1 THEN 'user_id:unique' ELSE '' END AS reasons FROM r
+""",
+)
+def stream_requests(spark, d):
+    """Arriving events: the first of each user and day is taken, the others are rejected as repeated."""
+    out = scratch_path(spark, "stream-requests")
+    events = S.zoned(event_stream(spark, d).select("event_id", "ts", "user_id", "value"), "ts")
+    S.run_to_table(S.unique_requests(events, "user_id", "ts", "event_id"), f"{out}/judged", f"{out}/checkpoint")
+    return spark.read.parquet(f"{out}/judged").select("event_id", "user_id", "value", F.concat_ws(",", "reasons").alias("reasons"))
 
 
 @Q.add(

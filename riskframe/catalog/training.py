@@ -6,6 +6,7 @@ from riskframe.catalog.base import Catalog, event_features, load
 from riskframe.operators import metrics as M
 from riskframe.operators.sampling import split
 from riskframe.operators.storage import stored
+from riskframe.plans import boosting as B
 from riskframe.plans import training as T
 from riskframe.plans.scoring import add_scores, evaluated_rows
 from riskframe.session import scratch_path
@@ -99,6 +100,59 @@ def train_sparse(spark, d):
     return joined.select("n_levels", "n_train", "n_test", "loaded_scores_equal", "above_minimum")
 
 
+@Q.add(
+    "split_gains",
+    """
+WITH e AS (SELECT CAST(json_extract(props, '$.k') AS DOUBLE) AS k, CAST(hour(ts) AS DOUBLE) AS hour,
+                  CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS y FROM events),
+base AS (SELECT avg(y) AS p FROM e),
+r AS (SELECT 0 AS feature, k AS x, y FROM e UNION ALL SELECT 1, hour, y FROM e),
+sums AS (
+  SELECT feature, x, sum(CAST(round((p - y) * 1048576) AS BIGINT)) / 1048576e0 AS g, sum(CAST(round(p * (1 - p) * 1048576) AS BIGINT)) / 1048576e0 AS h
+  FROM r, base GROUP BY 1, 2
+),
+upto AS (
+  SELECT feature, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY feature) AS ga, sum(h) OVER (PARTITION BY feature) AS ha
+  FROM sums WINDOW w AS (PARTITION BY feature ORDER BY x)
+),
+t AS (SELECT feature, x, gl, hl, ga - gl AS gr, ha - hl AS hr, ga, ha FROM upto)
+SELECT feature, x AS upto, round(hl, 4) AS h_left,
+       round(0.5e0 * (pow(greatest(abs(gl) - 0.5e0, 0), 2) / (hl + 2) + pow(greatest(abs(gr) - 0.5e0, 0), 2) / (hr + 2)
+                      - pow(greatest(abs(ga) - 0.5e0, 0), 2) / (ha + 2)), 4) AS gain
+FROM t QUALIFY x < max(x) OVER (PARTITION BY feature)
+""",
+)
+def split_gains(spark, d):
+    """What every possible first split of two columns gains, with penalties of both kinds."""
+    events = event_features(load(spark, d, "events")).withColumn("hour", F.hour("ts"))
+    sums, edges = B.first_histograms(events, ["k", "hour"], "y", bins=256)
+    gains = B.split_gains(sums, l2=2.0, l1=0.5)
+    tops = [(f, b, float(v)) for f, own in enumerate(edges) for b, v in enumerate(own)]
+    return gains.join(F.broadcast(spark.createDataFrame(tops, "feature long, bin long, upto double")), ["feature", "bin"]).select(
+        F.col("feature").cast("int").alias("feature"), "upto", F.round("h_left", 4).alias("h_left"), F.round("gain", 4).alias("gain")
+    )
+
+
+@Q.add("train_boosted", _facts_sql("boosted", 20))
+def train_boosted(spark, d):
+    """Twenty trees with penalised leaves and columns drawn per tree, saved, loaded and held against the test part."""
+    train, test = (stored(part, "boosted-part") for part in _parts(spark, d))
+    model = B.train_boosted(train, FEATURES, "y", B.Boosting(rounds=20, rate=0.3, depth=3), key="event_id")
+    path = scratch_path(spark, "model-boosted")
+    model.save(spark, path)
+    live = add_scores(test, model.probability()).withColumnsRenamed({"probability": "live", "prediction": "decision"})
+    rows = stored(add_scores(live, B.BoostedTrees.load(spark, path).probability()), "scored")
+    same = rows.agg(
+        F.count(F.lit(1)).alias("n_test"), F.bool_and(F.col("probability") == F.col("live")).alias("loaded_scores_equal")
+    )
+    facts = M.evaluate(rows, "y", "prediction", "probability").select((F.col("roc_auc") > 0.7).alias("above_minimum"))
+    one = F.lit(1).alias("one")  # one row each
+    counted = train.agg(F.count(F.lit(1)).alias("n_train"))
+    joined = facts.select("*", one).join(same.select("*", one), "one").join(counted.select("*", one), "one")
+    size = F.lit(len(model.trees)).alias("model_size")
+    return joined.select(F.lit("boosted").alias("kind"), size, "n_train", "n_test", "loaded_scores_equal", "above_minimum")
+
+
 @Q.add(
     "rebalance_training",
     """

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from riskframe.operators.audit import audit_measures
+from riskframe.functions.expr import col
+from riskframe.operators.audit import audit_measures, audit_sums, measures_of_sums
 from riskframe.operators.contract import Contract, mark_broken, quarantine, split_marked
 from riskframe.operators.drift import (
     P_VALUE_THRESHOLD,
@@ -22,6 +25,10 @@ from riskframe.operators.drift import (
 from riskframe.plans.scoring import DECISION_THRESHOLD, add_scores
 
 
+#: Verdicts on the rows of a request.
+FIRST, REPEATED, ABSENT = range(3)
+
+
 def read_file_stream(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_trigger: int | None = None, **options: str
 ) -> DataFrame:
@@ -83,9 +90,18 @@ def audit_stream(
     watermark: str | None = "1 day",
     probability: str | None = "probability",
     entity: str | None = None,
+    exact: bool = False,
 ) -> DataFrame:
-    """Audit measures per tumbling window. Rows later than the watermark are not counted."""
+    """Audit measures per tumbling window. Rows later than the watermark are not counted.
+
+    Entities are counted approximately, or with ``exact`` by one more keyed state: rows are summed up per window and entity
+    first, and those sums per window. That takes a watermark and append mode.
+    """
     timed = scored.withWatermark(ts, watermark) if watermark else scored
+    if exact and entity:
+        if not watermark:
+            raise ValueError("exact entity counts need a watermark, so that their state can go")
+        return _exact_audit(timed, ts, window, probability, entity)
     measures = audit_measures(probability, entity=entity, exact=False)
     return (
         timed.groupBy(F.window(F.col(ts), window).alias("w"))
@@ -95,6 +111,73 @@ def audit_stream(
     )
 
 
+def _exact_audit(timed: DataFrame, ts: str, window: str, probability: str | None, entity: str) -> DataFrame:
+    """The audit measures, summed up per window and entity first."""
+    per_entity = timed.groupBy(F.window(F.col(ts), window).alias("w"), col(entity).alias("entity")).agg(
+        *audit_sums(probability)
+    )
+    whole = per_entity.groupBy(F.window(F.window_time("w"), window).alias("w")).agg(*measures_of_sums(probability, "entity"))
+    return whole.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "*").drop("w")
+
+
+def unique_requests(
+    stream: DataFrame,
+    entity: str,
+    ts: str,
+    order: str,
+    window: str = "1 day",
+    watermark: str = "1 hour",
+) -> DataFrame:
+    """Rows with ``reasons``: empty for the first row of its entity in its tumbling window, ``<entity>:unique`` for
+    the others, ``<entity>:not_null`` without an entity. ``split_marked`` parts them.
+
+    First means the earliest batch, in it the earliest time, and of equal times the least ``order`` (a whole number). The state has one
+    entry per entity and open window and goes when the watermark closes the window; rows that come for a closed window
+    are dropped and counted by Spark (``numRowsDroppedByWatermark``), as in every windowed state, unless they have no entity.
+    A group is read in pieces, so a very frequent entity needs no memory, but its rows share a task.
+    """
+    odd = [f.name for f in stream.schema if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType))]
+    if odd:
+        raise ValueError(f"columns of these types cannot be carried: {', '.join(odd)}")
+    names = [f"c{i}" for i in range(len(stream.columns))]
+    # passengers travel as text, which keeps whole numbers beside NULLs exact
+    carried = stream.withWatermark(ts, watermark).select(
+        F.window(F.col(ts), window).alias("w"),
+        col(entity).cast("string").alias("entity"),
+        F.unix_micros(F.col(ts)).alias("at"),
+        col(order).cast("long").alias("turn"),
+        *[col(c).cast("string").alias(n) for c, n in zip(stream.columns, names)],
+    )
+    keyed = carried.withColumn("closes", F.unix_millis("w.end"))  # the window stays: by it the state knows what is late
+    parts = T.StructType([T.StructField(n, T.StringType()) for n in names]).add("verdict", "integer")
+
+    def judge(key: tuple, chunks, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        first = not state.exists
+        best = None
+        for chunk in chunks:
+            if first:
+                rows = (chunk if best is None else pd.concat([best, chunk])).sort_values(["at", "turn"], kind="stable")
+                best, chunk = rows.iloc[:1], rows.iloc[1:]
+            yield chunk[names].assign(verdict=REPEATED)
+        if best is not None:
+            yield best[names].assign(verdict=FIRST)
+            if key[1] > state.getCurrentWatermarkMs():  # otherwise nothing more can come for the window
+                state.update((1,))
+                state.setTimeoutTimestamp(int(key[1]))
+
+    judged = keyed.filter("entity is not null").groupBy("entity", "closes").applyInPandasWithState(
+        judge, parts, "seen int", "append", GroupStateTimeout.EventTimeTimeout
+    )
+    alone = keyed.filter("entity is null").select(*names, F.lit(ABSENT).alias("verdict"))
+    names_of = {REPEATED: f"{entity}:unique", ABSENT: f"{entity}:not_null"}
+    reasons = F.array_compact(F.array(*[F.when(F.col("verdict") == v, F.lit(name)) for v, name in names_of.items()]))
+    back = [F.col(n).cast(f.dataType).alias(f.name) for n, f in zip(names, stream.schema)]
+    return judged.unionByName(alone).select(*back, reasons.alias("reasons"))
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Processes what is there now into a Parquet table.
 

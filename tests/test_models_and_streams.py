@@ -111,3 +111,48 @@ def test_drift_per_batch_and_replay(spark, arrivals, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "h")).collect()
     assert len(rows) == 4 and seen == [0, 1, 2, 3]
     assert all(r["triggered"] and r["reason"] == "dataset_drift" for r in rows)
+
+
+def test_exact_entities_per_window(spark, tmp_path):
+    """Entities repeat across files of the same day, and one has no id."""
+    schema = "SK_ID_CURR long, feature_1 double, ts timestamp"
+    for part in range(6):
+        day = 1 + part // 2
+        rows = [(i % 4 if i < 8 else None, float(i), dt.datetime(2024, 1, day, 2 * part % 4 + i // 5)) for i in range(10)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    stream = S.read_file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, "json", 1)
+    scored, _ = S.score_stream(stream, logistic({"feature_1": 1.0}, -5.0), K.Contract("none"))
+    audit = S.audit_stream(scored, "ts", "1 day", "1 hour", entity="SK_ID_CURR", exact=True)
+    S.run_to_table(audit, str(tmp_path / "out"), str(tmp_path / "c"))
+    rows = spark.read.parquet(str(tmp_path / "out")).orderBy("window_start").collect()
+    assert [(r["window_start"].day, r["entity_count"], r["positive_decisions"], r["unique_entities"]) for r in rows] == [
+        (1, 20, 10, 4), (2, 20, 10, 4),
+    ]
+    assert rows[0]["band_high_risk"] + rows[0]["band_medium_risk"] + rows[0]["band_low_risk"] == 20
+    with pytest.raises(ValueError, match="watermark"):
+        S.audit_stream(scored, "ts", "1 day", None, entity="SK_ID_CURR", exact=True)
+
+
+def test_requests_repeated_late_and_without_id(spark, tmp_path):
+    schema = "id long, n long, big long, ts timestamp"
+    at = lambda day, hour: dt.datetime(2024, 1, day, hour)
+    big = 2**60 + 1
+    files = [
+        [(1, 0, big, at(1, 5)), (1, 1, None, at(1, 3)), (2, 2, big, at(1, 4)), (None, 3, big, at(1, 4)), (1, 4, 1, at(1, 3))],
+        [(1, 5, 1, at(1, 1)), (1, 6, 1, at(2, 0)), (3, 7, 1, at(3, 5))],  # seen before; another day; moves the watermark on
+        [(2, 8, 1, at(1, 9)), (9, 9, 1, at(1, 9)), (None, 13, 1, at(1, 9)), (3, 10, 1, at(3, 2))],  # closes the first day
+        [(3, 11, 1, at(4, 6)), (3, 12, 1, at(3, 23)), (2, 14, 1, at(1, 9)), (8, 15, 1, at(1, 9))],  # the last two are too late
+    ]
+    for i, rows in enumerate(files):
+        folder = str(tmp_path / "in")
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(folder)
+    stream = S.read_file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, "json", 1)
+    judged = S.unique_requests(stream, "id", "ts", "n", "1 day", "1 hour")
+    S.run_to_table(judged, str(tmp_path / "out"), str(tmp_path / "c"))
+    rows = {r["n"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    again, absent = ["id:unique"], ["id:not_null"]
+    want = {0: again, 1: [], 2: [], 3: absent, 4: again, 5: again, 6: [], 7: [], 8: again, 9: [], 10: again, 11: [], 12: again, 13: absent}
+    assert {n: r["reasons"] for n, r in rows.items()} == want
+    assert rows[0]["big"] == big and rows[1]["big"] is None and rows[0]["ts"] == at(1, 5)
+    with pytest.raises(ValueError, match="cannot be carried"):
+        S.unique_requests(stream.withColumn("list", F.array("id")), "id", "ts", "n")
