@@ -223,8 +223,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @Q.add("op13_forced_cut_bpe")
 def op13_forced_cut_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    decoded = word_bpe.decode(word_bpe.encode(load(spark, sf_dir, "documents"), path), path)
-    return decoded.select(
+    coded = word_bpe.encode(load(spark, sf_dir, "documents"), path, decoded="text")
+    return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -40,11 +40,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import plain, text_of
-from riskframe.llm.words import pieces
+from riskframe.llm.common import plain, release_memory, text_of
+from riskframe.llm.words import pieces, text_buffer
 
 #: Pieces whose ids a worker remembers; others are encoded again, with the same result.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Longer pieces are not remembered.
 REMEMBERED_BYTES = 256
 #: Longer fragments are merged with a heap: rounds over all places would cost their length times the number of merges.
@@ -252,14 +252,18 @@ class ForcedCutBpe:
         return b" ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode()
 
 
-def _encode(vocabulary: Broadcast):
+def _encode(vocabulary: Broadcast, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ForcedCutBpe.of(vocabulary)
         for batch in batches:
-            texts = [t.encode() for t in batch.column("text").to_pylist()]
-            for low, high in pieces(np.cumsum([0, *map(len, texts)]), BATCH_BYTES):
-                ids = pa.array(encoder.encode(texts[low:high]), pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("row").slice(low, high - low), ids], ["row", "ids"])
+            data, offsets = text_buffer(batch.column("text"))
+            for low, high in pieces(offsets, BATCH_BYTES):
+                bounds = offsets[low : high + 1].tolist()
+                ids = encoder.encode([data[a:b].tobytes() for a, b in zip(bounds, bounds[1:])])
+                back = [encoder.decode(i) for i in ids] if decoded else [None] * len(ids)
+                columns = [batch.column("row").slice(low, high - low), pa.array(ids, pa.binary()), pa.array(back, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"])
+            release_memory()
 
     return run
 
@@ -270,14 +274,23 @@ def _vocabulary(docs: DataFrame, path: str) -> Broadcast:
 
 
 def encode(
-    docs: DataFrame, tokenizer_path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", output: str = "ids"
+    docs: DataFrame,
+    tokenizer_path: str,
+    keep: tuple[str, ...] = ("doc_id",),
+    text: str = "text",
+    output: str = "ids",
+    decoded: str | None = None,
 ) -> DataFrame:
-    """The kept columns and the ids of the text, as bytes (little-endian, 32 bits each)."""
+    """The kept columns and the ids of the text, as bytes (little-endian, 32 bits each).
+
+    ``decoded`` names one more column for the text that the ids decode to, made by the same workers.
+    """
     row = F.struct(*[plain(c).alias(f"c{i}") for i, c in enumerate(keep)])
     slim = text_of(docs.select(row.alias("row"), plain(text).alias("text")), "row").withColumnRenamed("doc_id", "row")
-    out = T.StructType().add("row", slim.schema["row"].dataType).add("ids", "binary")
-    coded = slim.mapInArrow(_encode(_vocabulary(docs, tokenizer_path)), out)
-    return coded.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], F.col("ids").alias(output))
+    out = T.StructType().add("row", slim.schema["row"].dataType).add("ids", "binary").add("decoded", "string")
+    coded = slim.mapInArrow(_encode(_vocabulary(docs, tokenizer_path), decoded is not None), out)
+    results = [F.col("ids").alias(output), *([F.col("decoded").alias(decoded)] if decoded else [])]
+    return coded.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(keep)], *results)
 
 
 def decode(tokens: DataFrame, tokenizer_path: str, ids: str = "ids", output: str = "text") -> DataFrame:
