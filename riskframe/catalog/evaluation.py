@@ -133,6 +133,26 @@ def roc_points(spark, d):
     return points.withColumns({"fpr": r6("fpr"), "tpr": r6("tpr")})
 
 
+@Q.add(
+    "roc_corners",
+    f"""
+WITH {SCORED_SQL},
+s AS (SELECT floor(probability * 1000) / 1000 AS p3, count_if(y = 1) AS pos, count_if(y = 0) AS neg FROM scored GROUP BY 1),
+t AS (SELECT sum(pos) AS p, sum(neg) AS n FROM s),
+w AS (SELECT p3, pos, neg, sum(pos) OVER up AS tp, sum(neg) OVER up AS fp, lead(pos) OVER up AS next_pos, lead(neg) OVER up AS next_neg,
+             row_number() OVER up AS place FROM s WINDOW up AS (ORDER BY p3 DESC))
+SELECT p3 AS threshold, round(fp / (SELECT n FROM t), 6) AS fpr, round(tp / (SELECT p FROM t), 6) AS tpr FROM w
+WHERE place = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+UNION ALL SELECT NULL, 0e0, 0e0
+""",
+)
+def roc_corners(spark, d):
+    """The curve over scores of three digits, without the points between equal steps."""
+    scored = scored_events(spark, d).withColumn("probability", F.floor(F.col("probability") * 1000) / 1000)
+    points = M.roc_points(scored, "y", "probability", compact=True)
+    return points.withColumns({"fpr": r6("fpr"), "tpr": r6("tpr")})
+
+
 @Q.add(
     "pr_points",
     f"""

@@ -137,12 +137,32 @@ def metrics_table(metrics: DataFrame, run: str, names: Sequence[str]) -> DataFra
     return metrics.unpivot([run], list(names), "metric", "value").filter("value is not null")
 
 
-def _curve(df: DataFrame, label: str, score: str, by: Sequence[str], point: dict, end: dict) -> DataFrame:
+def _with_corners(counts: DataFrame) -> DataFrame:
+    """Adds ``corner``: whether the curve's step differs from the next one, that of the next lower score, or is the last.
+
+    Inside a slice that is the row before; a slice's first row looks at the last one of the slice before,
+    which comes from a table of slices.
+    """
+    step = F.struct("pos", "neg")
+    before = F.lag(step).over(Window.partitionBy(GROUP, "__slice_0").orderBy("score"))
+    edges = counts.groupBy(GROUP, "__slice_0").agg(F.max_by(step, "score").alias("edge"))
+    carried = F.lag("edge").over(Window.partitionBy(GROUP).orderBy("__slice_0"))  # one row per slice
+    lower = F.coalesce(before, F.col("edge"))
+    joined = counts.join(edges.select(GROUP, "__slice_0", carried.alias("edge")), [GROUP, "__slice_0"])
+    return joined.withColumn("corner", lower.isNull() | (lower != step)).drop("edge")
+
+
+def _curve(
+    df: DataFrame, label: str, score: str, by: Sequence[str], point: dict, end: dict, compact: bool = False
+) -> DataFrame:
     """One row per distinct score from the counts at or above it, and one end row per group.
 
-    ``point`` maps names to expressions over tp, fp, n_pos and n_neg; ``end`` to constants.
+    ``point`` maps names to expressions over tp, fp, n_pos and n_neg; ``end`` to constants. ``compact`` leaves out
+    scores whose step is repeated by the next one.
     """
-    counted = running_totals(score_counts(df, label, score, by), "score", "__slice_0", ["pos", "neg"], [GROUP]).select(
+    counts = score_counts(df, label, score, by)
+    counts = _with_corners(counts) if compact else counts.withColumn("corner", F.lit(True))
+    counted = running_totals(counts, "score", "__slice_0", ["pos", "neg"], [GROUP]).select(
         GROUP,
         "score",
         (F.col("pos__all") - F.col("pos__upto") + F.col("pos")).alias("tp"),
@@ -150,7 +170,9 @@ def _curve(df: DataFrame, label: str, score: str, by: Sequence[str], point: dict
         F.col("pos__all").alias("n_pos"),
         F.col("neg__all").alias("n_neg"),
         ((F.col("pos__upto") == F.col("pos__all")) & (F.col("neg__upto") == F.col("neg__all"))).alias("top"),
+        "corner",
     )
+    counted = counted.filter(F.col("corner") | F.col("top"))
     here = F.struct(F.col("score").alias("threshold"), *[e.alias(n) for n, e in point.items()])
     last = F.struct(F.lit(None).cast("double").alias("threshold"), *[F.lit(v).alias(n) for n, v in end.items()])
     rows = F.when(F.col("top"), F.array(here, last)).otherwise(F.array(here))
@@ -161,10 +183,13 @@ def _share(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """False and true positive rate at every distinct threshold, plus the origin (no threshold)."""
+def roc_points(df: DataFrame, label: str, score: str, by: Sequence[str] = (), compact: bool = False) -> DataFrame:
+    """False and true positive rate at every distinct threshold, plus the origin (no threshold).
+
+    ``compact`` keeps of a straight stretch of equal steps its ends only, as plots and reports want it.
+    """
     point = {"fpr": _share(F.col("fp"), F.col("n_neg")), "tpr": _share(F.col("tp"), F.col("n_pos"))}
-    return _curve(df, label, score, by, point, {"fpr": 0.0, "tpr": 0.0})
+    return _curve(df, label, score, by, point, {"fpr": 0.0, "tpr": 0.0}, compact)
 
 
 def pr_points(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +18,10 @@ from pyspark.sql import functions as F
 FAILING_STATUSES = ("missing", "failed")
 MAX_AGE_HOURS = 24.0
 
+#: Files that Spark reads as one value (it can up to 2 GB); a task holds one of them at a time.
+WHOLE_UP_TO = 256 << 20
+PIECE_BYTES = 8 << 20
+
 MANIFEST_SCHEMA = (
     "name string, path string, source_type string, status string, n_files bigint, size_bytes bigint, "
     "checksum string, expected_checksum string, message string, ingested_at timestamp"
@@ -42,10 +50,41 @@ class Source:
     skip_if_exists: bool = True
 
 
-def file_checksums(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """MD5 per file. Whole files are hashed, so each must be below the reader's 2 GB limit;
-    tables of larger files are compared by ``table_fingerprint`` instead."""
-    return _binary(spark, path).select("path", "length", F.md5("content").alias("md5"))
+def file_checksums(
+    spark: SparkSession, path: str | list[str], whole_up_to: int = WHOLE_UP_TO, piece_bytes: int = PIECE_BYTES
+) -> DataFrame:
+    """path, length and MD5 per file, of any size.
+
+    Files up to ``whole_up_to`` bytes are read by Spark as one value each. Larger ones are read piece by piece, each by one
+    task (an MD5 has to be), through the file system that their path names (pyarrow: local, S3, GCS, HDFS).
+    """
+    files = _binary(spark, path)
+    whole = files.filter(F.col("length") <= whole_up_to).select("path", "length", F.md5("content").alias("md5"))
+    large = files.filter(F.col("length") > whole_up_to).select("path", "length")
+    sizes = large.agg(F.count(F.lit(1))).first()[0]
+    if not sizes:
+        return whole
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_streamed_md5(p, piece_bytes) for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], ["path", "length", "md5"])
+
+    spread = large.repartition(min(sizes, 10_000), "path")  # about one file a task
+    return whole.unionByName(spread.mapInArrow(digest, "path string, length long, md5 string"))
+
+
+def _streamed_md5(path: str, piece_bytes: int) -> str:
+    scheme, rest = re.match(r"(?:([A-Za-z][A-Za-z0-9+.-]*):)?(.*)", path, re.DOTALL).groups()
+    if scheme in (None, "file"):
+        system, name = pafs.LocalFileSystem(), unquote("/" + rest.lstrip("/"))
+    else:
+        system, name = pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
+    total = hashlib.md5()
+    with system.open_input_stream(name) as stream:
+        while piece := stream.read(piece_bytes):
+            total.update(piece)
+    return total.hexdigest()
 
 
 def table_checksum(spark: SparkSession, path: str) -> str | None:

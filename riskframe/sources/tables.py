@@ -124,6 +124,17 @@ def write_predictions(df: DataFrame, path: str, fmt: str = "parquet", mode: str
     return _write_counted(df, path, lambda d: d.write.mode(mode).options(**options).format(fmt).save(path))
 
 
-def append_report(df: DataFrame, path: str, run_date: str, fmt: str = "parquet") -> None:
-    """Adds report rows to a history table, one folder per run date."""
-    df.withColumn("run_date", F.lit(run_date)).write.mode("append").partitionBy("run_date").format(fmt).save(path)
+def append_report(df: DataFrame, path: str, run_date: str, fmt: str = "parquet", run_id: str | None = None) -> str:
+    """Adds a report to a history table, in a folder of its run date and run id; returns the id.
+
+    Writing a run's report again, after a failure or by a retry, replaces it. Without an id the report's content
+    is its id, whatever the order of its rows: the same report is kept once, another one of the same date beside it.
+    """
+    if run_id is None:
+        total = F.sum(F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).cast("decimal(38,0)"))
+        found = df.agg(F.count(F.lit(1)), total).first()
+        run_id = "content-{}-{}".format(found[0], found[1] or 0)
+    marked = df.withColumns({"run_date": F.lit(run_date), "run_id": F.lit(run_id)})
+    writer = marked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_date", "run_id").format(fmt).save(path)
+    return run_id

@@ -68,3 +68,29 @@ def test_groups_are_independent(spark):
     got = {r["g"]: r["roc_auc"] for r in M.roc_auc(df, "y", "s", ["g"]).collect()}
     for k in range(3):
         assert got[k] == pytest.approx(brute_auc(y[g == k], s[g == k]), abs=1e-12)
+
+
+def test_compact_roc_keeps_the_ends_of_straight_stretches(spark, monkeypatch):
+    import random
+
+    from riskframe.operators import metrics as M
+    from riskframe.operators import ordering
+
+    r = random.Random(2)
+    rows = [(g, float(s), r.choice([0, 1])) for g in ("a", None) for s in range(60) for _ in range(r.choice([1, 1, 2]))]
+    rows += [("b", 1.0, 1), ("b", 2.0, 0)] + [("c", float(i), 1) for i in range(30)]
+    df = spark.createDataFrame(rows, "g string, s double, y int")
+    for slices in (2, 5, 40):
+        monkeypatch.setattr(ordering, "shuffle_parallelism", lambda *_, n=slices: n)
+        got = {}
+        for p in M.roc_points(df, "y", "s", ["g"], compact=True).collect():
+            got.setdefault(p["g"], set()).add(p["threshold"])
+        for g in ("a", None, "b", "c"):
+            steps = {}
+            for _, s, y in [x for x in rows if x[0] == g]:
+                pos, neg = steps.get(s, (0, 0))
+                steps[s] = (pos + y, neg + 1 - y)
+            falling = sorted(steps, reverse=True)
+            want = {None, falling[0], falling[-1]}
+            want |= {s for s, after in zip(falling, falling[1:]) if steps[s] != steps[after]}
+            assert got[g] == want

@@ -69,6 +69,20 @@ def test_history_grows(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "h")).count() == 2
 
 
+def test_a_report_written_again_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "h")
+    rows = [("a", 1), ("b", None)]
+    report = lambda r: spark.createDataFrame(r, "`x.y` string, n int").repartition(2)
+    first = S.append_report(report(rows), path, "2024-01-01")
+    assert S.append_report(report(rows[::-1]), path, "2024-01-01") == first  # the order of rows is no content
+    assert S.append_report(report([("a", 2)]), path, "2024-01-01") != first
+    S.append_report(report(rows), path, "2024-01-02", run_id="night")
+    S.append_report(report([("c", 3)]), path, "2024-01-02", run_id="night")
+    read = spark.read.parquet(path)
+    got = sorted((str(r["run_date"]), r["x.y"], r["n"] or 0) for r in read.collect())
+    assert got == [("2024-01-01", "a", 1), ("2024-01-01", "a", 2), ("2024-01-01", "b", 0), ("2024-01-02", "c", 3)]
+
+
 def test_nan_becomes_null(spark):
     df = spark.createDataFrame([(float("nan"), "x"), (1.0, None)], "a double, s string")
     assert [tuple(r) for r in S.nan_to_null(df).collect()] == [(None, "x"), (1.0, None)]
@@ -152,3 +166,14 @@ def test_cluster_without_shared_folder_is_an_error():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         SE.shared_folder(Fake())
+
+
+def test_files_of_any_size_are_hashed_in_pieces(spark, tmp_path):
+    content = {"small": b"x" * 10, "large": bytes(range(256)) * 5000, "edge": b"y" * 1000, "_hidden": b"z"}
+    for name, data in content.items():
+        (tmp_path / name).write_bytes(data)
+    for limit, piece in ((1000, 64 << 10), (0, 7), (1 << 31, 1)):
+        rows = M.file_checksums(spark, str(tmp_path), whole_up_to=limit, piece_bytes=piece).collect()
+        got = {r["path"].rsplit("/", 1)[-1]: (r["length"], r["md5"]) for r in rows}
+        assert got == {n: (len(d), hashlib.md5(d).hexdigest()) for n, d in content.items() if n != "_hidden"}
+    assert M.table_checksum(spark, str(tmp_path / "large")) == hashlib.md5(content["large"]).hexdigest()
