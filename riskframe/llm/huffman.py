@@ -146,7 +146,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
-        self.tokenizer.encode_special_tokens = True
         settings = json.loads(content)
         suffix = settings["model"].get("end_of_word_suffix")
         self.lowers = '"Lowercase"' in json.dumps(settings.get("normalizer"))
@@ -207,9 +206,10 @@ class WordTokenizer:
     def _split(self, text: bytes) -> list[bytes]:
         """Pieces between white space, with fewer forms of the same word.
 
-        Lowering ASCII letters beforehand changes nothing unless a combining mark (its first byte is CC or CD) follows one.
+        Lowering ASCII letters beforehand changes nothing unless a combining mark (its first byte is CC or CD) follows one,
+        or the text may hold an added token, which is matched as it is written.
         """
-        if self.lowers and b"\xcc" not in text and b"\xcd" not in text:
+        if self.lowers and b"\xcc" not in text and b"\xcd" not in text and b"<|" not in text:
             text = text.lower()
         return text.split()
 

@@ -18,9 +18,7 @@ PATH = P.path("word_bpe_49k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def optimal_cost(counts):
@@ -63,7 +61,7 @@ def test_codes_round_trip(texts):
 
 TEXTS = [
     "Hello  World's it's\n\n tabs\tend", "", None, " ", "é NFC é ÀÉ ß İ ŉ", "日本語 123 😀", "a" * 30_000, "word " * 20_000,
-    "\x00\x1c\x85x y　z", "H̱ T̈ İ Å. k̈, Word. WORD, x.'s a.. b ., c.\n.d e,\tf", "<|endoftext|> x <|startoftext|>", "don't 'S 'Ll", "̈ x ̈", "x", "x",
+    "\x00\x1c\x85x y　z", "H̱ T̈ İ Å. k̈, Word. WORD, x.'s a.. b ., c.\n.d e,\tf", "<|endoftext|> x<|startoftext|>y <|EndOfText|>", "don't 'S 'Ll", "̈ x ̈", "x", "x",
 ]
 
 
@@ -110,14 +108,10 @@ def test_query_equals_the_library(spark, tokenizer):
     assert got == expected(rows, tokenizer)
 
 
-def test_ids_equal_an_untouched_library_but_for_added_tokens_in_texts():
-    plain = Tokenizer.from_file(PATH)
+def test_ids_equal_the_library_added_tokens_included(tokenizer):
     with open(PATH, encoding="utf-8") as f:
         encoder = huffman.WordTokenizer.of(f.read())
-    added = "<|endoftext|> x <|startoftext|>"
-    texts = [t for t in TEXTS if t and t != added]
+    texts = [t or "" for t in TEXTS]
     got = encoder.encode([t.encode() for t in texts])
-    assert [list(g) for g in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
-    # stated in README: in a text an added token is ordinary characters
-    assert {49406, 49407} <= set(plain.encode(added, add_special_tokens=False).ids)
-    assert not {49406, 49407} & {int(i) for i in encoder.encode([added.encode()])[0]}
+    assert [list(g) for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert {49406, 49407} <= {int(i) for i in got[TEXTS.index("<|endoftext|> x<|startoftext|>y <|EndOfText|>")]}
