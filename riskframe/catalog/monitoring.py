@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from riskframe.catalog.base import Catalog, event_features, load, r6
 from riskframe.operators import drift as D
-from riskframe.operators.sampling import concat
 
 Q = Catalog()
 
@@ -222,13 +221,8 @@ def weekly_flags(spark, d, columns=("value", "k")):
         F.get_json_object("props", "$.k").cast("double").alias("k"),
         (F.unix_micros(F.col("ts").cast("timestamp")) % F.lit(86400000000)).cast("double").alias("time_of_day"),
     ).withColumn("value", F.col("value") * (F.lit(1) + F.col("batch") * F.lit(0.05)))
-    first = weeks.filter("batch = 0").drop("batch")
-    parts = [
-        D.drift_flags(D.ks_pvalue(D.ks_statistic(first, weeks.filter(F.col("batch") == b), list(columns))))
-        .withColumn("batch", F.lit(b).cast("long"))
-        for b in (1, 2, 3)
-    ]
-    return concat(parts)
+    distances = D.ks_statistic_by(weeks, list(columns), "batch", F.col("batch") == 0)
+    return D.drift_flags(D.ks_pvalue(distances))
 
 
 def weekly_sql(columns=("value", "k")):

@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.expr import col, is_missing
 from riskframe.functions.kolmogorov import asymptotic_p, exact_p
 from riskframe.operators.frame import floating_columns, numeric_values, project
-from riskframe.operators.ordering import add_slices, as_number, running_totals, slice_points
+from riskframe.operators.ordering import add_slices, as_number, running_totals, slice_offsets, slice_points
 from riskframe.operators.sampling import Key, sample_exact
 from riskframe.operators.storage import stored
 
@@ -69,10 +69,12 @@ def _number(df: DataFrame, name: str) -> Column:
     return numeric_values(col(name)) if isinstance(kind, T.StringType) else numeric_values(as_number(df, name))
 
 
-def _value_counts(df: DataFrame, columns: Sequence[str], points: dict[str, list[float]], **counts: Column) -> DataFrame:
-    """Rows per (column number, slice, value). A cell carries its column's number, not its name."""
+def _value_counts(
+    df: DataFrame, columns: Sequence[str], points: dict[str, list[float]], by: Sequence[str] = (), **counts: Column
+) -> DataFrame:
+    """Rows per (column number, slice, value) and ``by``. A cell carries its column's number, not its name."""
     names = list(points)
-    numbers = df.select(*[_number(df, c).alias(n) for c, n in zip(columns, names)], *[v.alias(k) for k, v in counts.items()])
+    numbers = df.select(*[_number(df, c).alias(n) for c, n in zip(columns, names)], *by, *[v.alias(k) for k, v in counts.items()])
     sliced = add_slices(numbers, points)
     cells = F.array(
         *[
@@ -81,10 +83,10 @@ def _value_counts(df: DataFrame, columns: Sequence[str], points: dict[str, list[
         ]
     )
     return (
-        sliced.select(*counts, F.explode(cells).alias("x"))
-        .select(*counts, "x.*")
+        sliced.select(*by, *counts, F.explode(cells).alias("x"))
+        .select(*by, *counts, "x.*")
         .filter("value is not null")
-        .groupBy("no", "slice", "value")
+        .groupBy("no", "slice", "value", *by)
         .agg(*[F.sum(k).alias(k) for k in counts])
     )
 
@@ -119,6 +121,41 @@ def ks_statistic(reference: DataFrame, current: DataFrame, columns: Sequence[str
     return _largest_gaps(counts, columns)
 
 
+def ks_statistic_by(df: DataFrame, columns: Sequence[str], by: str, is_reference: Column) -> DataFrame:
+    """The distance of every group of ``by`` from the same reference rows, per column, from one reading of the table.
+
+    Rows for which ``is_reference`` holds are the reference, the others belong to their group (a NULL group is one). Between two values of a
+    group only the reference grows, so it is enough to compare at the group's own values, with and without the value itself.
+    """
+    names = [f"v{i}" for i in range(len(columns))]
+    flag = F.coalesce(is_reference, F.lit(False)).cast("int")
+    group = F.when(flag == 0, F.struct(col(by).alias("g")))
+    numbers = df.select(*[_number(df, c).alias(n) for c, n in zip(columns, names)], group.alias("__group"), flag.alias("__ref"))
+    points = slice_points(numbers, names)
+    counts = _value_counts(
+        numbers, names, points, ("__group",), ref=F.col("__ref").cast("long"), cur=(1 - F.col("__ref")).cast("long")
+    )
+    totals = counts.groupBy("no", "slice").agg(F.sum("ref").alias("ref"))
+    inside = Window.partitionBy("no", "slice").orderBy("value")
+    upto = F.sum("ref").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)) + F.col("ref__before")
+    here = F.sum("ref").over(inside.rangeBetween(Window.currentRow, Window.currentRow))
+    merged = counts.join(slice_offsets(totals, "slice", ["ref"], ["no"]), ["no", "slice"])
+    merged = merged.withColumns({"ref__upto": upto, "ref__here": here}).filter("cur > 0")
+    placed = running_totals(merged, "value", "slice", ["cur"], ["no", "__group"])
+    share = lambda ref, cur: F.abs(F.try_divide(ref, F.col("ref__all")) - cur / F.col("cur__all"))
+    gap = F.greatest(
+        share(F.col("ref__upto"), F.col("cur__upto")),
+        share(F.col("ref__upto") - F.col("ref__here"), F.col("cur__upto") - F.col("cur")),
+    )
+    label = F.get(F.array(*[F.lit(c) for c in columns]), F.col("no"))
+    return (
+        placed.filter("ref__all > 0")
+        .groupBy("no", "__group")
+        .agg(F.max(gap).alias("ks_statistic"), F.max("ref__all").alias("n_ref"), F.max("cur__all").alias("n_cur"))
+        .select(F.col("__group.g").alias(by), label.alias("column"), "ks_statistic", "n_ref", "n_cur")
+    )
+
+
 @dataclass(frozen=True)
 class PreparedReference:
     """What every comparison with the same reference shares: its columns, slices and stored counts per value."""

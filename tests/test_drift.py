@@ -166,3 +166,29 @@ def test_registered_reports_read_both_halves_whole(spark):
     assert set(rows) == {"value", "k", "is_click"}
     assert all((r["n_ref"], r["n_cur"]) == (old, new) for r in rows.values())
     assert {(r["n_ref"], r["n_cur"]) for r in monitoring.drift_report_halves(spark, DATA).collect()} == {(min(old, new),) * 2}
+
+
+def test_many_groups_against_one_reference(spark):
+    import random
+
+    r = random.Random(8)
+    draw = lambda: r.choice([None, float("nan"), round(r.gauss(0, 1), 1), 5.0])
+    rows = [(r.choice(["ref", "a", "a", "b", None]), draw(), r.randrange(4)) for _ in range(900)]
+    rows += [("one", 0.25, 1), ("none", None, 2), ("below", -99.0, 0), ("above", 99.0, 9)]
+    df = spark.createDataFrame(rows, "g string, x double, `y.z` int").repartition(5)
+    got = {(p["g"], p["column"]): tuple(p)[2:] for p in D.ks_statistic_by(df, ["x", "y.z"], "g", F.col("g") == "ref").collect()}
+    reference = df.filter("g = 'ref'")
+    want = {}
+    for g in ("a", "b", None, "one", "none", "below", "above"):
+        own = df.filter(F.col("g").eqNullSafe(F.lit(g)))
+        for p in D.ks_statistic(reference, own, ["x", "y.z"]).collect():
+            want[g, p["column"]] = tuple(p)[1:]
+    assert set(got) == set(want)
+    for key, (distance, *sizes) in want.items():
+        assert got[key][0] == pytest.approx(distance, abs=1e-12) and list(got[key][1:]) == sizes
+
+
+def test_groups_are_compared_in_one_reading(spark):
+    df = spark.createDataFrame([(i % 3, float(i)) for i in range(30)], "g int, x double")
+    assert D.ks_statistic_by(df.filter("g > 0"), ["x"], "g", F.col("g") == 0).count() == 0  # no reference
+    assert D.ks_statistic_by(df.filter("g = 0"), ["x"], "g", F.col("g") == 0).count() == 0  # nothing else
