@@ -3,13 +3,14 @@
 Texts are lower-cased (A-Z), split into pieces at ``.,;:!?`` and line ends, and pieces into words at blanks and tabs. Every
 n-gram within a piece gets a fingerprint from prefix polynomials over its words' polynomials (Rabin-Karp),
 mixed with its group (language). Fingerprints are counted level by level: words first, then pairs
-whose words are frequent, then longer phrases whose pairs are all frequent. Their counts per block of text meet in a shuffle.
+whose words are frequent, then longer phrases whose pairs are all frequent. Their counts per block of text meet in a shuffle,
+many of them in a row, four bytes each beside the bits that say in which part of all fingerprints they are counted.
 
 A fingerprint only says where to look. What comes back from a level is a bit filter of fixed size over the
 frequent fingerprints, so its broadcast does not grow with the data; a full filter lets more through and changes no result.
 A last reading follows, block by block, the pointer of each fingerprint that passes (the place of its first
 occurrence), compares every other occurrence with the text there, byte by byte, and gives each different text a
-row of its own. Counts are summed by text, so fingerprints that collide cannot add up, and only phrases
+row of its own; a task hands on each text once, packed by parts of all texts. Counts are summed by text, so fingerprints that collide cannot add up, and only phrases
 that are frequent, or collide with one, are ever written out as text.
 
 Candidates are cut after every word into two phrases, whose counts are joined; scores are exact (whole numbers of up to 38 digits).
@@ -22,17 +23,19 @@ or one without frequent phrases, gives no rows. A very long text is worked on in
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.llm import words as W
-from riskframe.llm.common import clean_text, plain, stored
+from riskframe.llm.common import clean_text, plain, release_memory, stored
 
 MOST_WORDS = 5
 LEAST_COUNT = 100
@@ -41,11 +44,18 @@ SCALE = 1000
 UNKNOWN = "und"
 #: Bits of a filter of frequent fingerprints (8 MB). A larger one lets less through on larger data, with the same result.
 FILTER_BITS = 26
+#: A fingerprint is the part it is counted in, and 32 bits more.
+PART_BITS = 12
+FINGERPRINT_BITS = PART_BITS + 32
 #: Bits in each row of the filter's table, as Spark's bitmap functions make them.
 _ROW_BITS = 1 << 15
 BLOCK_BYTES = 4 << 20
 #: Distinct fingerprints that a task gathers before it hands them on.
 GATHERED = 2_000_000
+#: Phrases whose counts a task holds before it hands them on.
+HELD_PHRASES = 400_000
+#: Parts that phrases are dealt to; a task adds up those of its parts, of which only phrases that may be frequent are left.
+PHRASE_PARTS = 4096
 SALTS = 64
 
 _BREAK = np.zeros(256, bool)
@@ -80,7 +90,7 @@ class Block:
     def fingerprints(self, length: int) -> np.ndarray:
         """Of the words from each place on, whatever pieces they belong to."""
         numbers = W.window_numbers(self.words.numbers, length)
-        return W.mix(numbers ^ self.salts[: len(numbers)])
+        return W.mix(numbers ^ self.salts[: len(numbers)]) >> W.U64(64 - FINGERPRINT_BITS)
 
 
 def _parts(data: np.ndarray, offsets: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,13 +141,13 @@ class FrequentFilter:
         self.bytes = np.zeros(max(1, 1 << bits >> 3), np.uint8)
 
     def holds(self, fingerprints: np.ndarray) -> np.ndarray:
-        at = (fingerprints >> W.U64(64 - self.bits)).astype(np.int64)
+        at = (fingerprints >> W.U64(FINGERPRINT_BITS - self.bits)).astype(np.int64)
         return (self.bytes[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
     @classmethod
     def of(cls, frequent: DataFrame, bits: int) -> FrequentFilter:
         """From a column ``fp`` of frequent fingerprints. Only the filter's own rows, 4 kB for each 2^15 bits, reach the driver."""
-        at = F.shiftrightunsigned("fp", 64 - bits) + 1
+        at = F.shiftright("fp", FINGERPRINT_BITS - bits) + 1
         numbered = frequent.select(F.bitmap_bucket_number(at).alias("row"), F.bitmap_bit_position(at).alias("bit"))
         out = cls(bits)
         for r in numbered.groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
@@ -178,10 +188,13 @@ def _count(lengths: range, filters: Broadcast):
         first = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]]))
         return fp[first], np.add.reduceat(n, first)
 
-    def rows(fp: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for low in range(0, len(fp), 1 << 17):
-            own = slice(low, low + (1 << 17))
-            yield pa.RecordBatch.from_arrays([pa.array(fp[own].view(np.int64)), pa.array(n[own])], ["fp", "n"])
+    def rows(fp: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        """A row per part: its fingerprints travel together, without the bits that the part stands for."""
+        part = (fp >> W.U64(32)).astype(np.int32)
+        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        bounds = pa.array(np.concatenate([first, [len(fp)]]), pa.int32())
+        lists = [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (fp.astype(np.uint32).view(np.int32), n.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([pa.array(part[first]), *lists], ["part", "low", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -190,16 +203,17 @@ def _count(lengths: range, filters: Broadcast):
             found = [block.fingerprints(m)[_candidates(block, m, passed)] for m in lengths]
             fp, n = np.unique(np.concatenate(found), return_counts=True)
             if len(fp):
-                held.append((fp, n.astype(np.int64)))
+                held.append((fp, n.astype(np.int32)))
                 size += len(fp)
             if size > 2 * GATHERED:
                 held = [merged(held)]
                 size = len(held[0][0])
                 if size > GATHERED:
-                    yield from rows(*held[0])
+                    yield rows(*held[0])
                     held, size = [], 0
+            release_memory()
         if held:
-            yield from rows(*merged(held))
+            yield rows(*merged(held))
 
     return run
 
@@ -226,18 +240,31 @@ def _same_text(block: Block, a: np.ndarray, b: np.ndarray, length: int) -> np.nd
 def _texts(most: int, filters: Broadcast):
     """Phrases that may be frequent, as text, with their group and count in a block; the empty phrase counts all words."""
 
+    def rows(held: dict[str, dict[bytes, int]]) -> Iterator[pa.RecordBatch]:
+        """A row per part and group: its phrases, packed, and their counts."""
+        for group, own in held.items():
+            parts: dict[int, list[tuple[bytes, int]]] = {}
+            for phrase, n in own.items():
+                parts.setdefault(zlib.crc32(phrase) % PHRASE_PARTS, []).append((phrase, n))
+            packer = zstandard.ZstdCompressor()
+            packed = [packer.compress(b"\n".join(phrase for phrase, _ in found)) for found in parts.values()]
+            counts = pa.array([[n for _, n in found] for found in parts.values()], pa.list_(pa.int64()))
+            columns = [pa.array(list(parts), pa.int32()), pa.array([group] * len(parts)), pa.array(packed, pa.binary()), counts]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrases", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, dict[bytes, int]] = {}
         for block in blocks(batches):
             passed = _passed(block, filters.value, min(most, 2))
-            rows: list[tuple[int, str, int]] = []
             for group, n in enumerate(np.bincount(block.group, minlength=len(block.names)).tolist()):
-                rows.append((group, "", n))
+                own = held.setdefault(block.names[group], {})
+                own[b""] = own.get(b"", 0) + n
             for length in range(1, most + 1):
                 places = np.flatnonzero(passed[length]) if length < 3 else _candidates(block, length, passed)
                 fp = block.fingerprints(length)[places]
                 if length > 2:
-                    held = filters.value[3].holds(fp)
-                    places, fp = places[held], fp[held]
+                    found = filters.value[3].holds(fp)
+                    places, fp = places[found], fp[found]
                 while len(places):
                     order = np.lexsort((places, fp))
                     places, fp = places[order], fp[order]
@@ -245,22 +272,47 @@ def _texts(most: int, filters: Broadcast):
                     sizes = np.diff(np.concatenate([first, [len(fp)]]))
                     pointer = np.repeat(places[first], sizes)
                     same = _same_text(block, places, pointer, length) & (block.group[places] == block.group[pointer])
-                    rows += _written(block, places[first], np.add.reduceat(same.astype(np.int64), first), length)
+                    _written(held, block, places[first], np.add.reduceat(same.astype(np.int64), first), length)
                     places, fp = places[~same], fp[~same]  # other texts with the same fingerprint
-            groups, texts, counts = zip(*rows)
-            names = pa.array(block.names).take(pa.array(groups))
-            yield pa.RecordBatch.from_arrays([names, pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
+            if sum(map(len, held.values())) > HELD_PHRASES:
+                yield from rows(held)
+                held = {}
+            release_memory()
+        yield from rows(held)
+
+    return run
+
+
+def _add_up(least: int):
+    """All packed phrases of a part are in one task, which keeps the frequent ones, and each group's number of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opener, total = zstandard.ZstdDecompressor(), {}
+        for batch in batches:
+            for lang, phrases, counts in zip(*[batch.column(c) for c in ("lang", "phrases", "n")]):
+                own = total.setdefault(lang.as_py(), {})
+                found = opener.decompress(phrases.as_py()).split(b"\n")
+                for phrase, n in zip(found, counts.values.to_pylist()):
+                    own[phrase] = own.get(phrase, 0) + n
+        for lang, own in total.items():
+            kept = [(phrase.decode(), n) for phrase, n in own.items() if n >= least or not phrase]
+            columns = [pa.array([lang] * len(kept)), pa.array([p for p, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
     return run
 
 
-def _written(block: Block, places: np.ndarray, counts: np.ndarray, length: int) -> list[tuple[int, str, int]]:
+def _written(held: dict, block: Block, places: np.ndarray, counts: np.ndarray, length: int) -> None:
+    """Adds the phrases at the places, as text, to the counts of their groups."""
     starts, ends, data = block.words.starts, block.words.ends, block.data.tobytes()
-    out = []
-    for at, group, n in zip(places.tolist(), block.group[places].tolist(), counts.tolist()):
-        words = [data[s:e] for s, e in zip(starts[at : at + length].tolist(), ends[at : at + length].tolist())]
-        out.append((group, b" ".join(words).decode(), n))
-    return out
+    texts = [data[s:e] for s, e in zip(starts[places].tolist(), ends[places].tolist())]
+    for k in range(1, length):
+        further = zip(texts, starts[places + k].tolist(), ends[places + k].tolist())
+        texts = [b"%b %b" % (text, data[s:e]) for text, s, e in further]
+    of = [held[name] for name in block.names]
+    for text, group, n in zip(texts, block.group[places].tolist(), counts.tolist()):
+        own = of[group]
+        own[text] = own.get(text, 0) + n
 
 
 def frequent_phrases(
@@ -281,12 +333,15 @@ def frequent_phrases(
     for level, lengths in enumerate((range(1, 2), range(2, 3), range(3, most_words + 1)), 1):
         if not len(lengths) or lengths[0] > most_words:
             break
-        counted = slim.mapInArrow(_count(lengths, spark.sparkContext.broadcast(dict(filters))), "fp long, n long")
-        frequent = counted.groupBy("fp").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-        filters[level] = FrequentFilter.of(frequent, filter_bits)
-    written = slim.mapInArrow(_texts(most_words, spark.sparkContext.broadcast(filters)), "lang string, phrase string, n long")
-    summed = written.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return summed.filter((F.col("n") >= least) | (F.col("phrase") == ""))
+        counter = _count(lengths, spark.sparkContext.broadcast(dict(filters)))
+        packed = slim.mapInArrow(counter, "part int, low array<int>, n array<int>").repartition("part")
+        counted = packed.select("part", F.inline(F.arrays_zip("low", "n")))  # parts stay where they are
+        frequent = counted.groupBy("part", "low").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        fp = F.shiftleft(F.col("part").cast("long"), 32) + F.col("low").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+        filters[level] = FrequentFilter.of(frequent.select(fp.alias("fp")), filter_bits)
+    sent = spark.sparkContext.broadcast(filters)
+    written = slim.mapInArrow(_texts(most_words, sent), "part int, lang string, phrases binary, n array<long>")
+    return written.repartition("part").mapInArrow(_add_up(least), "lang string, phrase string, n long")
 
 
 def collocations(

@@ -78,26 +78,30 @@ def test_full_filters_and_small_blocks_change_nothing(spark, monkeypatch):
     assert listed(C.collocations(table(spark, rows), least=4, filter_bits=1)) == whole
 
 
-def test_colliding_fingerprints_are_told_apart(spark):
-    """All words of 1024 bytes and more whose bytes are these collide modulo 2^64."""
-    a, b = thue_morse_pair()
-    texts = [f"{a} x", f"{b} x", f"{a} x", f"{b} x y"] * 2
-    rows = [("en", t) for t in texts]
-    assert collide(a, b)
-    assert listed(C.collocations(table(spark, rows), least=4)) == brute(rows, 4)
-    assert {(r[2], r[3]) for r in listed(C.collocations(table(spark, rows), least=4))} == {(f"{a} x", 4), (f"{b} x", 4)}
-    assert listed(C.collocations(table(spark, rows), least=5)) == brute(rows, 5) == set()
+def test_colliding_fingerprints_are_told_apart(monkeypatch):
+    """With one fingerprint for all phrases, or few, texts alone decide."""
+    rows = [r for r in corpus(6, 25) if r[1]]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] or "und" for r in rows]), pa.array([r[1] for r in rows])], ["lang", "text"])
 
+    class Sent:
+        value = {level: C.FrequentFilter(4) for level in (1, 2, 3)}
 
-def thue_morse_pair(n=2048):
-    bits = [bin(i).count("1") % 2 for i in range(n)]
-    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    for f in Sent.value.values():
+        f.bytes[:] = 255
 
+    def phrases():
+        packed = list(C._texts(5, Sent)(iter([batch, batch])))
+        found = [tuple(r.values()) for b in C._add_up(3)(iter(packed)) for r in b.to_pylist()]
+        assert len(found) == len(set(found))
+        return set(found)
 
-def collide(a, b):
-    batch = pa.RecordBatch.from_arrays([pa.array(["en", "en"]), pa.array([a, b])], ["lang", "text"])
-    numbers = next(C.blocks(iter([batch]))).words.numbers
-    return numbers[0] == numbers[1]
+    whole = phrases()
+    assert len(whole) > 50
+    monkeypatch.setattr(C, "HELD_PHRASES", 1)
+    assert phrases() == whole
+    exact = C.Block.fingerprints
+    monkeypatch.setattr(C.Block, "fingerprints", lambda self, m: exact(self, m) % np.uint64(2))
+    assert phrases() == whole
 
 
 def test_long_texts_are_worked_on_in_parts_between_pieces():
@@ -123,12 +127,12 @@ def test_long_texts_are_worked_on_in_parts_between_pieces():
 
 def test_filter_has_the_first_bits_of_each_fingerprint(spark):
     rng = np.random.default_rng(1)
-    fp = rng.integers(0, 2**64, 3000, dtype=np.uint64)
+    fp = rng.integers(0, 2**C.FINGERPRINT_BITS, 3000, dtype=np.uint64)
     frame = spark.createDataFrame([(int(f),) for f in fp.view(np.int64)], "fp long")
     for bits in (3, 17, 22):
         found = C.FrequentFilter.of(frame, bits)
         want = np.zeros(1 << bits, bool)
-        want[fp >> np.uint64(64 - bits)] = True
+        want[fp >> np.uint64(C.FINGERPRINT_BITS - bits)] = True
         assert (np.unpackbits(found.bytes, bitorder="little")[: 1 << bits].astype(bool) == want).all()
         assert found.holds(fp).all()
 
@@ -143,7 +147,9 @@ def test_gathered_counts_are_handed_on(spark, monkeypatch):
     def total():
         out = Counter()
         for b in C._count(range(1, 2), Sent)(iter([batch, batch])):
-            out.update(dict(zip(b["fp"].to_pylist(), b["n"].to_pylist())))
+            for part, low, n in zip(*[b[c].to_pylist() for c in ("part", "low", "n")]):
+                for fp, count in zip(low, n, strict=True):
+                    out[part, fp] += count
         return sum(out.values()), len(out)
 
     whole = total()
