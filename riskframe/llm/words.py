@@ -1,7 +1,8 @@
 """Words and word windows of Arrow text batches as 64-bit numbers, computed on whole buffers with numpy.
 
-A word's number is a polynomial over its bytes, a window's number a polynomial over
-its words, both modulo 2^64 and mixed afterwards. All functions work on pieces of
+A word's number is a sum of numbers that each byte has at each place, a window's number a polynomial over
+its words, both modulo 2^64 and mixed afterwards. (A polynomial over bytes would not do: modulo 2^64 there are
+words of some thousand bytes that have the same number under every odd base.) All functions work on pieces of
 bounded size, so one very long text costs eight bytes per word and no more.
 """
 
@@ -51,8 +52,14 @@ class _Powers:
             self.down = np.cumprod(np.r_[U64(1), np.full(n, inverse, U64)])
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=U64))
-_BYTE_POWERS = _Powers(_odd(11))
+
+def _byte_numbers(byte_and_place: np.ndarray) -> np.ndarray:
+    """The number of a byte at a place, which are given as byte + 256 * place."""
+    return mix((byte_and_place.astype(U64) + U64(1)) * U64(0x9E3779B97F4A7C15))
+
+
+_NEAR_PLACES = 32
+_NEAR_NUMBERS = _byte_numbers(np.arange(256 * _NEAR_PLACES))
 _WORD_POWERS = (_Powers(_odd(23)), _Powers(_odd(37)))
 
 
@@ -96,9 +103,11 @@ def _word_numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, keep:
     lengths = ends - starts
     chars = data[keep]
     first = np.cumsum(lengths) - lengths
-    inside = np.arange(len(chars)) - np.repeat(first, lengths)
-    _BYTE_POWERS.upto(int(lengths.max()))
-    return mix(np.add.reduceat(_BYTE_VALUES[chars] * _BYTE_POWERS.up[inside], first) + lengths.astype(U64))
+    place = 256 * (np.arange(len(chars)) - np.repeat(first, lengths)) + chars
+    numbers = _NEAR_NUMBERS[np.minimum(place, len(_NEAR_NUMBERS) - 1)]
+    far = np.flatnonzero(place >= len(_NEAR_NUMBERS))
+    numbers[far] = _byte_numbers(place[far])
+    return mix(np.add.reduceat(numbers, first) + lengths.astype(U64))
 
 
 def _piece_words(data: np.ndarray, heads: np.ndarray, word_bytes: np.ndarray, fold: np.ndarray):

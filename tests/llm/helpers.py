@@ -32,3 +32,9 @@ def split_words(text):
 
 def by_id(df):
     return {r["doc_id"]: r for r in df.collect()}
+
+
+def thue_morse_words(n=4096):
+    """Two words that have the same value as polynomials modulo 2^64, whatever the odd base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)

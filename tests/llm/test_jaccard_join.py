@@ -3,7 +3,7 @@ import random
 import pytest
 
 from riskframe.llm import jaccard_join as J
-from tests.llm.helpers import by_id, docs_table, split_words
+from tests.llm.helpers import by_id, docs_table, split_words, thue_morse_words
 
 
 def shingles(text):
@@ -80,3 +80,8 @@ def test_pruning_never_drops_what_could_reach_the_threshold():
     cuts = [J.least_matches(n) for n in J.STEPS]
     assert cuts == sorted(cuts) and all(c < 0.65 * n for c, n in zip(cuts, J.STEPS))
     assert J.posterior(16, 16) > 0.9 and J.posterior(0, 64) < 1e-9
+
+
+def test_words_with_equal_polynomials_are_different_words(spark):
+    rows = by_id(J.jaccard_join(docs_table(spark, list(thue_morse_words()))))
+    assert [(rows[i]["n_links"], rows[i]["kept"]) for i in range(2)] == [(0, True)] * 2

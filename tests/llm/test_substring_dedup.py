@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from riskframe.llm import substring_dedup as S
-from tests.llm.helpers import by_id, docs_table
+from tests.llm.helpers import by_id, docs_table, thue_morse_words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -64,3 +64,11 @@ def test_levels_double():
     for size in range(1, 200):
         levels = S.levels_of(size)
         assert levels[-1] == size and all(b <= 2 * a for a, b in zip(levels, levels[1:]))
+
+
+def test_words_with_equal_polynomials_are_different_words(spark):
+    a, b = thue_morse_words()
+    same = " ".join(f"w{i}" for i in range(34))
+    texts = [f"{same} {a}", f"{same} {b}"]
+    rows = by_id(S.count_repeats(docs_table(spark, texts)))
+    assert [rows[i]["n_removed"] for i in range(2)] == [0, 0]
