@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm import words as W
-from riskframe.llm.common import plain, stored, text_of
+from riskframe.llm.common import plain, releasing, stored, text_of
 from riskframe.llm.components import connected_components
 from riskframe.llm.packing import joined_buffer, opened, packed
 
@@ -236,7 +236,7 @@ def jaccard_join(
     kind = keyed.schema["doc_id"].dataType.simpleString()
     described = stored(
         keyed.mapInArrow(
-            _describe, f"doc_id {kind}, k1 long, k2 int, c1 long, c2 long, n_shingles long, bands array<long>"
+            releasing(_describe), f"doc_id {kind}, k1 long, k2 int, c1 long, c2 long, n_shingles long, bands array<long>"
         ),
         "shingles",
     )
@@ -262,7 +262,7 @@ def jaccard_join(
     held = stored(grouped.join(texts, ["k1", "k2"]).select("id", "n", "z"), "texts")
     work = _blocks(candidates, block_rows).join(held, "id")
     work = work.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
-    found = stored(work.mapInArrow(_compare_groups, "id long, links long, root long"), "links")
+    found = stored(work.mapInArrow(releasing(_compare_groups), "id long, links long, root long"), "links")
 
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     groups = connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
