@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import plain, stored, text_of
+from riskframe.llm.common import plain, releasing, stored, text_of
 from riskframe.session import shuffle_parallelism
 
 UNIT_BYTES = 16 << 20
@@ -76,7 +76,7 @@ class Vocabulary:
 def _squeeze(a: np.ndarray) -> bytes:
     """Whole numbers below 2^32, packed byte plane by byte plane: the higher planes hardly vary."""
     planes = np.ascontiguousarray(a, "<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor().compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def _spread(b: bytes) -> np.ndarray:
@@ -88,7 +88,7 @@ def _pack_words(words: list[str]) -> tuple[bytes, bytes]:
     """The words' bytes, one after the other, and their lengths."""
     encoded = [w.encode() for w in words]
     lengths = np.fromiter(map(len, encoded), np.uint32, len(encoded))
-    return zstandard.ZstdCompressor().compress(b"".join(encoded)), _squeeze(lengths)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(encoded)), _squeeze(lengths)
 
 
 def _open_words(packed: bytes, lengths: bytes) -> list[str]:
@@ -163,7 +163,6 @@ def _words_of_units(pattern: str, buckets: int, unit_bytes: int):
             for b in range(buckets):
                 own = order[bounds[b] : bounds[b + 1]].tolist()
                 if own:
-                    own.sort(key=words.__getitem__)  # neighbours in the alphabet pack well
                     packed, lengths = _pack_words([words[i] for i in own])
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([b], pa.int32()), pa.array([key]), pa.array([_squeeze(own)], pa.binary()),
@@ -269,14 +268,14 @@ def encode(
         vocabulary = spark.sparkContext.broadcast((file.read(), pattern))
     buckets = shuffle_parallelism(spark)
     words = slim.mapInArrow(
-        _words_of_units(pattern, buckets, unit_bytes), "bucket int, unit string, places binary, words binary, lengths binary"
+        releasing(_words_of_units(pattern, buckets, unit_bytes)), "bucket int, unit string, places binary, words binary, lengths binary"
     )
     encoded = words.repartition(buckets, "bucket").mapInArrow(
-        _encode_words(vocabulary), "unit string, places binary, counts binary, ids binary"
+        releasing(_encode_words(vocabulary)), "unit string, places binary, counts binary, ids binary"
     )
     kind = slim.schema["row"].dataType
     positions = slim.mapInArrow(
-        _positions_of_units(pattern, unit_bytes),
+        releasing(_positions_of_units(pattern, unit_bytes)),
         T.StructType().add("unit", "string").add("row", kind).add("places", "binary"),
     )
     out = T.StructType().add("row", kind).add("n_tokens", "long").add("ids_sha256", "string")
