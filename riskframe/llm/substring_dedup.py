@@ -3,7 +3,7 @@
 A word goes when a window of ``size`` consecutive words covers it whose word sequence
 also starts anywhere else. Windows are tested at about a quarter of the size, then at
 twice that length, and so on up to the size itself; only starts whose shorter windows
-were repeated are extended, and the search ends early when none is left.
+were repeated are extended; when none is left, the levels that follow have nothing to count.
 
 At every length but the last, one shorter window stands for a start: of those inside
 the full window, the one with the smallest number. Equal full windows have equal
@@ -11,7 +11,7 @@ representatives at equal places, so nothing repeated is lost, and a few percent
 positions are shuffled. What comes back from a count are the representatives that are
 *not* repeated: each occurs once, so the count itself carries its place, and a passage
 that a third of all documents share is one pre-aggregated row and no join key. The
-last length compares 96-bit numbers of the whole windows.
+last length compares 96-bit numbers of the whole windows, not their texts.
 
 Equal texts are brought together first and count with their multiplicity.
 
