@@ -13,8 +13,9 @@ and is handled by itself: no shuffle, so no key can be hot.
 
 from __future__ import annotations
 
-import math
 import re
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +29,11 @@ from riskframe.llm.common import plain, stored
 WINDOW = 13
 #: Least share of hit words, as one in so many, from which a document is contaminated.
 ONE_IN = 20
-#: Most bytes of benchmark text in one broadcast; a larger benchmark is scanned for in several blocks.
+#: Most bytes of benchmark text in one broadcast; a larger benchmark is scanned for in several blocks. What is broadcast is at
+#: most 37 bytes per word of it: about 8 bytes per byte of usual text, 20 of text whose words have one letter.
 BLOCK_BYTES = 16 << 20
-FILTER_BITS = 22
+#: Buckets of benchmark text per block, from which blocks are put together, and longest part of an item, as a share of a block.
+FINER = 64
 
 SPAN = T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
 MARKS = T.StructType(
@@ -45,33 +48,67 @@ _SPAN_ARROW = pa.struct([("first", pa.int64()), ("last", pa.int64())])
 _MARKS_ARROW = pa.struct(
     [("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string())), ("spans", pa.list_(_SPAN_ARROW))]
 )
-_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
+@dataclass
+class _Known:
+    """Distinct windows of one length, sorted by number; those of entry e belong to ``owners[first[e]:first[e + 1]]``."""
 
-def split_words(text: str) -> list[bytes]:
-    """Lower-cased words of one (benchmark) text."""
-    return _WORD.findall(re.sub(rb"[A-Z]+", lambda m: m[0].lower(), text.encode()))
+    numbers: np.ndarray
+    begin: np.ndarray  # bytes in the text of all items
+    end: np.ndarray
+    first: np.ndarray
+    owners: np.ndarray
+    filter: np.ndarray  # by a number's highest bits
+    shift: np.uint64
 
 
 class WindowSet:
-    """Windows of a block of benchmark items: a bit filter, and the exact words behind each number."""
+    """Windows of a block of benchmark items: a bit filter, sorted numbers, and the exact words behind each number.
+
+    All of it is flat arrays: the items' words once, 24 bytes per distinct window and a filter of 16 to 32 bytes per window.
+    """
 
     def __init__(self, items: list[tuple[str | None, str]], size: int = WINDOW) -> None:
-        self.exact: dict[int, dict[int, dict[bytes, set[str]]]] = {}
-        for item, text in items:
-            found = split_words(text)
-            length = min(size, len(found))
-            for at in range(len(found) - length + 1 if length else 0):
-                phrase = b" ".join(found[at : at + length])
-                number = int(_numbers_of(phrase, length))
-                owners = self.exact.setdefault(length, {}).setdefault(number, {}).setdefault(phrase, set())
-                if item is not None:
-                    owners.add(item)
-        self.filters = {}
-        for length, known in self.exact.items():
-            bits = np.zeros(1 << FILTER_BITS, bool)
-            bits[np.fromiter(known, np.uint64, len(known)) >> np.uint64(64 - FILTER_BITS)] = True
-            self.filters[length] = bits
+        self.items = sorted({item for item, _ in items if item is not None})
+        place = {item: k for k, item in enumerate(self.items)}
+        owners = np.array([place.get(item, -1) for item, _ in items], np.int32)
+        data, offsets = W.text_buffer(pa.array([text for _, text in items], pa.large_string()))
+        texts: list[bytes] = []
+        found: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        base = 0
+        for lo, hi in W.pieces(offsets):
+            words = W.find_words(data, offsets[lo : hi + 1], W.ALNUM, W.LOWER)
+            counts = np.diff(words.first)
+            text, begin, end = _joined(data, words)
+            stop, n = words.stop, len(words.numbers)
+            per_word = np.repeat(np.minimum(counts, size), counts)  # words in a window of its item
+            owner = np.repeat(owners[lo:hi], counts)
+            for length in np.unique(per_word).tolist():
+                at = np.flatnonzero((per_word == length) & (np.arange(n) + length <= stop))
+                numbers = W.window_numbers(words.numbers, length)[at]
+                ends = end[at + length - 1]
+                found.setdefault(length, []).append(
+                    (numbers, (begin[at] + base).astype(np.uint32), (ends + base).astype(np.uint32), owner[at])
+                )
+            texts.append(text)
+            base += len(text)
+        self.text = b"".join(texts)
+        self.known = {length: self._sorted([np.concatenate(c) for c in zip(*parts)]) for length, parts in found.items()}
+
+    def _sorted(self, columns: list[np.ndarray]) -> _Known:
+        order = np.argsort(columns[0], kind="stable")
+        numbers, begin, end, owner = [c[order] for c in columns]
+        new = np.ones(len(numbers), bool)
+        for i in (np.flatnonzero(numbers[1:] == numbers[:-1]) + 1).tolist():  # the same words, but for a collision
+            new[i] = self.text[begin[i] : end[i]] != self.text[begin[i - 1] : end[i - 1]]
+        head, entry = np.flatnonzero(new), np.cumsum(new) - 1
+        pairs = np.unique((entry[owner >= 0] << 32) | owner[owner >= 0])
+        first = np.searchsorted(pairs >> 32, np.arange(len(head) + 1)).astype(np.uint32)
+        bits = min(25, max(12, len(head).bit_length() + 4))
+        shift = np.uint64(64 - bits)
+        known = np.zeros(1 << bits, bool)
+        known[numbers[head] >> shift] = True
+        return _Known(numbers[head], begin[head], end[head], first, (pairs & 0xFFFFFFFF).astype(np.int32), known, shift)
 
     def mark(self, texts: pa.Array) -> list[dict]:
         """For each text: the number of words, and which words lie in a window, of which items."""
@@ -79,34 +116,54 @@ class WindowSet:
         out = []
         for lo, hi in W.pieces(offsets):
             words = W.find_words(data, offsets[lo : hi + 1], W.ALNUM, W.LOWER)
-            hits: dict[int, list[tuple[int, int, set[str]]]] = {}
-            for length, bits in self.filters.items():
-                numbers = W.window_numbers(words.numbers, length)
-                for at in np.flatnonzero(bits[numbers >> np.uint64(64 - FILTER_BITS)]):
-                    known = self.exact[length].get(int(numbers[at]))
-                    row = int(np.searchsorted(words.first, at, "right")) - 1
-                    if known is None or at + length > words.first[row + 1]:
-                        continue
-                    phrase = b" ".join(
-                        W.LOWER[data[words.starts[k] : words.ends[k]]].tobytes() for k in range(at, at + length)
-                    )
-                    if phrase in known:
-                        begin = int(at - words.first[row])
-                        hits.setdefault(row, []).append((begin, begin + length - 1, known[phrase]))
+            spans: dict[int, list[tuple[int, int]]] = {}
+            owners: dict[int, set[int]] = {}
+            for length, known in self.known.items():
+                seen: dict[int, set[int]] = {}
+                for at, row, entry in self._hits(data, words, length, known):
+                    begin = int(at - words.first[row])
+                    spans.setdefault(row, []).append((begin, begin + length - 1))
+                    seen.setdefault(row, set()).add(entry)
+                for row, entries in seen.items():
+                    for e in entries:
+                        owners.setdefault(row, set()).update(known.owners[known.first[e] : known.first[e + 1]].tolist())
             for row, count in enumerate(np.diff(words.first)):
-                found = hits.get(row, [])
-                spans = merge_spans([(a, b) for a, b, _ in found])
-                items = sorted(set().union(*[owners for _, _, owners in found]))
+                merged = merge_spans(spans.get(row, []))
                 out.append(
                     {
                         "n_words": int(count),
-                        "n_hit": sum(b - a + 1 for a, b in spans),
-                        "items": items,
-                        "spans": [{"first": a, "last": b} for a, b in spans],
+                        "n_hit": sum(b - a + 1 for a, b in merged),
+                        "items": [self.items[k] for k in sorted(owners.get(row, ()))],
+                        "spans": [{"first": a, "last": b} for a, b in merged],
                     }
                 )
         return out
 
+    def _hits(self, data: np.ndarray, words: W.Words, length: int, known: _Known) -> Iterator[tuple[int, int, int]]:
+        """First word, text and entry of each window of the texts whose words are those of the entry."""
+        numbers = W.window_numbers(words.numbers, length)
+        at = np.flatnonzero(known.filter[numbers >> known.shift])
+        entry = np.searchsorted(known.numbers, numbers[at])
+        row = np.searchsorted(words.first, at, "right") - 1
+        same = known.numbers[np.minimum(entry, len(known.numbers) - 1)] == numbers[at]
+        real = same & (at + length <= words.first[row + 1])
+        for a, r, e in zip(at[real].tolist(), row[real].tolist(), entry[real].tolist()):
+            phrase = b" ".join(W.LOWER[data[words.starts[k] : words.ends[k]]].tobytes() for k in range(a, a + length))
+            while e < len(known.numbers) and known.numbers[e] == numbers[a]:
+                if self.text[known.begin[e] : known.end[e]] == phrase:
+                    yield a, r, e
+                e += 1
+
+
+def _joined(data: np.ndarray, words: W.Words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The words, lowered, with a blank behind each, and where each begins and ends in that."""
+    lengths = words.ends - words.starts
+    begin = np.cumsum(lengths + 1) - lengths - 1
+    inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    text = np.full(int(lengths.sum()) + len(lengths), 0x20, np.uint8)
+    text[np.repeat(begin, lengths) + inside] = W.LOWER[data[np.repeat(words.starts, lengths) + inside]]
+    return text.tobytes(), begin, begin + lengths
+
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
@@ -118,12 +175,6 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _numbers_of(phrase: bytes, length: int) -> np.uint64:
-    buffer = np.frombuffer(phrase, np.uint8)
-    words = W.find_words(buffer, np.array([0, len(buffer)]), W.ALNUM, W.LOWER)
-    return W.window_numbers(words.numbers, length)[0]
-
-
 def _merge(old: dict | None, new: dict) -> dict:
     if not old:
         return new
@@ -158,25 +209,65 @@ def mark_contamination(
     """Adds one struct column: n_words, n_hit, items (sorted ids) and spans (first and last hit word).
 
     The benchmark's size is measured first. It is broadcast whole when it has at most
-    ``block_bytes``; otherwise its items are dealt to as many blocks as that takes, and
+    ``block_bytes``; otherwise its items, long ones in overlapping parts, are put together to blocks
+    of that size (a bucket of parts that is larger is a block of its own), and
     the documents are scanned once per block, with the marks so far written between.
     """
     spark = docs.sparkSession
     items = benchmark.select(plain(item_id).cast("string").alias("item"), plain(text).cast("string").alias("text"))
     items = items.filter(F.col("text").isNotNull()).distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
-    dealt = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    for block in range(blocks):
-        rows = [(r["item"], r["text"]) for r in dealt.filter(F.col("block") == block).collect()]
-        windows = spark.sparkContext.broadcast(WindowSet(rows, size))
-        inputs = [plain(text).cast("string"), *([plain(output)] if block else [])]
-        docs = docs.withColumn(output, _marker(windows, bool(block))(*inputs))
-        if block + 1 < blocks:
+    blocks = _blocks(items, size, block_bytes)
+    for number, block in enumerate(blocks):
+        windows = spark.sparkContext.broadcast(WindowSet([(r["item"], r["text"]) for r in block.collect()], size))
+        inputs = [plain(text).cast("string"), *([plain(output)] if number else [])]
+        docs = docs.withColumn(output, _marker(windows, number > 0)(*inputs))
+        if number + 1 < len(blocks):
             docs = stored(docs, "marks")
     return docs
 
 
+def _blocks(items: DataFrame, size: int, block_bytes: int) -> list[DataFrame]:
+    """The items (item, text), in tables of at most ``block_bytes`` of text each."""
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if total <= block_bytes:
+        return [items]
+    buckets = FINER * -(-total // block_bytes)
+    parts = items.mapInArrow(_parts(size, max(1, block_bytes // FINER)), "item string, text string").distinct()
+    parts = stored(parts.withColumn("bucket", F.pmod(F.xxhash64("item", "text"), F.lit(buckets))), "benchmark")
+    sizes = parts.groupBy("bucket").agg(F.sum(F.octet_length("text")).alias("n")).orderBy("bucket").collect()
+    ranges: list[list[int]] = []
+    held = 0
+    for r in sizes:  # at most ``buckets`` rows
+        if not ranges or held + r["n"] > block_bytes:
+            ranges.append([r["bucket"], r["bucket"]])
+            held = 0
+        ranges[-1][1] = r["bucket"]
+        held += r["n"]
+    return [parts.filter(F.col("bucket").between(low, high)) for low, high in ranges]
+
+
+def _parts(size: int, part_bytes: int):
+    """Items longer than ``part_bytes`` in parts that overlap by ``size - 1`` words, so that no window is lost or new."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item"), batch.column("text")):
+                data, offsets = W.text_buffer(pa.array([text.as_py()], pa.large_string()))
+                if len(data) <= part_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([item.as_py()], pa.string()), pa.array([text.as_py()])], ["item", "text"])
+                    continue
+                words = W.find_words(data, offsets, W.ALNUM, W.LOWER)
+                n, low, high = len(words.starts), 0, 0
+                while high < n:
+                    high = int(np.searchsorted(words.ends, words.starts[low] + part_bytes, "right"))
+                    high = min(n, max(high, low + size))
+                    part = data[words.starts[low] : words.ends[high - 1]].tobytes().decode()
+                    yield pa.RecordBatch.from_arrays([pa.array([item.as_py()], pa.string()), pa.array([part])], ["item", "text"])
+                    low = high - size + 1
+
+    return run
+
+
 def is_contaminated(n_hit: Column, n_words: Column, one_in: int = ONE_IN) -> Column:
     return (n_hit > 0) & (F.lit(one_in) * n_hit >= n_words)
 

@@ -1,3 +1,7 @@
+import random
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,13 +67,37 @@ def test_empty_tables(spark):
 
 def test_a_number_alone_is_no_hit():
     windows = D.WindowSet([("1", LONG)])
-    for known in windows.exact.values():
-        for number in list(known):
-            known[number] = {b"other words": {"1"}}
-    import pyarrow as pa
-
+    assert windows.mark(pa.array([LONG]))[0]["n_hit"] == 20
+    windows.text = b"x" * len(windows.text)
     assert windows.mark(pa.array([LONG]))[0]["n_hit"] == 0
 
 
+def test_words_behind_one_number_are_told_apart(monkeypatch):
+    monkeypatch.setattr(D.W, "window_numbers", lambda numbers, length: np.full(max(0, len(numbers) - length + 1), 7, np.uint64))
+    windows = D.WindowSet([("1", "a b"), ("2", "b a"), ("3", "a b"), (None, "a b"), ("4", "c")], size=2)
+    marks = windows.mark(pa.array(["x a B", "b a b", "c", None, "b c"]))
+    assert [m["items"] for m in marks] == [["1", "3"], ["1", "2", "3"], ["4"], [], ["4"]]
+    assert [m["n_hit"] for m in marks] == [2, 3, 1, 0, 1]
+
+
+def test_long_items_are_cut_into_parts_that_keep_every_window(spark):
+    rng = random.Random(3)
+    long = " ".join(f"w{rng.randrange(40)}" for _ in range(3000))
+    items = [(1, long), (2, "w1 w2 w3"), (3, "é" * 500), (4, "-" * 900)]
+    texts = [long[5000:5200], "x " + long[-90:], long, "w1 w2 w3 w4", "é" * 500, " ".join(f"w{i % 40}" for i in range(100))]
+    got = by_id(D.mark_contamination(docs_table(spark, texts), bench(spark, items), block_bytes=4096))
+    marks = [(m["n_words"], m["n_hit"], m["items"]) for m in (got[i]["marks"] for i in range(len(texts)))]
+    assert marks == brute(texts, items)
+
+
+def test_memory_of_a_block_is_bounded_by_its_words():
+    rng = np.random.default_rng(1)
+    text = " ".join(map(str, rng.integers(10_000, 99_999, 200_000)))
+    windows = D.WindowSet([("1", text[: len(text) // 2]), ("2", text[len(text) // 2 :])])
+    arrays = [a for k in windows.known.values() for a in vars(k).values() if isinstance(a, np.ndarray)]
+    held = len(windows.text) + sum(a.nbytes for a in arrays)
+    assert held <= len(text) + 60 * 200_000
+
+
 def test_contamination_share():
     assert D.ONE_IN == 20 and isinstance(D.is_contaminated(F.lit(1), F.lit(20)), type(F.lit(1)))
