@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -31,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import text_of
+from riskframe.llm.common import releasing, text_of
+from riskframe.llm.word_bpe import byte_letters
 from riskframe.llm.words import pieces
 from riskframe.session import scratch_path, shuffle_parallelism
 
@@ -43,6 +45,8 @@ REMEMBERED = 800_000
 WORDS_TOGETHER = 5_000
 #: ASCII punctuation without the apostrophe, which begins a word of its own kind.
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Letters of Latin-1, which have no other normal form and one lower-case form.
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 _CODED = "doc_id long, tie long, shard int, n int, bits array<int>, payload binary"
 _BLOCKS = (
     "shard int, block int, first long, doc_ids array<long>, lengths array<int>, checkpoints array<long>, payload binary"
@@ -103,13 +107,15 @@ class Codebook:
         sizes = (before[first + counts] - base + 7) // 8
         starts = np.concatenate([[0], np.cumsum(sizes)])
         at = inside + np.repeat(starts[:-1] * 8, counts)
-        word = self.code_of[ids].astype(np.int64) << (32 - (at & 7) - bits)
-        byte, total = at >> 3, int(starts[-1])
-        out = np.zeros(total + 4, np.int64)
-        for k in range(4):
-            part = np.bincount(byte + k, weights=(word >> (24 - 8 * k)) & 255, minlength=total + 4)
-            out += part[: total + 4].astype(np.int64)
-        return out[:total].astype(np.uint8), starts, inside
+        word = self.code_of[ids].astype(np.uint64) << (64 - (at & 31) - bits).astype(np.uint64)
+        cell, total = at >> 5, int(starts[-1])  # a code lies in a cell of 32 bits and the next one
+        out = np.zeros(total // 4 + 3, np.uint64)
+        heads = np.flatnonzero(np.diff(cell, prepend=-1))
+        if len(heads):
+            both = np.add.reduceat(word, heads)
+            out[cell[heads]] += both >> np.uint64(32)
+            out[cell[heads] + 1] += both & np.uint64(0xFFFFFFFF)
+        return out.astype(">u4").view(np.uint8)[:total], starts, inside
 
     def decode(self, payload: np.ndarray, checkpoints: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Ids of all segments: each starts at its bit and holds its number of ids. All segments advance together."""
@@ -130,6 +136,14 @@ class Codebook:
         return out
 
 
+class _Numbers(dict):
+    """Numbers of pieces in the order in which they are met first."""
+
+    def __missing__(self, piece: bytes) -> int:
+        number = self[piece] = len(self)
+        return number
+
+
 class WordTokenizer:
     """A tokenizer of the tokenizers library, asked once per distinct word while the word is remembered.
 
@@ -137,6 +151,8 @@ class WordTokenizer:
     letters with ASCII punctuation behind them is two words of their own, the letters lowered if they are ASCII,
     because the tokenizer lowers and splits them so. Plain words are encoded many at a time; where each of
     them is one word to the tokenizer, the ends of words in its vocabulary tell them apart again.
+
+    Each piece of a text is looked up once, which gives its number; ids are then taken by numbers from flat arrays.
     """
 
     _built: dict[int, WordTokenizer] = {}
@@ -153,8 +169,14 @@ class WordTokenizer:
         if suffix:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
             self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
-        self.pieces: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
+        #: Words of Latin letters are one word to these steps, and go to the model as the letters that stand for their bytes.
+        steps = json.dumps(settings.get("pre_tokenizer"))
+        self.direct = bool(suffix) and self.lowers and '"ByteLevel"' in steps and r"|[\\p{L}]+|" in steps
+        self.letters = str.maketrans({chr(b): letter for letter, b in byte_letters().items() if ord(letter) != b})
+        self.words: dict[str, bytes] = {}
+        self.number = _Numbers()
+        self.first = np.zeros(1, np.int64)  # where the ids of each piece begin in ``ids``, and the last ones end
+        self.ids = np.zeros(0, np.uint32)
 
     @classmethod
     def of(cls, content: str) -> WordTokenizer:
@@ -178,30 +200,43 @@ class WordTokenizer:
         raw, bounds = ids.tobytes(), (4 * ends).tolist()
         return [raw[a:b] for a, b in zip([0, *bounds], bounds)]
 
-    def _learn(self, pieces: list[bytes]) -> None:
+    def _latin(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words of Latin letters, from the model alone."""
+        spelled = "\n".join(words).encode().decode("latin-1").translate(self.letters | {0x0A: "\n"}).split("\n")
+        tokenize, ids, bounds = self.tokenizer.model.tokenize, [], [0]
+        for word in spelled:
+            ids += [t.id for t in tokenize(word)]
+            bounds.append(4 * len(ids))
+        raw = np.array(ids, np.uint32).tobytes()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def _learn(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of new pieces, from those of their words."""
-        split, new, odd = [], set(), []
-        for piece in pieces:
-            letters = piece.rstrip(_PUNCTUATION)
-            rest = piece[len(letters) :]
-            if self.ends is None or not (letters.isalpha() or not letters or letters.decode().isalpha()):
-                odd.append(piece)
-                continue
-            if self.lowers and letters.isascii():
-                letters = letters.lower()
-            split.append((piece, letters, rest))
-            new.add(letters)
-            new.add(rest)
+        letters = [p.rstrip(_PUNCTUATION) for p in pieces]
+        rests = b"\n".join([p[len(w) :] for p, w in zip(pieces, letters)]).decode().split("\n")
+        letters = b"\n".join(letters).decode().split("\n")  # no piece holds a line feed
+        plain = [
+            self.ends is not None and (not w or w.isalpha())
+            for w, r in zip(letters, rests)
+        ]
+        if self.lowers:
+            letters = [w.lower() if w.isascii() or _LATIN(w) else w for w in letters]
+        new = {w for w, ok in zip(letters, plain) if ok}
+        new.update([w for w, ok in zip(rests, plain) if ok])
         new = [w for w in new if w and w not in self.words]
         for low in range(0, len(new), WORDS_TOGETHER):
             part = new[low : low + WORDS_TOGETHER]
-            self.words.update(zip(part, self._plain([w.decode() for w in part])))
-        self.words[b""] = b""
-        for piece, letters, rest in split:
-            self.pieces[piece] = self.words[letters] + self.words[rest]
+            latin = [w for w in part if self.direct and _LATIN(w)]
+            self.words.update(zip(latin, self._latin(latin) if latin else []))
+            other = [w for w in part if not (self.direct and _LATIN(w))]
+            self.words.update(zip(other, self._plain(other)))
+        self.words[""] = b""
+        odd = [p.decode() for p, ok in zip(pieces, plain) if not ok]
+        coded = []
         for low in range(0, len(odd), WORDS_TOGETHER):
-            part = odd[low : low + WORDS_TOGETHER]
-            self.pieces.update(zip(part, self._one_by_one([p.decode() for p in part])))
+            coded += self._one_by_one(odd[low : low + WORDS_TOGETHER])
+        of, odds = self.words, iter(coded)
+        return [of[w] + of[r] if ok else next(odds) for w, r, ok in zip(letters, rests, plain)]
 
     def _split(self, text: bytes) -> list[bytes]:
         """Pieces between white space, with fewer forms of the same word.
@@ -213,17 +248,32 @@ class WordTokenizer:
             text = text.lower()
         return text.split()
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text."""
-        split = [self._split(t) for t in texts]
-        wanted = set().union(*split)
-        if len(self.pieces) > REMEMBERED:  # what was met first is what is frequent
-            self.pieces = dict(islice(self.pieces.items(), REMEMBERED // 3))
+    def _forget(self) -> None:
+        """What was met first is what is frequent, and is kept."""
+        if len(self.number) > REMEMBERED:
+            kept = REMEMBERED // 3
+            self.number = _Numbers(islice(self.number.items(), kept))
+            self.first, self.ids = self.first[: kept + 1].copy(), self.ids[: self.first[kept]].copy()
         if len(self.words) > REMEMBERED:
             self.words = dict(islice(self.words.items(), REMEMBERED // 3))
-        self._learn(list(wanted.difference(self.pieces)))
-        look = self.pieces.__getitem__
-        return [np.frombuffer(b"".join(map(look, words)), np.uint32) for words in split]
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Ids of each text."""
+        self._forget()
+        known, look = len(self.number), self.number.__getitem__
+        numbers = [np.fromiter(map(look, words), np.int64, len(words)) for words in map(self._split, texts)]
+        if len(self.number) > known:
+            new = self._learn(list(islice(self.number, known, None)))
+            sizes = np.fromiter(map(len, new), np.int64, len(new)) // 4
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(sizes)])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(new), np.uint32)])
+        out = []
+        for own in numbers:
+            first = self.first[own]
+            counts = self.first[own + 1] - first
+            ends = np.cumsum(counts)
+            out.append(self.ids[np.repeat(first - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)])
+        return out
 
 
 def _tokenize(tokenizer, end_id: int, points: list[int]):
@@ -371,7 +421,7 @@ def write_tokens(
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer = spark.sparkContext.broadcast(file.read())
     tokenized = slim.select("doc_id", "tie", "text").mapInArrow(
-        _tokenize(tokenizer, end_id, _points(slim, shards)), "doc_id long, tie long, shard int, ids binary"
+        releasing(_tokenize(tokenizer, end_id, _points(slim, shards))), "doc_id long, tie long, shard int, ids binary"
     )
     ids_path = scratch_path(spark, "ids")
     tokenized.write.option("compression", "zstd").parquet(ids_path)
@@ -383,7 +433,7 @@ def write_tokens(
     codebook = [(int(i), int(b)) for i, b in zip(symbols, bits)]
     spark.createDataFrame(codebook, "id int, bits int").coalesce(1).write.parquet(f"{path}/codebook")
     book = spark.sparkContext.broadcast((symbols, bits))
-    coded = ids.mapInArrow(_encode(book), _CODED)
+    coded = ids.mapInArrow(releasing(_encode(book)), _CODED)
     in_order = coded.repartition(shards, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "tie")
     in_order.mapInArrow(_blocks, _BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
