@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from itertools import islice
@@ -136,6 +137,11 @@ class Codebook:
         return out
 
 
+def _stays_letters(word: str) -> bool:
+    """Whether normalized and lowered letters are still nothing but letters; marks would go with punctuation behind them."""
+    return unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 class _Numbers(dict):
     """Numbers of pieces in the order in which they are met first."""
 
@@ -216,7 +222,7 @@ class WordTokenizer:
         rests = b"\n".join([p[len(w) :] for p, w in zip(pieces, letters)]).decode().split("\n")
         letters = b"\n".join(letters).decode().split("\n")  # no piece holds a line feed
         plain = [
-            self.ends is not None and (not w or w.isalpha())
+            self.ends is not None and (not w or (w.isalpha() and (not r or w.isascii() or _stays_letters(w))))
             for w, r in zip(letters, rests)
         ]
         if self.lowers:

@@ -115,3 +115,23 @@ def test_ids_equal_the_library_added_tokens_included(tokenizer):
     got = encoder.encode([t.encode() for t in texts])
     assert [list(g) for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert {49406, 49407} <= {int(i) for i in got[TEXTS.index("<|endoftext|> x<|startoftext|>y <|EndOfText|>")]}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="abzAZ\u00c9\u00e9\u00df\u00ff\u00b5\u00aa\u00d7\u0130\u0958\u212a\u0301\u0131\u4e2d1' ,.!<|>\n\t", max_size=40), max_size=6))
+def test_ids_equal_the_library_on_any_mix_of_letters(texts):
+    tokenizer = Tokenizer.from_file(PATH)
+    with open(PATH, encoding="utf-8") as f:
+        encoder = huffman.WordTokenizer.of(f.read())
+    got = encoder.encode([t.encode() for t in texts])
+    assert [list(g) for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_forgotten_pieces_are_learned_again(tokenizer, monkeypatch):
+    monkeypatch.setattr(huffman, "REMEMBERED", 6)
+    with open(PATH, encoding="utf-8") as f:
+        encoder = huffman.WordTokenizer(f.read())
+    texts = ["one two, three four", "five one six! seven", "", "two eight nine ten \u00c9t\u00e9", "one two three, four five"]
+    for t in texts * 2:
+        assert encoder.encode([t.encode()])[0].tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+    assert len(encoder.number) <= 12
