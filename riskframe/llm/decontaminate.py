@@ -29,8 +29,8 @@ from riskframe.llm.common import plain, stored
 WINDOW = 13
 #: Least share of hit words, as one in so many, from which a document is contaminated.
 ONE_IN = 20
-#: Most bytes of benchmark text in one broadcast; a larger benchmark is scanned for in several blocks. What is broadcast is at
-#: most 37 bytes per word of it: about 8 bytes per byte of usual text, 20 of text whose words have one letter.
+#: Most bytes of benchmark text in one broadcast; a larger benchmark is scanned for in several blocks. What is broadcast is the
+#: text, 24 bytes per window and the filters: 110 MB for 16 MB of text in 6.4 bytes a word, 250 MB if all words had one letter.
 BLOCK_BYTES = 16 << 20
 #: Buckets of benchmark text per block, from which blocks are put together, and longest part of an item, as a share of a block.
 FINER = 64
@@ -65,7 +65,8 @@ class _Known:
 class WindowSet:
     """Windows of a block of benchmark items: a bit filter, sorted numbers, and the exact words behind each number.
 
-    All of it is flat arrays: the items' words once, 24 bytes per distinct window and a filter of 16 to 32 bytes per window.
+    All of it is flat arrays: the items' words once, 24 bytes per distinct window (4 more for each further item that has it), and
+    a filter of 16 to 32 bytes per window, at most 32 MB for each length.
     """
 
     def __init__(self, items: list[tuple[str | None, str]], size: int = WINDOW) -> None:

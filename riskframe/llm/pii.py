@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import clean_text
+from riskframe.llm.common import clean_text, plain
 
 KINDS = ("email", "ip", "card", "phone")
 ACCEPT = 0.9
@@ -350,7 +350,7 @@ def mask_text(text: str, spans: str) -> Column:
 def mask_personal_data(docs: DataFrame, text: str = "text", accept: float = ACCEPT) -> DataFrame:
     """All documents with all columns, personal data masked; NULL stays NULL."""
     names = docs.columns
-    held = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("__row"), F.col(f"`{text}`").alias("__text"))
+    held = docs.select(F.struct(*[plain(n).alias(f"c{i}") for i, n in enumerate(names)]).alias("__row"), plain(text).alias("__text"))
     found = find_personal_data(held, "__text", ("__row", "__text"), accept)
     masked = found.withColumn("__masked", F.when(F.col("__text").isNotNull(), mask_text("text", "spans")))
-    return masked.select(*[F.col("__masked").alias(n) if n == text else F.col(f"__row.`{n}`").alias(n) for n in names])
+    return masked.select(*[F.col("__masked").alias(n) if n == text else F.col(f"__row.c{i}").alias(n) for i, n in enumerate(names)])

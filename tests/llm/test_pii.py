@@ -88,6 +88,9 @@ def test_empty_table_and_clashing_columns(spark):
     docs = docs_table(spark, ["a@b.cc", "a@b.cc"], [5, 5]).withColumnRenamed("lang", "spans").withColumnRenamed("source", "candidates")
     out = pii.mask_personal_data(docs)
     assert out.columns == docs.columns and {r["text"] for r in out.collect()} == {"<EMAIL>"}
+    odd = docs_table(spark, ["a@b.cc"]).withColumnRenamed("lang", "a`b.c").withColumnRenamed("source", "c0").withColumnRenamed("text", "t`x.t")
+    out = pii.mask_personal_data(odd, "t`x.t")
+    assert out.columns == odd.columns and [r["t`x.t"] for r in out.collect()] == ["<EMAIL>"]
 
 
 def test_em_finds_the_bad_labeler():
