@@ -69,15 +69,17 @@ def top_missing(df: DataFrame, n: int = 10, name: str = "table") -> DataFrame:
 
 
 def file_facts(df: DataFrame, name: str) -> DataFrame:
-    """Files, folder, bytes and last change of the files a DataFrame reads; NULLs where it reads none directly."""
+    """Files, folders, first folder, bytes and last change of the files a DataFrame reads; NULLs where it reads none directly."""
     try:
         files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
     except AnalysisException:  # a joined or computed table has no files of its own
         empty = "file_path string, file_size bigint, file_modification_time timestamp"
         files = df.sparkSession.createDataFrame([], empty)
+    folder = F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)
     return files.agg(
         F.nullif(F.count("file_path"), F.lit(0).cast("long")).alias("n_files"),
-        F.min(F.regexp_extract("file_path", "^(.*)/[^/]+$", 1)).alias("source_path"),
+        F.nullif(F.count_distinct(folder), F.lit(0).cast("long")).alias("n_folders"),
+        F.min(folder).alias("source_path"),
         F.sum("file_size").alias("file_size_bytes"),
         F.max("file_modification_time").alias("file_modified_at"),
     ).withColumn("table", F.lit(name))

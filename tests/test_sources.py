@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe import session as SE
+from riskframe.catalog import sources
 from riskframe.operators import profile as P
 from riskframe.sources import manifest as M
 from riskframe.sources import tables as S
+from tests.conftest import DATA
 
 SCHEMA = T.StructType().add("id", "long").add("v", "double").add("s", "string")
 TEXT = 'id,v,s,extra\n1,1.5,a,x\n2,NA,XNA,\n3,,"q ""w"", z",NULL\n4,NaN,n/a,y\n'
@@ -145,6 +147,15 @@ def test_profile_and_lineage(spark, tmp_path):
     assert facts["n_files"] >= 1 and facts["file_size_bytes"] > 0
 
 
+def test_lineage_is_the_same_for_a_file_and_a_folder_of_files(spark, tmp_path):
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    whole, parts = (sorted(map(tuple, sources.lineage(spark, d).collect()), key=str) for d in (DATA, str(tmp_path)))
+    assert whole == parts
+    facts = P.file_facts(spark.read.parquet(str(tmp_path / "documents.parquet")), "t").first()
+    assert (facts["n_files"], facts["n_folders"]) == (3, 1)
+
+
 def test_fingerprint_ignores_order_but_not_content(spark):
     df = spark.range(500).withColumn("v", F.col("id") / 7)
     one = P.table_fingerprint(df, ["id", "v"]).first()
