@@ -6,7 +6,8 @@ row per node comes back. Sums are of whole numbers (fixed point), and draws come
 partitioning of the rows, and a lost executor changes nothing.
 
 Margins are written every ``keep_every`` trees; passes between add the trees since. Bin edges are quantiles of a sample of
-bounded size (``sample_rows``, the first in hash order); if a column has few distinct values there, each has its own bin.
+bounded size (``sample_rows``, the first in hash order); if a column has at most ``bins`` distinct values, which is counted over all
+rows, each has its own bin.
 
 A missing value goes to the left, as the smallest. ``weight`` scales a row's gradient; without it all rows weigh the same.
 """
@@ -118,21 +119,48 @@ def _numbers(cells: pa.Array) -> np.ndarray:
     return np.where(np.isnan(values), -np.inf, values)
 
 
+def _first_values(width: int, limit: int):
+    """Per task and column the distinct values, at most ``limit`` of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [np.empty(0)] * width
+        for batch in batches:
+            for i in range(width):
+                if len(seen[i]) < limit:
+                    values = batch.column(f"x{i}").to_numpy(zero_copy_only=False).astype(float)
+                    seen[i] = np.unique(np.concatenate([seen[i], values[~np.isnan(values)]]))[:limit]
+        at = np.repeat(np.arange(width), [len(s) for s in seen])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.concatenate(seen))], ["at", "x"])
+
+    return run
+
+
+def few_values(cells: DataFrame, bins: int) -> dict[int, np.ndarray]:
+    """All distinct values, ascending, of those columns that have at most ``bins``; exact, from one pass.
+
+    A task hands on at most one value more than that per column, which shows that there are too many.
+    """
+    found = cells.mapInArrow(_first_values(len(cells.columns), bins + 1), "at long, x double").distinct()
+    lists = found.groupBy("at").agg(F.slice(F.sort_array(F.collect_list("x")), 1, bins + 1).alias("x")).collect()  # a row per column
+    values = {r["at"]: np.unique(np.array(r["x"], float)) for r in lists}
+    none = np.empty(0)
+    return {i: values.get(i, none) for i in range(len(cells.columns)) if len(values.get(i, none)) <= bins}
+
+
 def bin_edges(df: DataFrame, columns: Sequence[str], bins: int, sample_rows: int = SAMPLE_ROWS) -> list[np.ndarray]:
     """Ascending upper edges of all bins but the last, per column."""
     cells = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    in_order = cells.orderBy(F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells.columns])))
-    x = np.array([tuple(r) for r in in_order.limit(sample_rows).collect()], float).reshape(-1, len(columns))  # bounded
-    edges = []
-    for values in x.T:
-        known = np.sort(values[~np.isnan(values)])
-        distinct = np.unique(known)
-        if len(distinct) > bins:
-            distinct = np.unique(known[np.arange(1, bins) * len(known) // bins])
-        else:
-            distinct = distinct[:-1]
-        edges.append(distinct)
-    return edges
+    few = few_values(cells, bins)
+    edges = {i: distinct[:-1] for i, distinct in few.items()}
+    wide = [i for i in range(len(columns)) if i not in few]
+    if wide:
+        in_order = cells.orderBy(F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells.columns])))
+        taken = in_order.limit(sample_rows).select(*[f"x{i}" for i in wide])
+        x = np.array([tuple(r) for r in taken.collect()], float).reshape(-1, len(wide))  # bounded
+        for i, values in zip(wide, x.T):
+            known = np.sort(values[~np.isnan(values)])
+            edges[i] = np.unique(known[np.arange(1, bins) * len(known) // bins]) if len(known) else known
+    return [edges[i] for i in range(len(columns))]
 
 
 def _binned(edges: list[np.ndarray], base: float):

@@ -119,3 +119,13 @@ def test_save_load_weights_and_bad_input(spark):
 def test_few_values_have_their_own_bins_and_constants_none(spark):
     df = spark.createDataFrame([(float(i % 4), 5.0, None) for i in range(40)], "a double, b double, c double")
     assert [e.tolist() for e in B.bin_edges(df, ["a", "b", "c"], 8)] == [[0.0, 1.0, 2.0], [], []]
+
+
+def test_few_values_keep_a_bin_each_whatever_the_sample_holds(spark):
+    df = spark.range(6000).select(
+        "id", (F.col("id") % 200).cast("double").alias("a"), (F.col("id") % 3).cast("double").alias("b"), (F.col("id") / 7).alias("c")
+    ).repartition(5)
+    a, b, c = B.bin_edges(df, COLUMNS, 256, sample_rows=50)
+    assert a.tolist() == list(range(199)) and b.tolist() == [0, 1] and 0 < len(c) < 256
+    assert [len(e) for e in B.bin_edges(df.filter("id < 0"), COLUMNS, 16)] == [0, 0, 0]
+    assert B.few_values(df.select(F.col("a").alias("x0")), 199) == {}
