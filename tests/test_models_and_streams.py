@@ -156,3 +156,30 @@ def test_requests_repeated_late_and_without_id(spark, tmp_path):
     assert rows[0]["big"] == big and rows[1]["big"] is None and rows[0]["ts"] == at(1, 5)
     with pytest.raises(ValueError, match="cannot be carried"):
         S.unique_requests(stream.withColumn("list", F.array("id")), "id", "ts", "n")
+
+
+def test_requests_of_many_entities_take_few_groups_and_their_state_goes(spark, tmp_path):
+    at = lambda day, n: dt.datetime(2024, 1, day, n % 24, n % 60)
+    files = [
+        [(n % 300, n, at(1, 7 * n)) for n in range(900)],
+        [(n % 400, n, at(1, 5 * n)) for n in range(900, 2100)],  # seen before, but for a hundred
+        [(n % 300, n, at(2, 3 * n)) for n in range(2100, 2700)],
+        [(5, 2700, at(5, 0))],
+        [(5, 2701, at(9, 0))],
+    ]
+    schema = "id long, n long, ts timestamp"
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+    stream = S.read_file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, "json", 1)
+    judged = S.unique_requests(stream, "id", "ts", "n", "1 day", "1 hour", shares=4)
+    query = judged.writeStream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    query = query.format("parquet").start(str(tmp_path / "out"))
+    query.awaitTermination()
+    got = {r["n"]: r["reasons"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    first: dict = {}
+    for rows in files:  # batch after batch, in each by time
+        for entity, n, ts in sorted(rows, key=lambda r: (r[2], r[1])):
+            first.setdefault((entity, ts.day), n)
+    assert got == {n: [] if first[entity, ts.day] == n else ["id:unique"] for rows in files for entity, n, ts in rows}
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(states) <= 2 * 4 and states[-1] <= 1  # groups of two open days; at the end nothing but the last one
