@@ -6,11 +6,14 @@ instalment history. The projections are written once as expressions that Spark
 and SQL both read; the features themselves are stated separately for each.
 """
 
+from pyspark.sql import types as T
+
 from riskframe.catalog.base import Catalog, load, settle, settle_sql
 from riskframe.operators import contract as K
 from riskframe.operators.frame import string_columns
 from riskframe.plans import flat_table as FT
 from riskframe.plans import loan_features as L
+from riskframe.session import shuffle_parallelism
 
 Q = Catalog()
 
@@ -138,10 +141,17 @@ DATES = ("o_orderdate", "l_shipdate")
 
 
 def loan_tables(spark, d) -> L.LoanTables:
+    """A customer is a few bytes in its file and more than a hundred columns here, so a single split of the file would hold
+    most of the work: customers are spread by key before they are widened."""
     days = {c: SPARK_DAYS.format(c) for c in DATES}
+
+    def rows(source):
+        table = load(spark, d, source)
+        return table.repartition(shuffle_parallelism(spark), "c_custkey") if source == "customer" else table
+
     return L.LoanTables(
         **{
-            name: load(spark, d, source).selectExpr(*[f"{e.format(**days)} as {c}" for c, e in columns.items()])
+            name: rows(source).selectExpr(*[f"{e.format(**days)} as {c}" for c, e in columns.items()])
             for name, (source, columns) in DERIVED.items()
         }
     )
@@ -250,10 +260,11 @@ NUMBERS = [c for c in L.PASSED_THROUGH if c not in L.CATEGORY_LEVELS] + DERIVED_
 
 
 def _comparable(df):
-    """Every number as a rounded double, so both engines show the same value."""
+    """Every number as a rounded double, so both engines show the same value. Whole numbers are what ``settle`` makes of them."""
     texts = set(string_columns(df))
+    whole = {f.name for f in df.schema if isinstance(f.dataType, T.IntegralType)}
     return df.select(
-        *[L.col(c) if c in texts else settle(c).alias(c) for c in df.columns]
+        *[L.col(c) if c in texts else (L.col(c).cast("double") if c in whole else settle(c)).alias(c) for c in df.columns]
     )
 
 

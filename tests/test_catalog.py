@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from riskframe.catalog import loans
+from riskframe.catalog.base import settle
 from tests.conftest import DATA
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -43,3 +45,14 @@ def test_query_equals_sql(spark, duck, name):
 def test_catalog_loads_without_a_session():
     code = "import __spark_entry__ as e; assert e.queries() and e.oracle_sql()"
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_whole_numbers_are_settled_without_rounding(spark):
+    values = [0, 1, -5, 7, 999, 1000, -1001, 123456, 10**7, -(10**7) - 1, 2**31 - 1, 2**53 - 1, -(2**53), 2**62 + 1, None]
+    df = spark.createDataFrame([(v,) for v in values], "v long")
+    assert [r[0] for r in loans._comparable(df).collect()] == [r[0] for r in df.select(settle("v")).collect()]
+    assert "round" not in loans._comparable(df)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_customers_are_spread_before_they_are_widened(spark):
+    assert loans.flat_table(spark, DATA).rdd.getNumPartitions() >= 8  # a single small file
