@@ -159,3 +159,18 @@ def test_forest_cells_are_balanced_and_repeat():
         sizes = np.bincount(a[:, t], minlength=64)
         assert sizes.min() > 20 and sizes.max() < 130  # 64 on average
     assert forest.Forest.fit(x[:64], 2, 9, 7).cells(x).max() < 512  # deeper than the sample reaches
+
+
+def test_leaves_grow_until_the_recall_is_reached(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (1200, 32))
+    table = points(spark, x)
+    exact = nearest_neighbours(table, 5, 100, every=20).cache()
+    near = brute(x, 5)
+    got = {(r["id"], r["rank"]): r["neighbour"] for r in exact.collect()}
+    assert got == {(i, p + 1): j for i in range(0, 1200, 20) for p, j in enumerate(near[i])}
+    plain, grown = (forest.recall(forest.forest_neighbours(table, 5, 4, 20, target=t), exact).first() for t in (None, 0.95))
+    assert plain["recall"] < 0.8 and grown["recall"] >= 0.9 and grown["n_neighbours"] == 300
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 50)  # large cells are compared part with part
+    whole = {(r["id"], r["rank"]): r["neighbour"] for r in forest.forest_neighbours(table, 5, 1, 20, target=1.0).collect()}
+    assert whole == {(i, p + 1): j for i, own in near.items() for p, j in enumerate(own)}
