@@ -8,7 +8,7 @@ from riskframe.operators.sampling import split
 from riskframe.operators.storage import stored
 from riskframe.plans import boosting as B
 from riskframe.plans import training as T
-from riskframe.plans.scoring import add_scores, evaluated_rows
+from riskframe.plans.scoring import add_scores
 from riskframe.session import scratch_path
 
 Q = Catalog()
@@ -40,10 +40,11 @@ def _train_and_check(spark, d, kind, minimum=0.7):
     loaded = T.load_model(path)
     classifier = loaded.stages[-1]
     size = classifier.getNumTrees if kind in ("gbt", "forest") else classifier.numFeatures
-    rows = evaluated_rows(test, loaded, "y", "event_id")
-    live = evaluated_rows(test, model, "y", "event_id").select("event_id", F.col("probability").alias("live"))
-    facts = M.evaluate(rows, "y_true", "prediction", "probability").select((F.col("roc_auc") > minimum).alias("above_minimum"))
-    same = rows.join(live, "event_id").agg(
+    spread = test.repartition(spark.sparkContext.defaultParallelism, "event_id")  # hundreds of trees per row: work for all cores
+    live = add_scores(spread, model).withColumnsRenamed({"probability": "live", "prediction": "decision"})
+    rows = stored(add_scores(live, loaded).select("y", "prediction", "probability", "live"), "scored")
+    facts = M.evaluate(rows, "y", "prediction", "probability").select((F.col("roc_auc") > minimum).alias("above_minimum"))
+    same = rows.agg(
         F.count(F.lit(1)).alias("n_test"), F.bool_and(F.col("probability") == F.col("live")).alias("loaded_scores_equal")
     )
     counted = train.agg(F.count(F.lit(1)).alias("n_train"))
