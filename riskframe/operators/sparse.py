@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from riskframe.functions.expr import col
 from riskframe.operators.frame import string_columns
-from riskframe.operators.storage import stored
+from riskframe.operators.storage import store, stored
 
 #: Columns with at most this many levels are encoded by a broadcast.
 FEW_LEVELS = 10_000
@@ -139,25 +139,59 @@ def deviation(levels: Levels) -> Column:
     return F.when(spread > 0, spread).otherwise(1.0)
 
 
-def sparse_vectors(
-    df: DataFrame, levels: Levels, output: str = "features", scaled: bool = False, few_levels: int = FEW_LEVELS
-) -> DataFrame:
-    """Adds a sparse vector with a 1 at the place of each level of the row; ``scaled`` divides by the level's deviation.
-
-    Nothing is centred, so that vectors stay sparse; a model with an intercept is the same either way.
-    """
+def _struct(df: DataFrame, levels: Levels, output: str, scaled: bool, few_levels: int, leading: Sequence[str]) -> DataFrame:
+    """Adds the vector in the form that Spark ML's vectors have in a table."""
     weight = 1.0 / deviation(levels) if scaled else None
     listed = encode_levels(df, levels, output, weight, few_levels)
     value = (lambda x: x["weight"]) if scaled else (lambda x: F.lit(1.0))
+    first = len(leading)
+    if first + levels.width > 2**31 - 1:
+        raise ValueError("a vector has at most 2^31 - 1 places")
+
+    def number(c: str) -> Column:
+        cell = col(c).cast("double")
+        error = F.raise_error(F.lit(f"column {c} holds NULL or NaN")).cast("double")
+        return F.when(cell.isNull() | F.isnan(cell), error).otherwise(cell)
+
+    indices, values = F.transform(output, lambda x: x["place"].cast("int") + F.lit(first)), F.transform(output, value)
+    if leading:
+        indices = F.concat(F.array(*[F.lit(i) for i in range(first)]), indices)
+        values = F.concat(F.array(*[number(c) for c in leading]), values)
     vector = F.struct(
-        F.lit(0).cast("byte").alias("type"),
-        F.lit(levels.width).cast("int").alias("size"),
-        F.transform(output, lambda x: x["place"].cast("int")).alias("indices"),
-        F.transform(output, value).alias("values"),
+        F.lit(0).cast("byte").alias("type"), F.lit(first + levels.width).alias("size"), indices.alias("indices"), values.alias("values")
     )
-    shaped = listed.withColumn(output, vector)
+    return listed.withColumn(output, vector)
+
+
+def _with_vectors(schema: T.StructType, output: str) -> T.StructType:
+    return T.StructType([T.StructField(f.name, VectorUDT() if f.name == output else f.dataType) for f in schema])
+
+
+def sparse_vectors(
+    df: DataFrame,
+    levels: Levels,
+    output: str = "features",
+    scaled: bool = False,
+    few_levels: int = FEW_LEVELS,
+    leading: Sequence[str] = (),
+) -> DataFrame:
+    """Adds a sparse vector with a 1 at the place of each level of the row; ``scaled`` divides by the level's deviation.
+
+    Nothing is centred, so that vectors stay sparse; a model with an intercept is the same either way. The numbers of the
+    ``leading`` columns come before the levels; NULL and NaN among them are errors. A ``VectorAssembler`` would name every
+    place in the schema, which each plan and task then carries.
+    """
+    shaped = _struct(df, levels, output, scaled, few_levels, leading)
     # the batches pass through unchanged, under plain names; this only gives the struct the type that Spark ML asks for
     plain = [f"c{i}" for i in range(len(shaped.columns))]
-    kinds = [VectorUDT() if f.name == output else f.dataType for f in shaped.schema]
-    schema = T.StructType([T.StructField(n, k) for n, k in zip(plain, kinds)])
+    kinds = _with_vectors(shaped.schema, output)
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(plain, kinds)])
     return shaped.toDF(*plain).mapInArrow(lambda batches: batches, schema).toDF(*shaped.columns)
+
+
+def stored_vectors(
+    df: DataFrame, levels: Levels, output: str, scaled: bool, leading: Sequence[str] = (), few_levels: int = FEW_LEVELS
+) -> DataFrame:
+    """The rows of ``sparse_vectors``, written once."""
+    shaped = _struct(df, levels, output, scaled, few_levels, leading)
+    return df.sparkSession.read.schema(_with_vectors(shaped.schema, output)).parquet(store(shaped, "vectors"))

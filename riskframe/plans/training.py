@@ -25,7 +25,7 @@ from riskframe.operators.encode import fit_scale
 from riskframe.operators.frame import require_columns
 from riskframe.operators.sampling import class_weights, downsample_majority
 from riskframe.operators.smote import smote
-from riskframe.operators.sparse import Levels, fit_levels, sparse_vectors
+from riskframe.operators.sparse import Levels, fit_levels, sparse_vectors, stored_vectors
 from riskframe.operators.storage import stored
 from riskframe.plans.boosting import bin_edges
 from riskframe.session import scratch_path, shared_folder
@@ -45,8 +45,10 @@ DRAWN = 200_000
 #: Rows that a task gets at least before a small table is spread over more tasks.
 TASK_ROWS = 5_000
 
+#: A block of sparse rows takes so many times the memory of the coefficients.
+BLOCK_SHARE = 4
+
 WEIGHT = "__weight"
-LEVELS = "__zlevels"
 
 
 def _scaling(scale: Mapping[str, tuple[float, float]], columns: Sequence[str]) -> SQLTransformer:
@@ -150,13 +152,17 @@ def train(
 
 @dataclass
 class SparseModel:
-    """Numbered levels of the category columns and a pipeline over their sparse vectors; scores like a ``PipelineModel``."""
+    """Numbered levels of the category columns and a pipeline that scales numbers and classifies the sparse vectors of both; scores like a ``PipelineModel``."""
 
     levels: Levels
     pipeline: PipelineModel
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return self.pipeline.transform(sparse_vectors(df, self.levels, LEVELS, scaled=True))
+        *scaling, classifier = self.pipeline.stages
+        for step in scaling:
+            df = step.transform(df)
+        leading = [f"__z{i}" for i in range(classifier.numFeatures - self.levels.width)]
+        return classifier.transform(sparse_vectors(df, self.levels, "__features", scaled=True, leading=leading))
 
     def save(self, path: str) -> None:
         self.levels.save(f"{path}/vocabulary")
@@ -190,11 +196,13 @@ def train_sparse(
         data = class_weights(data, target, WEIGHT)
     levels = fit_levels(data, categories)
     steps = [_scaling(fit_scale(data, numeric), numeric)] if numeric else []
-    inputs = [*[f"__z{i}" for i in range(len(numeric))], LEVELS]
-    steps.append(VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="error"))
-    ready = sparse_vectors(data, levels, LEVELS, scaled=True)
     for step in steps:
-        ready = step.transform(ready)
+        data = step.transform(data)
+    leading = [f"__z{i}" for i in range(len(numeric))]
+    if kind == "logistic" and not classifier.isSet("maxBlockSizeInMB"):
+        # a block costs a pass over all coefficients: large blocks keep that below the work on its rows
+        classifier.setMaxBlockSizeInMB(BLOCK_SHARE * 8 * (len(numeric) + levels.width) / 2**20 + 1)
+    ready = stored_vectors(data, levels, "__features", True, leading)
     return SparseModel(levels, _as_saved(spark, PipelineModel([*steps, classifier.fit(ready)]), kind))
 
 

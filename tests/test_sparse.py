@@ -89,3 +89,27 @@ def test_deviation_is_that_of_the_flags(spark):
     got = {r["value"]: r["s"] for r in levels.table.select("value", sparse.deviation(levels).alias("s")).collect()}
     flags = {v: np.std([r[1] == v for r in ROWS]) for v in ("", "a", "b")}
     assert all(abs(got[v] - flags[v]) < 1e-12 for v in flags)
+
+
+def test_places_of_a_wide_vector_are_not_named_in_the_schema(spark):
+    df = spark.range(3000).select("id", F.col("id").alias("k"), (F.col("id") % 7).alias("v"), (F.col("id") % 2).alias("y"))
+    model = training.train_sparse(df, ["v"], ["k"], "y", params={"maxIter": 2})
+    features = model.transform(df).schema["__features"]
+    assert len(str(features.metadata)) < 1000  # a name per place made plans and tasks grow with the levels
+    classifier = model.pipeline.stages[-1]
+    assert classifier.numFeatures == 3001
+    wide = training.train_sparse(df, ["v"], ["k"], "y", params={"maxIter": 1, "maxBlockSizeInMB": 2.0})
+    assert wide.pipeline.stages[-1].getMaxBlockSizeInMB() == 2.0 and classifier.getMaxBlockSizeInMB() > 1.0
+
+
+@pytest.mark.parametrize("kind, params", [("logistic", {"maxIter": 2}), ("forest", {"numTrees": 2})])
+def test_numbers_come_first_and_missing_ones_are_errors(spark, kind, params):
+    df = table(spark).withColumn("y", (F.col("id") % 2).cast("int"))
+    model = training.train_sparse(df, ["v"], ["c", "d.e"], "y", kind, params)
+    rows = model.transform(df).select("id", "__features").collect()
+    mean, deviation = 3.5, np.std([r[3] for r in ROWS])
+    want = {0: [0, 3, 4], 1: [0, 2], 2: [0], 3: [0, 3, 5], 4: [0, 1, 4], 5: [0, 3, 4]}
+    assert {r["id"]: r["__features"].indices.tolist() for r in rows} == want
+    assert all(abs(r["__features"].values[0] - (r["id"] + 1 - mean) / deviation) < 1e-12 for r in rows)
+    with pytest.raises(Exception, match="holds NULL or NaN"):
+        model.transform(df.withColumn("v", F.when(F.col("id") > 0, F.col("v")))).collect()
