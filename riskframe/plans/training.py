@@ -42,8 +42,9 @@ FOREST = {"numTrees": 300}
 GROUP_FROM = 200_000
 #: So many groups, or parts of groups, are enough to draw from.
 DRAWN = 200_000
-#: Rows that a task gets at least before a small table is spread over more tasks.
-TASK_ROWS = 5_000
+#: Rows that a task gets at least before a small table is spread over more tasks. Boosting runs a job per level of each tree,
+#: one after the other; there starting tasks takes longer than the work on few rows.
+TASK_ROWS = {"forest": 5_000, "gbt": 25_000}
 
 #: A block of sparse rows takes so many times the memory of the coefficients.
 BLOCK_SHARE = 4
@@ -108,10 +109,11 @@ def _groups(binned: DataFrame, bins: Sequence[str], whole: Sequence[str], target
     return stored(binned.groupBy(*cells, part).agg(weight), "row-groups")
 
 
-def _spread(df: DataFrame, columns: Sequence[str], n_rows: int) -> DataFrame:
-    """The rows over as many tasks as there are cores, each with the same rows in the same order every time."""
-    tasks = min(df.sparkSession.sparkContext.defaultParallelism, n_rows // TASK_ROWS)
-    if tasks < 2 or df.rdd.getNumPartitions() >= tasks:
+def _spread(df: DataFrame, columns: Sequence[str], n_rows: int, kind: str) -> DataFrame:
+    """The rows over as many tasks as are worth starting, each with the same rows in the same order every time."""
+    cores, parts = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    tasks = max(1, min(cores, n_rows // TASK_ROWS[kind]))
+    if parts == tasks or (parts > tasks and (kind != "gbt" or tasks == cores)):
         return df
     return df.repartition(tasks, *columns).sortWithinPartitions(*columns)
 
@@ -145,7 +147,7 @@ def train(
                 steps.append(bins)
                 inputs, ready, n_rows, weighted = bins.getOutputCols(), groups, groups.count(), True
                 classifier = classifier.setWeightCol(WEIGHT)
-        ready = _spread(ready, [c for c in ready.columns if c in (*inputs, target, "__part")], n_rows)
+        ready = _spread(ready, [c for c in ready.columns if c in (*inputs, target, "__part")], n_rows, kind)
     steps.append(VectorAssembler(inputCols=inputs, outputCol="__features", handleInvalid="error"))
     return _as_saved(spark, PipelineModel([*steps, classifier.fit(steps[-1].transform(ready))]), kind)
 

@@ -129,3 +129,12 @@ def test_few_values_keep_a_bin_each_whatever_the_sample_holds(spark):
     assert a.tolist() == list(range(199)) and b.tolist() == [0, 1] and 0 < len(c) < 256
     assert [len(e) for e in B.bin_edges(df.filter("id < 0"), COLUMNS, 16)] == [0, 0, 0]
     assert B.few_values(df.select(F.col("a").alias("x0")), 199) == {}
+
+
+def test_boosting_on_few_groups_starts_few_tasks(spark):
+    rows = spark.range(60_000).select("id", (F.col("id") % 7).cast("double").alias("v"))
+    small, large = rows.repartition(8, "id"), rows.repartition(1)
+    assert training._spread(small, ["id"], 60_000, "gbt").rdd.getNumPartitions() == 2
+    assert training._spread(large, ["id"], 60_000, "gbt").rdd.getNumPartitions() == 2
+    assert training._spread(large, ["id"], 60_000, "forest").rdd.getNumPartitions() == 8
+    assert training._spread(small, ["id"], 10_000_000, "gbt").rdd.getNumPartitions() == 8
