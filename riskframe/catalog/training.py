@@ -17,9 +17,10 @@ FEATURES = ["value", "k", "is_click", "hour"]
 
 
 def _parts(spark, d):
+    """The labelled events are written once, so that their texts are parsed in one of the passes of the split and not in each."""
     events = event_features(load(spark, d, "events")).withColumn("hour", F.hour("ts"))
     labelled = events.withColumn("y", F.when(F.col("value") + F.col("k") > 100, 1).otherwise(F.col("y")))
-    return split(labelled.select("event_id", *FEATURES, "y"), 0.2, T.SEED, "event_id", stratify="y")
+    return split(stored(labelled.select("event_id", *FEATURES, "y"), "labelled"), 0.2, T.SEED, "event_id", stratify="y")
 
 
 def _facts_sql(kind: str, size: int) -> str:

@@ -147,6 +147,12 @@ def few_values(cells: DataFrame, bins: int) -> dict[int, np.ndarray]:
     return {i: values.get(i, none) for i in range(len(cells.columns)) if len(values.get(i, none)) <= bins}
 
 
+def _first_in_hash_order(cells: DataFrame, rows: int) -> DataFrame:
+    """The hash is a column of its own: as a mere sort expression it would be computed anew in every comparison of two rows."""
+    place = F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells.columns]))
+    return cells.withColumn("__place", place).orderBy("__place").limit(rows)
+
+
 def bin_edges(df: DataFrame, columns: Sequence[str], bins: int, sample_rows: int = SAMPLE_ROWS) -> list[np.ndarray]:
     """Ascending upper edges of all bins but the last, per column."""
     cells = df.select(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
@@ -154,8 +160,7 @@ def bin_edges(df: DataFrame, columns: Sequence[str], bins: int, sample_rows: int
     edges = {i: distinct[:-1] for i, distinct in few.items()}
     wide = [i for i in range(len(columns)) if i not in few]
     if wide:
-        in_order = cells.orderBy(F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cells.columns])))
-        taken = in_order.limit(sample_rows).select(*[f"x{i}" for i in wide])
+        taken = _first_in_hash_order(cells, sample_rows).select(*[f"x{i}" for i in wide])
         x = np.array([tuple(r) for r in taken.collect()], float).reshape(-1, len(wide))  # bounded
         for i, values in zip(wide, x.T):
             known = np.sort(values[~np.isnan(values)])

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +133,16 @@ def test_few_values_keep_a_bin_each_whatever_the_sample_holds(spark):
     assert B.few_values(df.select(F.col("a").alias("x0")), 199) == {}
 
 
+def test_the_sample_of_the_bins_is_hashed_once_per_row(spark):
+    cells = spark.range(3000).select((F.col("id") / 8).alias("x0"), F.when(F.col("id") % 3 > 0, F.col("id") * 1.0).alias("x1"))
+    taken = B._first_in_hash_order(cells, 50)
+    plan = taken._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in plan and not [line for line in plan.splitlines() if "Sort" in line and "md5" in line]
+    text = lambda v: "" if v is None else str(v)
+    order = sorted(map(tuple, cells.collect()), key=lambda r: hashlib.md5(":".join(map(text, r)).encode()).hexdigest())
+    assert [(r["x0"], r["x1"]) for r in taken.collect()] == order[:50]
+
+
 def test_boosting_on_few_groups_starts_few_tasks(spark):
     rows = spark.range(60_000).select("id", (F.col("id") % 7).cast("double").alias("v"))
     small, large = rows.repartition(8, "id"), rows.repartition(1)

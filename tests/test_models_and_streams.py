@@ -1,15 +1,18 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import functions as F
 
+from riskframe.catalog import training as catalog
 from riskframe.functions.expr import logistic
 from riskframe.operators import contract as K
 from riskframe.operators.metrics import evaluate
 from riskframe.plans import training as T
-from riskframe.plans.scoring import evaluated_rows, score
+from riskframe.plans.scoring import add_scores, evaluated_rows, score
 from riskframe.session import scratch_path
 from riskframe.streaming import flows as S
+from tests.conftest import DATA
 
 FEATURES = ["feature_1", "feature_2"]
 
@@ -42,6 +45,28 @@ def test_training_refusals(table):
         T.train(table, ["feature_9"], "TARGET", "logistic")
 
 
+def test_groups_of_equal_bins_are_scored_once(spark, monkeypatch):
+    monkeypatch.setattr(T, "GROUP_FROM", 1000)
+    cells = {"feature_1": (F.col("id") % 400) / 10, "feature_2": (F.col("id") % 7).cast("double")}
+    rows = spark.range(6000).withColumns(cells).withColumn("TARGET", (F.col("feature_1") + F.col("feature_2") > 20).cast("int"))
+    model = T.train(rows, FEATURES, "TARGET", "forest", {"numTrees": 5})
+    assert any(isinstance(step, Bucketizer) for step in model.stages)
+    scored = add_scores(rows, model, 0.4)
+    assert "Aggregate" in scored._jdf.queryExecution().optimizedPlan().toString()
+    assert scored.columns == [*rows.columns, "probability", "prediction"]
+    plain = {r["id"]: r["probability"][1] for r in model.transform(rows).select("id", "probability").collect()}
+    got = scored.collect()
+    assert len(got) == 6000 and {r["id"]: r["probability"] for r in got} == plain and len(set(plain.values())) > 5
+    assert all(r["prediction"] == int(r["probability"] >= 0.4) for r in got)
+    twice = add_scores(scored.withColumnsRenamed({"probability": "live", "prediction": "decision"}), model, 0.4)
+    assert twice.filter("live = probability and decision = prediction").count() == 6000
+
+
+def test_parts_of_the_events_are_parsed_once(spark):
+    for part in catalog._parts(spark, DATA):
+        assert "get_json_object" not in part._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_rows_without_entity_are_numbered(table):
     model = logistic({"feature_1": 1.0}, -2.0)
     got = score(table.drop("SK_ID_CURR"), model, 0.5, "SK_ID_CURR", order_key="feature_1")
