@@ -94,6 +94,9 @@ class _Place:
     place: int
     value: float | None = None
 
+    def bracket(self) -> tuple[int, float, float]:
+        return self.column, self.low, self.high
+
     def splits(self) -> list[float]:
         """Bounds that cut the doubles of the bracket, as many as there are, into BUCKETS equal parts."""
         low, high = order_number(self.low), order_number(self.high)
@@ -103,35 +106,40 @@ class _Place:
 
 def _narrow(numbers: DataFrame, open_places: Sequence[_Place]) -> None:
     """One pass: counts the buckets of every bracket and moves each place into the bucket that holds it."""
-    names = [f"v{p.column}" for p in open_places]
+    brackets = list({p.bracket(): p for p in open_places}.values())  # both middle places often share one
+    at = {p.bracket(): t for t, p in enumerate(brackets)}
+    inside = numbers.select(
+        *[F.when(F.col(f"v{p.column}").between(p.low, p.high), F.col(f"v{p.column}")).alias(f"x{t}") for t, p in enumerate(brackets)]
+    )
+    inside = inside.filter(F.coalesce(*[F.col(c) for c in inside.columns]).isNotNull())  # few rows have a value near a middle
     cutter = Bucketizer(
-        splitsArray=[p.splits() if len(p.splits()) > 2 else [-math.inf, 0.0, math.inf] for p in open_places],
-        inputCols=names,
-        outputCols=[f"b{t}" for t in range(len(open_places))],
+        splitsArray=[p.splits() if len(p.splits()) > 2 else [-math.inf, 0.0, math.inf] for p in brackets],
+        inputCols=inside.columns,
+        outputCols=[f"b{t}" for t in range(len(brackets))],
         handleInvalid="keep",  # missing values stay missing
     )
     cells = F.array_compact(
         F.array(
             *[
                 F.when(
-                    F.col(name).between(p.low, p.high),
-                    F.struct(F.lit(t).alias("t"), F.col(f"b{t}").cast("int").alias("b"), F.col(name).alias("v")),
+                    F.col(f"x{t}").isNotNull(),
+                    F.struct(F.lit(t).alias("t"), F.col(f"b{t}").cast("int").alias("b"), F.col(f"x{t}").alias("v")),
                 )
-                for t, (name, p) in enumerate(zip(names, open_places))
+                for t in range(len(brackets))
             ]
         )
     )
     counted = (
-        cutter.transform(numbers)
+        cutter.transform(inside)
         .select(F.explode(cells).alias("x"))
         .groupBy("x.t", "x.b")
         .agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("low"), F.max("x.v").alias("high"))
     )
     found: dict[int, list] = {}
-    for row in counted.collect():  # at most BUCKETS rows per place
+    for row in counted.collect():  # at most BUCKETS rows per bracket
         found.setdefault(row["t"], []).append(row)
-    for t, p in enumerate(open_places):
-        for row in sorted(found[t], key=lambda r: r["b"]):
+    for p in open_places:
+        for row in sorted(found[at[p.bracket()]], key=lambda r: r["b"]):
             if p.place <= row["n"]:
                 p.low, p.high = row["low"], row["high"]
                 if p.place == 1 or p.low == p.high:
@@ -173,7 +181,8 @@ def fit_medians(
         n, below = sizes[f"n{i}"], sizes[f"below{i}"]
         for place in ((n + 1) // 2, n // 2 + 1):
             inside = below < place <= sizes[f"upto{i}"]
-            places.append(_Place(i, low, high, place - below) if inside else _Place(i, -math.inf, math.inf, place))
+            known = low if inside and low == high else None  # a bracket of one value, as columns of few values have it
+            places.append(_Place(i, low, high, place - below, known) if inside else _Place(i, -math.inf, math.inf, place))
     while open_places := [p for p in places if p.value is None]:
         _narrow(numbers, open_places)
     middle: dict[int, list[float]] = {}

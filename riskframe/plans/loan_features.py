@@ -30,6 +30,7 @@ from riskframe.operators.encode import (
 from riskframe.operators.frame import drop_columns, fill_zero, numeric_columns, row_missing_count, string_columns
 from riskframe.operators.rollup import HOT_FROM, frequent_keys, ratio_of, single_level_rollup, two_level_rollup
 from riskframe.operators.storage import stored
+from riskframe.session import compiled_methods
 from riskframe.sources.tables import nan_to_null
 
 # Column names of the schema and of the feature table.
@@ -348,9 +349,11 @@ def feature_table(
     max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """The model-ready table. The joined features are read three times (levels, medians,
-    result), so they are written to the shared folder once."""
-    joined = stored(joined_features(tables, eps, check_keys, hot_from), "joined-features")
-    return finish_features(encode_features(joined, max_levels=max_levels))
+    result), so they are written to the shared folder once. Writing and fitting cover more than a hundred columns at a time."""
+    with compiled_methods(tables.application.sparkSession):
+        joined = stored(joined_features(tables, eps, check_keys, hot_from), "joined-features")
+        encoded = encode_features(joined, max_levels=max_levels)
+    return finish_features(encoded)
 
 
 # The model's columns before the category levels, in the configured order.

@@ -5,6 +5,7 @@ from riskframe.operators.assemble import DuplicateKeyError
 from riskframe.operators.contract import run_contract
 from riskframe.plans import flat_table as FT
 from riskframe.plans import loan_features as L
+from riskframe.session import METHOD_SETTING, compiled_methods
 
 
 def sparse(spark, kinds, rows):
@@ -138,6 +139,16 @@ def test_model_table(tables):
     assert not any(v is None for r in rows.values() for v in r.values())
 
 
+def test_wide_steps_run_in_methods_that_the_jvm_compiles(spark, tables, monkeypatch):
+    before, seen, fit = spark.conf.get(METHOD_SETTING), [], L.fit_medians
+    monkeypatch.setattr(L, "fit_medians", lambda *args: (seen.append(spark.conf.get(METHOD_SETTING)), fit(*args))[1])
+    L.feature_table(tables)
+    assert seen == ["8000"] and spark.conf.get(METHOD_SETTING) == before
+    with pytest.raises(ZeroDivisionError), compiled_methods(spark):
+        1 / 0
+    assert spark.conf.get(METHOD_SETTING) == before
+
+
 def test_names():
     assert len(L.PASSED_THROUGH) == 72 and len(set(L.model_columns())) == len(L.model_columns()) == 162
 

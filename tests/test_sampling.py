@@ -190,6 +190,18 @@ def test_medians_take_at_most_eight_rounds_whatever_the_values(spark, monkeypatc
     assert got["c"] == near[499] + (near[500] - near[499]) / 2
 
 
+def test_medians_of_few_values_need_no_counting_and_middles_share_a_bracket(spark, monkeypatch):
+    cells = [(F.col("id") % 3).cast("double").alias("a"), (F.col("id") * 1.0).alias("b"), F.when(F.col("id") % 4 > 0, 7.0).alias("c")]
+    df = spark.range(1000).select(*cells).repartition(3)
+    counted, narrow, cut = [], E._narrow, []
+    monkeypatch.setattr(E, "_narrow", lambda numbers, places: (counted.append({p.column for p in places}), narrow(numbers, places)))
+    bucketizer = E.Bucketizer
+    monkeypatch.setattr(E, "Bucketizer", lambda **kw: (cut.append(len(kw["splitsArray"])), bucketizer(**kw))[1])
+    monkeypatch.setattr(type(df), "approxQuantile", lambda self, names, *_: [[1.0, 1.0], [400.0, 600.0], [7.0, 7.0]])
+    assert E.fit_medians(df) == {"a": 1.0, "b": 499.5, "c": 7.0}
+    assert counted and all(columns == {1} for columns in counted) and cut[0] == 1
+
+
 def test_doubles_have_their_place_in_an_order():
     values = [float("-inf"), -1.7e308, -1.0, -5e-324, 0.0, 5e-324, 1.0, 1.7e308, float("inf")]
     numbers = [E.order_number(v) for v in values]
