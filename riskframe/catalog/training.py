@@ -127,10 +127,9 @@ FROM t QUALIFY x < max(x) OVER (PARTITION BY feature)
 def split_gains(spark, d):
     """What every possible first split of two columns gains, with penalties of both kinds."""
     events = event_features(load(spark, d, "events")).withColumn("hour", F.hour("ts"))
-    sums, edges = B.first_histograms(events, ["k", "hour"], "y", bins=256)
+    sums, edges = B.first_histograms(events, ["k", "hour"], "y")
     gains = B.split_gains(sums, l2=2.0, l1=0.5)
-    tops = [(f, b, float(v)) for f, own in enumerate(edges) for b, v in enumerate(own)]
-    return gains.join(F.broadcast(spark.createDataFrame(tops, "feature long, bin long, upto double")), ["feature", "bin"]).select(
+    return gains.join(edges, ["feature", "bin"]).select(
         F.col("feature").cast("int").alias("feature"), "upto", F.round("h_left", 4).alias("h_left"), F.round("gain", 4).alias("gain")
     )
 

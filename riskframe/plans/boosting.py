@@ -7,7 +7,7 @@ partitioning of the rows, and a lost executor changes nothing.
 
 Margins are written every ``keep_every`` trees; passes between add the trees since. Bin edges are quantiles of a sample of
 bounded size (``sample_rows``, the first in hash order); if a column has at most ``bins`` distinct values, which is counted over all
-rows, each has its own bin.
+rows, each has its own bin. The first sums (``first_histograms``) also come with a bin per value, however many there are.
 
 A missing value goes to the left, as the smallest. ``weight`` scales a row's gradient; without it all rows weigh the same.
 """
@@ -26,11 +26,14 @@ from pyspark.sql import types as T
 
 from riskframe.functions.expr import col
 from riskframe.operators.frame import require_columns
+from riskframe.operators.ordering import running_totals
 from riskframe.operators.storage import stored
 
 #: Gradients are summed as whole multiples of 1 / FIXED.
 FIXED = 1 << 20
 SAMPLE_ROWS = 65_536
+#: Rows per partition that ``monotonically_increasing_id`` tells apart.
+_ROW_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -251,16 +254,24 @@ def split_gains(sums: DataFrame, l2: float = 1.0, l1: float = 0.0) -> DataFrame:
     """Sums per (node, feature, bin) -> what a split behind each bin gains.
 
     Adds g_left, h_left, g_all, h_all and gain: half of what the squared, shrunk gradients over ``h + l2`` grow by.
+    Bins that lie in slices (column ``slice``, ascending with the bins) are added up slice by slice.
     """
-    upto = Window.partitionBy("node", "feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("node", "feature")  # at most one row per bin
     real = lambda c: c / F.lit(float(FIXED))
-    added = sums.withColumns(
-        {
-            "g_left": real(F.sum("g").over(upto)), "h_left": real(F.sum("h").over(upto)),
-            "g_all": real(F.sum("g").over(whole)), "h_all": real(F.sum("h").over(whole)),
-        }
-    )
+    if "slice" in sums.columns:
+        running = running_totals(sums, "bin", "slice", ["g", "h"], ["node", "feature"])
+        helpers = [f"{m}__{k}" for m in ("g", "h") for k in ("before", "upto", "all")]
+        added = running.withColumns(
+            {f"{m}_{name}": real(F.col(f"{m}__{k}")) for k, name in (("upto", "left"), ("all", "all")) for m in ("g", "h")}
+        ).drop(*helpers)
+    else:
+        upto = Window.partitionBy("node", "feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        whole = Window.partitionBy("node", "feature")  # at most one row per bin
+        added = sums.withColumns(
+            {
+                "g_left": real(F.sum("g").over(upto)), "h_left": real(F.sum("h").over(upto)),
+                "g_all": real(F.sum("g").over(whole)), "h_all": real(F.sum("h").over(whole)),
+            }
+        )
 
     def quality(g: Column, h: Column) -> Column:
         shrunk = F.greatest(F.abs(g) - F.lit(float(l1)), F.lit(0.0))
@@ -286,6 +297,14 @@ def leaf_weight(g: float, h: float, l2: float, l1: float) -> float:
     return float(-np.sign(g) * max(abs(g) - l1, 0.0) / (h + l2)) if h + l2 > 0 else 0.0
 
 
+def _start(df: DataFrame, y: Column, w: Column) -> float:
+    """The margin of all rows before any tree."""
+    mean = df.agg(F.try_divide(F.sum(y * w), F.sum(w))).first()[0]
+    if mean is None or not 0 < mean < 1:
+        raise ValueError("two classes are needed")
+    return float(np.log(mean / (1 - mean)))
+
+
 def _prepared(
     df: DataFrame, columns: Sequence[str], target: str, weight: str | None, key: str | None, bins: int
 ) -> tuple[DataFrame, list[np.ndarray], float]:
@@ -293,22 +312,64 @@ def _prepared(
     if not 2 <= bins <= 256:
         raise ValueError("from 2 to 256 bins")
     y, w = col(target).cast("double"), (col(weight).cast("double") if weight else F.lit(1.0))
-    mean = df.agg(F.try_divide(F.sum(y * w), F.sum(w))).first()[0]
-    if mean is None or not 0 < mean < 1:
-        raise ValueError("two classes are needed")
+    base = _start(df, y, w)
     edges = bin_edges(df, columns, bins)
     draw = F.xxhash64(col(key)) if key else F.xxhash64(*[col(c) for c in [*columns, target]])
     cells = [col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]
     slim = df.select(*cells, y.alias("y"), w.alias("weight"), draw.alias("draw"))
-    base = float(np.log(mean / (1 - mean)))
     return stored(slim.mapInArrow(_binned(edges, base), _ROWS), "binned"), edges, base
 
 
-def first_histograms(df: DataFrame, columns: Sequence[str], target: str, bins: int = 64) -> tuple[DataFrame, list[np.ndarray]]:
-    """The root's sums before any tree, over all rows and columns, and the edges of the bins."""
+def _value_sums(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
+    """Per column and distinct value the root's sums (feature, x, g, h); missing values count with the smallest."""
+    y = col(target).cast("double")
+    p = float(1.0 / (1.0 + np.exp(-_start(df, y, F.lit(1.0)))))
+    known = F.when(y.isNull(), F.raise_error(F.lit(f"column {target} holds NULL")).cast("double")).otherwise(y)
+    g = F.rint((F.lit(p) - known) * F.lit(float(FIXED))).cast("long").alias("g")
+    numbers = [col(c).cast("double") for c in columns]
+    cells = F.array(*[F.struct(F.lit(i).cast("long").alias("feature"), F.when(~F.isnan(x), x).alias("x")) for i, x in enumerate(numbers)])
+    counted = df.select(g, F.explode(cells).alias("c")).groupBy("c.feature", "c.x").agg(F.sum("g").alias("g"), F.count(F.lit(1)).alias("n"))
+    counted = stored(counted, "value-sums")
+    least = F.broadcast(counted.groupBy("feature").agg(F.min("x").alias("least")))  # a row per column
+    x = F.coalesce("x", "least", F.lit(float("-inf"))).alias("x")
+    each = int(np.rint(p * (1.0 - p) * FIXED))
+    return counted.join(least, "feature").groupBy("feature", x).agg(F.sum("g").alias("g"), (F.sum("n") * each).alias("h"))
+
+
+def _numbered_values(sums: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bins 0, 1, ... of each column's values in ascending order, in slices, and the upper edges of all bins but the last.
+
+    The order is that of a distributed sort, whose partitions are the slices; only counts per partition reach the driver.
+    """
+    ordered = stored(sums.orderBy("feature", "x").withColumn("row", F.monotonically_increasing_id()), "values")
+    part, inside = F.shiftright("row", _ROW_BITS), F.col("row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    counts = ordered.groupBy(part.alias("slice"), "feature").count().collect()  # a row per partition, and per column
+    starts, sizes, inner = [], {}, {}
+    for slice_no, feature, n in sorted(tuple(r) for r in counts):
+        # the place of the partition's first row of the column: among the column's rows, less its place in the partition
+        starts.append((slice_no, feature, sizes.get(feature, 0) - inner.get(slice_no, 0)))
+        sizes[feature] = sizes.get(feature, 0) + n
+        inner[slice_no] = inner.get(slice_no, 0) + n
+    spark = sums.sparkSession
+    starts = spark.createDataFrame([(*s, sizes[s[1]] - 1) for s in starts], "slice long, feature long, start long, last long")
+    numbered = ordered.withColumn("slice", part).join(F.broadcast(starts), ["slice", "feature"]).withColumn("bin", F.col("start") + inside)
+    edges = numbered.filter("bin < last").select("feature", "bin", F.col("x").alias("upto"))
+    return numbered.select(F.lit(0).cast("long").alias("node"), "feature", "bin", "g", "h", "slice"), edges
+
+
+def first_histograms(df: DataFrame, columns: Sequence[str], target: str, bins: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The root's sums before any tree, over all rows and columns, and the upper edges (feature, bin, upto) of all bins but the last.
+
+    Without ``bins`` every distinct value has its own bin, however many there are.
+    """
+    if bins is None:
+        require_columns(df, [*columns, target], "training table")
+        return _numbered_values(_value_sums(df, columns, target))
     rows, edges, _ = _prepared(df, columns, target, None, None, bins)
     found = rows.mapInArrow(_histograms([], Tree.empty(0), [0], np.arange(len(columns)), len(columns), bins, 0, 1.0), _SUMS)
-    return found.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")), edges
+    tops = [(f, b, float(v)) for f, own in enumerate(edges) for b, v in enumerate(own)]
+    tops = df.sparkSession.createDataFrame(tops, "feature long, bin long, upto double")
+    return found.groupBy("node", "feature", "bin").agg(F.sum("g").alias("g"), F.sum("h").alias("h")), tops
 
 
 def train_boosted(

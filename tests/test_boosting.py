@@ -1,9 +1,11 @@
 import hashlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from riskframe.operators.metrics import evaluate
 from riskframe.plans import boosting as B
 from riskframe.plans import training
@@ -150,3 +152,49 @@ def test_boosting_on_few_groups_starts_few_tasks(spark):
     assert training._spread(large, ["id"], 60_000, "gbt").rdd.getNumPartitions() == 2
     assert training._spread(large, ["id"], 60_000, "forest").rdd.getNumPartitions() == 8
     assert training._spread(small, ["id"], 10_000_000, "gbt").rdd.getNumPartitions() == 8
+
+
+def test_every_value_is_a_split_however_many_there_are(spark, tmp_path):
+    events = spark.range(4000).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.col("id") * 977).alias("ts"), F.lit(1).cast("long").alias("user_id"),
+        F.when(F.xxhash64("id") % 3 == 0, "purchase").otherwise("click").alias("event_type"), F.lit(1.0).alias("value"),
+        F.format_string('{"k": %d}', (F.col("id") * 7919) % 1500).alias("props"),
+    )
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    got = entry.queries()["split_gains"](spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = con.sql(entry.oracle_sql()["split_gains"]).fetchall()
+    assert len(got) == 1499 + 23 and sorted(map(tuple, got)) == sorted(want)
+
+
+def test_bins_per_value_equal_bins_found_first(spark):
+    x, y = data(1200)
+    x[:, 0] = np.round(x[:, 0])
+    x[:50, 1], x[:, 2] = np.nan, np.nan
+    x[50:60, 0], x[60:70, 1] = -np.inf, -0.0
+    df = table(spark, x, y)
+    found = []
+    for bins in (256, None):
+        sums, edges = B.first_histograms(df, COLUMNS, "y", bins)
+        assert sums.filter("feature = 2").count() == 1
+        gains = B.split_gains(sums, 2.0, 0.5).join(edges, ["feature", "bin"])
+        found.append(sorted(map(tuple, gains.select("feature", "bin", "upto", "g_left", "h_left", "g_all", "h_all", "gain").collect())))
+    assert found[0] == found[1] and len(found[0]) > 10
+
+
+def test_slices_do_not_change_gains(spark):
+    df = spark.range(5000).select((F.col("id") * 3 % 4001).alias("a"), F.lit(1).alias("b"), (F.xxhash64("id") % 2 == 0).cast("int").alias("y"))
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # else few rows stay in one partition
+    try:
+        sums, edges = B.first_histograms(df, ["a", "b", "a"], "y")
+    finally:
+        spark.conf.set(setting, before)
+    assert sums.filter("feature = 0").select("slice").distinct().count() > 1
+    columns = ["feature", "bin", "g_left", "h_left", "g_all", "h_all", "gain"]
+    one, many = (sorted(map(tuple, B.split_gains(s).select(*columns).collect())) for s in (sums.drop("slice"), sums))
+    assert one == many and [r[1] for r in one if r[0] == 2] == list(range(4001)) and edges.count() == 8000
+    with pytest.raises(Exception, match="holds NULL"):
+        B.first_histograms(df.withColumn("y", F.when(F.col("a") > 5, F.col("y"))), ["a"], "y")
