@@ -108,7 +108,7 @@ def _with_place(df: DataFrame, levels: Levels, column: str, output: str, extra:
     marked = marked.withColumn("__spread", F.when(idle, spread).otherwise(F.lit(0).cast("long")))
     marked = marked.withColumn("__key", F.when(idle, F.lit("")).otherwise(value))
     rare = own.filter(F.col("n") < least).select(F.col("__value").alias("__key"), F.lit(0).cast("long").alias("__spread"), output)
-    joined = marked.join(rare, ["__key", "__spread"], "left")
+    joined = marked.join(rare.hint("merge"), ["__key", "__spread"], "left")  # rows of a level come one after the other
     joined = joined.withColumn(output, F.coalesce("__hot_found", F.col(output)))
     return joined.drop("__key", "__spread", "__hot_found")
 
@@ -139,7 +139,9 @@ def deviation(levels: Levels) -> Column:
     return F.when(spread > 0, spread).otherwise(1.0)
 
 
-def _struct(df: DataFrame, levels: Levels, output: str, scaled: bool, few_levels: int, leading: Sequence[str]) -> DataFrame:
+def sparse_structs(
+    df: DataFrame, levels: Levels, output: str, scaled: bool, leading: Sequence[str] = (), few_levels: int = FEW_LEVELS
+) -> DataFrame:
     """Adds the vector in the form that Spark ML's vectors have in a table."""
     weight = 1.0 / deviation(levels) if scaled else None
     listed = encode_levels(df, levels, output, weight, few_levels)
@@ -181,7 +183,7 @@ def sparse_vectors(
     ``leading`` columns come before the levels; NULL and NaN among them are errors. A ``VectorAssembler`` would name every
     place in the schema, which each plan and task then carries.
     """
-    shaped = _struct(df, levels, output, scaled, few_levels, leading)
+    shaped = sparse_structs(df, levels, output, scaled, leading, few_levels)
     # the batches pass through unchanged, under plain names; this only gives the struct the type that Spark ML asks for
     plain = [f"c{i}" for i in range(len(shaped.columns))]
     kinds = _with_vectors(shaped.schema, output)
@@ -193,5 +195,5 @@ def stored_vectors(
     df: DataFrame, levels: Levels, output: str, scaled: bool, leading: Sequence[str] = (), few_levels: int = FEW_LEVELS
 ) -> DataFrame:
     """The rows of ``sparse_vectors``, written once."""
-    shaped = _struct(df, levels, output, scaled, few_levels, leading)
+    shaped = sparse_structs(df, levels, output, scaled, leading, few_levels)
     return df.sparkSession.read.schema(_with_vectors(shaped.schema, output)).parquet(store(shaped, "vectors"))

@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 from riskframe.functions.expr import col, quoted
 from riskframe.operators.encode import fit_scale
 from riskframe.operators.frame import require_columns
-from riskframe.operators.sampling import class_weights, downsample_majority
+from riskframe.operators.sampling import class_counts, class_weights, downsample_majority
 from riskframe.operators.smote import smote
-from riskframe.operators.sparse import Levels, fit_levels, sparse_vectors, stored_vectors
+from riskframe.operators.sparse import Levels, fit_levels, sparse_structs, sparse_vectors, stored_vectors
 from riskframe.operators.storage import stored
+from riskframe.plans import sparse_logistic
 from riskframe.plans.boosting import bin_edges
 from riskframe.session import scratch_path, shared_folder
 
@@ -48,6 +49,9 @@ TASK_ROWS = {"forest": 5_000, "gbt": 25_000}
 
 #: A block of sparse rows takes so many times the memory of the coefficients.
 BLOCK_SHARE = 4
+#: From so many places on, a logistic model on sparse vectors is fitted by ``sparse_logistic``, if it is asked for nothing but this.
+WIDE = 150_000
+WIDE_PARAMS = {"maxIter", "tol", "C", "maxBlockSizeInMB", "aggregationDepth", "threshold"}
 
 WEIGHT = "__weight"
 
@@ -175,6 +179,10 @@ class SparseModel:
         return cls(Levels.load(spark, f"{path}/vocabulary"), load_model(f"{path}/pipeline"))
 
 
+def _two_classes(df: DataFrame, target: str) -> bool:
+    return {r[0] for r in class_counts(df, target).limit(3).collect()} == {0.0, 1.0}
+
+
 def train_sparse(
     df: DataFrame,
     numeric: Sequence[str],
@@ -201,9 +209,13 @@ def train_sparse(
     for step in steps:
         data = step.transform(data)
     leading = [f"__z{i}" for i in range(len(numeric))]
+    width = len(numeric) + levels.width
+    if kind == "logistic" and width >= WIDE and set(params or ()) <= WIDE_PARAMS and _two_classes(data, target):
+        shaped, weight = sparse_structs(data, levels, "__features", True, leading), F.col(WEIGHT) if balanced else F.lit(1.0)
+        return SparseModel(levels, PipelineModel([*steps, sparse_logistic.fit(shaped, width, "__features", target, weight, classifier)]))
     if kind == "logistic" and not classifier.isSet("maxBlockSizeInMB"):
         # a block costs a pass over all coefficients: large blocks keep that below the work on its rows
-        classifier.setMaxBlockSizeInMB(BLOCK_SHARE * 8 * (len(numeric) + levels.width) / 2**20 + 1)
+        classifier.setMaxBlockSizeInMB(BLOCK_SHARE * 8 * width / 2**20 + 1)
     ready = stored_vectors(data, levels, "__features", True, leading)
     return SparseModel(levels, _as_saved(spark, PipelineModel([*steps, classifier.fit(ready)]), kind))
 

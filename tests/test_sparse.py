@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import encode, sparse
 from riskframe.operators.metrics import evaluate
-from riskframe.plans import training
+from riskframe.plans import sparse_logistic, training
 from riskframe.plans.scoring import add_scores, evaluated_rows
 from riskframe.session import scratch_path
 
@@ -113,3 +113,58 @@ def test_numbers_come_first_and_missing_ones_are_errors(spark, kind, params):
     assert all(abs(r["__features"].values[0] - (r["id"] + 1 - mean) / deviation) < 1e-12 for r in rows)
     with pytest.raises(Exception, match="holds NULL or NaN"):
         model.transform(df.withColumn("v", F.when(F.col("id") > 0, F.col("v")))).collect()
+
+
+def labelled(spark):
+    df = spark.range(20_000, numPartitions=1).select(
+        "id", F.pmod(F.xxhash64("id"), F.lit(300)).alias("n"), F.when(F.col("id") % 3 > 0, "often").alias("m"), (F.hash("id") % 100 / 10).alias("v")
+    )
+    df = df.withColumn("k", F.when(F.col("id") % 50 > 0, F.col("n").cast("string")))
+    chance = F.pmod(F.hash(F.lit("y"), "id"), F.lit(100)) < 20 + 40 * (F.col("n") % 2) + F.col("v")
+    return df.withColumn("y", chance.cast("int")).drop("n").cache()
+
+
+@pytest.mark.parametrize("balanced", [True, False])
+def test_a_wide_model_equals_that_of_spark(spark, monkeypatch, balanced):
+    df, params = labelled(spark), {"tol": 1e-10}
+    theirs = training.train_sparse(df, ["v"], ["k", "m"], "y", params=params, balanced=balanced)
+    monkeypatch.setattr(training, "WIDE", 0)
+    own = training.train_sparse(df, ["v"], ["k", "m"], "y", params=params, balanced=balanced)
+    a, b = theirs.pipeline.stages[-1], own.pipeline.stages[-1]
+    assert abs(a.coefficients.toArray() - b.coefficients.toArray()).max() < 1e-5 and abs(a.intercept - b.intercept) < 1e-5
+    assert b.getRegParam() == a.getRegParam() and b.getTol() == 1e-10 and b.numFeatures == 302
+    path = scratch_path(spark, "wide")
+    own.save(path)
+    loaded = add_scores(df, training.SparseModel.load(spark, path)).select("id", F.col("probability").alias("p"))
+    scores = add_scores(df, own).select("id", "probability").join(loaded, "id").filter(F.col("probability") == F.col("p"))
+    assert scores.count() == 20_000
+
+
+def test_blocks_of_a_wide_model_do_not_grow_with_its_levels(spark):
+    df = spark.range(320_000).select("id", (F.col("id") % 160_000).cast("string").alias("k"), (F.col("id") % 7).alias("v"))
+    df = df.withColumn("y", (F.pmod(F.xxhash64("k"), F.lit(2)) == 0).cast("int"))
+    model = training.train_sparse(df, ["v"], ["k"], "y", params={"maxIter": 5})
+    classifier = model.pipeline.stages[-1]
+    assert classifier.numFeatures == 160_001 and classifier.getMaxBlockSizeInMB() == 0.0  # was 4 times the coefficients
+    rows = evaluated_rows(df, model, "y", "id")
+    assert evaluate(rows, "y_true", "prediction", "probability").first()["roc_auc"] > 0.99
+
+
+def test_blocks_hold_all_rows_and_few_at_once(spark):
+    df = labelled(spark).withColumn("v", F.lit(1.0))
+    levels = sparse.fit_levels(df, ["k", "m"])
+    packed = sparse_logistic.blocks(sparse.sparse_structs(df, levels, "f", False, ["v"]), "f", "y", F.lit(2.0))
+    sizes = [len(r["y"]) // 8 for r in packed.collect()]
+    assert sum(sizes) == 20_000 and 2 < len(sizes) and max(sizes) <= sparse_logistic.BLOCK_ROWS
+    found = {r["place"]: r["g"] for r in packed.mapInArrow(sparse_logistic._sums(None, 0.0), "place long, g double").groupBy("place").agg(F.sum("g").alias("g")).collect()}
+    counts = {r["place"] + 1: 2.0 * r["n"] for r in levels.table.collect()}
+    assert found == {**counts, 0: 40_000.0, -1: 0.0, -2: 40_000.0, -3: 2.0 * df.filter("y = 1").count()}
+
+
+def test_other_targets_and_settings_stay_with_spark(spark, monkeypatch):
+    monkeypatch.setattr(training, "WIDE", 0)
+    df = labelled(spark)
+    three = training.train_sparse(df.withColumn("y", F.col("id") % 3), ["v"], ["m"], "y", params={"maxIter": 2})
+    assert three.pipeline.stages[-1].numClasses == 3
+    lasso = training.train_sparse(df, ["v"], ["m"], "y", params={"maxIter": 2, "elasticNetParam": 1.0})
+    assert lasso.pipeline.stages[-1].getMaxBlockSizeInMB() > 1.0
